@@ -1,8 +1,9 @@
-"""Session helpers: a local builder for tests and the shared checkpoint folder."""
+"""Session helpers: a local builder for tests and tables in the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,7 @@ def build_session(app: str = "lotlens", cores: str = "*", **conf: str) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for k, v in conf.items():
@@ -32,14 +34,18 @@ def shared_folder(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        named = tempfile.mkdtemp(prefix="lotlens-ckpt-")
+        named = tempfile.mkdtemp(prefix="lotlens-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, so a lost executor costs no replay."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+def written(df: DataFrame) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back.
+
+    Cuts the lineage durably (a lost executor replays nothing) and gives
+    Catalyst the true size, so a join with the result is broadcast only when it
+    really is below spark.sql.autoBroadcastJoinThreshold.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
