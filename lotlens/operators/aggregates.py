@@ -19,17 +19,18 @@ MAX_PIVOT_VALUES = 2000
 def top_locations(areas: DataFrame, facts: DataFrame, names: list[str], key: str = "area_sk", n: int = 15) -> DataFrame:
     """Areas with most listings; ties broken by the area names.
 
-    Facts are counted per area before the join, so only one row per area meets
-    the dimension however many listings an area has.
+    Facts (`key`, `price`, or already summed `listings`, `price_sum`, `priced`)
+    are added up per area before the join, so one row per area meets the
+    dimension however many listings an area has.
     """
-    per_area = facts.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_c"), F.sum("price").alias("_s"), F.count("price").alias("_n")
-    )
-    return (
-        areas.join(per_area, key).groupBy(*names)
-        .agg(F.sum("_c").alias("listing_count"), F.try_divide(F.sum("_s"), F.sum("_n")).alias("average_price"))
-        .orderBy(F.desc("listing_count"), *names).limit(n)
-    )
+    if "listings" not in facts.columns:
+        facts = facts.select(
+            key, F.lit(1).alias("listings"), F.col("price").alias("price_sum"), F.col("price").isNotNull().cast("int").alias("priced"))
+    sums = lambda: [F.sum(c).alias(c) for c in ("listings", "price_sum", "priced")]
+    out = areas.join(facts.groupBy(key).agg(*sums()), key).groupBy(*names).agg(*sums())
+    return out.select(
+        *names, F.col("listings").alias("listing_count"), F.try_divide("price_sum", "priced").alias("average_price")
+    ).orderBy(F.desc("listing_count"), *names).limit(n)
 
 
 def group_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -25,6 +25,7 @@ def group_quantiles(
 ) -> DataFrame:
     """Per `keys`: one column per named quantile of `value`, plus `aggs` computed in the first pass."""
     aggs = aggs or {}
+    probs = dict(sorted(probs.items(), key=lambda kv: kv[1]))
     ps = list(probs.values())
     edges = [e for p in ps for e in (max(0.0, p - MARGIN), min(1.0, p + MARGIN))]
     rows = df.withColumn("_x", value.cast("double"))
@@ -42,12 +43,11 @@ def group_quantiles(
             F.lit(i).alias("i"),
             F.when(tiny | F.lit(p <= MARGIN), F.col("_min")).otherwise(F.col("_edge")[2 * i]).alias("lo"),
             F.when(tiny | F.lit(p >= 1 - MARGIN), F.col("_max")).otherwise(F.col("_edge")[2 * i + 1]).alias("hi"),
-            ((F.col("_n") - 1) * F.lit(p)).alias("h"),
         )
 
     brackets = first.filter("_n > 0").select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.array(*[bracket(i, p) for i, p in enumerate(ps)]).alias("_b"),
+        F.struct("_n", F.array(*[bracket(i, p) for i, p in enumerate(ps)]).alias("b")).alias("_b"),
     )
     need = rows.filter(F.col("_x").isNotNull()).select(*keys, "_x")
     if keys:
@@ -55,17 +55,28 @@ def group_quantiles(
         joined = need.join(brackets, on)
     else:
         joined = need.withColumn("_b", brackets.select("_b").scalar())
+    # a row says how many brackets start at or below it, and repeats only for brackets holding it
+    b, v = F.col("_b.b"), F.col("_x")
+    started = F.size(F.filter(b, lambda e: e["lo"] <= v))
+    holding = F.filter(b, lambda e: (e["lo"] <= v) & (v <= e["hi"]))
+    said = F.array(F.struct(F.lit(-1).alias("i"), started.alias("j"), F.lit(None).cast("double").alias("v")))
+    held = F.transform(holding, lambda e: F.struct(e["i"].alias("i"), F.lit(-1).alias("j"), v.alias("v")))
     counted = (
-        joined.select(*keys, "_x", F.explode("_b").alias("_b"))
-        .filter(F.col("_x") <= F.col("_b.hi"))
-        .select(*keys, "_b.i", "_b.h", F.when(F.col("_x") >= F.col("_b.lo"), F.col("_x")).alias("v"))
-        .groupBy(*keys, "i", "h", "v").agg(F.count(F.lit(1)).alias("c"))
+        joined.select(*keys, F.col("_b._n").alias("_n"), F.explode(F.concat(said, held)).alias("e"))
+        .groupBy(*keys, "_n", "e.i", "e.j", "e.v").agg(F.count(F.lit(1)).alias("c"))
+    )
+    # rows below bracket i are those that started at most i brackets
+    targets = F.when(F.col("i") >= 0, F.array("i")).when(
+        F.col("j") < len(ps), F.sequence(F.col("j"), F.lit(len(ps) - 1))
+    )
+    spread = counted.select(*keys, "_n", F.explode(targets).alias("t"), "v", "c")
+    upto = Window.partitionBy(*keys, "t").orderBy(F.col("v").asc_nulls_first())
+    ranked = spread.withColumn("cum", F.sum("c").over(upto.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
+        "h", (F.col("_n") - 1) * F.get(F.array(*[F.lit(p) for p in ps]), F.col("t"))
     )
-    upto = Window.partitionBy(*keys, "i").orderBy(F.col("v").asc_nulls_first())
-    ranked = counted.withColumn("cum", F.sum("c").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
     at = lambda k: F.min(F.when(F.col("cum") > k, F.struct("cum", "v")))["v"]
     low = F.floor("h")
-    picked = ranked.groupBy(*keys, "i", "h").agg(at(low).alias("a"), at(F.ceil("h")).alias("b"))
+    picked = ranked.groupBy(*keys, F.col("t").alias("i"), "h").agg(at(low).alias("a"), at(F.ceil("h")).alias("b"))
     lost = F.raise_error(F.lit("quantile outside its bracket"))
     exact = F.when(F.col("a").isNull() | F.col("b").isNull(), lost).otherwise(
         F.col("a") + (F.col("b") - F.col("a")) * (F.col("h") - low)

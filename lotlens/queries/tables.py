@@ -20,12 +20,11 @@ def _(spark, d):
     areas = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey").alias("area_sk"), F.col("n_name").alias("subdistrict"), F.col("r_name").alias("city"))
     # orders per customer first: a customer's orders cross the shuffle as one row
-    per = table(spark, d, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("c"), F.sum("o_totalprice").alias("s"))
-    facts = per.join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).groupBy(
-        F.col("c_nationkey").alias("area_sk")).agg(F.sum("c").alias("c"), F.sum("s").alias("s"))
-    top = areas.join(facts, "area_sk").groupBy("subdistrict", "city").agg(
-        F.sum("c").alias("listing_count"), F.round(F.sum("s") / F.sum("c"), 4).alias("average_price"))
-    return top.orderBy(F.desc("listing_count"), "subdistrict", "city").limit(15)
+    per = table(spark, d, "orders").groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("listings"), F.sum("o_totalprice").alias("price_sum"), F.count("o_totalprice").alias("priced"))
+    facts = per.join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).withColumnRenamed("c_nationkey", "area_sk")
+    top = agg.top_locations(areas, facts, ["subdistrict", "city"])
+    return top.withColumn("average_price", F.round("average_price", 4))
 
 
 @query("a02_build_dim", """
@@ -43,7 +42,8 @@ def _(spark, d):
 def _event_pivot(fn: str, prefix: str) -> str:
     kinds = ["click", "error", "purchase", "signup", "view"]
     return "SELECT user_id, " + ", ".join(
-        f"CAST({fn}(CASE WHEN event_type = '{k}' THEN 1 ELSE 0 END) AS BIGINT) AS {prefix}{k}" for k in kinds
+        f"CAST({fn}(CASE WHEN event_type = '{k}' THEN 1 ELSE 0 END) AS {'INT' if fn == 'max' else 'BIGINT'}) AS {prefix}{k}"
+        for k in kinds
     ) + " FROM events GROUP BY user_id"
 
 
@@ -371,11 +371,11 @@ def _(spark, d):
 @query("s09_insert_if_absent", """
 SELECT c_custkey, c_name FROM (SELECT c_custkey, c_name, row_number() OVER (PARTITION BY c_custkey ORDER BY c_name) AS r FROM
 (SELECT c_custkey, c_name FROM customer UNION ALL SELECT c_custkey, 'Again ' || c_name FROM customer WHERE c_custkey % 3 = 0)) b
-WHERE r = 1 AND c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+WHERE r = 1 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""")
 def _(spark, d):
     c = table(spark, d, "customer").select("c_custkey", "c_name")
     batch = c.unionByName(c.filter("c_custkey % 3 = 0").withColumn("c_name", F.concat(F.lit("Again "), "c_name")))
-    have = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    have = table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
     return joins.new_rows(batch, have, ["c_custkey"])
 
 
