@@ -24,9 +24,9 @@ def read_listings(spark: SparkSession, path: str | list[str], keep_corrupt: bool
     return df if keep_corrupt else df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
-def read_district_map(spark: SparkSession, path: str) -> DataFrame:
-    """JSON list of {source, target} corrections (duplicates kept)."""
-    return spark.read.schema("source string, target string").option("multiLine", True).json(path)
+def read_district_map(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Corrections {source, target} as one JSON list, or one object per line (duplicates kept)."""
+    return spark.read.schema("source string, target string").option("multiLine", not lines).json(path)
 
 
 def _xy(c: Column) -> Column:
@@ -77,15 +77,18 @@ def read_amenity_regions(spark: SparkSession, *paths: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [_features(spark, p, props, False) for p in paths])
 
 
-def list_images(spark: SparkSession, root: str) -> DataFrame:
-    """Every *.jpg below `root`: id = sha256 of '<folder>/<file>', parent = folder. Contents are not read."""
+def list_files(spark: SparkSession, root: str, pattern: str = "*.jpg") -> DataFrame:
+    """Every matching file below `root`: id = sha256 of '<folder>/<file>', parent = folder. Contents are not read."""
     files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.jpg").option("recursiveFileLookup", True)
+        spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
         .load(root).select("path")
     )
     parts = F.split("path", "/")
-    rel = F.url_decode(F.concat_ws("/", F.element_at(parts, -2), F.element_at(parts, -1)))
-    named = files.select(rel.alias("file_path"))
+    named = files.select(F.url_decode(F.concat_ws("/", F.element_at(parts, -2), F.element_at(parts, -1))).alias("file_path"))
     return named.select(
         F.sha2("file_path", 256).alias("id"), F.split("file_path", "/")[0].alias("parent_id"), "file_path"
     )
+
+
+def list_images(spark: SparkSession, root: str) -> DataFrame:
+    return list_files(spark, root, "*.jpg")
