@@ -137,3 +137,63 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "price", "installment", "address", "description", "tags", specs.alias("specs"), "facilities",
         agent.alias("agent"), "images", "url", "last_modified", "scraped_at",
     )
+
+
+# -- listing pages -----------------------------------------------------------
+
+def _s(e: str) -> str:
+    return f"CAST({e} AS STRING)"
+
+
+MONTHS = ["Januari", "Februari", "Maret", "April", "Mei", "Juni", "Juli", "Agustus", "September", "Oktober", "November", "Desember", "Foo"]
+PAGE_FIELDS: dict[str, str] = {
+    "url": f"'https://www.example.com/properti/bogor/hos' || {_s(K)} || '/'",
+    "price_text": (
+        f"CASE {K} % 4 WHEN 0 THEN 'Rp ' || {_s(f'100 + {K} % 900')} || ' Juta' WHEN 1 THEN 'Rp ' || {_s(f'1 + {K} % 9')} || ',' || "
+        f"{_s(f'{K} % 10')} || ' Miliar' WHEN 2 THEN 'Rp 5' ELSE 'Rp ' || {_s(f'2 + {K} % 30')} || ' Miliar' END"
+    ),
+    "installment_text": f"CASE WHEN {K} % 3 = 0 THEN NULL ELSE 'Cicilan Rp ' || {_s(f'1 + {K} % 40')} || ',5 Jutaan' END",
+    "address": f"CASE WHEN {K} % 11 = 0 THEN NULL ELSE 'Area ' || {_s('o_custkey % 25')} || ', Bogor' END",
+    "date_text": f"'Diperbarui ' || {_s(f'1 + {K} % 31')} || ' ' || " + pick(K, MONTHS) + f" || ' ' || {_s(f'2020 + {K} % 4')} || ' oleh Agen'",
+    "description": f"CASE WHEN {K} % 8 = 0 THEN NULL ELSE 'Rumah nomor ' || {_s('o_custkey')} || ' cepat' END",
+    "tag_a": pick(K, ["KPR", "Bisa Nego", "Promo"]),
+    "tag_b": pick(K, ["SHM", "Siap Huni"]),
+    "land": f"{_s(f'40 + {K} % 300')} || ' m²'",
+    "beds": f"{_s(f'1 + {K} % 6')}",
+    "facility": pick(K, ["CCTV", "Taman", "Kolam Renang", "Gym"]),
+    "agent_name": f"CASE WHEN {K} % 13 = 0 THEN NULL ELSE 'Agen ' || {_s('o_custkey')} END",
+    "company_name": f"CASE WHEN {K} % 13 = 0 OR {K} % 4 = 0 THEN NULL ELSE " + pick(K, ["Ray White", "Century 21"]) + " END",
+    "phone": f"CASE WHEN {K} % 13 = 0 OR {K} % 6 = 0 THEN NULL ELSE '62812' || {_s('o_custkey')} END",
+    "image": f"'https://img.example.com/customer/a ' || {_s(K)} || '/front.jpg'",
+}
+PAGE_CTE = "WITH page AS (SELECT o_orderkey, " + ", ".join(f"{e} AS {n}" for n, e in PAGE_FIELDS.items()) + " FROM orders)"
+
+
+def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return orders.selectExpr("o_orderkey", *[f"{e} AS {n}" for n, e in PAGE_FIELDS.items()])
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetched listing pages (url, html) rendered from the derived fields."""
+    def opt(name: str, before: str, after: str):
+        return F.coalesce(F.concat(F.lit(before), F.col(name), F.lit(after)), F.lit(""))
+
+    quoted = F.replace(F.replace("image", F.lit(" "), F.lit("%20")), F.lit("/"), F.lit("%2F"))
+    spec = lambda name, c: F.concat(F.lit(f'<div class="row mb-4"><p>{name}</p><p class="v">'), F.col(c), F.lit("</p></div>"))
+    html = F.concat(
+        F.lit('<!DOCTYPE html>\n<html><body><nav><a href="/properti/bogor/hos1/">x</a></nav><div class="ui-container">\n<div><span>'),
+        F.col("price_text"), F.lit("</span></div>\n"), opt("installment_text", "<p class='c'>", "</p>"),
+        F.lit("<div><h1>Dijual\nRumah</h1>"), opt("address", "<p>", "</p>"), F.when(F.col("address").isNull(), F.lit("<p></p>")).otherwise(F.lit("")),
+        F.lit("<p>"), F.col("date_text"), F.lit("</p><ul><li> "), F.col("tag_a"), F.lit(" </li><li>"), F.col("tag_b"),
+        F.lit("</li></ul></div>\n"), opt("description", "<div><p>Deskripsi</p><p class='d'>", "</p></div>\n"),
+        F.lit("<div><p>Spesifikasi</p><div>"), spec("Luas Tanah", "land"), spec("Kamar Tidur", "beds"), spec("Kamar Tidur", "beds"),
+        F.lit('<div class="mb-4"><p>Hanya satu</p></div></div></div>\n<div id="property-facility"><p><span> '), F.col("facility"),
+        F.lit("</span></p><p><span>Wi-Fi &amp; TV</span></p></div>\n"),
+        opt("agent_name", '<div class="flex-grow"><a class="n" title="', ' " href="/agen/1">a</a></div>'),
+        opt("company_name", '<div class="flex-grow"><a title="', '" href="https://firm.example.com/x">b</a></div>'),
+        opt("phone", '<button name="phone" title="', '">Call</button>'),
+        F.lit('<img alt="front" srcset="/_next/image?url='), quoted, F.lit('%26w%3D1&amp;w=640 1x, /_next/image?url='), quoted, F.lit('&amp;w=1080 2x">'),
+        F.lit('<img alt="map" srcset="/i?url=https%3A%2F%2Fm%2Fcustomer%2Fz 1x, y 2x"></div></body></html>'),
+    )
+    return page_fields(spark, sf_dir).select("url", html.alias("html"))

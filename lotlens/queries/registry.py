@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-MODULES = ["scalar", "tables", "statistics", "marts"]
+MODULES = ["scalar", "tables", "statistics", "marts", "pages"]
 ORACLE: dict[str, str] = {}
 
 
