@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 K = "o_orderkey"
 
 
@@ -109,9 +111,14 @@ def listings_sql(arr: str = "list_value") -> str:
 RAW_CTE = f"WITH raw AS ({listings_sql()})"
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    used = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    return spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select(*used))
+
+
 def flat_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat raw listings, one per order."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = _orders(spark, sf_dir)
     cols = {**BASE_TEXTS, **SPEC_TEXTS, **_lists("array")}
     return orders.selectExpr("o_orderkey", "o_custkey", *[f"{e} AS {n}" for n, e in cols.items()])
 
@@ -170,8 +177,7 @@ PAGE_CTE = "WITH page AS (SELECT o_orderkey, " + ", ".join(f"{e} AS {n}" for n,
 
 
 def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return orders.selectExpr("o_orderkey", *[f"{e} AS {n}" for n, e in PAGE_FIELDS.items()])
+    return _orders(spark, sf_dir).selectExpr("o_orderkey", *[f"{e} AS {n}" for n, e in PAGE_FIELDS.items()])
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
