@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -17,6 +18,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(c: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` applied to a value that is computed once however often `use` mentions it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     return F.trim(col(c), F.lit(BLANKS))
 
@@ -114,30 +120,34 @@ def label(c: Column | str) -> Column:
 
 def clean_facility(c: Column | str) -> Column:
     """Canonical facility name in snake case; NULL for blanks and stop fragments."""
-    name = F.upper(strip(c))
-    stop = reduce(lambda a, b: a | b, [name.contains(w) for w in v.FACILITY_STOP_FRAGMENTS])
-    ruled = F.coalesce(*[F.when(name.contains(k), F.lit(out)) for k, out in v.FACILITY_RULES.items()], name)
-    return F.when((F.length(name) > 0) & ~stop, F.lower(F.replace(ruled, F.lit(" "), F.lit("_"))))
+    def canonical(name: Column) -> Column:
+        stop = reduce(lambda a, b: a | b, [name.contains(w) for w in v.FACILITY_STOP_FRAGMENTS])
+        ruled = F.coalesce(*[F.when(name.contains(k), F.lit(out)) for k, out in v.FACILITY_RULES.items()], name)
+        return F.when((F.length(name) > 0) & ~stop, F.lower(F.replace(ruled, F.lit(" "), F.lit("_"))))
+
+    return let(F.upper(strip(c)), canonical)
 
 
 def clean_company(c: Column | str) -> Column:
     """Canonical agency name; unknown and empty names become INDEPENDENT."""
-    name = F.upper(strip(c))
-    folded = F.replace(name, F.lit("PROPERTY"), F.lit("PROPERTI"))
-    bare = reduce(lambda a, w: F.replace(a, F.lit(w), F.lit("")), v.AGENCY_STOP_WORDS, folded)
-    bare = F.trim(F.regexp_replace(bare, " +", " "))
-    nobody = reduce(
-        lambda a, b: a | b,
-        [bare.contains(w) for w in v.INDEPENDENT_SPELLINGS],
-        bare.isin("", "PROPERTI"),
-    )
-    return F.when(name.contains("CENTURY 21") | name.contains("CENTURY21"), F.lit("CENTURY21")).otherwise(
-        F.coalesce(
-            *[F.when(folded.contains(w), F.lit(w)) for w in v.KNOWN_AGENCIES],
-            F.when(nobody, F.lit("INDEPENDENT")),
-            bare,
+    def own_name(folded: Column) -> Column:
+        bare = reduce(lambda a, w: F.replace(a, F.lit(w), F.lit("")), v.AGENCY_STOP_WORDS, folded)
+        return let(F.trim(F.regexp_replace(bare, " +", " ")), lambda b: F.when(nobody(b), F.lit("INDEPENDENT")).otherwise(b))
+
+    def nobody(bare: Column) -> Column:
+        odd = [bare.contains(w) for w in v.INDEPENDENT_SPELLINGS]
+        return reduce(lambda a, b: a | b, odd, bare.isin("", "PROPERTI"))
+
+    def known(folded: Column) -> Column:
+        return F.coalesce(*[F.when(folded.contains(w), F.lit(w)) for w in v.KNOWN_AGENCIES], own_name(folded))
+
+    def canonical(name: Column) -> Column:
+        franchise = name.contains("CENTURY 21") | name.contains("CENTURY21")
+        return F.when(franchise, F.lit("CENTURY21")).otherwise(
+            let(F.replace(name, F.lit("PROPERTY"), F.lit("PROPERTI")), known)
         )
-    )
+
+    return let(F.upper(strip(c)), canonical)
 
 
 def translate_values(c: Column | str, mapping: dict[str, str]) -> Column:

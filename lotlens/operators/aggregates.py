@@ -168,17 +168,15 @@ def pivot_stats(df: DataFrame, index: str, flag: str, value: str, values: list |
 def distinct_on(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """One row per key: the first in `order` (then by all orderable columns, NULL first).
 
-    A min over structs combines on the map side, so a key with very many copies
-    shrinks to one row per task before the shuffle.
+    Spark limits the groups before the shuffle, so a key with very many copies
+    leaves each task as one row.
     """
-    rest = [c for c in df.columns if c not in keys]
-    orderable = [f.name for f in df.schema if f.name in rest and "map<" not in f.dataType.simpleString()]
+    orderable = [f.name for f in df.schema if f.name not in keys and "map<" not in f.dataType.simpleString()]
     by = [*(order or []), *[c for c in orderable if c not in (order or [])]]
-    if set(by) == set(rest):
-        best = F.min(F.struct(*by)).alias("_b")
-    else:
-        best = F.min_by(F.struct(*rest), F.struct(*by)).alias("_b")
-    return df.groupBy(*keys).agg(best).select(*[f"_b.{c}" if c in rest else c for c in df.columns])
+    if not by:
+        return df.dropDuplicates(keys)
+    first = Window.partitionBy(*keys).orderBy(*by)
+    return df.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
 
 
 def build_dim(df: DataFrame, key: str, sk: str, labels: dict[str, Column]) -> DataFrame:

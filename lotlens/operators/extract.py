@@ -6,36 +6,32 @@ values, not other code.  Patterns see the page with line breaks inside.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab as v
-from ..functions.text import BLANKS, col, strip
+from ..functions.text import col, let, strip
 
 NUMBER = r"[0-9]*[.,]?[0-9]+"
 DATE = r"([0-9]{1,2}) (\w+) ([0-9]{4})"
 
 
-def _p_holding(word: str) -> str:
-    return rf"(?s)<p(?:\s[^>]*)?>((?:(?!</p>).)*?{word}(?:(?!</p>).)*)</p>"
-
-
 @dataclass(frozen=True)
 class Rules:
-    """Patterns of one page layout; group 1 is the wanted text."""
+    """Patterns (group 1 is the wanted text) and marker words of one page layout."""
 
     detail_has: str = "/properti/"
     detail_not: str = "/perumahan-baru"
     link: str = r"""<a\s[^>]*?href=["']([^"']*)["']"""
     price: str = r"<span(?:\s[^>]*)?>([^<]*Rp [^<]*)<"
-    installment: str = _p_holding("Cicilan")
+    paragraph: str = r"(?s)<p(?:\s[^>]*)?>(.*?)(?=</p>|<p[\s>])"
+    installment_word: str = "Cicilan"
     address: str = r"(?s)<h1(?:\s[^>]*)?>.*?</h1>.*?<p(?:\s[^>]*)?>([^<]*)"
-    modified: str = _p_holding("Diperbarui")
+    modified_word: str = "Diperbarui"
     tag: str = r"<li(?:\s[^>]*)?>([^<]+)<"
-    description: str = r"(?s)<p(?:\s[^>]*)?>(?:(?!</p>).)*?ripsi(?:(?!</p>).)*</p>.*?<p(?:\s[^>]*)?>([^<]*)"
+    description_word: str = "ripsi"
     spec_row: str = r"""(?s)<div\s[^>]*class=["'][^"']*mb-4[^"']*["'][^>]*>(.*?)</div>"""
     spec_part: str = r"<p(?:\s[^>]*)?>([^<]*)</p>"
     facility_block: str = r"""(?s)<div\s[^>]*id=["'][^"']*facility[^"']*["'][^>]*>(.*?)</div>"""
@@ -69,11 +65,6 @@ def unquote(c: Column | str) -> Column:
     return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
 
 
-def let(c: Column, use: Callable[[Column], Column]) -> Column:
-    """`use` applied to a value that is computed once however often `use` mentions it."""
-    return F.get(F.transform(F.array(c), use), F.lit(0))
-
-
 def _first(html: Column | str, pattern: str) -> Column:
     """First match as text, NULL when absent or empty."""
     return unescape(F.nullif(F.regexp_extract(col(html), pattern, 1), F.lit("")))
@@ -113,6 +104,16 @@ def _resolve(base: Column, href: Column) -> Column:
     )
 
 
+def paragraphs(html: Column | str, rules: Rules = SITE) -> Column:
+    """Contents of all paragraphs, tags inside kept."""
+    return _all(html, rules.paragraph)
+
+
+def _holding(parts: Column, word: str) -> Column:
+    """Text of the first paragraph with a word."""
+    return _untag(unescape(F.get(F.filter(parts, lambda p: p.contains(word)), F.lit(0))))
+
+
 # -- fields ------------------------------------------------------------------
 
 def is_detail(url: Column | str, rules: Rules = SITE) -> Column:
@@ -148,16 +149,17 @@ def extract_price(html: Column | str, rules: Rules = SITE) -> Column:
     return price_in_millions(_first(html, rules.price))
 
 
-def extract_installment(html: Column | str, rules: Rules = SITE) -> Column:
-    return parse_price(_untag(_first(html, rules.installment)))
+def extract_installment(parts: Column | str, rules: Rules = SITE) -> Column:
+    """Monthly payment from the page's paragraphs."""
+    return parse_price(_holding(col(parts), rules.installment_word))
 
 
 def extract_address(html: Column | str, rules: Rules = SITE) -> Column:
     return _first(html, rules.address)
 
 
-def extract_modified(html: Column | str, rules: Rules = SITE) -> Column:
-    return parse_id_date(_untag(_first(html, rules.modified)))
+def extract_modified(parts: Column | str, rules: Rules = SITE) -> Column:
+    return let(_holding(col(parts), rules.modified_word), parse_id_date)
 
 
 def extract_list(html: Column | str, rule: str) -> Column:
@@ -173,8 +175,12 @@ def extract_facilities(html: Column | str, rules: Rules = SITE) -> Column:
     return extract_list(F.regexp_extract(col(html), rules.facility_block, 1), rules.facility)
 
 
-def extract_description(html: Column | str, rules: Rules = SITE) -> Column:
-    return _first(html, rules.description)
+def extract_description(parts: Column | str, rules: Rules = SITE) -> Column:
+    """First text of the paragraph after the one that announces it."""
+    parts = col(parts)
+    marked = F.array_position(F.transform(parts, lambda p: p.contains(rules.description_word)), F.lit(True))
+    after = F.when(marked > 0, F.get(parts, marked.cast("int")))
+    return unescape(F.nullif(F.regexp_extract(after, "^([^<]*)", 1), F.lit("")))
 
 
 def pairs_to_map(rows: Column) -> Column:
@@ -242,13 +248,14 @@ def frontier(links: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def pages_to_listings(pages: DataFrame, rules: Rules = SITE, scraped_at: Column | None = None) -> DataFrame:
-    """Listing records of all detail pages."""
-    return pages.filter(is_detail("url", rules)).select(
+    """Listing records of all detail pages; a page's paragraphs are cut once."""
+    cut = pages.filter(is_detail("url", rules)).select("url", "html", paragraphs("html", rules).alias("_p"))
+    return cut.select(
         url_id("url").alias("id"), extract_price("html", rules).alias("price"),
-        extract_installment("html", rules).alias("installment"), extract_address("html", rules).alias("address"),
-        extract_description("html", rules).alias("description"), extract_tags("html", rules).alias("tags"),
+        extract_installment("_p", rules).alias("installment"), extract_address("html", rules).alias("address"),
+        extract_description("_p", rules).alias("description"), extract_tags("html", rules).alias("tags"),
         extract_specs("html", rules).alias("specs"), extract_facilities("html", rules).alias("facilities"),
         extract_agent("url", "html", rules).alias("agent"), extract_images("html", rules).alias("images"), "url",
-        F.date_format(extract_modified("html", rules), "yyyy-MM-dd'T'HH:mm:ss").alias("last_modified"),
+        F.date_format(extract_modified("_p", rules), "yyyy-MM-dd'T'HH:mm:ss").alias("last_modified"),
         F.date_format(F.current_timestamp() if scraped_at is None else scraped_at, "yyyy-MM-dd'T'HH:mm:ss").alias("scraped_at"),
     )

@@ -98,16 +98,19 @@ def embed(
 
 # -- keyword -----------------------------------------------------------------
 
-def tokens(c: Column | str) -> Column:
-    return F.filter(F.split(F.lower(col(c)), r"[^\p{L}\p{N}]+"), lambda w: w != F.lit(""))
+def spaced_words(c: Column | str) -> Column:
+    """Lower-cased words, each with a blank of its own on both sides."""
+    words = F.trim(F.regexp_replace(F.lower(col(c)), r"[^\p{L}\p{N}]+", "  "))
+    return F.concat(F.lit(" "), words, F.lit(" "))
 
 
-def query_terms(text: str) -> list[str]:
-    return sorted(set(re.findall(r"[^\W_]+", text.lower())))
+def times(spaced: Column, part: str) -> Column:
+    """How often `part` occurs, by the length that removing it takes away."""
+    return (F.length(spaced) - F.length(F.replace(spaced, F.lit(part), F.lit("")))) / len(part)
 
 
-def times(words: str, term: str) -> Column:
-    return F.size(F.filter(words, lambda w: w == F.lit(term))).cast("double")
+def query_terms(text: str) -> list[str]:
+    return sorted(set(re.findall(r"[^\W_]+", text.lower())))
 
 
 def bm25(docs: DataFrame, query: str, k: int | None = 3, content: str = "content", doc_id: str = "id") -> DataFrame:
@@ -117,9 +120,10 @@ def bm25(docs: DataFrame, query: str, k: int | None = 3, content: str = "content
     small aggregate used as a scalar, so nothing but the k best rows moves.
     """
     terms = query_terms(query)
-    counted = docs.withColumn("_t", tokens(content)).withColumns({
-        "_len": F.size("_t").cast("double"),
-        "_tf": F.array(*[times("_t", t) for t in terms]),
+    words = F.col("_t")
+    counted = docs.withColumn("_t", spaced_words(content)).withColumns({
+        "_len": F.when(F.length(words) > 2, times(words, "  ") + 1).otherwise(0.0),
+        "_tf": F.array(*[times(words, f" {t} ") for t in terms]),
     }).drop("_t")
     tf = lambda i: F.col("_tf")[i]
     stats = counted.select(F.struct(

@@ -10,7 +10,7 @@ from .registry import query, spread_table, table
 GIVEN = extract.SITE.but(
     detail_has="/en", detail_not=",",
     address=r"(?s)<h1(?:\s[^>]*)?>.*?</h1>.*?<p(?:\s[^>]*)?>(?:<[a-oq-z][^>]*>)*([^<]*)",
-    description=r"(?s)<h1(?:\s[^>]*)?>.*?</h1>.*?<p>([^<]*)</p>",
+    description_word="<b>",
     tag=r"<li(?:\s[^>]*)?>(?:<[a-km-z][^>]*>)*([^<]+)<",
 )
 PRICE = "CAST(replace(nullif(regexp_extract({0}, '[0-9]*[.,]?[0-9]+'), ''), ',', '.') AS DOUBLE)"
@@ -61,7 +61,7 @@ def _(spark, d):
 
 @query("h06_extract_installment", PAGE_CTE + f" SELECT url, {PRICE.format('installment_text')} AS installment FROM page")
 def _(spark, d):
-    return listing_pages(spark, d).select("url", extract.extract_installment("html").alias("installment"))
+    return listing_pages(spark, d).select("url", extract.extract_installment(extract.paragraphs("html")).alias("installment"))
 
 
 UNESC = "replace(replace(replace(replace(replace(replace({0}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&')"
@@ -75,7 +75,7 @@ def _(spark, d):
 
 @query("h08_parse_date", PAGE_CTE + f" SELECT url, {DATE_SQL} AS modified FROM page")
 def _(spark, d):
-    return listing_pages(spark, d).select("url", F.date_format(extract.extract_modified("html"), "yyyy-MM-dd").alias("modified"))
+    return listing_pages(spark, d).select("url", F.date_format(extract.extract_modified(extract.paragraphs("html")), "yyyy-MM-dd").alias("modified"))
 
 
 @query("h09_extract_list", r"""
@@ -86,10 +86,12 @@ def _(spark, d):
     return items.select("page_id", F.col("pos").cast("long").alias("pos"), "item")
 
 
-@query("h10_extract_description", "SELECT page_id, " + UNESC.format(
-    r"regexp_extract(html, '(?s)<h1(?:\s[^>]*)?>.*?</h1>.*?<p>([^<]*)</p>', 1)").join(["nullif(", ", '')"]) + " AS description FROM pages")
+@query("h10_extract_description", """
+WITH p AS (SELECT page_id, list_transform(regexp_extract_all(replace(html, '<p>', '</p><p>'), '(?s)<p>(.*?)</p>', 1), lambda x: x) AS parts FROM pages)
+SELECT page_id, """ + UNESC.format("nullif(regexp_extract(parts[list_position(list_transform(parts, lambda x: contains(x, '<b>')), true) + 1], '^([^<]*)', 1), '')")
++ """ AS description FROM p""")
 def _(spark, d):
-    return spread_table(spark, d, "pages", "page_id", "html").select("page_id", extract.extract_description("html", GIVEN).alias("description"))
+    return spread_table(spark, d, "pages", "page_id", "html").select("page_id", extract.extract_description(extract.paragraphs("html"), GIVEN).alias("description"))
 
 
 @query("h11_extract_specs", PAGE_CTE + " SELECT url, land, beds, 2 AS n FROM page")
