@@ -137,9 +137,12 @@ def bm25(docs: DataFrame, query: str, k: int | None = 3, content: str = "content
     score = F.lit(0.0)
     for i in range(len(terms)):
         score = score + F.when(tf(i) > 0, part(i)).otherwise(0.0)
-    scored = counted.withColumn("_s", stats).withColumn("score", score).drop("_s", "_tf", "_len").filter("score > 0")
-    best = scored.orderBy(F.desc("score"), doc_id)
-    return best if k is None else best.limit(k)
+    found = counted.withColumn("_s", stats).withColumn("score", score).drop("_s", "_tf", "_len")
+    if k is not None:
+        # the test comes after the cut: pushed to the scan it would score every text once more
+        return found.orderBy(F.desc("score"), doc_id).limit(k).filter("score > 0")
+    hit = F.explode(F.filter(F.array("score"), lambda s: s > 0)).alias("score")
+    return found.select(*[c for c in found.columns if c != "score"], hit).orderBy(F.desc("score"), doc_id)
 
 
 # -- vectors -----------------------------------------------------------------

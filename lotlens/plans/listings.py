@@ -79,8 +79,7 @@ def materials_of(c: Column | str) -> Column:
 
 
 def stg_facilities(raw: DataFrame) -> DataFrame:
-    named = raw.select(F.col("id").alias("reference_id"), F.explode("facilities").alias("_f"))
-    return named.select("reference_id", x.clean_facility("_f").alias("facility")).filter("facility IS NOT NULL")
+    return raw.select(F.col("id").alias("reference_id"), F.explode(facilities_of("facilities")).alias("facility"))
 
 
 def stg_tags(raw: DataFrame) -> DataFrame:
