@@ -130,8 +130,8 @@ def parse_price(c: Column | str) -> Column:
 
 
 def price_in_millions(text: Column | str) -> Column:
-    t = F.lower(col(text))
-    return F.when(t.contains("miliar"), parse_price(t) * 1000).when(t.contains("juta"), parse_price(t))
+    scaled = lambda t: F.when(t.contains("miliar"), parse_price(t) * 1000).when(t.contains("juta"), parse_price(t))
+    return let(F.lower(col(text)), scaled)
 
 
 def parse_id_date(c: Column | str) -> Column:

@@ -17,6 +17,7 @@ from ..functions import vocab as v
 from ..operators import aggregates as agg
 from ..operators import geo
 from ..operators.joins import lookup
+from ..session import written
 
 
 def unique_listings(raw: DataFrame) -> DataFrame:
@@ -194,7 +195,7 @@ def fact_houses(raw: DataFrame, districts: DataFrame, areas: DataFrame) -> DataF
     rec = _record(raw, districts, {
         "company": x.clean_company("agent.company.name"), "image_urls": F.array_distinct("images"),
     })
-    a = areas.select(*[F.col(c).alias(f"_a_{c}") for c in AREA_NAMES])
+    a = written(areas.select(*[F.col(c).alias(f"_a_{c}") for c in AREA_NAMES]))
     j = rec.join(a, rec["subdistrict"] == a["_a_subdistrict"], "left")
     j = j.select("*", F.explode_outer("image_urls").alias("image_url"))
     return j.select(
@@ -205,14 +206,18 @@ def fact_houses(raw: DataFrame, districts: DataFrame, areas: DataFrame) -> DataF
 
 
 def wide_listings(raw: DataFrame, districts: DataFrame, area_counts: DataFrame) -> DataFrame:
-    """One row per listing with specs, lists and the amenity counts of its subdistrict."""
-    nonempty = lambda c: F.when(F.size(c) > 0, c)
-    one_per_source = agg.distinct_on(districts.select("source", "target"), ["source"])
-    rec = _record(unique_listings(raw), one_per_source, {
+    """One row per listing with specs, lists and the amenity counts of its subdistrict.
+
+    The two lookup tables are written first: with their true size known, Spark
+    broadcasts them when small and the listings stay where they are.
+    """
+    nonempty = lambda c: x.let(c, lambda a: F.when(F.size(a) > 0, a))
+    one_per_source = written(agg.distinct_on(districts.select("source", "target"), ["source"]))
+    rec = _record(unique_listings(raw.filter("price IS NOT NULL")), one_per_source, {
         "tags": nonempty(tags_of("tags")), "facilities": nonempty(facilities_of("facilities")),
         "image_urls": nonempty(F.col("images")),
     })
-    area = agg.distinct_on(area_counts.filter("subdistrict IS NOT NULL"), ["subdistrict"])
+    area = written(agg.distinct_on(area_counts.filter("subdistrict IS NOT NULL"), ["subdistrict"]))
     j = rec.join(area.withColumnRenamed("subdistrict", "_a"), F.col("subdistrict") == F.col("_a"), "left")
     return j.select(
         F.col("reference_id").alias("id"), x.to_idr("price").alias("price"), x.to_idr("installment").alias("installment"),
