@@ -40,14 +40,13 @@ def group_quantiles(
     def bracket(i: int, p: float) -> Column:
         tiny = F.col("_n") <= SMALL
         return F.struct(
-            F.lit(i).alias("i"),
             F.when(tiny | F.lit(p <= MARGIN), F.col("_min")).otherwise(F.col("_edge")[2 * i]).alias("lo"),
             F.when(tiny | F.lit(p >= 1 - MARGIN), F.col("_max")).otherwise(F.col("_edge")[2 * i + 1]).alias("hi"),
         )
 
     brackets = first.filter("_n > 0").select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.struct("_n", F.array(*[bracket(i, p) for i, p in enumerate(ps)]).alias("b")).alias("_b"),
+        F.struct("_n", *[bracket(i, p).alias(f"b{i}") for i, p in enumerate(ps)]).alias("_b"),
     )
     need = rows.filter(F.col("_x").isNotNull()).select(*keys, "_x")
     if keys:
@@ -55,15 +54,20 @@ def group_quantiles(
         joined = need.join(brackets, on)
     else:
         joined = need.withColumn("_b", brackets.select("_b").scalar())
-    # a row says how many brackets start at or below it, and repeats only for brackets holding it
-    b, v = F.col("_b.b"), F.col("_x")
-    started = F.size(F.filter(b, lambda e: e["lo"] <= v))
-    holding = F.filter(b, lambda e: (e["lo"] <= v) & (v <= e["hi"]))
-    said = F.array(F.struct(F.lit(-1).alias("i"), started.alias("j"), F.lit(None).cast("double").alias("v")))
-    held = F.transform(holding, lambda e: F.struct(e["i"].alias("i"), F.lit(-1).alias("j"), v.alias("v")))
+    # a row says how many brackets start at or below it, and appears once in each bracket holding it
+    v = F.col("_x")
+    edge = lambda i, side: F.col(f"_b.b{i}.{side}")
+    started = reduce(lambda a, b: a + b, [(edge(i, "lo") <= v).cast("int") for i in range(len(ps))])
+    said = F.struct(F.lit(-1).alias("i"), started.alias("j"), F.lit(None).cast("double").alias("v"))
+    held = [
+        F.struct(F.when((edge(i, "lo") <= v) & (v <= edge(i, "hi")), F.lit(i)).alias("i"), F.lit(-1).alias("j"), v.alias("v"))
+        for i in range(len(ps))
+    ]
     counted = (
-        joined.select(*keys, F.col("_b._n").alias("_n"), F.explode(F.concat(said, held)).alias("e"))
-        .groupBy(*keys, "_n", "e.i", "e.j", "e.v").agg(F.count(F.lit(1)).alias("c"))
+        joined.select(*keys, F.col("_b._n").alias("_n"), F.explode(F.array(said, *held)).alias("e"))
+        .filter("e.i IS NOT NULL")
+        .groupBy(*keys, "_n", F.col("e.i").alias("i"), F.col("e.j").alias("j"), F.col("e.v").alias("v"))
+        .agg(F.count(F.lit(1)).alias("c"))
     )
     # rows below bracket i are those that started at most i brackets
     targets = F.when(F.col("i") >= 0, F.array("i")).when(

@@ -9,7 +9,7 @@ quality checks say so); `unique_listings` makes them so.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as x
@@ -21,9 +21,10 @@ from ..session import written
 
 
 def unique_listings(raw: DataFrame) -> DataFrame:
-    """One record per id, the latest change first."""
-    by = raw.withColumn("_m", -F.unix_seconds(F.try_to_timestamp("last_modified")))
-    return agg.distinct_on(by, ["id"], ["_m"]).drop("_m")
+    """One record per id, the latest change first (ties by the scalar fields, so lists need not be compared)."""
+    latest = F.desc_nulls_last(F.try_to_timestamp("last_modified"))
+    first = Window.partitionBy("id").orderBy(latest, "scraped_at", "url", "price", "installment", "address", "description")
+    return raw.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
 
 
 # -- staging -----------------------------------------------------------------

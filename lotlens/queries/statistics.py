@@ -7,7 +7,7 @@ from ..functions import text as x
 from ..operators import features, stats
 from ..plans.derived import RAW_CTE, raw_listings
 from ..plans import listings
-from .registry import query, table
+from .registry import query, spread_table, table
 
 
 def r(df, digits, *keep):
@@ -24,7 +24,7 @@ FLAG = "l_extendedprice < q1 - 1.5 * (q3 - q1) OR l_extendedprice > q3 + 1.5 * (
 WITH q AS ({QUART}) SELECT count(*) AS total, count(*) FILTER ({FLAG}) AS outliers,
 round(avg(CASE WHEN {FLAG} THEN 1 ELSE 0 END), 6) AS share FROM lineitem, q""")
 def _(spark, d):
-    return r(stats.outlier_share(stats.iqr_outliers(table(spark, d, "lineitem"), "l_extendedprice")), 6)
+    return r(stats.outlier_share(stats.iqr_outliers(spread_table(spark, d, "lineitem", "l_extendedprice"), "l_extendedprice")), 6)
 
 
 @query("t01b_outliers_removed", f"""
@@ -121,7 +121,7 @@ FROM (SELECT {c} AS v, avg({c}) OVER () AS m FROM lineitem)"""
 
 @query("t07_describe", " UNION ALL ".join(_describe(c) for c in ("l_quantity", "l_extendedprice")))
 def _(spark, d):
-    out = stats.describe_table(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice"])
+    out = stats.describe_table(spread_table(spark, d, "lineitem", "l_quantity", "l_extendedprice"), ["l_quantity", "l_extendedprice"])
     return r(out, 4, "min", "max", "mode")
 
 
@@ -159,7 +159,7 @@ QQ = [i / 10 for i in range(1, 10)]
 @query("t11_qq_points", " UNION ALL ".join(
     f"SELECT {p}::DOUBLE AS p, round(quantile_cont(l_extendedprice, {p}), 4) AS observed FROM lineitem" for p in QQ))
 def _(spark, d):
-    return r(stats.qq_points(table(spark, d, "lineitem"), "l_extendedprice", 9).select("p", "observed"), 4, "p")
+    return r(stats.qq_points(spread_table(spark, d, "lineitem", "l_extendedprice"), "l_extendedprice", 9).select("p", "observed"), 4, "p")
 
 
 # -- M: model rows -----------------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as x
 from ..operators import aggregates as agg
 from ..operators import joins, quality
-from .registry import query, table
+from .registry import query, spread_table, table
 
 
 # -- A: aggregation ----------------------------------------------------------
@@ -73,7 +73,7 @@ SELECT l_returnflag, """ + ", ".join(
     f"count(l_extendedprice) FILTER (l_linestatus = '{s}') AS count_{s.lower()}" for s in "FO") + """
 FROM lineitem GROUP BY l_returnflag""")
 def _(spark, d):
-    out = agg.pivot_stats(table(spark, d, "lineitem"), "l_returnflag", "l_linestatus", "l_extendedprice")
+    out = agg.pivot_stats(spread_table(spark, d, "lineitem", "l_returnflag", "l_linestatus", "l_extendedprice"), "l_returnflag", "l_linestatus", "l_extendedprice")
     return out.select(*[F.round(c, 4).alias(c) if c.startswith("me") else c for c in out.columns])
 
 
@@ -87,12 +87,12 @@ def _rounded(df, names):
 
 @query("a08_group_stats", f"SELECT o_orderpriority, {STATS_SQL} FROM orders GROUP BY 1")
 def _(spark, d):
-    return _rounded(agg.group_stats(table(spark, d, "orders"), ["o_orderpriority"], "o_totalprice"), ["mean", "median", "std"])
+    return _rounded(agg.group_stats(spread_table(spark, d, "orders", "o_orderpriority", "o_totalprice"), ["o_orderpriority"], "o_totalprice"), ["mean", "median", "std"])
 
 
 @query("a08b_group_stats_two_keys", f"SELECT o_orderpriority, o_orderstatus, {STATS_SQL} FROM orders GROUP BY 1, 2")
 def _(spark, d):
-    out = agg.group_stats(table(spark, d, "orders"), ["o_orderpriority", "o_orderstatus"], "o_totalprice")
+    out = agg.group_stats(spread_table(spark, d, "orders", "o_orderpriority", "o_orderstatus", "o_totalprice"), ["o_orderpriority", "o_orderstatus"], "o_totalprice")
     return _rounded(out, ["mean", "median", "std"])
 
 
@@ -143,7 +143,7 @@ SELECT o_orderstatus, min(o_totalprice) AS min, round(quantile_cont(o_totalprice
 round(quantile_cont(o_totalprice, 0.5), 4) AS median, round(quantile_cont(o_totalprice, 0.75), 4) AS q3, max(o_totalprice) AS max
 FROM orders GROUP BY 1""")
 def _(spark, d):
-    return _rounded(agg.five_numbers(table(spark, d, "orders"), ["o_orderstatus"], "o_totalprice"), ["q1", "median", "q3"])
+    return _rounded(agg.five_numbers(spread_table(spark, d, "orders", "o_orderstatus", "o_totalprice"), ["o_orderstatus"], "o_totalprice"), ["q1", "median", "q3"])
 
 
 @query("a15_histogram", """
