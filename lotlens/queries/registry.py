@@ -10,7 +10,7 @@ from ..session import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-MODULES = ["scalar", "tables", "statistics", "marts", "pages", "retrieval"]
+MODULES = ["scalar", "tables", "statistics", "marts", "pages", "retrieval", "model"]
 ORACLE: dict[str, str] = {}
 
 
