@@ -148,7 +148,17 @@ def _(spark, d):
         by_count.select(F.lit("counts").alias("form"), F.round("statistic", 3).alias("statistic"), "dof"))
 
 
-@query("t10_normality")
+@query("t10_normality", """
+WITH m AS (SELECT count(*)::DOUBLE AS n, avg((v - a) ** 3) / avg((v - a) ** 2) ** 1.5 AS g1, avg((v - a) ** 4) / avg((v - a) ** 2) ** 2 AS b2
+  FROM (SELECT l_extendedprice AS v, avg(l_extendedprice) OVER () AS a FROM lineitem)),
+s AS (SELECT *, g1 * sqrt((n + 1) * (n + 3) / (6 * (n - 2))) AS y,
+  3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9)) AS beta2,
+  (b2 - 3 * (n - 1) / (n + 1)) / sqrt(24 * n * (n - 2) * (n - 3) / ((n + 1) ** 2 * (n + 3) * (n + 5))) AS x,
+  6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3))) AS sb FROM m),
+w AS (SELECT *, sqrt(2 * (beta2 - 1)) - 1 AS w2, 6 + 8 / sb * (2 / sb + sqrt(1 + 4 / (sb * sb))) AS a FROM s),
+z AS (SELECT asinh(y / sqrt(2 / (w2 - 1))) / sqrt(ln(w2) / 2) AS zs,
+  (1 - 2 / (9 * a) - sign(1 + x * sqrt(2 / (a - 4))) * cbrt((1 - 2 / a) / abs(1 + x * sqrt(2 / (a - 4))))) / sqrt(2 / (9 * a)) AS zk FROM w)
+SELECT round(zs * zs + zk * zk, 4) AS statistic, round(exp(-(zs * zs + zk * zk) / 2), 4) AS pvalue, exp(-(zs * zs + zk * zk) / 2) > 0.05 AS is_normal FROM z""")
 def _(spark, d):
     return r(stats.normality_test(table(spark, d, "lineitem"), "l_extendedprice"), 4)
 
