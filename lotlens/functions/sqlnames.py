@@ -46,8 +46,11 @@ def company_case(name: str, folded: str, bare: str) -> str:
 
 def _bodies() -> dict[str, str]:
     name = r"trim(BOTH ' \t\n\r\u000B\f' FROM upper(s))"
-    folded = f"replace({name}, 'PROPERTY', 'PROPERTI')"
-    bare = f"trim(regexp_replace({bare_company(folded)}, ' +', ' '))"
+    # a lambda holds each cleaned name, so it is computed once however many rules read it
+    agency = (
+        f"get(transform(array({name}), n -> get(transform(array(replace(n, 'PROPERTY', 'PROPERTI')), f -> get(transform("
+        f"array(trim(regexp_replace({bare_company('f')}, ' +', ' '))), b -> {company_case('n', 'f', 'b')}), 0)), 0)), 0)"
+    )
     return {
         "TITLE_CASE": (
             r"array_join(transform(regexp_extract_all(s, '([\\p{Lu}\\p{Ll}\\p{Lt}]+|[^\\p{Lu}\\p{Ll}\\p{Lt}]+)', 1), "
@@ -59,8 +62,8 @@ def _bodies() -> dict[str, str]:
             "w -> concat(substr(w, 1, 1), repeat('x', length(w) - 1))), ' ') END"
         ),
         "MASK_PHONE": "CASE WHEN length(s) >= 3 THEN concat(repeat('x', length(s) - 3), right(s, 3)) END",
-        "CLEAN_FACILITY": facility_case(name),
-        "CLEAN_AGENCY_COMPANY": company_case(name, folded, bare),
+        "CLEAN_FACILITY": f"get(transform(array({name}), n -> {facility_case('n')}), 0)",
+        "CLEAN_AGENCY_COMPANY": agency,
     }
 
 

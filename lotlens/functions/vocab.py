@@ -241,3 +241,89 @@ MODEL_COLUMNS = [
     "sumber_air", "land_building_ratio", "total_beds", "total_baths",
     "building_area_floor_ratio", "vehicle_accessibility",
 ]
+
+# Listing documents as pieces (condition or None, text); {name} is a field, a missing one is MISSING_TEXT.
+MISSING_TEXT = "None"
+_ANY_MATERIAL = "house_materials IS NOT NULL OR floor_materials IS NOT NULL"
+DOCUMENTS = {
+    "full": [
+        (None, "Dijual rumah dengan harga Rp{price} dan cicilan Rp{installment} beralamat di {subdistrict}, {city}, Indonesia.\n"),
+        (None, "Luas tanah {luas_tanah} meter persegi dengan luas bangunan {luas_bangunan} meter persegi"),
+        ("tahun_dibangun > 0", " dan dibangun pada tahun {tahun_dibangun}"),
+        ("tahun_di_renovasi > 0", " dan terakhir direnovasi pada tahun {tahun_di_renovasi}"),
+        (None, ".\nRumah "),
+        ("kondisi_properti IS NOT NULL", "{kondisi_properti}"),
+        (None, " "),
+        ("hadap IS NOT NULL", "menghadap {hadap}"),
+        (None, " "),
+        ("konsep_dan_gaya_rumah IS NOT NULL", " dengan gaya {konsep_dan_gaya_rumah}"),
+        (None, " "),
+        ("pemandangan IS NOT NULL", "dan pemandangan {pemandangan} "),
+        (None, " ini terdiri atas {lantai} lantai dengan {kamar_tidur} kamar tidur, {kamar_mandi} kamar mandi"),
+        ("kamar_pembantu > 0", ", dan {kamar_pembantu} kamar pembantu"),
+        (None, ".\nSpesifikasi rumah terdapat "),
+        ("carport > 0", "{carport} carport, "),
+        ("lebar_jalan > 0", "jalan muat {lebar_jalan} mobil,"),
+        ("dapur > 0", " {dapur} dapur,"),
+        ("daya_listrik > 0", " listrik {daya_listrik} VA"),
+        (None, ", sumber air {sumber_air}, "),
+        ("sertifikat IS NOT NULL", "bersertifikat {sertifikat}"),
+        (None, ", "),
+        ("ruang_tamu > 0", "ruang tamu"),
+        ("ruang_makan > 0", ", ruang makan"),
+        ("kondisi_perabotan IS NOT NULL", ", dan kondisi perabotan {kondisi_perabotan}"),
+        (None, ".\n"),
+        (_ANY_MATERIAL, "Rumah ini memiliki "),
+        ("house_materials IS NOT NULL", "material bangunan {house_materials}"),
+        (_ANY_MATERIAL, " "),
+        ("house_materials IS NOT NULL AND floor_materials IS NOT NULL", "dan"),
+        ("floor_materials IS NOT NULL", " material lantai {floor_materials}"),
+        (None, ".\nFasilitas lain yang ditawarkan rumah ini adalah "),
+        ("facilities IS NOT NULL", "{facilities},"),
+        ("tags IS NOT NULL", "{tags}"),
+        ("hook > 0", ", hook"),
+        ("terjangkau_internet > 0", ", terjangkau internet"),
+        (None, "."),
+    ],
+    "long": [
+        (None, "Kode rumah: {id}\nDijual rumah dengan harga Rp{price} yang beralamat di {subdistrict}, {city}, Indonesia.\n"),
+        (None, "Luas tanah {luas_tanah} meter persegi dengan luas bangunan {luas_bangunan} meter persegi"),
+        ("tahun_dibangun > 0", " dan dibangun pada tahun {tahun_dibangun}"),
+        (None, ".\nRumah terdiri atas {lantai} lantai dengan {kamar_tidur} kamar tidur, {kamar_mandi} kamar mandi"),
+        ("kamar_pembantu > 0", ", dan {kamar_pembantu} kamar pembantu"),
+        (None, ".\nFasilitas yang tersedia adalah "),
+        ("carport > 0", "{carport} carport, "),
+        ("lebar_jalan > 0", "jalan muat {lebar_jalan} mobil,"),
+        ("dapur > 0", " {dapur} dapur,"),
+        ("daya_listrik > 0", " listrik {daya_listrik} VA"),
+        (None, ".\n\nBahan bangunan: {house_materials}\nFasilitas: {facilities}\nTag: {tags}\n\n"),
+        ("length(description) > 10", "\nDeskripsi tambahan:\n{description}\n"),
+        (None, "\n-----"),
+    ],
+    "lines": [
+        (None, "Harga: Rp{price}\nAlamat: {subdistrict}, {city}, Indonesia\nCarport: {n_carport}\nDapur: {n_dapur}\n"),
+        (None, "Daya listrik: {n_daya_listrik}\nJumlah lantai: {n_jumlah_lantai}\nKamar mandi: {n_kamar_mandi}\n"),
+        (None, "Kamar tidur: {n_kamar_tidur}\nKamar pembantu: {n_kamar_pembantu}\nLebar jalan: {n_lebar_jalan}\n"),
+        (None, "Luas tanah: {n_luas_tanah}\nLuas bangunan: {n_luas_bangunan}\nTahun dibangun: {n_tahun_dibangun}\n"),
+        (None, "Fasilitas: {facilities}\nBahan bangunan: {house_materials}\nTag: {tags}\nDeskripsi: {plain_description}"),
+    ],
+    "short": [
+        (None, "House for sale for Rp{price} located at {subdistrict}, {city}, Indonesia. "),
+        (None, "A house with {luas_tanah} m sq land and {luas_bangunan} m sq building,"),
+        ("tahun_dibangun > 0", " built at {tahun_dibangun}"),
+        ("tahun_di_renovasi > 0", " and last rennovated at {tahun_di_renovasi}"),
+        (None, ". The house is {kondisi_properti}, facing {facing} with {style} style and has {scenery} view. "),
+        (None, "This house includes {lantai} floors with {kamar_tidur} bedrooms, {kamar_mandi} bathrooms"),
+        ("kamar_pembantu > 0", ", and {kamar_pembantu} maid bedrooms"),
+        (None, ", "),
+        ("carport > 0", "{carport} carport, "),
+        ("lebar_jalan > 0", "fit for {lebar_jalan} cars,"),
+        ("dapur > 0", " {dapur} kitchen,"),
+        ("daya_listrik > 0", " grid electricity of {daya_listrik} VA"),
+        ("ruang_tamu > 0", ", water source from {water}, living room"),
+        ("ruang_makan > 0", ", dining room"),
+        (None, ", dan {kondisi_perabotan} furniture"),
+    ],
+}
+# Units after the scalars of the "lines" document.
+SCALAR_UNITS = {"daya_listrik": " watt", "lebar_jalan": " cars", "luas_tanah": " m^2", "luas_bangunan": " m^2"}

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import written
 
-ACCURACY = 10_000           # sketch rank error is 1 / ACCURACY
+ACCURACY = 100_000          # sketch rank error is 1 / ACCURACY
 MARGIN = 10 / ACCURACY      # half width of a bracket, well above that error
 SMALL = 50_000              # groups up to this size are bracketed by their min and max
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,62 +33,47 @@ def style_en(c: Column | str) -> Column:
     return c
 
 
-def _int(c: str) -> Column:
-    return F.col(c).cast("int").cast("string")
-
-
-def _if(cond: Column, *parts: Column | str) -> Column:
-    return F.when(cond, F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])).otherwise(F.lit(""))
-
-
-def _area(c: str) -> Column:
-    """Area without a trailing '.0'; a missing one is named as such."""
-    num = F.when(F.col(c) == F.floor(c), _int(c)).otherwise(F.col(c).cast("string"))
-    return F.coalesce(num, F.lit(v.UNKNOWN_SCALAR))
-
-
-def _listed(c: str) -> Column:
-    return F.coalesce(F.array_join(F.col(c), ", "), F.lit(""))
-
-
-def _join(*parts: Column | str) -> Column:
-    return F.concat_ws("", *[F.lit(p) if isinstance(p, str) else p for p in parts])
+INTS = ["carport", "dapur", "daya_listrik", "jumlah_lantai", "kamar_mandi", "kamar_tidur", "kamar_pembantu", "lebar_jalan",
+        "tahun_dibangun", "tahun_di_renovasi"]
+AREAS = ["luas_tanah", "luas_bangunan"]
+LISTS = ["house_materials", "floor_materials", "facilities", "tags"]
+
+
+def document_fields() -> dict[str, Column]:
+    """Text of every field a document can mention, from the columns of the wide listing row (prices in rupiah)."""
+    c = F.col
+    whole = lambda n: c(n).cast("bigint").cast("string")
+    # areas always show a decimal
+    area = lambda n: F.when(c(n) == F.floor(n), F.concat(whole(n), F.lit(".0"))).otherwise(c(n).cast("string"))
+    said = {n: area(n) for n in AREAS} | {n: whole(n) for n in INTS}
+    scalar = lambda n: F.when(c(n) == 0, F.lit(v.UNKNOWN_SCALAR)).otherwise(F.concat(said[n], F.lit(v.SCALAR_UNITS.get(n, ""))))
+    plain = ["id", "subdistrict", "city", "description", "kondisi_properti", "kondisi_perabotan", "hadap", "pemandangan",
+             "konsep_dan_gaya_rumah", "sumber_air", "sertifikat"]
+    return (
+        said | {f"n_{n}": scalar(n) for n in said} | {n: c(n) for n in plain} | {n: F.array_join(c(n), ", ") for n in LISTS}
+        | {
+            "price": x.rupiah("price"), "installment": x.rupiah("installment"),
+            "lantai": x.num_max("jumlah_lantai", 1).cast("bigint").cast("string"),
+            "facing": x.translate_values("hadap", v.COMPASS), "scenery": x.translate_values("pemandangan", v.VIEWS),
+            "water": x.translate_values("sumber_air", v.WATER_SOURCES), "style": style_en("konsep_dan_gaya_rumah"),
+            "plain_description": x.norm_text("description"),
+        }
+    )
 
 
-def document_long() -> Column:
-    """Indonesian listing document from the columns of the wide listing row (price in rupiah)."""
-    pos = lambda c: F.col(c) > 0
-    return _join(
-        "Kode rumah: ", F.col("id"), "\n",
-        "Dijual rumah dengan harga Rp", x.rupiah("price"), " yang beralamat di ",
-        F.col("subdistrict"), ", ", F.col("city"), ", Indonesia.\n",
-        "Luas tanah ", _area("luas_tanah"), " meter persegi dengan luas bangunan ", _area("luas_bangunan"), " meter persegi",
-        _if(pos("tahun_dibangun"), " dan dibangun pada tahun ", _int("tahun_dibangun")), ".\n",
-        "Rumah terdiri atas ", x.num_max("jumlah_lantai", 1).cast("int").cast("string"), " lantai dengan ",
-        _int("kamar_tidur"), " kamar tidur, ", _int("kamar_mandi"), " kamar mandi",
-        _if(pos("kamar_pembantu"), ", dan ", _int("kamar_pembantu"), " kamar pembantu"), ".\n",
-        "Fasilitas yang tersedia adalah ", _if(pos("carport"), _int("carport"), " carport, "),
-        _if(pos("lebar_jalan"), "jalan muat ", _int("lebar_jalan"), " mobil,"),
-        _if(pos("dapur"), " ", _int("dapur"), " dapur,"),
-        _if(pos("daya_listrik"), " listrik ", _int("daya_listrik"), " VA"), ".\n\n",
-        "Bahan bangunan: ", _listed("house_materials"), "\n",
-        "Fasilitas: ", _listed("facilities"), "\n",
-        "Tag: ", _listed("tags"), "\n",
-        _if(F.length("description") > 10, "\nDeskripsi tambahan:\n", F.col("description"), "\n"),
-    )
+def render_document(name: str = "full") -> Column:
+    """Document of a listing row in one of the forms of `vocab.DOCUMENTS`."""
+    fields = document_fields()
 
+    def text(t: str) -> Column:
+        parts = re.split(r"\{(\w+)\}", t)
+        return F.concat(*[
+            F.coalesce(fields[p], F.lit(v.MISSING_TEXT)) if i % 2 else F.lit(p) for i, p in enumerate(parts) if p
+        ])
 
-def document_short() -> Column:
-    """English one-paragraph form."""
-    said = lambda c, before, after: F.coalesce(F.concat(F.lit(before), c, F.lit(after)), F.lit(""))
-    return _join(
-        "House for sale for Rp", x.rupiah("price"), " located at ", F.col("subdistrict"), ", ", F.col("city"), ", Indonesia.",
-        said(x.translate_values("hadap", v.COMPASS), " Facing ", "."),
-        said(style_en("konsep_dan_gaya_rumah"), " ", " style."),
-        said(x.translate_values("pemandangan", v.VIEWS), " View: ", "."),
-        " This house includes ", x.num_max("jumlah_lantai", 1).cast("int").cast("string"), " floors with ",
-        _int("kamar_tidur"), " bedrooms, ", _int("kamar_mandi"), " bathrooms.",
-    )
+    return F.concat(*[
+        text(t) if cond is None else F.when(F.expr(cond), text(t)).otherwise(F.lit("")) for cond, t in v.DOCUMENTS[name]
+    ])
 
 
 def flatten_messages(history: DataFrame, keys: list[str]) -> DataFrame:

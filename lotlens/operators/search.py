@@ -114,7 +114,7 @@ def query_terms(text: str) -> list[str]:
 
 
 def bm25(docs: DataFrame, query: str, k: int | None = 3, content: str = "content", doc_id: str = "id") -> DataFrame:
-    """Documents holding a query word, best first (ties by id).
+    """Documents holding a query word: the k best in order (ties by id), or all when k is None.
 
     Term counts are taken inside each row and the collection statistics are one
     small aggregate used as a scalar, so nothing but the k best rows moves.
@@ -142,7 +142,7 @@ def bm25(docs: DataFrame, query: str, k: int | None = 3, content: str = "content
         # the test comes after the cut: pushed to the scan it would score every text once more
         return found.orderBy(F.desc("score"), doc_id).limit(k).filter("score > 0")
     hit = F.explode(F.filter(F.array("score"), lambda s: s > 0)).alias("score")
-    return found.select(*[c for c in found.columns if c != "score"], hit).orderBy(F.desc("score"), doc_id)
+    return found.select(*[c for c in found.columns if c != "score"], hit)
 
 
 # -- vectors -----------------------------------------------------------------

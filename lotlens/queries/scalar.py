@@ -1,11 +1,14 @@
 """Scalar functions over whole tables."""
 
+import re
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import sqlnames, text as x, vocab as v
 from ..operators import render
 from ..plans.derived import RAW_CTE, flat_listings
+from ..plans.listings import materials_of
 from .registry import query, spread_table, table
 
 
@@ -385,56 +388,64 @@ def _(spark, d):
     )
 
 
-@query("p34_render_document", RAW_CTE + f""", n AS (
-SELECT id, price * 1000000 AS price, installment * 1000000 AS installment,
-       string_split(address, ', ')[1] AS subdistrict, string_split(address, ', ')[2] AS city, description,
-       TRY_CAST(rtrim(luas_tanah, ' m²') AS INT) AS lt, TRY_CAST(rtrim(luas_bangunan, ' m²') AS INT) AS lb,
-       coalesce(TRY_CAST(tahun_dibangun AS INT), 0) AS tb, coalesce(TRY_CAST(jumlah_lantai AS INT), 1) AS jl,
-       coalesce(TRY_CAST(kamar_tidur AS INT), 1) AS kt, coalesce(TRY_CAST(kamar_mandi AS INT), 1) AS km,
-       coalesce(TRY_CAST(kamar_pembantu AS INT), 0) AS kp, coalesce(TRY_CAST(carport AS INT), 0) AS cp,
-       coalesce(TRY_CAST(rtrim(lebar_jalan, ' Mobil') AS INT), 0) AS lj, coalesce(TRY_CAST(dapur AS INT), 1) AS dp,
-       TRY_CAST(replace(rtrim(lower(daya_listrik), 'watt'), 'lainnya', '0') AS INT) AS dl,
-       list_filter(facilities, lambda f: f IS NOT NULL) AS facilities, list_filter(tags, lambda t: t IS NOT NULL) AS tags,
-       material_bangunan FROM raw WHERE price IS NOT NULL)
-SELECT id, concat('Kode rumah: ', id, chr(10),
-  'Dijual rumah dengan harga Rp', replace(format('{{:,.0f}}', price), ',', '.'), ' yang beralamat di ', subdistrict, ', ', city, ', Indonesia.', chr(10),
-  'Luas tanah ', coalesce(CAST(lt AS VARCHAR), 'tidak disebutkan'), ' meter persegi dengan luas bangunan ', coalesce(CAST(lb AS VARCHAR), 'tidak disebutkan'), ' meter persegi',
-  CASE WHEN tb > 0 THEN ' dan dibangun pada tahun ' || tb ELSE '' END, '.', chr(10),
-  'Rumah terdiri atas ', greatest(jl, 1), ' lantai dengan ', kt, ' kamar tidur, ', km, ' kamar mandi',
-  CASE WHEN kp > 0 THEN ', dan ' || kp || ' kamar pembantu' ELSE '' END, '.', chr(10),
-  'Fasilitas yang tersedia adalah ', CASE WHEN cp > 0 THEN cp || ' carport, ' ELSE '' END,
-  CASE WHEN lj > 0 THEN 'jalan muat ' || lj || ' mobil,' ELSE '' END, CASE WHEN dp > 0 THEN ' ' || dp || ' dapur,' ELSE '' END,
-  CASE WHEN dl > 0 THEN ' listrik ' || dl || ' VA' ELSE '' END, '.', chr(10), chr(10),
-  'Bahan bangunan: ', coalesce(material_bangunan, ''), chr(10),
-  'Fasilitas: ', coalesce(array_to_string(facilities, ', '), ''), chr(10),
-  'Tag: ', coalesce(array_to_string(tags, ', '), ''), chr(10),
-  CASE WHEN length(description) > 10 THEN chr(10) || 'Deskripsi tambahan:' || chr(10) || description || chr(10) ELSE '' END) AS document FROM n""")
-def _(spark, d):
+DOC_CTE = RAW_CTE + f""", doc AS (SELECT id, price * 1000000 AS price, installment * 1000000 AS installment,
+  string_split(address, ', ')[1] AS subdistrict, string_split(address, ', ')[2] AS city, coalesce(description, '') AS description,
+  TRY_CAST(rtrim(luas_tanah, ' m²') AS INT) AS luas_tanah, TRY_CAST(rtrim(luas_bangunan, ' m²') AS INT) AS luas_bangunan,
+  coalesce(TRY_CAST(rtrim(lebar_jalan, ' Mobil') AS INT), 0) AS lebar_jalan,
+  TRY_CAST(replace(rtrim(lower(daya_listrik), 'watt'), 'lainnya', '0') AS INT) AS daya_listrik,
+  {", ".join(f"coalesce(TRY_CAST({c} AS INT), {v.SPEC_DEFAULTS[c]}) AS {c}" for c in v.SPEC_INT_KEYS)},
+  {", ".join(f"coalesce(CAST({c} = 'Ya' AS INT), {n}) AS {c}" for c, n in v.FLAG_DEFAULTS.items())},
+  {_condition_sql("kondisi_properti")} AS kondisi_properti, {_condition_sql("kondisi_perabotan")} AS kondisi_perabotan,
+  hadap, pemandangan, konsep_dan_gaya_rumah, sumber_air,
+  CASE WHEN sertifikat ILIKE '%ppjb%' OR sertifikat ILIKE '%lainnya%' THEN 'Lainnya' ELSE sertifikat END AS sertifikat,
+  list_transform(string_split(lower(material_bangunan), ','), lambda m: replace(trim(m), ' ', '_')) AS house_materials,
+  list_transform(string_split(lower(material_lantai), ','), lambda m: replace(trim(m), ' ', '_')) AS floor_materials,
+  CASE WHEN len(list_filter(tags, lambda t: t IS NOT NULL)) > 0 THEN list_filter(tags, lambda t: t IS NOT NULL) END AS tags,
+  facilities FROM raw WHERE price IS NOT NULL)"""
+
+
+def _document_sql(name: str) -> str:
+    """The document as SQL: every piece with its fields in place."""
+    money = lambda c: f"replace(format('{{:,.0f}}', {c}), ',', '.')"
+    said = {c: f"CAST({c} AS VARCHAR)" for c in render.INTS} | {c: f"CAST({c} AS VARCHAR) || '.0'" for c in render.AREAS}
+    fields = said | {
+        f"n_{c}": f"CASE WHEN {c} = 0 THEN 'tidak disebutkan' ELSE {e} || '{v.SCALAR_UNITS.get(c, '')}' END" for c, e in said.items()
+    } | {c: f"array_to_string({c}, ', ')" for c in render.LISTS} | {
+        "price": money("price"), "installment": money("installment"), "lantai": "CAST(greatest(jumlah_lantai, 1) AS VARCHAR)",
+        "facing": _map_sql("hadap", v.COMPASS), "scenery": _map_sql("pemandangan", v.VIEWS),
+        "water": _map_sql("sumber_air", v.WATER_SOURCES), "style": "replace(konsep_dan_gaya_rumah, 'Minimalis', 'Minimalist')",
+        "plain_description": NORM_TEXT_SQL.format("description"),
+    }
+    pieces = []
+    for cond, text in v.DOCUMENTS[name]:
+        parts = re.split(r"\{(\w+)\}", text)
+        one = "concat(" + ", ".join(
+            f"coalesce({fields.get(p, p)}, 'None')" if i % 2 else _q(p) for i, p in enumerate(parts) if p) + ")"
+        pieces.append(one if cond is None else f"CASE WHEN {cond} THEN {one} ELSE '' END")
+    return DOC_CTE + " SELECT id, concat(" + ", ".join(pieces) + ") AS document FROM doc"
+
+
+def document_rows(spark, d):
+    """Rows with the columns of the wide listing; tags and facilities as written."""
     sub, city = x.split_address("address")
-    ints = [x.try_int(c).alias(c) for c in v.SPEC_INT_KEYS]
-    rows = flat_listings(spark, d).filter("price IS NOT NULL").select(
-        "id", x.to_idr("price").alias("price"), sub.alias("subdistrict"), city.alias("city"), "description", *ints,
-        x.num_suffix("luas_tanah", " m²").alias("luas_tanah"), x.num_suffix("luas_bangunan", " m²").alias("luas_bangunan"),
-        x.num_suffix("lebar_jalan", " Mobil").alias("lebar_jalan"), x.parse_watt("daya_listrik").alias("daya_listrik"),
-        "facilities", "tags", F.array("material_bangunan").alias("house_materials"),
+    known = F.filter("tags", lambda t: t.isNotNull())
+    return flat_listings(spark, d).filter("price IS NOT NULL").select(
+        "id", x.to_idr("price").alias("price"), x.to_idr("installment").alias("installment"), sub.alias("subdistrict"),
+        city.alias("city"), F.coalesce("description", F.lit("")).alias("description"),
+        *[x.num_suffix(c, s).alias(c) for c, s in v.SPEC_AREA_KEYS.items()], x.parse_watt("daya_listrik").alias("daya_listrik"),
+        *[x.try_int(c).alias(c) for c in v.SPEC_INT_KEYS], *[x.flag_or(x.is_yes(c), n).alias(c) for c, n in v.FLAG_DEFAULTS.items()],
+        *[x.normalize_condition(c).alias(c) for c in ("kondisi_properti", "kondisi_perabotan")],
+        "hadap", "pemandangan", "konsep_dan_gaya_rumah", "sumber_air", x.normalize_certificate("sertifikat").alias("sertifikat"),
+        materials_of("material_bangunan").alias("house_materials"), materials_of("material_lantai").alias("floor_materials"),
+        F.when(F.size(known) > 0, known).alias("tags"), "facilities",
     ).fillna(v.SPEC_DEFAULTS)
-    return rows.select("id", render.document_long().alias("document"))
 
 
-@query("p34b_render_short", RAW_CTE + f""", n AS (
-SELECT id, price * 1000000 AS price, string_split(address, ', ')[1] AS subdistrict, string_split(address, ', ')[2] AS city,
-       coalesce(TRY_CAST(kamar_tidur AS INT), 1) AS kt, coalesce(TRY_CAST(kamar_mandi AS INT), 1) AS km,
-       coalesce(TRY_CAST(jumlah_lantai AS INT), 1) AS jl, {_map_sql('hadap', v.COMPASS)} AS facing,
-       replace(konsep_dan_gaya_rumah, 'Minimalis', 'Minimalist') AS style, {_map_sql('pemandangan', v.VIEWS)} AS scenery
-FROM raw WHERE price IS NOT NULL)
-SELECT id, concat('House for sale for Rp', replace(format('{{:,.0f}}', price), ',', '.'), ' located at ', subdistrict, ', ', city, ', Indonesia.',
-  CASE WHEN facing IS NOT NULL THEN ' Facing ' || facing || '.' ELSE '' END, CASE WHEN style IS NOT NULL THEN ' ' || style || ' style.' ELSE '' END,
-  CASE WHEN scenery IS NOT NULL THEN ' View: ' || scenery || '.' ELSE '' END,
-  ' This house includes ', greatest(jl, 1), ' floors with ', kt, ' bedrooms, ', km, ' bathrooms.') AS document FROM n""")
-def _(spark, d):
-    sub, city = x.split_address("address")
-    rows = flat_listings(spark, d).filter("price IS NOT NULL").select(
-        "id", x.to_idr("price").alias("price"), sub.alias("subdistrict"), city.alias("city"),
-        *[x.try_int(c).alias(c) for c in v.SPEC_INT_KEYS], "hadap", "konsep_dan_gaya_rumah", "pemandangan",
-    ).fillna({c: v.SPEC_DEFAULTS[c] for c in v.SPEC_INT_KEYS})
-    return rows.select("id", render.document_short().alias("document"))
+def _document_query(name: str):
+    @query(f"p34_render_{name}", _document_sql(name))
+    def _(spark, d):
+        return document_rows(spark, d).select("id", render.render_document(name).alias("document"))
+
+
+for _name in v.DOCUMENTS:
+    _document_query(_name)

@@ -28,16 +28,20 @@ def build_session(app: str = "lotlens", cores: str = "*", **conf: str) -> SparkS
     return spark
 
 
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor sees, as the cluster names it in spark.checkpoint.dir.
 
-    Only where neither the cluster nor an earlier call has set one (a local
-    test) is a fresh temporary folder used.
+    Only where that is unset (a local test) a fresh temporary folder is used.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        named = tempfile.mkdtemp(prefix="lotlens-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_FOLDERS:
+            _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="lotlens-")
+        named = _OWN_FOLDERS[app]
     return named
 
 

@@ -13,18 +13,20 @@ from ..sources.writers import insert_new
 
 def ingest_stream(
     spark: SparkSession, feed: str, target: str, checkpoint: str, schema: str = LISTING_SCHEMA, key: str = "id",
-    event_time: str = "scraped_at", delay: str = "1 day", clean: Callable[[DataFrame], DataFrame] | None = None,
+    delay: str = "1 day", clean: Callable[[DataFrame], DataFrame] | None = None,
     max_files: int | None = None,
 ) -> None:
     """Read all JSON-lines files that arrived, drop repeats of a key, append keys not yet in the target.
 
-    Repeats within the watermark are dropped by streaming state; older ones by
-    the insert-if-absent rule, which also makes a replayed batch harmless.
+    Repeats that arrive within `delay` of each other are dropped by streaming
+    state; later ones by the insert-if-absent rule, which also makes a replayed
+    batch harmless.  The watermark runs on arrival time, so a listing with an old
+    date is never taken for late data.
     """
     reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = reader.json(feed).withColumn("_at", F.to_timestamp(event_time))
+    rows = reader.json(feed).withColumn("_at", F.current_timestamp())
     fresh = rows.withWatermark("_at", delay).dropDuplicatesWithinWatermark([key]).drop("_at")
     if clean is not None:
         fresh = clean(fresh)

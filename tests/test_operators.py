@@ -18,6 +18,8 @@ from lotlens.operators import extract, features, joins, pricing, quantiles, sear
 def test_quantiles_exact_with_a_hot_group(spark, monkeypatch, small):
     """With SMALL = 0 every group takes the bracket path of large groups."""
     monkeypatch.setattr(quantiles, "SMALL", small)
+    monkeypatch.setattr(quantiles, "ACCURACY", 10_000)
+    monkeypatch.setattr(quantiles, "MARGIN", 10 / 10_000)
     rng = np.random.default_rng(3)
     groups = {"hot": rng.normal(size=40_000).round(3), "flat": np.repeat(2.0, 9_000), "wide": np.exp(rng.normal(size=12_000) * 5)}
     data = [(k, float(x)) for k, xs in groups.items() for x in xs] + [("hot", None), (None, 1.0), (None, 4.0)] * (1 if small else 0)
@@ -205,7 +207,7 @@ def test_request_guards_and_rejects(spark, model_table):
         "rid int, subdistrict string, land_area double, building_area double, num_bedrooms int, num_bathrooms int, num_floors int, year_built int, electricity_rate double")
     f = pricing.request_features(req).first()
     assert f.land_building_ratio == 100.0 and f.building_area_floor_ratio == 0.0
-    rows = pricing.request_features(req).select(*pricing.SCORE_FEATURES).crossJoin(spark.createDataFrame([(1.0,), (2.0,)], "price double"))
+    rows = pricing.request_features(req).select(*pricing.SCORE_FEATURES).withColumn("price", F.col("luas_bangunan") + 1)
     model = pricing.fit_price_model(rows, maxIter=1, maxDepth=1)
     scored, rejected = pricing.predict_prices(model, req, model_table)
     assert [r.rid for r in scored.collect()] == [1] and [r.rid for r in rejected.collect()] == [2]

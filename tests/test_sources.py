@@ -113,11 +113,11 @@ def test_feed(spark, tmp_path):
     again = LISTING | {"price": 1.0}
     write(tmp_path / "feed" / "1.json", "\n".join(map(json.dumps, [LISTING, LISTING, LISTING | {"id": "hos2"}])))
     ingest_stream(spark, feed, target, ck)
-    write(tmp_path / "feed" / "2.json", "\n".join(map(json.dumps, [again, LISTING | {"id": "hos3"}])))
+    write(tmp_path / "feed" / "2.json", "\n".join(map(json.dumps, [again, LISTING | {"id": "hos3"}, LISTING | {"id": "old", "scraped_at": "2001-01-01T00:00:00"}])))
     ingest_stream(spark, feed, target, ck)
     got = {r.id: r.price for r in spark.read.schema(readers.LISTING_SCHEMA).parquet(target).collect()}
-    assert got == {"hos1": 850.0, "hos2": 850.0, "hos3": 850.0}
-    assert spark.read.parquet(target).count() == 3
+    assert got == {"hos1": 850.0, "hos2": 850.0, "hos3": 850.0, "old": 850.0}
+    assert spark.read.parquet(target).count() == 4
 
 
 def test_star_schema(spark, tmp_path, area_file):
