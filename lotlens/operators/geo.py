@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import col
+from ..functions.text import col, let
 
 XY = "struct<x:double,y:double>"
 POLYGONS = f"array<array<array<{XY}>>>"
@@ -84,11 +84,15 @@ def bbox(polygons: Column) -> Column:
     )
 
 
-def contains(geom: Column | str, p: Column | str) -> Column:
+def edges_of(geom: Column | str) -> Column:
+    """All edges of all rings of a polygon geometry."""
+    return F.flatten(F.transform(F.flatten(col(geom)["polygons"]), _edges))
+
+
+def inside(edges: Column | str, p: Column | str) -> Column:
     """Point strictly inside (even-odd over all rings, so holes count); the boundary is outside."""
-    polygons, p = col(geom)["polygons"], col(p)
+    p = col(p)
     px, py = p["x"], p["y"]
-    edges = F.flatten(F.transform(F.flatten(polygons), _edges))
 
     def step(acc, e):
         a, b = e["a"], e["b"]
@@ -101,37 +105,45 @@ def contains(geom: Column | str, p: Column | str) -> Column:
         )
         return [acc[0] != (spans & F.coalesce(px < cut, F.lit(False))), acc[1] | on_edge]
 
-    s = _fold(edges, [F.lit(False), F.lit(False)], step)
-    return s["s0"] & ~s["s1"]
+    return let(_fold(col(edges), [F.lit(False), F.lit(False)], step), lambda s: s["s0"] & ~s["s1"])
 
 
-def spatial_join(points: DataFrame, areas: DataFrame, at: str, geom: str, cells: int = 256) -> DataFrame:
+def contains(geom: Column | str, p: Column | str) -> Column:
+    return inside(edges_of(geom), p)
+
+
+MAX_CELLS = 1024  # per axis
+
+
+def spatial_join(points: DataFrame, areas: DataFrame, at: str, geom: str) -> DataFrame:
     """Left join of points to the areas containing them; a point in two areas appears twice.
 
-    The plane is cut into `cells` x `cells` squares over the areas' extent.  A
-    point has one cell, an area one row per cell its box touches, so the join
-    is an equi join on the cell (broadcast when the areas are small, split by
-    skew handling when a cell is crowded) with the exact test as residual.
+    A grid over the areas' extent has cells about as large as an average area,
+    so an area touches a few cells.  A point has one cell, an area one row per
+    cell of its box: the join is an equi join on the cell (broadcast when the
+    areas are small, split by skew handling when a cell is crowded) with box and
+    exact test as residual.
     """
     boxed = areas.withColumn("_box", bbox(F.col(f"{geom}.polygons")))
-    ends = boxed.agg(
-        F.min("_box.x0").alias("x0"), F.min("_box.y0").alias("y0"), F.max("_box.x1").alias("x1"), F.max("_box.y1").alias("y1")
-    )
-    ext = ends.select(F.struct("x0", "y0", "x1", "y1")).scalar()
-    cell = lambda value, lo, hi: F.floor((value - lo) / F.nullif(hi - lo, F.lit(0.0)) * cells)
-    cx = lambda value, e: F.coalesce(cell(value, e["x0"], e["x1"]), F.lit(0))
-    cy = lambda value, e: F.coalesce(cell(value, e["y0"], e["y1"]), F.lit(0))
-    a = boxed.withColumn("_e", ext)
-    a = a.select("*", F.explode(F.sequence(cx(F.col("_box.x0"), F.col("_e")), cx(F.col("_box.x1"), F.col("_e")))).alias("_cx"))
-    a = a.select("*", F.explode(F.sequence(cy(F.col("_box.y0"), F.col("_e")), cy(F.col("_box.y1"), F.col("_e")))).alias("_cy"))
+    steps = lambda a, b: F.least(F.lit(MAX_CELLS), F.greatest(F.lit(1), F.ceil(
+        (F.max(f"_box.{b}") - F.min(f"_box.{a}")) / F.nullif(F.avg(F.col(f"_box.{b}") - F.col(f"_box.{a}")), F.lit(0.0)))))
+    grid = boxed.select(F.struct(
+        F.min("_box.x0").alias("x0"), F.min("_box.y0").alias("y0"), F.max("_box.x1").alias("x1"), F.max("_box.y1").alias("y1"),
+        steps("x0", "x1").alias("nx"), steps("y0", "y1").alias("ny"),
+    )).scalar()
+
+    def cell(value: Column, axis: str) -> Column:
+        lo, hi = F.col(f"_g.{axis}0"), F.col(f"_g.{axis}1")
+        return F.coalesce(F.floor((value - lo) / F.nullif(hi - lo, F.lit(0.0)) * F.col(f"_g.n{axis}")), F.lit(0))
+
+    touched = lambda axis: F.explode(F.sequence(cell(F.col(f"_box.{axis}0"), axis), cell(F.col(f"_box.{axis}1"), axis)))
     renamed = {c: f"_a_{c}" for c in areas.columns if c in points.columns}
-    a = a.drop("_box", "_e").withColumnsRenamed(renamed)
-    g = renamed.get(geom, geom)
-    p = points.withColumn("_e", ext)
-    p = p.withColumns({
-        "_px": F.when(F.col(f"{at}.x").isNotNull(), cx(F.col(f"{at}.x"), F.col("_e"))),
-        "_py": F.when(F.col(f"{at}.y").isNotNull(), cy(F.col(f"{at}.y"), F.col("_e"))),
-    }).drop("_e")
-    inside = contains(g, at)
-    on = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & inside
-    return p.join(a, on, "left").drop("_px", "_py", "_cx", "_cy")
+    a = boxed.withColumns({"_g": grid, "_edges": edges_of(geom)})
+    a = a.select("*", touched("x").alias("_cx")).select("*", touched("y").alias("_cy")).drop("_g").withColumnsRenamed(renamed)
+    x, y = F.col(f"{at}.x"), F.col(f"{at}.y")
+    p = points.withColumn("_g", grid).withColumns({
+        "_px": F.when(x.isNotNull(), cell(x, "x")), "_py": F.when(y.isNotNull(), cell(y, "y")),
+    }).drop("_g")
+    in_box = (x >= F.col("_box.x0")) & (x <= F.col("_box.x1")) & (y >= F.col("_box.y0")) & (y <= F.col("_box.y1"))
+    on = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & in_box & inside("_edges", at)
+    return p.join(a, on, "left").drop("_px", "_py", "_cx", "_cy", "_box", "_edges")

@@ -45,7 +45,9 @@ def columns_of(df: DataFrame, target: str = "price", skip: tuple[str, ...] = ())
 def price_pipeline(df: DataFrame, target: str = "price", skip: tuple[str, ...] = (), **params) -> Pipeline:
     """Indexed categories and numbers into gradient-boosted trees."""
     cats, nums = columns_of(df, target, skip)
-    params = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "seed": 22, "maxBins": 256} | params
+    # trees need a bin per category, plus one for unknown ones
+    most = max(df.agg(*[F.count_distinct(c) for c in cats]).first()) if cats else 0
+    params = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "seed": 22, "maxBins": max(256, most + 2)} | params
     return Pipeline(stages=[
         StringIndexer(inputCols=cats, outputCols=[f"{c}_ix" for c in cats], handleInvalid="keep", stringOrderType="alphabetAsc"),
         VectorAssembler(inputCols=[*[f"{c}_ix" for c in cats], *nums], outputCol="features", handleInvalid="keep"),

@@ -307,7 +307,14 @@ def _(spark, d):
     return spark.read.parquet(path)
 
 
-@query("s07_export_geojson")
+def _ring_text(pts) -> str:
+    return "'[' || " + " || ',' || ".join(
+        f"'[' || CAST(ox + {a} AS VARCHAR) || ',' || CAST(oy + {b} AS VARCHAR) || ']'" for a, b in pts) + " || ']'"
+
+
+@query("s07_export_geojson", f"""WITH {AREA_CTE} SELECT '{{"type":"Feature","bbox":[' || CAST(ox AS VARCHAR) || ',' || CAST(oy AS VARCHAR) || ',' || CAST(ox + 12 AS VARCHAR) || ','
+|| CAST(oy + 9 AS VARCHAR) || '],"properties":{{"subdistrict":"' || subdistrict || '","district":"' || district || '"}},"geometry":{{"type":"Polygon","coordinates":['
+|| {_ring_text(OUTER)} || ',' || {_ring_text(HOLE)} || ']}}}}' AS value FROM area""")
 def _(spark, d):
     path = _feature(spark, areas(spark, d), ["subdistrict", "district"])
     return spark.read.text(path)

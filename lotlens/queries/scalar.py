@@ -374,7 +374,7 @@ def _(spark, d):
     return c.filter(x.too_long("text", 500)).select("conv_id", "turn", F.length("text").cast("long").alias("n"))
 
 
-@query("f1_sql_functions", RAW_CTE + f""", f AS (SELECT id, agent_name, agent_phone, company_name AS company, facilities[1] AS fac FROM raw),
+@query("f01_sql_functions", RAW_CTE + f""", f AS (SELECT id, agent_name, agent_phone, company_name AS company, facilities[1] AS fac FROM raw),
 c AS (SELECT *, upper({STRIP.format('fac')}) AS fname FROM f), {COMPANY_STEPS}
 SELECT id, {TITLE.format('agent_name')} AS title, {MASK.format('agent_name')} AS agent,
        CASE WHEN length(agent_phone) >= 3 THEN repeat('x', length(agent_phone) - 3) || right(agent_phone, 3) END AS phone,

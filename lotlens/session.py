@@ -18,6 +18,7 @@ def build_session(app: str = "lotlens", cores: str = "*", **conf: str) -> SparkS
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # wide projections: methods the JIT would refuse are generated per expression instead
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )

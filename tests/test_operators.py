@@ -207,7 +207,7 @@ def test_request_guards_and_rejects(spark, model_table):
         "rid int, subdistrict string, land_area double, building_area double, num_bedrooms int, num_bathrooms int, num_floors int, year_built int, electricity_rate double")
     f = pricing.request_features(req).first()
     assert f.land_building_ratio == 100.0 and f.building_area_floor_ratio == 0.0
-    rows = pricing.request_features(req).select(*pricing.SCORE_FEATURES).withColumn("price", F.col("luas_bangunan") + 1)
+    rows = pricing.request_features(req).select(*pricing.SCORE_FEATURES).withColumn("price", F.explode(F.array(*[F.lit(float(i)) for i in range(20)])))
     model = pricing.fit_price_model(rows, maxIter=1, maxDepth=1)
     scored, rejected = pricing.predict_prices(model, req, model_table)
     assert [r.rid for r in scored.collect()] == [1] and [r.rid for r in rejected.collect()] == [2]
