@@ -20,7 +20,10 @@ DATE = r"([0-9]{1,2}) (\w+) ([0-9]{4})"
 
 @dataclass(frozen=True)
 class Rules:
-    """Patterns (group 1 is the wanted text) and marker words of one page layout."""
+    """Patterns (group 1 is the wanted text) and marker words of one page layout.
+
+    The defaults are fixed values: addresses, class names and words of the listing site.
+    """
 
     detail_has: str = "/properti/"
     detail_not: str = "/perumahan-baru"

@@ -22,6 +22,7 @@ from .joins import related, with_any
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Suffix of description rows, prefix of embedded texts, term saturation and length weight.
 CHILD = "-desc"
 PREFIX = "search_document: "
 K1, B = 1.2, 0.75
