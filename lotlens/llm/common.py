@@ -7,20 +7,20 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import shared_folder
 
-__all__ = ["table", "written", "text_rows", "fold_of", "map_rows", "star_roots", "sigmoid"]
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, *buckets: str) -> DataFrame:
+def written(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -37,14 +37,45 @@ def fold_of(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4
 
 
+def labelled(docs: DataFrame, labels: DataFrame, column: str, rows: int) -> DataFrame:
+    """doc_id, text, y of at most `rows` labelled ids outside the held-out fold, those of the smallest id hashes.
+
+    Labels other than 0 and 1 are ignored; of several labels of an id the largest counts.
+    """
+    y = F.col(column).cast("int")
+    known = labels.filter(y.isin(0, 1) & (fold_of(F.col("doc_id")) != 2)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(y).alias("y"))
+    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return text_rows(docs).join(F.broadcast(known), "doc_id")  # `rows` rows of two numbers
+
+
 def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """One frame in, one frame out, per Arrow batch."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One frame in, one frame out, per Arrow batch; whole numbers stay exact where some are null."""
+    made = T._parse_datatype_string(schema)
+
+    def frame(batch: pa.RecordBatch) -> pd.DataFrame:
+        def column(c: pa.Array) -> pd.Series:
+            if pa.types.is_integer(c.type) and c.null_count:
+                return c.to_pandas(types_mapper=lambda _: pd.Int64Dtype())
+            return c.to_pandas()
+
+        return pd.DataFrame({n: column(c) for n, c in zip(batch.schema.names, batch.columns)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(made)
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_pandas(fn(frame(batch)), schema=arrow, preserve_index=False)
+
+    return df.mapInArrow(run, made)
+
+
+def filter_rows(df: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """The rows for which keep is true, all columns untouched."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                yield fn(batch)
+            yield batch.filter(pa.array(keep(batch), pa.bool_()))
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, df.schema)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
