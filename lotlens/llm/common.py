@@ -64,7 +64,7 @@ def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema:
         arrow = to_arrow_schema(made)
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_pandas(fn(frame(batch)), schema=arrow, preserve_index=False)
+                yield from pa.Table.from_pandas(fn(frame(batch)), schema=arrow, preserve_index=False).to_batches()
 
     return df.mapInArrow(run, made)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, packing, pii, quality, repeats, simhash, toxicity, urls
+from . import ann, chat, decontaminate, packing, pii, quality, repeats, simhash, toxicity, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,30 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.maximal(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op1_chat"] = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+         count(*) OVER (PARTITION BY conv_id) AS turns FROM conversations
+), p AS (
+  SELECT *, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS segment,
+         md5(string_agg(length(role) || ':' || role || length(text) || ':' || text, ';') OVER (PARTITION BY conv_id ORDER BY place)) AS prefix FROM t
+), firsts AS (
+  SELECT prefix, min(conv_id) AS conv_id FROM p WHERE place = turns GROUP BY prefix
+), kept AS (
+  SELECT conv_id FROM firsts WHERE prefix NOT IN (SELECT prefix FROM p WHERE place < turns)
+)
+SELECT conv_id, place - 1 AS turn_no, role, segment,
+       CAST(sum(length(segment)) OVER (PARTITION BY conv_id ORDER BY place) - length(segment) AS BIGINT) AS "offset"
+FROM p WHERE conv_id IN (SELECT conv_id FROM kept)
+"""
+
+
 @query
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -69,7 +93,7 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.
 
 @query
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    rules = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, URL_RULES)) + " AS t(host, path, verdict)")
     return urls.judge(table(spark, sf_dir, "pages"), rules)
 
 
