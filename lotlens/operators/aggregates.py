@@ -11,8 +11,6 @@ from ..functions import text as x
 from ..session import written
 from .quantiles import group_quantiles
 
-MAX_PIVOT_VALUES = 2000
-
 
 # -- summaries ---------------------------------------------------------------
 
@@ -118,43 +116,38 @@ def share_of_total(df: DataFrame, value: str, name: str) -> DataFrame:
 
 # -- pivots ------------------------------------------------------------------
 
-def pivot_values(df: DataFrame, column: str) -> list:
-    """Distinct values that become columns; refuses more than a table can hold."""
-    found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(MAX_PIVOT_VALUES + 1).collect()
-    if len(found) > MAX_PIVOT_VALUES:
-        raise ValueError(f"{column} has over {MAX_PIVOT_VALUES} values, too many for columns")
-    return sorted(r[0] for r in found)
+def pivot_long(df: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, column, count): the pivot of any number of values, one row per value that a key has."""
+    return df.filter(F.col(column).isNotNull()).groupBy(key, column).agg(F.count(F.lit(1)).alias("count"))
 
 
 def _name(prefix: str, value: object) -> str:
     return prefix + str(value).lower().replace(" ", "_")
 
 
-def pivot_flags(df: DataFrame, key: str, column: str, prefix: str = "", values: list | None = None) -> DataFrame:
-    """One row per key, one 0/1 column per value."""
-    values = pivot_values(df, column) if values is None else values
+def pivot_flags(df: DataFrame, key: str, column: str, values: list, prefix: str = "") -> DataFrame:
+    """One row per key, one 0/1 column per named value."""
     return df.groupBy(key).agg(
         *[F.max(F.when(F.col(column) == F.lit(val), 1).otherwise(0)).alias(_name(prefix, val)) for val in values]
     )
 
 
-def pivot_counts(df: DataFrame, key: str, column: str, prefix: str = "", values: list | None = None) -> DataFrame:
-    values = pivot_values(df, column) if values is None else values
+def pivot_counts(df: DataFrame, key: str, column: str, values: list, prefix: str = "") -> DataFrame:
+    """One row per key, one count per named value."""
     return df.groupBy(key).agg(
         *[F.sum(F.when(F.col(column) == F.lit(val), 1).otherwise(0)).alias(_name(prefix, val)) for val in values]
     )
 
 
-def crosstab_join(base: DataFrame, base_key: str, long: DataFrame, long_key: str, column: str, prefix: str) -> DataFrame:
+def crosstab_join(base: DataFrame, base_key: str, long: DataFrame, long_key: str, column: str, values: list, prefix: str = "") -> DataFrame:
     """Counts per value joined to the base rows, missing combinations 0."""
-    wide = pivot_counts(long.withColumnRenamed(long_key, "_key"), "_key", column, prefix)
+    wide = pivot_counts(long.withColumnRenamed(long_key, "_key"), "_key", column, values, prefix)
     flags = [c for c in wide.columns if c != "_key"]
     return base.join(wide, F.col(base_key) == F.col("_key"), "left").drop("_key").fillna(0, flags)
 
 
-def pivot_stats(df: DataFrame, index: str, flag: str, value: str, values: list | None = None) -> DataFrame:
-    """Mean, median and count per index and flag value, one column each, 0 where absent."""
-    values = pivot_values(df, flag) if values is None else values
+def pivot_stats(df: DataFrame, index: str, flag: str, value: str, values: list) -> DataFrame:
+    """Mean, median and count per index and named flag value, one column each, 0 where absent."""
     long = group_stats(df, [index, flag], value)
     cols = [
         F.max(F.when(F.col(flag) == F.lit(val), F.col(stat))).alias(_name(f"{stat}_", val))
@@ -212,10 +205,10 @@ def positions(df: DataFrame, keys: list[str], order: list[str], tasks: int | Non
     return ranked.join(starts, on).select(*df.columns, (F.col("_start") + F.col("_r")).cast("long").alias("position"))
 
 
-def lists_per_key(df: DataFrame, key: str, item: str, order: list[str], page_rows: int = 10_000) -> DataFrame:
+def lists_per_key(df: DataFrame, key: str, item: str, order: list[str], page_rows: int) -> DataFrame:
     """Items per key as lists, NULL items kept, in order.
 
-    A list of up to `page_rows` items is one row (page 0); a longer one
+    `page_rows` is the number of items of a row: a longer list
     continues on further pages, so no cell grows with the data and none is cut.
     """
     placed = positions(df.select(key, item, *[c for c in order if c not in (key, item)]), [key], order)

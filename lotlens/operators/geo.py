@@ -112,21 +112,20 @@ def contains(geom: Column | str, p: Column | str) -> Column:
     return inside(edges_of(geom), p)
 
 
-MAX_CELLS = 1024  # per axis
-
-
 def spatial_join(points: DataFrame, areas: DataFrame, at: str, geom: str) -> DataFrame:
     """Left join of points to the areas containing them; a point in two areas appears twice.
 
-    A grid over the areas' extent has cells about as large as an average area,
-    so an area touches a few cells.  A point has one cell, an area one row per
+    A grid over the areas' extent has cells as large as the areas' root mean square
+    width and height: the areas together touch at most nine times as many cells as there
+    are areas, however unequal they are.  A point has one cell, an area one row per
     cell of its box: the join is an equi join on the cell (broadcast when the
     areas are small, split by skew handling when a cell is crowded) with box and
     exact test as residual.
     """
     boxed = areas.withColumn("_box", bbox(F.col(f"{geom}.polygons")))
-    steps = lambda a, b: F.least(F.lit(MAX_CELLS), F.greatest(F.lit(1), F.ceil(
-        (F.max(f"_box.{b}") - F.min(f"_box.{a}")) / F.nullif(F.avg(F.col(f"_box.{b}") - F.col(f"_box.{a}")), F.lit(0.0)))))
+    size = lambda a, b: F.col(f"_box.{b}") - F.col(f"_box.{a}")
+    steps = lambda a, b: F.coalesce(F.greatest(F.lit(1), F.ceil(
+        (F.max(f"_box.{b}") - F.min(f"_box.{a}")) / F.nullif(F.sqrt(F.avg(size(a, b) * size(a, b))), F.lit(0.0)))), F.lit(1))
     grid = boxed.select(F.struct(
         F.min("_box.x0").alias("x0"), F.min("_box.y0").alias("y0"), F.max("_box.x1").alias("x1"), F.max("_box.y1").alias("y1"),
         steps("x0", "x1").alias("nx"), steps("y0", "y1").alias("ny"),

@@ -6,13 +6,11 @@ from functools import reduce
 from itertools import combinations
 from statistics import NormalDist
 
-from pyspark.mllib.linalg import Vectors
-from pyspark.mllib.stat import Statistics
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as x
-from ..functions.tails import t_pvalue
+from ..functions.tails import chi_square_pvalue, t_pvalue
 from .aggregates import share_of_total, value_counts
 from .quantiles import group_quantiles
 
@@ -149,13 +147,10 @@ def chisq_statistic(df: DataFrame, observed: str, expected: str) -> DataFrame:
     return df.agg(F.sum((o - e) * (o - e) / e).alias("statistic"), (F.count(F.lit(1)) - 1).alias("dof"))
 
 
-def chisq_gof(df: DataFrame, observed: str, expected: str) -> tuple[float, float]:
-    """Statistic and p-value over categories (a digit or class table, so a few rows by nature)."""
-    rows = df.select(F.col(observed).cast("double"), F.col(expected).cast("double")).limit(10_001).collect()
-    if len(rows) > 10_000:
-        raise ValueError("too many categories for a goodness-of-fit test")
-    t = Statistics.chiSqTest(Vectors.dense([r[0] for r in rows]), Vectors.dense([r[1] for r in rows]))
-    return t.statistic, t.pValue
+def chisq_gof(df: DataFrame, observed: str, expected: str) -> DataFrame:
+    """Statistic, degrees of freedom and p-value over any number of categories; only the sums meet the tail function."""
+    row = chisq_statistic(df, observed, expected)
+    return row.withColumn("pvalue", chi_square_pvalue("statistic", F.col("dof").cast("double")))
 
 
 def normality_test(df: DataFrame, column: str) -> DataFrame:

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import spread
 
 K = "o_orderkey"
 
@@ -113,7 +112,7 @@ RAW_CTE = f"WITH raw AS ({listings_sql()})"
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     used = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
-    return spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select(*used))
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(*used).repartition("o_orderkey")
 
 
 def flat_listings(spark: SparkSession, sf_dir: str) -> DataFrame:

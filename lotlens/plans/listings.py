@@ -143,12 +143,11 @@ def amenities_in_areas(amenities: DataFrame, areas: DataFrame) -> DataFrame:
     return geo.spatial_join(amenities, areas, "center", "geom")
 
 
-def amenity_area_counts(amenities: DataFrame, areas: DataFrame, categories: list[str] | None = None) -> DataFrame:
+def amenity_area_counts(amenities: DataFrame, areas: DataFrame, categories: list[str] = v.CATEGORY_NAMES) -> DataFrame:
     """Amenities per subdistrict name and category, packed in one struct."""
     inside = amenities_in_areas(amenities.select("category", "center"), areas.select("subdistrict", "geom"))
-    values = agg.pivot_values(amenities, "category") if categories is None else categories
-    wide = agg.pivot_counts(inside, "subdistrict", "category", values=values)
-    return wide.select("subdistrict", F.struct(*values).alias("amenities"))
+    wide = agg.pivot_counts(inside, "subdistrict", "category", categories)
+    return wide.select("subdistrict", F.struct(*categories).alias("amenities"))
 
 
 # -- marts -------------------------------------------------------------------

@@ -179,10 +179,35 @@ def _(spark, d):
 TAGS = ["bisa_nego", "cash_bertahap", "hook", "kpr", "promo", "siap_huni", "strategis"]
 
 
-@query("a04b_tags_by_house", RAW_CTE + f", {TAG_SQL} SELECT id AS reference_id, " + ", ".join(
-    f"max(CASE WHEN tag = '{t}' THEN 1 ELSE 0 END) AS tag_{t}" for t in TAGS) + " FROM tag WHERE tag IS NOT NULL GROUP BY id")
+def _flags_sql(cte: str, source: str, column: str, values: list[str], prefix: str) -> str:
+    return RAW_CTE + f", {cte} SELECT id AS reference_id, " + ", ".join(
+        f"max(CASE WHEN {column} = '{t}' THEN 1 ELSE 0 END) AS {prefix}{t}" for t in values) + f" FROM {source} WHERE {column} IS NOT NULL GROUP BY id"
+
+
+@query("a04b_tags_by_house", _flags_sql(TAG_SQL, "tag", "tag", TAGS, "tag_"))
+def _(spark, d):
+    return agg.pivot_flags(plan.stg_tags(raw_listings(spark, d)), "reference_id", "tag", TAGS, "tag_")
+
+
+FACILITIES = ["ac", "akses_parkir", "keamanan", "kolam_renang", "masjid", "taman"]
+
+
+@query("a04c_facilities_by_house", _flags_sql(FACILITY_SQL, "facility", "facility", FACILITIES, "facility_"))
+def _(spark, d):
+    return agg.pivot_flags(plan.stg_facilities(raw_listings(spark, d)), "reference_id", "facility", FACILITIES, "facility_")
+
+
+WALLS, FLOORS = ["bata_hebel", "bata_merah", "batako", "beton"], ["granit", "kayu", "keramik", "marmer", "ubin", "vinyl"]
+
+
+@query("a04d_floor_materials_by_house", _flags_sql(_materials("material_lantai", "floor"), "floor", "floor", FLOORS, "floor_"))
+def _(spark, d):
+    return agg.pivot_flags(plan.int_materials(plan.stg_specs(raw_listings(spark, d)), "material_lantai", "floor"), "reference_id", "floor", FLOORS, "floor_")
+
+
+@query("a04e_house_materials_by_house", _flags_sql(_materials("material_bangunan", "wall"), "wall", "wall", WALLS, "wall_"))
 def _(spark, d):
-    return agg.pivot_flags(plan.stg_tags(raw_listings(spark, d)), "reference_id", "tag", "tag_")
+    return agg.pivot_flags(plan.int_materials(plan.stg_specs(raw_listings(spark, d)), "material_bangunan", "wall"), "reference_id", "wall", WALLS, "wall_")
 
 
 @query("p25b_agents", RAW_CTE + f"""
@@ -340,9 +365,14 @@ def _(spark, d):
     return out
 
 
-@query("s10_list_files")
+@query("s10_list_files", "SELECT 'house=' || p_size AS parent_id, 1 AS files, true AS named FROM part GROUP BY p_size")
 def _(spark, d):
-    return readers.list_files(spark, d, "*.parquet")
+    """Files written from a table, one in the folder of each parent, listed again."""
+    root = fresh_path(spark)
+    table(spark, d, "part").select(F.col("p_size").alias("house"), "p_name").repartition("house").write.partitionBy("house").text(root)
+    files = readers.list_files(spark, root, "*.txt")
+    named = F.col("id") == F.sha2("file_path", 256)
+    return files.groupBy("parent_id").agg(F.count(F.lit(1)).cast("int").alias("files"), F.bool_and(named).alias("named"))
 
 
 @query("s11_build_layer", RAW_CTE + " SELECT string_split(address, ', ')[2] AS city, count(*) AS n, count(price) AS priced FROM raw GROUP BY 1")
@@ -352,16 +382,17 @@ def _(spark, d):
 
 
 @query("r01_ingest_stream", """
-SELECT 'ev' || event_id AS id, user_id, event_type, round(value, 4) AS value FROM events WHERE user_id % 2 = 0 OR event_type <> 'error'""")
+SELECT 'ev' || event_id AS id, user_id, event_type, round(value, 4) AS value FROM events""")
 def _(spark, d):
     e = table(spark, d, "events").select(
         F.concat(F.lit("ev"), F.col("event_id")).alias("id"), "user_id", "event_type", "value",
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("scraped_at"))
     feed, target = fresh_path(spark), fresh_path(spark)
     schema = "id string, user_id bigint, event_type string, value double, scraped_at string"
-    clean = lambda df: df.filter("user_id % 2 = 0 OR event_type <> 'error'")
-    # two arrivals: everything with repeats, then a part of it again
-    for part in (e.unionByName(e.filter("user_id % 5 = 0")), e.filter("user_id % 3 = 0")):
+    clean = lambda df: df.filter("value IS NOT NULL")
+    bad = e.filter("user_id % 2 = 0").withColumn("value", F.lit(None).cast("double"))
+    # two arrivals: half of the ids in a copy that is rejected (and repeats), then good copies of all
+    for part in (bad.unionByName(e.filter("user_id % 10 = 1")).unionByName(e.filter("user_id % 5 = 1")), e):
         part.write.mode("append").json(feed)
         ingest_stream(spark, feed, target, f"{target}_state", schema, clean=clean)
     got = spark.read.schema(schema).parquet(target)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import features, pricing
 from ..session import shared_folder
 from .marts import fresh_path
-from .registry import query, spread_table
+from .registry import query, table
 from .statistics import model_rows, r
 
 # fewer and smaller trees than a production run, on all rows
@@ -67,7 +67,7 @@ def _(spark, d):
     model = pricing.fit_price_model(rows.select("id", "price", *pricing.SCORE_FEATURES), skip=("id",), **QUICK)
     path = f"{shared_folder(spark)}/model_{fresh_path(spark)[-32:]}"
     model.write().save(path)
-    li = spread_table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
     requests = li.select(
         "l_orderkey", "l_linenumber", F.concat(F.lit("NATION_"), F.col("l_partkey") % 30).alias("subdistrict"),
         (F.col("l_quantity") * 10).alias("land_area"), (F.col("l_extendedprice") / 500).alias("building_area"),

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import extract
 from ..plans.derived import PAGE_CTE, listing_pages, page_fields
-from .registry import query, spread_table, table
+from .registry import query, table
 
 # layout of the given pages
 GIVEN = extract.SITE.but(
@@ -34,7 +34,7 @@ detail AS (SELECT page_url, href, regexp_extract(page_url, '^([a-z]+://[^/?#]*)'
 
 @query("h02_extract_links", f"WITH {LINKS} SELECT page_url, href, url FROM detail")
 def _(spark, d):
-    return extract.extract_links(spread_table(spark, d, "pages", "url", "html"), GIVEN)
+    return extract.extract_links(table(spark, d, "pages").select("url", "html"), GIVEN)
 
 
 @query("h02b_frontier", f"WITH {LINKS} SELECT DISTINCT url FROM detail WHERE url NOT IN (SELECT regexp_replace(url, '#.*', '') FROM pages)")
@@ -70,7 +70,7 @@ UNESC = "replace(replace(replace(replace(replace(replace({0}, '&lt;', '<'), '&gt
 @query("h07_extract_address", "SELECT page_id, " + UNESC.format(
     r"regexp_extract(html, '(?s)<h1(?:\s[^>]*)?>.*?</h1>.*?<p(?:\s[^>]*)?>(?:<[a-oq-z][^>]*>)*([^<]*)', 1)").join(["nullif(", ", '')"]) + " AS address FROM pages")
 def _(spark, d):
-    return spread_table(spark, d, "pages", "page_id", "html").select("page_id", extract.extract_address("html", GIVEN).alias("address"))
+    return table(spark, d, "pages").select("page_id", "html").select("page_id", extract.extract_address("html", GIVEN).alias("address"))
 
 
 @query("h08_parse_date", PAGE_CTE + f" SELECT url, {DATE_SQL} AS modified FROM page")
@@ -82,7 +82,7 @@ def _(spark, d):
 WITH i AS (SELECT page_id, regexp_extract_all(html, '<li(?:\s[^>]*)?>(?:<[a-km-z][^>]*>)*([^<]+)<', 1) AS t FROM pages)
 SELECT page_id, unnest(range(len(t))) AS pos, trim(unnest(t), chr(32) || chr(9) || chr(10) || chr(13)) AS item FROM i""")
 def _(spark, d):
-    items = spread_table(spark, d, "pages", "page_id", "html").select("page_id", F.posexplode(extract.extract_tags("html", GIVEN)).alias("pos", "item"))
+    items = table(spark, d, "pages").select("page_id", "html").select("page_id", F.posexplode(extract.extract_tags("html", GIVEN)).alias("pos", "item"))
     return items.select("page_id", F.col("pos").cast("long").alias("pos"), "item")
 
 
@@ -91,7 +91,7 @@ WITH p AS (SELECT page_id, list_transform(regexp_extract_all(replace(html, '<p>'
 SELECT page_id, """ + UNESC.format("nullif(regexp_extract(parts[list_position(list_transform(parts, lambda x: contains(x, '<b>')), true) + 1], '^([^<]*)', 1), '')")
 + """ AS description FROM p""")
 def _(spark, d):
-    return spread_table(spark, d, "pages", "page_id", "html").select("page_id", extract.extract_description(extract.paragraphs("html"), GIVEN).alias("description"))
+    return table(spark, d, "pages").select("page_id", "html").select("page_id", extract.extract_description(extract.paragraphs("html"), GIVEN).alias("description"))
 
 
 @query("h11_extract_specs", PAGE_CTE + " SELECT url, land, beds, 2 AS n FROM page")

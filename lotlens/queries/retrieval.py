@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import search
 from ..plans.derived import RAW_CTE, flat_listings
-from .registry import query, spread_table, table
+from .registry import query, table
 
 # the searching user's text and vector
 WORDS = "the reading of ionen"
@@ -65,20 +65,20 @@ def _(spark, d):
 
 @query("v03_embed", "SELECT doc_id, 64 AS dim, CASE WHEN regexp_matches(text, '[\\p{L}\\p{N}_]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS norm FROM documents")
 def _(spark, d):
-    docs = spread_table(spark, d, "documents", "doc_id", "text")
+    docs = table(spark, d, "documents").select("doc_id", "text")
     out = search.embed(docs, "text")
     return out.select("doc_id", F.size("embedding").alias("dim"), F.round(search.norm("embedding"), 6).alias("norm"))
 
 
 @query("v04_bm25", f"WITH {bm25_sql('documents', 'doc_id', 'text')} SELECT k AS id, round(score, 6) AS score FROM bm ORDER BY bm.score DESC, k LIMIT 3")
 def _(spark, d):
-    docs = spread_table(spark, d, "documents", "doc_id", "text").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+    docs = table(spark, d, "documents").select("doc_id", "text").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
     return search.bm25(docs, WORDS).select("id", F.round("score", 6).alias("score"))
 
 
 @query("v04b_bm25_all_scores", f"WITH {bm25_sql('documents', 'doc_id', 'text')} SELECT k AS id, round(score, 6) AS score FROM bm WHERE bm.score > 0")
 def _(spark, d):
-    docs = spread_table(spark, d, "documents", "doc_id", "text").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+    docs = table(spark, d, "documents").select("doc_id", "text").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
     return search.bm25(docs, WORDS, k=None).select("id", F.round("score", 6).alias("score"))
 
 

@@ -9,7 +9,7 @@ from ..functions import sqlnames, text as x, vocab as v
 from ..operators import render
 from ..plans.derived import RAW_CTE, flat_listings
 from ..plans.listings import materials_of
-from .registry import query, spread_table, table
+from .registry import query, table
 
 
 def _q(s: str) -> str:
@@ -187,7 +187,7 @@ def _(spark, d):
 @query("p20_title_case", f"""
 SELECT doc_id, {TITLE.format('text')} AS title, {TITLE.format("source || '-x/' || lang || ' 2nd'")} AS tag FROM documents""")
 def _(spark, d):
-    t = spread_table(spark, d, "documents", "doc_id", "text", "source", "lang")
+    t = table(spark, d, "documents").select("doc_id", "text", "source", "lang")
     return t.select(
         "doc_id", x.title_case("text").alias("title"),
         x.title_case(F.concat("source", F.lit("-x/"), "lang", F.lit(" 2nd"))).alias("tag"),
@@ -314,7 +314,7 @@ NORM_TEXT_SQL = (
 
 @query("p32_norm_text", "SELECT doc_id, " + NORM_TEXT_SQL.format("text") + " AS text_norm FROM documents")
 def _(spark, d):
-    return spread_table(spark, d, "documents", "doc_id", "text").select("doc_id", x.norm_text("text").alias("text_norm"))
+    return table(spark, d, "documents").select("doc_id", "text").select("doc_id", x.norm_text("text").alias("text_norm"))
 
 
 @query("p33_norm_scalar", """

@@ -7,7 +7,7 @@ from ..functions import text as x
 from ..operators import features, stats
 from ..plans.derived import RAW_CTE, raw_listings
 from ..plans import listings
-from .registry import query, spread_table, table
+from .registry import query, table
 
 
 def r(df, digits, *keep):
@@ -24,7 +24,7 @@ FLAG = "l_extendedprice < q1 - 1.5 * (q3 - q1) OR l_extendedprice > q3 + 1.5 * (
 WITH q AS ({QUART}) SELECT count(*) AS total, count(*) FILTER ({FLAG}) AS outliers,
 round(avg(CASE WHEN {FLAG} THEN 1 ELSE 0 END), 6) AS share FROM lineitem, q""")
 def _(spark, d):
-    return r(stats.outlier_share(stats.iqr_outliers(spread_table(spark, d, "lineitem", "l_extendedprice"), "l_extendedprice")), 6)
+    return r(stats.outlier_share(stats.iqr_outliers(table(spark, d, "lineitem").select("l_extendedprice"), "l_extendedprice")), 6)
 
 
 @query("t01b_outliers_removed", f"""
@@ -69,7 +69,19 @@ def _(spark, d):
     return r(stats.correlation_table(table(spark, d, "lineitem"), "l_extendedprice", NUMERIC), 6)
 
 
-@query("t04b_pearson_pvalue")
+def _pvalue_sql(inner: str) -> str:
+    """Adds the two-sided p-value: the density of Student's t, summed over a fine grid and normalised by its own sum."""
+    part = lambda lo: f"(SELECT sum(CASE WHEN i IN (0, 20000) THEN 0.5 ELSE 1 END * (1 + pow({lo} + i * (12 - {lo}) / 20000, 2) / dof) ** (-(dof + 1) / 2)) * (12 - {lo}) / 20000 FROM range(20001) g(i))"
+    return f"""WITH c AS ({inner}), s AS (SELECT *, least(12, abs(r) * sqrt((n - 2) / (1 - r * r)))::DOUBLE AS t, (n - 2)::DOUBLE AS dof FROM c)
+SELECT * EXCLUDE (t, dof, r), round(r, 6) AS r, round({part('t')} / {part('0')}, 6) AS pvalue FROM s"""
+
+
+def _corr_sql(columns: dict[str, str], method: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{n}' AS variable, '{method}' AS method, count(*) AS n, corr({e}, l_extendedprice) AS r FROM lineitem" for n, e in columns.items())
+
+
+@query("t04b_pearson_pvalue", _pvalue_sql(_corr_sql({c: c for c in NUMERIC}, "pearson")))
 def _(spark, d):
     li = table(spark, d, "lineitem").select(F.col("l_extendedprice").alias("price"), *NUMERIC)
     return r(stats.pearson_table(li), 6)
@@ -90,7 +102,7 @@ def _(spark, d):
     return r(stats.correlation_table(_flags(spark, d), "price", list(FLAGS), "pointbiser"), 6)
 
 
-@query("t05b_pointbiserial_pvalue")
+@query("t05b_pointbiserial_pvalue", _pvalue_sql(_corr_sql({n: f"CAST({e} AS INT)" for n, e in FLAGS.items()}, "pointbiser")))
 def _(spark, d):
     return r(stats.pointbiserial_table(_flags(spark, d), "flag"), 6)
 
@@ -121,7 +133,7 @@ FROM (SELECT {c} AS v, avg({c}) OVER () AS m FROM lineitem)"""
 
 @query("t07_describe", " UNION ALL ".join(_describe(c) for c in ("l_quantity", "l_extendedprice")))
 def _(spark, d):
-    out = stats.describe_table(spread_table(spark, d, "lineitem", "l_quantity", "l_extendedprice"), ["l_quantity", "l_extendedprice"])
+    out = stats.describe_table(table(spark, d, "lineitem").select("l_quantity", "l_extendedprice"), ["l_quantity", "l_extendedprice"])
     return r(out, 4, "min", "max", "mode")
 
 
@@ -137,15 +149,17 @@ def _(spark, d):
 
 @query("t09_chisq_gof", f"""
 WITH b AS (SELECT count, count / sum(count) OVER () AS o, log10(1 + 1.0::DOUBLE / first_digit) AS e, sum(count) OVER () AS n FROM ({DIGITS}))
-SELECT 'shares' AS form, round(sum((o - e) ** 2 / e), 6) AS statistic, count(*) - 1 AS dof FROM b
-UNION ALL SELECT 'counts', round(sum((count - e * n) ** 2 / (e * n)), 3), count(*) - 1 FROM b""")
+SELECT form, round(statistic, digits) AS statistic, dof, round(exp(-x) * (1 + x + x ** 2 / 2 + x ** 3 / 6), 9) AS pvalue FROM (
+  SELECT *, statistic / 2 AS x FROM (
+    SELECT 'shares' AS form, 6 AS digits, sum((o - e) ** 2 / e) AS statistic, count(*) - 1 AS dof FROM b
+    UNION ALL SELECT 'counts', 3, sum((count - e * n) ** 2 / (e * n)), count(*) - 1 FROM b))""")
 def _(spark, d):
     b = stats.benford(table(spark, d, "orders").withColumn("p", F.floor("o_totalprice")), "p")
     n = b.select(F.sum("count").cast("double")).scalar()
-    by_share = stats.chisq_statistic(b, "real_proportion", "benford_proportion")
-    by_count = stats.chisq_statistic(b.withColumn("e", F.col("benford_proportion") * n), "count", "e")
-    return by_share.select(F.lit("shares").alias("form"), F.round("statistic", 6).alias("statistic"), "dof").unionByName(
-        by_count.select(F.lit("counts").alias("form"), F.round("statistic", 3).alias("statistic"), "dof"))
+    by_share = stats.chisq_gof(b, "real_proportion", "benford_proportion")
+    by_count = stats.chisq_gof(b.withColumn("e", F.col("benford_proportion") * n), "count", "e")
+    form = lambda df, name, digits: df.select(F.lit(name).alias("form"), F.round("statistic", digits).alias("statistic"), "dof", F.round("pvalue", 9).alias("pvalue"))
+    return form(by_share, "shares", 6).unionByName(form(by_count, "counts", 3))
 
 
 @query("t10_normality", """
@@ -169,7 +183,7 @@ QQ = [i / 10 for i in range(1, 10)]
 @query("t11_qq_points", " UNION ALL ".join(
     f"SELECT {p}::DOUBLE AS p, round(quantile_cont(l_extendedprice, {p}), 4) AS observed FROM lineitem" for p in QQ))
 def _(spark, d):
-    return r(stats.qq_points(spread_table(spark, d, "lineitem", "l_extendedprice"), "l_extendedprice", 9).select("p", "observed"), 4, "p")
+    return r(stats.qq_points(table(spark, d, "lineitem").select("l_extendedprice"), "l_extendedprice", 9).select("p", "observed"), 4, "p")
 
 
 # -- M: model rows -----------------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as x
 from ..operators import aggregates as agg
 from ..operators import joins, quality
-from .registry import query, spread_table, table
+from .registry import query, table
 
 
 # -- A: aggregation ----------------------------------------------------------
@@ -39,22 +39,24 @@ def _(spark, d):
     return agg.build_bridge(li, "l_orderkey", "flag", "flag_sk")
 
 
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
 def _event_pivot(fn: str, prefix: str) -> str:
-    kinds = ["click", "error", "purchase", "signup", "view"]
     return "SELECT user_id, " + ", ".join(
         f"CAST({fn}(CASE WHEN event_type = '{k}' THEN 1 ELSE 0 END) AS {'INT' if fn == 'max' else 'BIGINT'}) AS {prefix}{k}"
-        for k in kinds
+        for k in EVENT_TYPES
     ) + " FROM events GROUP BY user_id"
 
 
 @query("a04_pivot_flags", _event_pivot("max", "type_"))
 def _(spark, d):
-    return agg.pivot_flags(table(spark, d, "events"), "user_id", "event_type", "type_")
+    return agg.pivot_flags(table(spark, d, "events"), "user_id", "event_type", EVENT_TYPES, "type_")
 
 
 @query("a05_pivot_counts", _event_pivot("sum", "type_"))
 def _(spark, d):
-    return agg.pivot_counts(table(spark, d, "events"), "user_id", "event_type", "type_")
+    return agg.pivot_counts(table(spark, d, "events"), "user_id", "event_type", EVENT_TYPES, "type_")
 
 
 @query("a06_crosstab_join", f"""
@@ -63,7 +65,7 @@ coalesce(ev_purchase, 0) AS ev_purchase, coalesce(ev_signup, 0) AS ev_signup, co
 FROM customer LEFT JOIN ({_event_pivot("sum", "ev_")}) ON c_custkey = user_id""")
 def _(spark, d):
     base = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    return agg.crosstab_join(base, "c_custkey", table(spark, d, "events"), "user_id", "event_type", "ev_")
+    return agg.crosstab_join(base, "c_custkey", table(spark, d, "events"), "user_id", "event_type", EVENT_TYPES, "ev_")
 
 
 @query("a07_pivot_stats", """
@@ -73,7 +75,7 @@ SELECT l_returnflag, """ + ", ".join(
     f"count(l_extendedprice) FILTER (l_linestatus = '{s}') AS count_{s.lower()}" for s in "FO") + """
 FROM lineitem GROUP BY l_returnflag""")
 def _(spark, d):
-    out = agg.pivot_stats(spread_table(spark, d, "lineitem", "l_returnflag", "l_linestatus", "l_extendedprice"), "l_returnflag", "l_linestatus", "l_extendedprice")
+    out = agg.pivot_stats(table(spark, d, "lineitem").select("l_returnflag", "l_linestatus", "l_extendedprice"), "l_returnflag", "l_linestatus", "l_extendedprice", ["F", "O"])
     return out.select(*[F.round(c, 4).alias(c) if c.startswith("me") else c for c in out.columns])
 
 
@@ -87,12 +89,12 @@ def _rounded(df, names):
 
 @query("a08_group_stats", f"SELECT o_orderpriority, {STATS_SQL} FROM orders GROUP BY 1")
 def _(spark, d):
-    return _rounded(agg.group_stats(spread_table(spark, d, "orders", "o_orderpriority", "o_totalprice"), ["o_orderpriority"], "o_totalprice"), ["mean", "median", "std"])
+    return _rounded(agg.group_stats(table(spark, d, "orders").select("o_orderpriority", "o_totalprice"), ["o_orderpriority"], "o_totalprice"), ["mean", "median", "std"])
 
 
 @query("a08b_group_stats_two_keys", f"SELECT o_orderpriority, o_orderstatus, {STATS_SQL} FROM orders GROUP BY 1, 2")
 def _(spark, d):
-    out = agg.group_stats(spread_table(spark, d, "orders", "o_orderpriority", "o_orderstatus", "o_totalprice"), ["o_orderpriority", "o_orderstatus"], "o_totalprice")
+    out = agg.group_stats(table(spark, d, "orders").select("o_orderpriority", "o_orderstatus", "o_totalprice"), ["o_orderpriority", "o_orderstatus"], "o_totalprice")
     return _rounded(out, ["mean", "median", "std"])
 
 
@@ -143,7 +145,7 @@ SELECT o_orderstatus, min(o_totalprice) AS min, round(quantile_cont(o_totalprice
 round(quantile_cont(o_totalprice, 0.5), 4) AS median, round(quantile_cont(o_totalprice, 0.75), 4) AS q3, max(o_totalprice) AS max
 FROM orders GROUP BY 1""")
 def _(spark, d):
-    return _rounded(agg.five_numbers(spread_table(spark, d, "orders", "o_orderstatus", "o_totalprice"), ["o_orderstatus"], "o_totalprice"), ["q1", "median", "q3"])
+    return _rounded(agg.five_numbers(table(spark, d, "orders").select("o_orderstatus", "o_totalprice"), ["o_orderstatus"], "o_totalprice"), ["q1", "median", "q3"])
 
 
 @query("a15_histogram", """
@@ -272,7 +274,7 @@ def _(spark, d):
 SELECT o_orderstatus, '{"high":' || sum(CASE WHEN o_orderpriority = '2-HIGH' THEN 1 ELSE 0 END) || ',"low":'
   || sum(CASE WHEN o_orderpriority = '5-LOW' THEN 1 ELSE 0 END) || '}' AS packed FROM orders GROUP BY 1""")
 def _(spark, d):
-    wide = agg.pivot_counts(table(spark, d, "orders"), "o_orderstatus", "o_orderpriority", values=["2-HIGH", "5-LOW"])
+    wide = agg.pivot_counts(table(spark, d, "orders"), "o_orderstatus", "o_orderpriority", ["2-HIGH", "5-LOW"])
     packed = F.struct(F.col("2-high").alias("high"), F.col("5-low").alias("low"))
     return wide.select("o_orderstatus", F.to_json(packed).alias("packed"))
 

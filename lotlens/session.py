@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
@@ -33,17 +35,28 @@ _OWN_FOLDERS: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor sees, as the cluster names it in spark.checkpoint.dir.
+    """Folder every executor sees: spark.checkpoint.dir, or the one given to SparkContext.setCheckpointDir.
 
-    Only where that is unset (a local test) a fresh temporary folder is used.
+    A local session may have neither; it gets a temporary folder, removed when the program ends. On
+    a cluster such a folder would be another one on every machine, so it is an error there.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        app = spark.sparkContext.applicationId
-        if app not in _OWN_FOLDERS:
-            _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="lotlens-")
-        named = _OWN_FOLDERS[app]
-    return named
+    if named:
+        return named
+    given = spark.sparkContext.getCheckpointDir()
+    if given:
+        return given
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_FOLDERS:
+        folder = tempfile.TemporaryDirectory(prefix="lotlens-", ignore_cleanup_errors=True)
+        atexit.register(folder.cleanup)
+        _OWN_FOLDERS[app] = folder.name
+    return _OWN_FOLDERS[app]
+
+
+_TABLES: list[str] = []
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -55,14 +68,14 @@ def written(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _TABLES.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan to all cores when its files give fewer tasks than that.
-
-    For costly row-wise work on small inputs; a large table has more splits than
-    the cluster has cores and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def drop_written(spark: SparkSession) -> int:
+    """Delete the intermediate tables made so far, once the results that read them are stored; gives their number."""
+    n = 0
+    while _TABLES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_TABLES.pop())
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return n

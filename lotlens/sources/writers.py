@@ -62,13 +62,9 @@ def publish(spark: SparkSession, database: str, jdbc_url: str | None = None, pro
 def insert_new(df: DataFrame, target: str, keys: list[str], order: list[str] | None = None) -> None:
     """Append rows whose key is not in the parquet table `target` yet; repeating a batch adds nothing."""
     spark = df.sparkSession
-    have = spark.read.schema(df.schema).option("ignoreMissingFiles", True)
-    try:
-        existing = have.parquet(target)
-    except Exception as e:  # a first batch meets no table
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        existing = spark.createDataFrame([], df.schema)
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    existing = spark.read.schema(df.schema).parquet(target) if there else spark.createDataFrame([], df.schema)
     new_rows(df, existing, keys, order).write.mode("append").parquet(target)
 
 

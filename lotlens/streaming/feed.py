@@ -18,7 +18,7 @@ def ingest_stream(
 ) -> None:
     """Read all JSON-lines files that arrived, drop repeats of a key, append keys not yet in the target.
 
-    Repeats that arrive within `delay` of each other are dropped by streaming
+    `clean` comes first: a copy that it rejects never hides a good one. Repeats that arrive within `delay` of each other are dropped by streaming
     state; later ones by the insert-if-absent rule, which also makes a replayed
     batch harmless.  The watermark runs on arrival time, so a listing with an old
     date is never taken for late data.
@@ -26,10 +26,10 @@ def ingest_stream(
     reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = reader.json(feed).withColumn("_at", F.current_timestamp())
-    fresh = rows.withWatermark("_at", delay).dropDuplicatesWithinWatermark([key]).drop("_at")
+    rows = reader.json(feed)
     if clean is not None:
-        fresh = clean(fresh)
+        rows = clean(rows)
+    fresh = rows.withColumn("_at", F.current_timestamp()).withWatermark("_at", delay).dropDuplicatesWithinWatermark([key]).drop("_at")
     query = (
         fresh.writeStream.foreachBatch(lambda batch, _: insert_new(batch, target, [key]))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

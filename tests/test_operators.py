@@ -7,29 +7,33 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from lotlens.functions.tails import student_two_sided
+from lotlens.functions.tails import chi_square_tail, student_two_sided
 from lotlens.operators import aggregates as agg
 from lotlens.operators import extract, features, joins, pricing, quantiles, search, stats
 
 
 # -- quantiles and positions under skew --------------------------------------
 
-@pytest.mark.parametrize("small", [50_000, 0])
-def test_quantiles_exact_with_a_hot_group(spark, monkeypatch, small):
-    """With SMALL = 0 every group takes the bracket path of large groups."""
-    monkeypatch.setattr(quantiles, "SMALL", small)
+@pytest.mark.parametrize("at_once", [200_000, 3])
+def test_quantiles_exact_with_a_hot_group(spark, monkeypatch, at_once):
+    """With three values at once every bracket is narrowed, round after round."""
+    monkeypatch.setattr(quantiles, "TASK_VALUES", at_once)
+    monkeypatch.setattr(quantiles, "SLICES", 16)
     monkeypatch.setattr(quantiles, "ACCURACY", 10_000)
     monkeypatch.setattr(quantiles, "MARGIN", 10 / 10_000)
     rng = np.random.default_rng(3)
     groups = {"hot": rng.normal(size=40_000).round(3), "flat": np.repeat(2.0, 9_000), "wide": np.exp(rng.normal(size=12_000) * 5)}
-    data = [(k, float(x)) for k, xs in groups.items() for x in xs] + [("hot", None), (None, 1.0), (None, 4.0)] * (1 if small else 0)
+    data = [(k, float(x)) for k, xs in groups.items() for x in xs] + [("hot", None), (None, 1.0), (None, 4.0), ("one", 7.0), ("none", None)]
     df = spark.createDataFrame(data, "k string, v double").repartition(5)
     got = {r.k: r for r in quantiles.group_quantiles(df, ["k"], F.col("v"), {"a": 0.25, "b": 0.5, "c": 0.99}, {"n": F.count("v")}).collect()}
     for k, xs in groups.items():
         assert np.allclose([got[k].a, got[k].b, got[k].c], np.quantile(xs, [0.25, 0.5, 0.99]), rtol=1e-12)
         assert got[k].n == len(xs)
-    if small:
-        assert got[None].b == 2.5
+    assert (got[None].a, got[None].b) == (1.75, 2.5) and got["one"].c == 7.0 and got["none"].b is None
+    for n in range(1, 9):  # the neighbours of a position exist in groups of any size
+        few = spark.createDataFrame([(float(x * x),) for x in range(n)], "v double")
+        ps = {f"q{i}": i / 20 for i in range(21)}
+        assert np.allclose(list(quantiles.group_quantiles(few, [], F.col("v"), ps).first()), np.quantile([x * x for x in range(n)], list(ps.values())))
     one = quantiles.group_quantiles(df.filter("k = 'hot'"), [], F.col("v"), {"m": 0.5}).first()
     assert np.isclose(one.m, np.quantile(groups["hot"], 0.5))
 
@@ -55,9 +59,9 @@ def test_distinct_on_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in one._jdf.queryExecution().executedPlan().toString()
 
 
-def test_pivot_refuses_too_many_columns(spark):
-    with pytest.raises(ValueError):
-        agg.pivot_values(spark.range(agg.MAX_PIVOT_VALUES + 1), "id")
+def test_pivot_long_takes_any_number_of_values(spark):
+    df = spark.range(5000).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+    assert agg.pivot_long(df, "k", "v").count() == 5000
 
 
 def test_resample_fills_gaps(spark):
@@ -152,9 +156,14 @@ def test_normality_tells_samples_apart(spark):
 
 def test_chisq(spark):
     df = spark.createDataFrame([(10.0, 8.0), (20.0, 22.0), (30.0, 30.0)], "o double, e double")
-    stat, p = stats.chisq_gof(df, "o", "e")
-    assert abs(stat - (4 / 8 + 4 / 22)) < 1e-9 and 0.7 < p < 0.72
-    assert abs(stats.chisq_statistic(df, "o", "e").first().statistic - stat) < 1e-9
+    row = stats.chisq_gof(df, "o", "e").first()
+    assert abs(row.statistic - (4 / 8 + 4 / 22)) < 1e-9 and row.dof == 2 and abs(row.pvalue - np.exp(-row.statistic / 2)) < 1e-12
+    many = spark.range(20_000).select(F.lit(1.0).alias("o"), F.lit(1.0).alias("e"))
+    assert stats.chisq_gof(many, "o", "e").first().pvalue == 1.0
+    for x, k, want in ((3.841459, 1, 0.05), (18.307038, 10, 0.05), (124.342113, 100, 0.05), (1.0, 4, 0.9097959895689501)):
+        assert abs(chi_square_tail(x, k) - want) < 1e-7
+    assert abs(student_two_sided(2.0, 1e12) - 0.04550026389635842) < 1e-9
+    assert abs(student_two_sided(2.0, 1001) - 0.0457676) < 1e-6
 
 
 # -- model -------------------------------------------------------------------
