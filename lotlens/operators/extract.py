@@ -27,18 +27,25 @@ class Rules:
 
     detail_has: str = "/properti/"
     detail_not: str = "/perumahan-baru"
+    # start and end of the part that holds the listing; an empty rule means the whole page
+    container: str = r"""(?s)<div\s[^>]*class=["'][^"']*ui-container[^"']*["'][^>]*>(.*?)(?:<footer[\s>]|$)"""
     link: str = r"""<a\s[^>]*?href=["']([^"']*)["']"""
     price: str = r"<span(?:\s[^>]*)?>([^<]*Rp [^<]*)<"
     paragraph: str = r"(?s)<p(?:\s[^>]*)?>(.*?)(?=</p>|<p[\s>])"
     installment_word: str = "Cicilan"
     address: str = r"(?s)<h1(?:\s[^>]*)?>.*?</h1>.*?<p(?:\s[^>]*)?>([^<]*)"
     modified_word: str = "Diperbarui"
+    # lists that follow a paragraph
+    tag_list: str = r"(?s)</p>\s*<ul(?:\s[^>]*)?>(.*?)</ul>"
     tag: str = r"<li(?:\s[^>]*)?>([^<]+)<"
     description_word: str = "ripsi"
+    # from the paragraph that announces specifications to the next part of the page
+    spec_block: str = r"(?s)<p(?:\s[^>]*)?>[^<]*pesifikasi[^<]*</p>(.*?)(?:<div\s[^>]*id=|<h[1-6][\s>]|<p(?:\s[^>]*)?>[^<]*(?:ripsi|Cicilan)|$)"
     spec_row: str = r"""(?s)<div\s[^>]*class=["'][^"']*mb-4[^"']*["'][^>]*>(.*?)</div>"""
     spec_part: str = r"<p(?:\s[^>]*)?>([^<]*)</p>"
     facility_block: str = r"""(?s)<div\s[^>]*id=["'][^"']*facility[^"']*["'][^>]*>(.*?)</div>"""
     facility: str = r"<p(?:\s[^>]*)?>\s*<span(?:\s[^>]*)?>([^<]*)"
+    agent_block: str = r"""(?s)<div\s[^>]*class=["'][^"']*flex-grow[^"']*["'][^>]*>(.*?)</div>"""
     agent_link: str = r"""(<a\s[^>]*title=["'][^"']*["'][^>]*>)"""
     phone: str = r"""(<button\s[^>]*name=["']phone["'][^>]*>)"""
     image: str = r"""(<img\s[^>]*srcset=["'][^"']*1x[^"']*["'][^>]*>)"""
@@ -54,12 +61,37 @@ SITE = Rules()
 
 # -- helpers -----------------------------------------------------------------
 
+# fixed values: character entities and their characters
+ENTITIES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "©", "reg": "®", "deg": "°", "plusmn": "±", "middot": "·", "times": "×",
+    "sup2": "²", "sup3": "³", "frac12": "½", "laquo": "«", "raquo": "»", "iexcl": "¡", "iquest": "¿", "euro": "€", "pound": "£", "yen": "¥",
+    "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "hellip": "…", "bull": "•", "trade": "™",
+    "agrave": "à", "aacute": "á", "acirc": "â", "atilde": "ã", "auml": "ä", "aring": "å", "aelig": "æ", "ccedil": "ç", "egrave": "è", "eacute": "é",
+    "ecirc": "ê", "euml": "ë", "igrave": "ì", "iacute": "í", "icirc": "î", "iuml": "ï", "ntilde": "ñ", "ograve": "ò", "oacute": "ó", "ocirc": "ô",
+    "otilde": "õ", "ouml": "ö", "oslash": "ø", "ugrave": "ù", "uacute": "ú", "ucirc": "û", "uuml": "ü", "szlig": "ß",
+    "Eacute": "É", "Auml": "Ä", "Ouml": "Ö", "Uuml": "Ü", "Ntilde": "Ñ", "Ccedil": "Ç",
+}
+
+
+def _decoded(entity: Column) -> Column:
+    """Character of an entity like &eacute; &#233; &#xE9;, itself when unknown."""
+    number = F.coalesce(
+        F.conv(F.nullif(F.regexp_extract(entity, "^&#[xX]([0-9A-Fa-f]{1,6});$", 1), F.lit("")), 16, 16),
+        F.conv(F.nullif(F.regexp_extract(entity, "^&#([0-9]{1,7});$", 1), F.lit("")), 10, 16),
+    )
+    named = F.create_map(*[F.lit(x) for name, ch in ENTITIES.items() for x in (f"&{name};", ch)])
+    return F.coalesce(F.try_element_at(named, entity), F.decode(F.unhex(F.lpad(number, 8, "0")), "UTF-32"), entity)
+
+
 def unescape(c: Column | str) -> Column:
-    """The five predefined character entities and the hard blank."""
+    """Character entities as characters, in one pass (the ampersand's own entity last)."""
     c = col(c)
-    for name, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        c = F.replace(c, F.lit(name), F.lit(ch))
-    return c
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit("(&(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);)"), F.lit(1)))
+    plain = F.aggregate(F.filter(found, lambda e: ~e.isin("&amp;", "&#38;", "&#x26;")), c, lambda acc, e: F.replace(acc, e, _decoded(e)))
+    last = plain
+    for e in ("&#38;", "&#x26;", "&amp;"):
+        last = F.replace(last, F.lit(e), F.lit("&"))
+    return F.when(c.contains("&"), last).otherwise(c)
 
 
 def unquote(c: Column | str) -> Column:
@@ -90,8 +122,22 @@ def site_of(url: Column | str) -> Column:
 
 
 def resolve(base: Column | str, href: Column | str) -> Column:
-    """Absolute URL of a link found on page `base`."""
-    return let(F.struct(col(base).alias("b"), col(href).alias("h")), lambda s: _resolve(s["b"], s["h"]))
+    """Absolute URL of a link found on page `base`, without dot segments."""
+    return let(F.struct(col(base).alias("b"), col(href).alias("h")), lambda s: let(_resolve(s["b"], s["h"]), _without_dots))
+
+
+def _without_dots(url: Column) -> Column:
+    site = site_of(url)
+    path = F.regexp_extract(F.substring(url, F.length(site) + 1, F.length(url)), "^([^?#]*)", 1)
+    tail = F.substring(url, F.length(site) + F.length(path) + 1, F.length(url))
+    parts = F.split(path, "/")
+    walked = F.aggregate(
+        F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"),
+        lambda acc, p: F.when(p == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(p == ".", acc).otherwise(F.array_append(acc, p)),
+    )
+    open_end = F.when(F.element_at(parts, -1).isin(".", "..") & (F.size(walked) > 0), "/").otherwise("")
+    clean = F.concat(site, F.lit("/"), F.array_join(walked, "/"), open_end, tail)
+    return F.when((site != "") & F.regexp_like(path, F.lit(r"/\.\.?(/|$)")), clean).otherwise(url)
 
 
 def _resolve(base: Column, href: Column) -> Column:
@@ -107,6 +153,11 @@ def _resolve(base: Column, href: Column) -> Column:
     )
 
 
+def container(html: Column | str, rules: Rules = SITE) -> Column:
+    """The part of the page that holds the listing, empty when the page has none."""
+    return F.regexp_extract(col(html), rules.container, 1) if rules.container else col(html)
+
+
 def paragraphs(html: Column | str, rules: Rules = SITE) -> Column:
     """Contents of all paragraphs, tags inside kept."""
     return _all(html, rules.paragraph)
@@ -171,7 +222,9 @@ def extract_list(html: Column | str, rule: str) -> Column:
 
 
 def extract_tags(html: Column | str, rules: Rules = SITE) -> Column:
-    return extract_list(html, rules.tag)
+    """Items of the lists that follow a paragraph."""
+    lists = F.array_join(_all(html, rules.tag_list), "") if rules.tag_list else col(html)
+    return extract_list(lists, rules.tag)
 
 
 def extract_facilities(html: Column | str, rules: Rules = SITE) -> Column:
@@ -199,13 +252,13 @@ def pairs_to_map(rows: Column) -> Column:
 
 def extract_specs(html: Column | str, rules: Rules = SITE) -> Column:
     rows = F.transform(
-        _all(html, rules.spec_row), lambda b: F.transform(_all(b, rules.spec_part), unescape)
+        _all(F.regexp_extract(col(html), rules.spec_block, 1) if rules.spec_block else col(html), rules.spec_row), lambda b: F.transform(_all(b, rules.spec_part), unescape)
     )
     return pairs_to_map(rows)
 
 
-def extract_agent(url: Column | str, html: Column | str, rules: Rules = SITE) -> Column:
-    """Agent of the first titled link, company of the second; without links all fields are NULL."""
+def extract_agent(url: Column | str, html: Column | str, rules: Rules = SITE, page: Column | str | None = None) -> Column:
+    """Agent of the first titled link of the agent blocks, company of the second, phone from anywhere on the page; without links all fields are NULL."""
     site = site_of(url)
 
     def party(tag: Column) -> list[Column]:
@@ -213,13 +266,13 @@ def extract_agent(url: Column | str, html: Column | str, rules: Rules = SITE) ->
 
     def build(links: Column) -> Column:
         who, firm = F.get(links, F.lit(0)), F.get(links, F.lit(1))
-        phones = F.filter(F.transform(_all(html, rules.phone), lambda b: _attr(b, "title")), lambda t: t.contains("62"))
+        phones = F.filter(F.transform(_all(html if page is None else page, rules.phone), lambda b: _attr(b, "title")), lambda t: t.contains("62"))
         return F.struct(
             *party(who), F.when(who.isNotNull(), F.get(phones, F.lit(0))).alias("phone"),
             F.when(firm.isNotNull(), F.struct(*party(firm))).alias("company"),
         )
 
-    return let(_all(html, rules.agent_link), build)
+    return let(_all(F.array_join(_all(html, rules.agent_block), ""), rules.agent_link), build)
 
 
 def extract_images(html: Column | str, rules: Rules = SITE) -> Column:
@@ -251,14 +304,15 @@ def frontier(links: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def pages_to_listings(pages: DataFrame, rules: Rules = SITE, scraped_at: Column | None = None) -> DataFrame:
-    """Listing records of all detail pages; a page's paragraphs are cut once."""
-    cut = pages.filter(is_detail("url", rules)).select("url", "html", paragraphs("html", rules).alias("_p"))
+    """Listing records of all detail pages; a page's container and its paragraphs are cut once."""
+    cut = pages.filter(is_detail("url", rules)).select("url", "html", container("html", rules).alias("_c"))
+    cut = cut.select("*", paragraphs("_c", rules).alias("_p"))
     return cut.select(
-        url_id("url").alias("id"), extract_price("html", rules).alias("price"),
-        extract_installment("_p", rules).alias("installment"), extract_address("html", rules).alias("address"),
-        extract_description("_p", rules).alias("description"), extract_tags("html", rules).alias("tags"),
-        extract_specs("html", rules).alias("specs"), extract_facilities("html", rules).alias("facilities"),
-        extract_agent("url", "html", rules).alias("agent"), extract_images("html", rules).alias("images"), "url",
-        F.date_format(extract_modified("_p", rules), "yyyy-MM-dd'T'HH:mm:ss").alias("last_modified"),
+        url_id("url").alias("id"), extract_price("_c", rules).alias("price"),
+        extract_installment("_p", rules).alias("installment"), extract_address("_c", rules).alias("address"),
+        extract_description("_p", rules).alias("description"), extract_tags("_c", rules).alias("tags"),
+        extract_specs("_c", rules).alias("specs"), extract_facilities("html", rules).alias("facilities"),
+        extract_agent("url", "_c", rules, "html").alias("agent"), extract_images("html", rules).alias("images"), "url",
+        F.date_format(extract_modified(paragraphs("html", rules), rules), "yyyy-MM-dd'T'HH:mm:ss").alias("last_modified"),
         F.date_format(F.current_timestamp() if scraped_at is None else scraped_at, "yyyy-MM-dd'T'HH:mm:ss").alias("scraped_at"),
     )

@@ -161,7 +161,7 @@ PAGE_FIELDS: dict[str, str] = {
     "installment_text": f"CASE WHEN {K} % 3 = 0 THEN NULL ELSE 'Cicilan Rp ' || {_s(f'1 + {K} % 40')} || ',5 Jutaan' END",
     "address": f"CASE WHEN {K} % 11 = 0 THEN NULL ELSE 'Area ' || {_s('o_custkey % 25')} || ', Bogor' END",
     "date_text": f"'Diperbarui ' || {_s(f'1 + {K} % 31')} || ' ' || " + pick(K, MONTHS) + f" || ' ' || {_s(f'2020 + {K} % 4')} || ' oleh Agen'",
-    "description": f"CASE WHEN {K} % 8 = 0 THEN NULL ELSE 'Rumah nomor ' || {_s('o_custkey')} || ' cepat' END",
+    "description": f"CASE WHEN {K} % 8 = 0 THEN NULL ELSE 'Rumah nomor ' || {_s('o_custkey')} || ' café – cepat & <b> baru' END",
     "tag_a": pick(K, ["KPR", "Bisa Nego", "Promo"]),
     "tag_b": pick(K, ["SHM", "Siap Huni"]),
     "land": f"{_s(f'40 + {K} % 300')} || ' m²'",
@@ -187,11 +187,13 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     quoted = F.replace(F.replace("image", F.lit(" "), F.lit("%20")), F.lit("/"), F.lit("%2F"))
     spec = lambda name, c: F.concat(F.lit(f'<div class="row mb-4"><p>{name}</p><p class="v">'), F.col(c), F.lit("</p></div>"))
     html = F.concat(
-        F.lit('<!DOCTYPE html>\n<html><body><nav><a href="/properti/bogor/hos1/">x</a></nav><div class="ui-container">\n<div><span>'),
+        F.lit('<!DOCTYPE html>\n<html><body><nav><a href="/properti/bogor/hos1/">x</a><a title="Beranda" href="/">Home</a>'
+              '<a href="../../../properti/depok/hos2/?a=../b">y</a><p>Menu</p><ul><li>Home</li><li>KPR</li></ul></nav>\n'
+              '<div class="promo"><span>Promo Rp 99 Juta</span><p>Cicilan Rp 9 Jutaan</p><div class="mb-4"><p>Promo</p><p>99</p></div></div><div class="ui-container">\n<div><span>'),
         F.col("price_text"), F.lit("</span></div>\n"), opt("installment_text", "<p class='c'>", "</p>"),
         F.lit("<div><h1>Dijual\nRumah</h1>"), opt("address", "<p>", "</p>"), F.when(F.col("address").isNull(), F.lit("<p></p>")).otherwise(F.lit("")),
         F.lit("<p>"), F.col("date_text"), F.lit("</p><ul><li> "), F.col("tag_a"), F.lit(" </li><li>"), F.col("tag_b"),
-        F.lit("</li></ul></div>\n"), opt("description", "<div><p>Deskripsi</p><p class='d'>", "</p></div>\n"),
+        F.lit("</li></ul></div>\n"), opt("_text", "<div><p>Deskripsi</p><p class='d'>", "</p></div>\n"),
         F.lit("<div><p>Spesifikasi</p><div>"), spec("Luas Tanah", "land"), spec("Kamar Tidur", "beds"), spec("Kamar Tidur", "beds"),
         F.lit('<div class="mb-4"><p>Hanya satu</p></div></div></div>\n<div id="property-facility"><p><span> '), F.col("facility"),
         F.lit("</span></p><p><span>Wi-Fi &amp; TV</span></p></div>\n"),
@@ -199,6 +201,11 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         opt("company_name", '<div class="flex-grow"><a title="', '" href="https://firm.example.com/x">b</a></div>'),
         opt("phone", '<button name="phone" title="', '">Call</button>'),
         F.lit('<img alt="front" srcset="/_next/image?url='), quoted, F.lit('%26w%3D1&amp;w=640 1x, /_next/image?url='), quoted, F.lit('&amp;w=1080 2x">'),
-        F.lit('<img alt="map" srcset="/i?url=https%3A%2F%2Fm%2Fcustomer%2Fz 1x, y 2x"></div></body></html>'),
+        F.lit('<img alt="map" srcset="/i?url=https%3A%2F%2Fm%2Fcustomer%2Fz 1x, y 2x"></div>'
+              '<footer><p>Spesifikasi situs</p><div class="mb-4"><p>Kontak</p><p>Kami</p></div><ul><li>Tentang</li></ul>'
+              '<div class="flex-grow"><a title="Situs" href="/s">s</a></div></footer></body></html>'),
     )
-    return page_fields(spark, sf_dir).select("url", html.alias("html"))
+    escaped = F.col("description")
+    for ch, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&#62;"), ("é", "&eacute;"), ("–", "&#x2013;")):
+        escaped = F.replace(escaped, F.lit(ch), F.lit(entity))
+    return page_fields(spark, sf_dir).withColumn("_text", escaped).select("url", html.alias("html"))

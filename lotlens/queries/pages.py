@@ -8,7 +8,7 @@ from .registry import query, table
 
 # layout of the given pages
 GIVEN = extract.SITE.but(
-    detail_has="/en", detail_not=",",
+    detail_has="/en", detail_not=",", container="", tag_list="",
     address=r"(?s)<h1(?:\s[^>]*)?>.*?</h1>.*?<p(?:\s[^>]*)?>(?:<[a-oq-z][^>]*>)*([^<]*)",
     description_word="<b>",
     tag=r"<li(?:\s[^>]*)?>(?:<[a-km-z][^>]*>)*([^<]+)<",
@@ -43,6 +43,13 @@ def _(spark, d):
     return extract.frontier(extract.extract_links(pages, GIVEN), pages)
 
 
+@query("h02c_links_with_dots", PAGE_CTE + """
+SELECT url AS page_url, unnest(['/properti/bogor/hos1/', '../../../properti/depok/hos2/?a=../b']) AS href,
+unnest(['https://www.example.com/properti/bogor/hos1/', 'https://www.example.com/properti/depok/hos2/?a=../b']) AS url FROM page""")
+def _(spark, d):
+    return extract.extract_links(listing_pages(spark, d))
+
+
 @query("h03_url_id", "SELECT page_id, regexp_extract(url, '([^/]+)/*$', 1) AS id FROM pages")
 def _(spark, d):
     return table(spark, d, "pages").select("page_id", extract.url_id("url").alias("id"))
@@ -56,12 +63,12 @@ def _(spark, d):
 
 @query("h05_extract_price", PAGE_CTE + f" SELECT url, {PRICE_SQL} AS price FROM page")
 def _(spark, d):
-    return listing_pages(spark, d).select("url", extract.extract_price("html").alias("price"))
+    return listing_pages(spark, d).select("url", extract.extract_price(extract.container("html")).alias("price"))
 
 
 @query("h06_extract_installment", PAGE_CTE + f" SELECT url, {PRICE.format('installment_text')} AS installment FROM page")
 def _(spark, d):
-    return listing_pages(spark, d).select("url", extract.extract_installment(extract.paragraphs("html")).alias("installment"))
+    return listing_pages(spark, d).select("url", extract.extract_installment(extract.paragraphs(extract.container("html"))).alias("installment"))
 
 
 UNESC = "replace(replace(replace(replace(replace(replace({0}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&')"
@@ -96,7 +103,7 @@ def _(spark, d):
 
 @query("h11_extract_specs", PAGE_CTE + " SELECT url, land, beds, 2 AS n FROM page")
 def _(spark, d):
-    s = listing_pages(spark, d).select("url", extract.extract_specs("html").alias("s"))
+    s = listing_pages(spark, d).select("url", extract.extract_specs(extract.container("html")).alias("s"))
     return s.select("url", F.col("s")["Luas Tanah"].alias("land"), F.col("s")["Kamar Tidur"].alias("beds"), F.size("s").alias("n"))
 
 
@@ -104,7 +111,7 @@ def _(spark, d):
 SELECT url, agent_name, CASE WHEN agent_name IS NOT NULL THEN 'https://www.example.com/agen/1' END AS agent_url, phone, company_name,
 CASE WHEN company_name IS NOT NULL THEN 'https://firm.example.com/x' END AS company_url FROM page""")
 def _(spark, d):
-    a = listing_pages(spark, d).select("url", extract.extract_agent("url", "html").alias("a"))
+    a = listing_pages(spark, d).select("url", extract.extract_agent("url", extract.container("html"), page="html").alias("a"))
     return a.select(
         "url", F.col("a.name").alias("agent_name"), F.col("a.url").alias("agent_url"), "a.phone",
         F.col("a.company.name").alias("company_name"), F.col("a.company.url").alias("company_url"))

@@ -89,7 +89,7 @@ def test_lookup_duplicates_multiply(spark):
 
 # -- pages -------------------------------------------------------------------
 
-PAGE = """<html><div class="ui-container"><div><span class="p">Rp 1,5 Miliar</span></div><p>Cicilan : <b>Rp 9,8</b> Jutaan</p>
+PAGE = """<html><nav><p>m</p><ul><li>Home</li></ul><a title="Beranda" href="/">h</a></nav><div><span>Rp 99 Juta</span><div class="mb-4"><p>P</p><p>9</p></div></div><div class="ui-container"><div><span class="p">Rp 1,5 Miliar</span></div><p>Cicilan : <b>Rp 9,8</b> Jutaan</p>
 <div><h1>Rumah</h1><p>Cibinong, Bogor</p><p>Diperbarui 7 Agustus 2023 oleh X</p></div><div><p>T</p><ul><li> KPR </li><li>SHM</li></ul></div>
 <div><p>Deskripsi</p><p>Bagus &amp; murah</p></div><div><p>Spesifikasi</p><div><div class="a mb-4 b"><p>K</p><p>1</p></div>
 <div class="mb-4"><p>K</p><p>2</p></div><div class="mb-4"><p>only</p></div></div></div>
@@ -116,7 +116,7 @@ def test_page(spark):
 
 def test_long_paragraph_does_not_overflow(spark):
     text = "kata " * 200_000
-    pages = spark.createDataFrame([("https://s/properti/x/h", f"<h1>a</h1><p>b</p><p>Deskripsi</p><p>{text}</p>")], "url string, html string")
+    pages = spark.createDataFrame([("https://s/properti/x/h", f"<div class='ui-container'><h1>a</h1><p>b</p><p>Deskripsi</p><p>{text}</p></div>")], "url string, html string")
     assert extract.pages_to_listings(pages).first().description == text
 
 
@@ -126,9 +126,15 @@ def test_prices_and_dates(rows):
     assert rows([("x 7 Agustus 2023",), ("31 Februari 2023",), ("1 May 2020",)], "c string", extract.parse_id_date("c")) == [(d(2023, 8, 7),), (None,), (None,)]
 
 
+def test_entities(rows):
+    texts = {"caf&eacute; &#8211; &#x20AC; ok": "café – € ok", "&amp;lt; &lt;": "&lt; <", "&nosuch; &": "&nosuch; &", "a&#38;#60;": "a&#60;"}
+    assert [r[0] for r in rows([(t,) for t in texts], "c string", extract.unescape("c"))] == list(texts.values())
+
+
 def test_resolve(rows):
     base = "https://h.id/a/b?x=1#f"
-    hrefs = {"/c": "https://h.id/c", "c": "https://h.id/a/c", "//o.id/x": "https://o.id/x", "http://z/": "http://z/", "?q": "https://h.id/a/b?q", "#t": "https://h.id/a/b?x=1#t"}
+    hrefs = {"/c": "https://h.id/c", "c": "https://h.id/a/c", "//o.id/x": "https://o.id/x", "http://z/": "http://z/", "?q": "https://h.id/a/b?q", "#t": "https://h.id/a/b?x=1#t",
+             "../d": "https://h.id/d", "./d/../e/": "https://h.id/a/e/", "..": "https://h.id/", "/x/./y/..": "https://h.id/x/", "/q?a=../b": "https://h.id/q?a=../b"}
     got = rows([(base, h) for h in hrefs], "b string, h string", extract.resolve("b", "h"))
     assert [r[0] for r in got] == list(hrefs.values())
 
