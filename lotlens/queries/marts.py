@@ -83,11 +83,29 @@ def districts(spark, d):
 
 DISTRICT_CTE = """district AS (SELECT n_name AS source, 'NATION_' || (n_nationkey + 1) % 25 AS target FROM nation WHERE n_nationkey % 3 = 1
   UNION ALL SELECT n_name, 'NATION_Z' FROM nation WHERE n_nationkey = 4)"""
-SPEC_SQL = f"""spec AS (SELECT id, CAST(TRY_CAST(rtrim(luas_tanah, ' m²') AS FLOAT) AS DOUBLE) AS luas_tanah,
-  coalesce(CAST(TRY_CAST(rtrim(lebar_jalan, ' Mobil') AS FLOAT) AS DOUBLE), 0) AS lebar_jalan, coalesce(TRY_CAST(kamar_tidur AS INT), 1) AS kamar_tidur,
-  CASE WHEN sertifikat ILIKE '%ppjb%' OR sertifikat ILIKE '%lainnya%' THEN 'Lainnya' ELSE sertifikat END AS sertifikat,
-  {_condition_sql('kondisi_properti')} AS kondisi_properti, coalesce(CAST(ruang_tamu = 'Ya' AS INT), 1) AS ruang_tamu FROM raw)"""
-HOUSE_SQL = """house AS (SELECT id, price, installment, coalesce(description, '') AS description, coalesce(target, sub) AS subdistrict, city, url
+def _spec_sql(name: str) -> str:
+    """Checking SQL of one spec column, defaults included."""
+    if name in v.SPEC_AREA_KEYS:
+        e = f"CAST(TRY_CAST(rtrim({name}, '{v.SPEC_AREA_KEYS[name]}') AS FLOAT) AS DOUBLE)"
+    elif name in v.SPEC_INT_KEYS:
+        e = f"TRY_CAST({name} AS INT)"
+    elif name == "daya_listrik":
+        e = "CAST(TRY_CAST(replace(rtrim(lower(daya_listrik), 'watt'), 'lainnya', '0') AS FLOAT) AS DOUBLE)"
+    elif name == "sertifikat":
+        e = "CASE WHEN sertifikat ILIKE '%ppjb%' OR sertifikat ILIKE '%lainnya%' THEN 'Lainnya' ELSE sertifikat END"
+    elif name in ("kondisi_properti", "kondisi_perabotan"):
+        e = _condition_sql(name)
+    elif name in v.SPEC_FLAG_KEYS:
+        return f"coalesce(CAST({name} = 'Ya' AS INT), {v.FLAG_DEFAULTS[name]})"
+    else:
+        e = name
+    return f"coalesce({e}, {v.SPEC_DEFAULTS[name]})" if name in v.SPEC_DEFAULTS else e
+
+
+SPEC_SQL = "spec AS (SELECT id, " + ", ".join(f"{_spec_sql(n)} AS {n}" for n in plan.SPEC_OUT) + " FROM raw)"
+SPEC_COLUMNS = ", ".join(f"spec.{n}" for n in plan.SPEC_OUT)
+HOUSE_SQL = """house AS (SELECT id, price, installment, coalesce(description, '') AS description, coalesce(target, sub) AS subdistrict, city, url,
+  strftime(TRY_CAST(last_modified AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS last_modified
   FROM (SELECT *, string_split(address, ', ')[1] AS sub, string_split(address, ', ')[2] AS city FROM raw WHERE price IS NOT NULL) h
   LEFT JOIN {0} district ON sub = source)"""
 FIRST_DISTRICT = "(SELECT source, min(target) AS target FROM district GROUP BY source)"
@@ -113,27 +131,38 @@ def _materials(column, name):
 img AS (SELECT DISTINCT id, image_url FROM (SELECT id, unnest(images) AS image_url FROM raw))
 SELECT house.id AS house_id, {_sk('area.subdistrict', 'area.district', 'area.city', 'area.province')} AS area_sk,
 {_sk('agency')} AS agent_company_sk, round(price * 1000000, 2) AS price, round(installment * 1000000, 2) AS installment,
-spec.kamar_tidur, spec.luas_tanah, spec.lebar_jalan, spec.sertifikat, spec.kondisi_properti, spec.ruang_tamu, image_url
+{SPEC_COLUMNS}, description, last_modified, url, image_url
 FROM house JOIN spec ON spec.id = house.id LEFT JOIN img ON img.id = house.id LEFT JOIN area ON house.subdistrict = area.subdistrict
 LEFT JOIN company ON company.id = house.id""")
 def _(spark, d):
     f = plan.fact_houses(raw_listings(spark, d), districts(spark, d), areas(spark, d))
-    return f.select(
-        "house_id", "area_sk", "agent_company_sk", F.round("price", 2).alias("price"), F.round("installment", 2).alias("installment"),
-        "kamar_tidur", F.col("luas_tanah").cast("double").alias("luas_tanah"), F.col("lebar_jalan").cast("double").alias("lebar_jalan"),
-        "sertifikat", "kondisi_properti", "ruang_tamu", "image_url")
+    return _plain(f)
 
 
-COUNT_SQL = f"""counts AS (SELECT subdistrict, CAST(sum(CASE WHEN category = 'sustenance' THEN 1 ELSE 0 END) AS BIGINT) AS sustenance,
-  CAST(sum(CASE WHEN category = 'education' THEN 1 ELSE 0 END) AS BIGINT) AS education, CAST(sum(CASE WHEN category = 'other' THEN 1 ELSE 0 END) AS BIGINT) AS other
-  FROM (SELECT subdistrict, {AMENITY_SQL} AS category FROM placed) GROUP BY subdistrict)"""
+def _plain(df):
+    """Sums rounded, parsed single-precision numbers as doubles, times as text, lists joined."""
+    def one(name, kind):
+        if name in ("price", "installment"):
+            return F.round(name, 2).alias(name)
+        if kind == "float":
+            return F.col(name).cast("double").alias(name)
+        if kind == "timestamp":
+            return F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)
+        return F.array_join(name, "|").alias(name) if kind.startswith("array") else F.col(name)
+
+    return df.select(*[one(n, k) for n, k in df.dtypes])
+
+
+COUNT_SQL = "counts AS (SELECT subdistrict, " + ", ".join(
+    f"CAST(sum(CASE WHEN category = '{c}' THEN 1 ELSE 0 END) AS BIGINT) AS {c}" for c in v.CATEGORY_NAMES
+) + f" FROM (SELECT subdistrict, {AMENITY_SQL} AS category FROM placed) GROUP BY subdistrict)"
 
 
 @query("j04_wide_listings", RAW_CTE + f""", {DISTRICT_CTE}, {AREA_CTE}, {POINT_CTE}, {COUNT_SQL}, {SPEC_SQL},
 {HOUSE_SQL.format(FIRST_DISTRICT)}, {FACILITY_SQL}, {TAG_SQL}, {_materials('material_bangunan', 'wall')}, {_materials('material_lantai', 'floor')}
 SELECT house.id, round(price * 1000000, 2) AS price, round(installment * 1000000, 2) AS installment, house.subdistrict, house.city, description, url,
-kamar_tidur, luas_tanah, kondisi_properti, t.tags, f.facilities, w.house_materials, l.floor_materials, array_to_string(images, '|') AS image_urls,
-counts.sustenance, counts.education FROM house JOIN spec ON spec.id = house.id JOIN (SELECT id, images FROM raw) ri ON ri.id = house.id
+{SPEC_COLUMNS}, t.tags, f.facilities, w.house_materials, l.floor_materials, array_to_string(images, '|') AS image_urls,
+{", ".join(f"counts.{c} AS amenities_{c}" for c in v.CATEGORY_NAMES)} FROM house JOIN spec ON spec.id = house.id JOIN (SELECT id, images FROM raw) ri ON ri.id = house.id
 LEFT JOIN (SELECT id, string_agg(tag, '|' ORDER BY pos, sub) AS tags FROM tag WHERE tag IS NOT NULL GROUP BY id) t ON t.id = house.id
 LEFT JOIN (SELECT id, string_agg(facility, '|' ORDER BY pos) AS facilities FROM facility GROUP BY id) f ON f.id = house.id
 LEFT JOIN (SELECT id, string_agg(wall, '|' ORDER BY pos) AS house_materials FROM wall GROUP BY id) w ON w.id = house.id
@@ -142,11 +171,7 @@ LEFT JOIN counts ON house.subdistrict = counts.subdistrict""")
 def _(spark, d):
     counts = plan.amenity_area_counts(amenities(spark, d), areas(spark, d), v.CATEGORY_NAMES)
     w = plan.wide_listings(raw_listings(spark, d), districts(spark, d), counts)
-    lists = ["tags", "facilities", "house_materials", "floor_materials", "image_urls"]
-    return w.select(
-        "id", F.round("price", 2).alias("price"), F.round("installment", 2).alias("installment"), "subdistrict", "city",
-        "description", "url", "kamar_tidur", F.col("luas_tanah").cast("double").alias("luas_tanah"), "kondisi_properti",
-        *[F.array_join(c, "|").alias(c) for c in lists], "amenities.sustenance", "amenities.education")
+    return _plain(w.select("*", *[F.col(f"amenities.{c}").alias(f"amenities_{c}") for c in v.CATEGORY_NAMES]).drop("amenities"))
 
 
 @query("a02b_dimensions", RAW_CTE + f""", {FACILITY_SQL}, {TAG_SQL}, {_materials('material_bangunan', 'wall')}, {_materials('material_lantai', 'floor')}, {COMPANY_SQL},
@@ -212,9 +237,10 @@ def _(spark, d):
 
 @query("p25b_agents", RAW_CTE + f"""
 SELECT id AS reference_id, sha256(concat(agent_name, agent_phone)) AS agent_hash,
+array_to_string(list_transform(string_split(agent_name, ' '), lambda w: w[1] || repeat('x', length(w) - 1)), ' ') AS name,
 CASE WHEN length(agent_phone) >= 3 THEN repeat('x', length(agent_phone) - 3) || right(agent_phone, 3) END AS phone FROM raw""")
 def _(spark, d):
-    return plan.stg_agents(raw_listings(spark, d)).select("reference_id", "agent_hash", "phone")
+    return plan.stg_agents(raw_listings(spark, d))
 
 
 @query("p03b_specs_from_map", RAW_CTE + " SELECT id AS reference_id, luas_tanah, konsep_dan_gaya_rumah, hook FROM raw")
@@ -270,7 +296,7 @@ def _(spark, d):
 @query("j05b_area_counts", f"WITH {AREA_CTE}, {POINT_CTE}, {COUNT_SQL} SELECT * FROM counts")
 def _(spark, d):
     c = plan.amenity_area_counts(amenities(spark, d), areas(spark, d))
-    return c.select("subdistrict", "amenities.sustenance", "amenities.education", "amenities.other")
+    return c.select("subdistrict", "amenities.*")
 
 
 @query("j05c_fact_amenities", f"""WITH {AREA_CTE}, {POINT_CTE} SELECT md5(amenity) AS amenity_sk, {_sk('subdistrict', 'district', 'city', 'province')} AS area_sk,
