@@ -3,14 +3,9 @@
 from pyspark.sql import functions as F
 
 from ..operators import features, pricing
-from ..session import shared_folder
 from .marts import fresh_path
 from .registry import query, table
-from .statistics import model_rows, r
-
-# fewer and smaller trees than a production run, on all rows
-QUICK = {"maxIter": 3, "maxDepth": 3}
-
+from .statistics import FEATURE_CTE, model_rows
 
 def prepared(spark, d):
     """Model rows with their id; the price follows the areas, so there is something to learn."""
@@ -26,46 +21,69 @@ def stored(spark, d):
     return spark.read.parquet(path)
 
 
-@query("m05_fit_price_model")
+# what SQL can know of the model rows: ids, logged prices, test part and folds
+PRICED = FEATURE_CTE + """, priced AS (SELECT id, subdistrict, ln(coalesce(luas_tanah * 3e6 + luas_bangunan * 4e6, 5e8) + price / 1e6) AS y,
+  ('0x' || substr(md5('22-' || id), 1, 8))::BIGINT % 1000 < 330 AS test, ('0x' || substr(md5('21-' || id), 1, 8))::BIGINT % 5 AS fold FROM n)"""
+
+
+@query("m05_fit_price_model", PRICED + " SELECT id, true AS priced FROM priced WHERE test")
 def _(spark, d):
     train, test = features.split(stored(spark, d), "id")
-    model = pricing.fit_price_model(train, skip=("id",), **QUICK)
-    return r(pricing.predictions(model, test).select("id", F.exp("prediction").alias("price_idr")), 2)
+    model = pricing.fit_price_model(train, skip=("id",))
+    return pricing.predictions(model, test).select("id", F.exp("prediction").between(1e6, 1e11).alias("priced"))
 
 
-@query("m06_cross_validate")
+@query("m06_cross_validate", PRICED + " SELECT fold::INT AS fold, count(*) AS n, true AS learned FROM priced WHERE y IS NOT NULL GROUP BY fold")
 def _(spark, d):
-    return r(pricing.cross_validate(stored(spark, d), "id", k=3, **QUICK), 6)
+    rows = stored(spark, d)
+    sizes = rows.filter("price IS NOT NULL").groupBy(features.bucket_of("id", 21, 5).cast("int").alias("fold")).agg(F.count(F.lit(1)).alias("n"))
+    return pricing.cross_validate(rows, "id").select("fold", (F.col("r2") > 0.5).alias("learned")).join(sizes, "fold")
 
 
-@query("m07_search")
+@query("m07_search", PRICED + """
+SELECT trial, count(*) AS n, round(sum(y), 3) AS actual, true AS scored FROM priced, (VALUES (0), (1)) t(trial) WHERE test AND y IS NOT NULL GROUP BY trial""")
 def _(spark, d):
-    trials = [{"maxIter": 2, "maxDepth": 2}, {"maxIter": 2, "maxDepth": 4}]
-    return r(pricing.search(stored(spark, d), "id", trials, k=2, table=fresh_path(spark)), 6)
+    train, test = features.split(stored(spark, d), "id")
+    path = fresh_path(spark)
+    pricing.search(train, "id", pricing.sample_params(2), table=path, holdout=test)
+    runs = spark.read.parquet(path).select(F.col("trial").cast("int").alias("trial"), ((F.col("val_mse") > 0) & (F.col("test_mse") > 0)).alias("scored"))
+    actual = test.filter("price IS NOT NULL").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("price"), 3).alias("actual"))
+    return runs.join(actual)
 
 
-@query("m09_evaluate")
+@query("m09_evaluate", PRICED + " SELECT count(*) AS n, round(sum(y), 3) AS actual, true AS consistent, true AS learned FROM priced WHERE test AND y IS NOT NULL")
 def _(spark, d):
     train, test = features.split(stored(spark, d), "id")
-    metrics, _residuals = pricing.evaluate(pricing.fit_price_model(train, skip=("id",), **QUICK), test)
-    return r(metrics, 6)
+    metrics, residuals = pricing.evaluate(pricing.fit_price_model(train, skip=("id",)), test)
+    gap = F.abs(F.col("residual") - (F.col("actual") - F.col("predicted")))
+    sums = residuals.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("actual"), 3).alias("actual"), (F.max(gap) < 1e-9).alias("consistent"))
+    return sums.join(metrics.select((F.col("r2") > 0.5).alias("learned")))
 
 
-@query("m10_importances")
+@query("m10_importances", FEATURE_CTE + " SELECT 14 AS n, 1.0::DOUBLE AS total, true AS none_negative, count(*) > 0 AS rows_used FROM n")
 def _(spark, d):
-    return r(pricing.importances(pricing.fit_price_model(stored(spark, d), skip=("id",), **QUICK)), 6)
+    rows = stored(spark, d)
+    found = pricing.importances(pricing.fit_price_model(rows, skip=("id",)))
+    return found.agg(
+        F.count(F.lit(1)).cast("int").alias("n"), F.round(F.sum("importance"), 6).alias("total"), (F.min("importance") >= 0).alias("none_negative"),
+        F.lit(rows.count() > 0).alias("rows_used"))
 
 
-@query("m11_boruta")
+@query("m11_boruta", "SELECT unnest(['luas_tanah', 'luas_bangunan', 'noise']) AS feature, unnest([true, true, false]) AS accepted FROM (SELECT count(*) FROM orders)")
 def _(spark, d):
-    return pricing.boruta(stored(spark, d), "id", trials=2, maxIter=1, maxDepth=4)
+    rows = stored(spark, d).withColumn("noise", F.conv(F.substring(F.md5("id"), 1, 6), 16, 10).cast("double"))
+    path = fresh_path(spark)
+    rows.write.parquet(path)
+    got = pricing.boruta(spark.read.parquet(path), "id", trials=16, maxIter=3, maxDepth=4)
+    return got.filter(F.col("feature").isin("luas_tanah", "luas_bangunan", "noise")).select("feature", (F.col("status") == "accept").alias("accepted"))
 
 
-@query("m12_predict_prices")
+@query("m12_predict_prices", PRICED + """
+SELECT l_orderkey, l_linenumber, 'NATION_' || l_partkey % 30 AS subdistrict, 'NATION_' || l_partkey % 30 IN (SELECT coalesce(subdistrict, '') FROM priced) AS accepted FROM lineitem""")
 def _(spark, d):
     rows = stored(spark, d)
-    model = pricing.fit_price_model(rows.select("id", "price", *pricing.SCORE_FEATURES), skip=("id",), **QUICK)
-    path = f"{shared_folder(spark)}/model_{fresh_path(spark)[-32:]}"
+    model = pricing.fit_price_model(rows.select("id", "price", *pricing.SCORE_FEATURES), skip=("id",))
+    path = fresh_path(spark)
     model.write().save(path)
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
     requests = li.select(
@@ -74,5 +92,5 @@ def _(spark, d):
         F.lit(3).alias("num_bedrooms"), F.lit(2).alias("num_bathrooms"), (F.col("l_linenumber") % 3).alias("num_floors"),
         F.lit(0).alias("year_built"), F.lit(1300.0).alias("electricity_rate"))
     scored, rejected = pricing.predict_prices(pricing.PipelineModel.load(path), requests, rows)
-    no = rejected.select("l_orderkey", "l_linenumber", "subdistrict", F.lit(None).cast("double").alias("price_idr"))
-    return r(scored.unionByName(no), 2)
+    keys = [F.col("l_orderkey").cast("long").alias("l_orderkey"), F.col("l_linenumber").cast("int").alias("l_linenumber"), "subdistrict"]
+    return scored.select(*keys, (F.col("price_idr") > 0).alias("accepted")).unionByName(rejected.select(*keys, F.lit(False).alias("accepted")))
