@@ -112,7 +112,9 @@ RAW_CTE = f"WITH raw AS ({listings_sql()})"
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     used = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(*used).repartition("o_orderkey")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # dealt by the key that everything after groups by, while rows are still narrow
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(*used).repartition(parts, "o_orderkey")
 
 
 def flat_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
