@@ -14,7 +14,6 @@ table gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 import zlib
 from bisect import bisect_left, insort
@@ -31,7 +30,7 @@ CAPACITY = 4096
 CLOSING_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Pieces of one length that one task ranks, about.
-RANK_ROWS = 2000
+RANK_ROWS = 256
 #: Lengths tried as further members of a pattern.
 PARTNERS = 24
 
@@ -49,13 +48,17 @@ class WordTokens:
     encoded once; any other text goes through the tokenizer whole.
     """
 
-    MEMORY = 300_000
+    MEMORY = 150_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.ids: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.last = np.zeros(self.whole.get_vocab_size(), dtype=bool)  # ids that end a word
+        for token, i in self.whole.get_vocab().items():
+            self.last[i] = token.endswith("</w>")
         letters, numbers = _plain_class("L"), _plain_class("N")
         # fixed value: the tokenizer's own splitting pattern, over the plain range
         self.words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+").findall
@@ -70,20 +73,35 @@ class WordTokens:
         try:
             return b"".join([ids[w] for w in words])
         except KeyError:
-            if len(ids) > self.MEMORY:
-                ids.clear()
-            for w in set(words).difference(ids):
-                w = sys.intern(w) if len(w) < 40 else w
-                ids[w] = np.array(self.whole.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            if len(ids) > self.MEMORY:  # words not met again for so long are forgotten
+                self.old, self.ids = ids, {}
+                ids = self.ids
+            missing = set(words).difference(ids)
+            old = self.old
+            ids.update([(w, old[w]) for w in missing if w in old])
+            self._learn([w for w in missing if w not in old])
             return b"".join([ids[w] for w in words])
 
+    def _learn(self, new: list[str]) -> None:
+        """Encode new words as one text and cut its ids where words end."""
+        if not new:
+            return
+        got = np.array(self.whole.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, dtype="<u4")
+        stops = np.flatnonzero(self.last[got]) + 1
+        if len(stops) != len(new):  # a word that the tokenizer cuts further
+            for w in new:
+                self.ids[w] = np.array(self.whole.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            return
+        raw, ends = got.tobytes(), (stops * 4).tolist()
+        self.ids.update(zip(new, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
     path = path or public_tokenizers.path(TOKENIZER)
     closing = np.array([CLOSING_ID], dtype="<u4").tobytes()
 
-    tokens: list[WordTokens] = []  # one per task
+    tokens: list[WordTokens] = []  # one per task, freed with it
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
         if not tokens:
