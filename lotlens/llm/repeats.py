@@ -9,7 +9,8 @@ distinct piece goes to a bucket by its anchor. A bucket's text is indexed as a r
 Burrows-Wheeler transform with samples at the ends of its runs; matching
 statistics (longest match with another place) are streamed from these samples, and windows matched in full
 length are marked. Anchors with very many distinct pieces (a passage in a large part of all documents, with
-different text around it) are not held in one task: their windows are counted by two independent 64-bit hashes.
+different text around it) are not held in one task: blocks of their windows, then the windows of distinct blocks, are
+counted by two independent 64-bit hashes.
 
 Edges: a null text is an empty one; texts shorter than `length` lose nothing; repeated rows are repeats of each other and
 a null doc_id is kept (rows equal in id and text are told apart only by their number); an empty
@@ -35,6 +36,8 @@ GRAM = 24
 BUCKET_BYTES = 2_000_000
 #: Distinct pieces of one anchor that go to one index at most.
 CROWD = 2000
+#: Windows of a block of a crowded anchor's piece.
+BLOCK = 8
 SLICE_BYTES = 2_000_000
 BREAK = 0xFF  # no byte of UTF-8
 
@@ -215,6 +218,58 @@ def runs_of(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(first.tolist(), (np.flatnonzero(edge == -1) - first).tolist()))
 
 
+# -- crowded anchors -----------------------------------------------------------
+
+def blocks_of(raw: bytes, n: int, anchor: int, length: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """(first window, windows, two hashes) of the piece's blocks of BLOCK windows, counted from the anchor.
+
+    Equal windows lie at the same place from their anchor, hence in blocks of the same number.
+    """
+    data = np.frombuffer(raw, dtype=np.uint8)
+    first, second = Rolling(data, 0), Rolling(data, 1)
+    at = np.arange(len(data) - gram + 1)
+    place = int(np.argmax(first.of(at, at + gram).view(np.int64) == anchor))  # a window takes the leftmost gram of its anchor's hash
+    window = np.arange(n)
+    start = np.flatnonzero(np.r_[True, np.diff((window - place) // BLOCK) != 0])
+    count = np.diff(np.r_[start, n])
+    number = ((start - place).astype(np.int64)).view(np.uint64)
+    return start, count, *(mixed(h.of(start, start + count + length - 1) + number).view(np.int64) for h in (first, second))
+
+
+def _crowded_marks(pieces: DataFrame, length: int) -> DataFrame:
+    """Repeated windows (anchor, digest, at, windows) of anchors with very many distinct pieces.
+
+    Pieces fall into blocks; a block that occurs twice is repeated as a whole, and of each distinct block one
+    copy is spelled out in windows, which are counted over all distinct blocks.
+    """
+    def cut(f: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for a, d, c, n, raw in zip(f["anchor"], f["digest"], f["copies"], f["n"], f["bytes"]):
+            start, count, one, two = blocks_of(raw, n, a, length)
+            out.append(pd.DataFrame({"anchor": a, "digest": d, "at": start, "windows": count, "h1": one, "h2": two, "copies": c}))
+        return pd.concat(out, ignore_index=True)
+
+    blocks = written(map_rows(pieces, cut, "anchor long, digest long, at int, windows int, h1 long, h2 long, copies long"))
+    distinct = written(blocks.groupBy("h1", "h2").agg(F.sum("copies").alias("seen"), F.min(F.struct("anchor", "digest", "at", "windows")).alias("first")))
+    again = blocks.join(distinct.filter("seen > 1").select("h1", "h2"), ["h1", "h2"], "left_semi").select("anchor", "digest", "at", "windows")
+    ones = distinct.select("first.*", "seen").groupBy("anchor", "digest").agg(F.collect_list(F.struct("at", "windows", "seen")).alias("cuts"))
+
+    def spell(f: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for a, d, raw, cuts in zip(f["anchor"], f["digest"], f["bytes"], f["cuts"]):
+            data = np.frombuffer(raw, dtype=np.uint8)
+            at = np.concatenate([np.arange(c["at"], c["at"] + c["windows"]) for c in cuts])
+            seen = np.concatenate([np.full(c["windows"], c["seen"]) for c in cuts])
+            one, two = (Rolling(data, k).of(at, at + length).view(np.int64) for k in (0, 1))
+            out.append(pd.DataFrame({"anchor": a, "digest": d, "at": at, "seen": seen, "h1": one, "h2": two}))
+        return pd.concat(out, ignore_index=True)
+
+    spelled = written(map_rows(pieces.join(ones, ["anchor", "digest"]).select("anchor", "digest", "bytes", "cuts"), spell, "anchor long, digest long, at int, seen long, h1 long, h2 long"))
+    twice = spelled.groupBy("h1", "h2").agg(F.sum("seen").alias("n")).filter("n > 1").select("h1", "h2")
+    single = spelled.filter("seen = 1").join(twice, ["h1", "h2"], "left_semi").select("anchor", "digest", "at", F.lit(1).alias("windows"))
+    return again.unionByName(single)
+
+
 # -- the job ---------------------------------------------------------------------
 
 def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -273,17 +328,7 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .groupBy("bucket").applyInPandas(index, found_schema)
     )
 
-    def spell(f: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for a, d, c, n, raw in zip(f["anchor"], f["digest"], f["copies"], f["n"], f["bytes"]):
-            data, at = np.frombuffer(raw, dtype=np.uint8), np.arange(n)
-            one, two = (Rolling(data, k).of(at, at + length).view(np.int64) for k in (0, 1))
-            out.append(pd.DataFrame({"anchor": a, "digest": d, "at": at, "h1": one, "h2": two, "copies": c}))
-        return pd.concat(out, ignore_index=True)
-
-    spelled = map_rows(copied.filter(F.col("kinds") > CROWD), spell, "anchor long, digest long, at int, h1 long, h2 long, copies long")
-    seen = spelled.groupBy("h1", "h2").agg(F.sum("copies").alias("seen")).filter("seen > 1").select("h1", "h2")
-    crowded = spelled.join(seen, ["h1", "h2"], "left_semi").select("anchor", "digest", "at", F.lit(1).alias("windows")).distinct()
+    crowded = _crowded_marks(copied.filter(F.col("kinds") > CROWD).dropDuplicates(["anchor", "digest"]), length)
     marks = written(indexed.unionByName(crowded))
 
     mixed_rows = open_.join(marks, ["anchor", "digest"]).select(*row, (F.col("start") + F.col("at")).alias("start"), "windows")
