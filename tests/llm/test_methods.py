@@ -127,6 +127,34 @@ def test_near_duplicates(spark, monkeypatch):
     assert left <= crowded and len(crowded) <= len(left) + 2
 
 
+def test_near_duplicates_of_equal_shingles(spark):
+    """Punctuation and repeats change no shingle set, but a fingerprint of whitespace words by far more than 20 bits."""
+    rng = random.Random(4)
+    rows = []
+    for _ in range(4):
+        base = [f"v{rng.randrange(10**6)}" for _ in range(200)]
+        for share in (0, 0.1, 0.2, 0.3, 0.5, 1):
+            rows.append(" ".join(w + rng.choice(",.;!?") if rng.random() < share else w for w in base))
+        block = [f"v{rng.randrange(10**6)}" for _ in range(60)]
+        rows += [" ".join([*base, *block * k]) for k in (2, 9, 40)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in neardup.deduplicate(df).collect()) == [i for i in range(len(rows)) if i % 9 in (0, 6)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_connected_is_brute_force(seed):
+    rng = np.random.default_rng(seed)
+    base = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (5, 40, 40, 200)]
+    sets = [b[rng.random(len(b)) < 0.93] for b in base for _ in range(25)] + [base[0][:0]] * 3
+    root = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if neardup.similar(sets[i], sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    assert neardup.connected(sets).tolist() == root
+
+
 def test_base_spans(texts):
     rng = random.Random(2)
     odd = ["".join(rng.choice("ab@.-+ 0123456789()%\n") for _ in range(rng.randrange(80))) for _ in range(4000)]
