@@ -141,6 +141,30 @@ def test_near_duplicates_of_equal_shingles(spark):
     assert sorted(r["doc_id"] for r in neardup.deduplicate(df).collect()) == [i for i in range(len(rows)) if i % 9 in (0, 6)]
 
 
+def test_near_duplicates_of_a_large_cluster(spark, monkeypatch):
+    """Pairs of texts that share a template: one cluster, whose orders are cut into many short pieces."""
+    rng = random.Random(6)
+    template = [f"t{i}" for i in range(130)]
+    rows = []
+    for _ in range(110):
+        own = template + [f"v{rng.randrange(10**6)}" for _ in range(170)]
+        near = list(own)
+        for k in rng.sample(range(130, 300), 6):
+            near[k] = f"z{rng.randrange(10**6)}"
+        rows += [" ".join(own), " ".join(near)]
+    sets = neardup.shingle_hashes(rows)
+    left = {i for i in range(len(rows)) if not any(neardup.similar(sets[i], sets[j]) for j in range(i))}
+    assert len(left) < 150
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(neardup, "CLUSTER_ROWS", 16)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        assert {r["doc_id"] for r in neardup.deduplicate(df).collect()} == left
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_connected_is_brute_force(seed):
     rng = np.random.default_rng(seed)
