@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, packing, pii, quality, repeats, simhash, toxicity, urls
+from . import ann, chat, decontaminate, hardneg, linefreq, packing, pii, quality, repeats, simhash, stripes, toxicity, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,125 @@ WITH rest AS (
 )
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM ruled
 """
+
+
+@query
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, noisy)
+
+
+ORACLE["op11_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
+@query
+def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linefreq.judge(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_lines"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source AS host, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT r, list_filter(regexp_split_to_array(text, '[ 	-]+'), lambda x: x <> '') AS words FROM d
+), u AS (
+  SELECT r, unnest(words) AS w, unnest(range(len(words))) AS i FROM w
+), g AS (
+  SELECT r, i, w, lead(w) OVER t AS w2, lead(w, 2) OVER t AS w3 FROM u WINDOW t AS (PARTITION BY r ORDER BY i)
+), again AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, w, w2, w3) > 1 AND w3 IS NOT NULL AS twice FROM g
+), rep AS (
+  SELECT r, count(*) FILTER (twice OR coalesce(before, false) OR coalesce(before2, false)) AS n_repeat_words
+  FROM (SELECT *, lag(twice) OVER t AS before, lag(twice, 2) OVER t AS before2 FROM again WINDOW t AS (PARTITION BY r ORDER BY i)) GROUP BY r
+), l AS (
+  SELECT r, host, line, list_filter(regexp_split_to_array(line, '[ 	-]+'), lambda x: x <> '') AS words
+  FROM (SELECT r, host, unnest(string_split(text, chr(10))) AS line FROM d)
+), k AS (
+  SELECT r, host, line, len(words) AS words,
+         regexp_replace(translate(array_to_string(words, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g') AS norm
+  FROM l WHERE len(words) > 0
+), dup AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM k GROUP BY r
+), hosts AS (
+  SELECT host, count(DISTINCT (doc_id, text)) AS host_docs FROM d GROUP BY host
+), freq AS (
+  SELECT k.host, norm FROM k JOIN d USING (r) JOIN hosts ON hosts.host IS NOT DISTINCT FROM k.host
+  GROUP BY k.host, norm, host_docs
+  HAVING count(DISTINCT (doc_id, text)) > {linefreq.MIN_DOCS} AND count(DISTINCT (doc_id, text)) > {linefreq.MAX_SHARE}::DOUBLE * host_docs
+), gone AS (
+  SELECT r, CAST(sum(words) AS BIGINT) AS n_removed_words, count(*) AS n_removed_lines
+  FROM k JOIN freq ON freq.host IS NOT DISTINCT FROM k.host AND freq.norm = k.norm GROUP BY r
+), counts AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_removed_words, 0) AS n_removed_words, coalesce(n_removed_lines, 0) AS n_removed_lines
+  FROM d JOIN w USING (r) LEFT JOIN rep USING (r) LEFT JOIN dup USING (r) LEFT JOIN gone USING (r)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+       AND n_words - n_removed_words >= {linefreq.LEAST_LEFT}::DOUBLE * n_words AS kept
+FROM counts
+"""
+
+
+@query
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stripes.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_phrases"] = r"""
+WITH p AS (
+  SELECT row_number() OVER () AS p, lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda x: x <> '') AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece FROM documents)
+), u AS (
+  SELECT p, lang, unnest(words) AS w, unnest(range(len(words))) AS i FROM p
+), g AS (
+  SELECT lang, w, lead(w) OVER t AS w2, lead(w, 2) OVER t AS w3 FROM u WINDOW t AS (PARTITION BY p ORDER BY i)
+), f1 AS (
+  SELECT lang, w, count(*) AS f FROM g GROUP BY ALL
+), f2 AS (
+  SELECT lang, w, w2, count(*) AS f FROM g WHERE w2 IS NOT NULL GROUP BY ALL
+), f3 AS (
+  SELECT lang, w, w2, w3, count(*) AS f FROM g WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
+), n AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang
+), above AS (
+  SELECT lang, w, w2, max(f) AS above FROM (SELECT lang, w, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY ALL
+), cuts AS (
+  SELECT c.lang, c.w || ' ' || c.w2 AS phrase, 1 AS k, c.f AS a, x.f AS l, y.f AS r
+  FROM f2 c LEFT JOIN above USING (lang, w, w2) JOIN f1 x ON x.lang = c.lang AND x.w = c.w JOIN f1 y ON y.lang = c.lang AND y.w = c.w2
+  WHERE c.f >= 10 AND (above IS NULL OR 100 * above < 50 * c.f)
+  UNION ALL
+  SELECT c.lang, c.w || ' ' || c.w2 || ' ' || c.w3, 1, c.f, x.f, y.f
+  FROM f3 c JOIN f1 x ON x.lang = c.lang AND x.w = c.w JOIN f2 y ON y.lang = c.lang AND y.w = c.w2 AND y.w2 = c.w3
+  UNION ALL
+  SELECT c.lang, c.w || ' ' || c.w2 || ' ' || c.w3, 2, c.f, x.f, y.f
+  FROM f3 c JOIN f2 x ON x.lang = c.lang AND x.w = c.w AND x.w2 = c.w2 JOIN f1 y ON y.lang = c.lang AND y.w = c.w3
+), scored AS (
+  SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM scored JOIN n USING (lang) QUALIFY rank <= 2000
+"""
