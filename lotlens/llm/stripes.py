@@ -8,7 +8,7 @@ subsumption need nothing else.
 
 Tasks build stripes of a few million words in memory and send them in segments: an entry's bucket is the hash of prefix
 and next word, so the stripe of a very frequent prefix is spread over all buckets and no group holds a whole one. A row
-carries the words once and numbers for the rest. Buckets grow in number with the text, each merges its segments
+carries the words once and short numbers for the rest. Buckets grow in number with the text, each merges its segments
 elementwise, exactly, on the words themselves. Only entries of the least count leave a bucket: a cut of a candidate is
 at least as frequent as the candidate, so no count that a score needs is missing.
 
@@ -34,14 +34,25 @@ from .words import mixed
 
 MIN_COUNT, MAX_WORDS, TOP = 10, 3, 2000
 #: Words that a task gathers before it sends its stripes, and bytes of text per bucket.
-FLUSH_WORDS, BUCKET_BYTES = 3_000_000, 12_000_000
+FLUSH_WORDS, BUCKET_BYTES = 3_000_000, 8_000_000
+#: Entries that a bucket gathers before it merges them.
+MERGE_ROWS = 1_000_000
 
 _END = b"\xff"  # no byte of UTF-8
 _TABLE = bytes(0xFF if c in b".,;:!?\n\v\f\r" else 0x20 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
-_SEGMENT = "lang string, bucket int, depth int, words array<binary>, prefix array<int>, size array<int>, next array<int>, count array<int>"
+_SEGMENT = "lang string, bucket int, depth int, stripes int, entries int, words binary, prefix binary, size binary, next binary, count binary"
 _ENTRY = "lang string, phrase array<string>, f long"
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Whole numbers from 0 in as few bytes each as the largest needs: 1, 2, 4 or 8."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0)))).tobytes()
+
+
+def unpacked(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, dtype=f"u{max(1, len(raw) // max(1, n))}")
+
+
 def tokens(text: str) -> list[bytes]:
     """Words in lower case (A-Z only), with an end mark between pieces."""
     return text.encode("utf-8", "surrogatepass").translate(_TABLE).replace(_END, b" \xff ").split(b" ")
@@ -69,7 +80,7 @@ class Stripes:
         self.words += len(codes)
 
     def segments(self, depth: int, buckets: int) -> Iterator[tuple]:
-        """(bucket, depth, words, prefix numbers, entries per stripe, next, count) of every prefix length below depth."""
+        """Rows of every prefix length below depth: the words once, then per stripe its prefix and size, per entry the next word and count."""
         codes = np.concatenate([np.zeros(1, np.int32), *self.parts])
         names = np.array(list(self.number), dtype=object)
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, names), dtype=np.uint64, count=len(names))
@@ -92,7 +103,9 @@ class Stripes:
                 head = np.flatnonzero(np.diff(before[part], prepend=-1))
                 used, local = np.unique(np.concatenate([known[before[part[head]]].ravel(), after[part]]), return_inverse=True)
                 firsts = len(head) * k
-                yield (int(bucket[part[0]]), k, names[used].tolist(), local[:firsts], np.diff(head, append=len(part)), local[firsts:], count[part])
+                yield (
+                    int(bucket[part[0]]), k, len(head), len(part), b" ".join(names[used].tolist()),
+                    packed(local[:firsts]), packed(np.diff(head, append=len(part))), packed(local[firsts:]), packed(count[part]))
             known = np.concatenate([known[before], after[:, None]], axis=1)
             following = np.full(len(codes), -1, dtype=np.int64)
             inside = at + 1 < len(codes)
@@ -144,18 +157,20 @@ class Merged:
         self.rows.append(np.concatenate([heads, own[following][:, None]], axis=1))
         self.counts.append(count.astype(np.int64))
         self.waiting += len(count)
-        if self.waiting > 2_000_000:
+        if self.waiting > MERGE_ROWS:
             self.merge()
 
     def merge(self) -> None:
         rows, counts = np.concatenate(self.rows), np.concatenate(self.counts)
-        key = rows[:, 0].astype(np.int64)
-        for k in range(1, rows.shape[1]):  # numbers stay below the rows, so products stay below 64 bits
-            key = np.unique(key, return_inverse=True)[1] * np.int64(len(self.number)) + rows[:, k]
-        _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-        total = np.zeros(len(first), dtype=np.int64)
-        np.add.at(total, inverse, counts)
-        self.rows, self.counts, self.waiting = [rows[first]], [total], 0
+        key, bound = rows[:, 0].astype(np.int64), len(self.number)
+        for k in range(1, rows.shape[1]):
+            if bound * len(self.number) >= 2**62:  # numbered anew, so that the next step stays below 64 bits
+                key = np.unique(key, return_inverse=True)[1]
+                bound = len(key)
+            key, bound = key * np.int64(len(self.number)) + rows[:, k], bound * len(self.number)
+        order = np.argsort(key)
+        first = np.flatnonzero(np.diff(key[order], prepend=-1))
+        self.rows, self.counts, self.waiting = [rows[order[first]]], [np.add.reduceat(counts[order], first)], 0
 
     def entries(self, least: int) -> tuple[list[list[str]], list[int], int]:
         self.merge()
@@ -185,8 +200,11 @@ def _merge(least: int):
                     if now is not None:
                         yield out(now, merged)
                     now, merged = key, Merged(key[2])
-                arrays = [batch.column(c)[i].values.to_numpy() for c in ("prefix", "size", "next", "count")]
-                merged.add(batch.column("words")[i].as_py(), *arrays)
+                value = {c: batch.column(c)[i].as_py() for c in ("stripes", "entries", "words", "prefix", "size", "next", "count")}
+                stripes, entries = value["stripes"], value["entries"]
+                merged.add(
+                    value["words"].split(b" "), unpacked(value["prefix"], stripes * key[2]), unpacked(value["size"], stripes),
+                    unpacked(value["next"], entries), unpacked(value["count"], entries))
         if now is not None:
             yield out(now, merged)
 
