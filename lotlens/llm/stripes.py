@@ -34,9 +34,11 @@ from .words import mixed
 
 MIN_COUNT, MAX_WORDS, TOP = 10, 3, 2000
 #: Words that a task gathers before it sends its stripes, and bytes of text per bucket.
-FLUSH_WORDS, BUCKET_BYTES = 3_000_000, 8_000_000
+FLUSH_WORDS, BUCKET_BYTES = 1_500_000, 8_000_000
 #: Entries that a bucket gathers before it merges them.
 MERGE_ROWS = 1_000_000
+#: Characters of text that a task turns into words at a time.
+SLICE_CHARS = 500_000
 
 _END = b"\xff"  # no byte of UTF-8
 _TABLE = bytes(0xFF if c in b".,;:!?\n\v\f\r" else 0x20 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -85,7 +87,7 @@ class Stripes:
         names = np.array(list(self.number), dtype=object)
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, names), dtype=np.uint64, count=len(names))
         base = np.int64(len(names))
-        prefix = np.zeros(len(codes), dtype=np.int64)  # number of the prefix that ends before each place; -1: none
+        prefix = np.zeros(len(codes), dtype=np.int32)  # number of the prefix that ends before each place; -1: none
         known = np.zeros((1, 0), dtype=np.int32)  # the words of each prefix
         hashed = np.zeros(1, dtype=np.uint64)
         for k in range(depth):
@@ -107,10 +109,9 @@ class Stripes:
                     int(bucket[part[0]]), k, len(head), len(part), b" ".join(names[used].tolist()),
                     packed(local[:firsts]), packed(np.diff(head, append=len(part))), packed(local[firsts:]), packed(count[part]))
             known = np.concatenate([known[before], after[:, None]], axis=1)
-            following = np.full(len(codes), -1, dtype=np.int64)
+            prefix = np.full(len(codes), -1, dtype=np.int32)
             inside = at + 1 < len(codes)
-            following[at[inside] + 1] = inverse[inside]
-            prefix = following
+            prefix[at[inside] + 1] = inverse[inside]
 
 
 def _sent(depth: int, buckets: int):
@@ -125,19 +126,18 @@ def _sent(depth: int, buckets: int):
         for batch in batches:
             by: dict[str, list[str]] = {}
             size = 0
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                by.setdefault(lang, []).append(text)
+            for i in range(batch.num_rows):
+                text = batch.column("text")[i].as_py()
+                by.setdefault(batch.column("lang")[i].as_py(), []).append(text)
                 size += len(text)
-                if size > 4_000_000:  # a batch of very long texts in parts
+                if size > SLICE_CHARS or i + 1 == batch.num_rows:
                     for at, texts in by.items():
                         held.setdefault(at, Stripes()).add(texts)
                     by, size = {}, 0
-            for at, texts in by.items():
-                held.setdefault(at, Stripes()).add(texts)
-            while sum(s.words for s in held.values()) > FLUSH_WORDS:
-                at = max(held, key=lambda n: held[n].words)
-                for s in held.pop(at).segments(depth, buckets):
-                    yield row(at, s)
+                    while sum(s.words for s in held.values()) > FLUSH_WORDS:
+                        at = max(held, key=lambda n: held[n].words)
+                        for s in held.pop(at).segments(depth, buckets):
+                            yield row(at, s)
         for at, stripes in held.items():
             for s in stripes.segments(depth, buckets):
                 yield row(at, s)
