@@ -1,18 +1,30 @@
-"""Listing fields from fetched pages, as one projection over (url, html).
+"""Listing fields from fetched pages.
 
-Every rule is a regular expression in `Rules`, so other page layouts need other
-values, not other code.  Patterns see the page with line breaks inside.
+Pages of listings are read by their nesting (`page_fields`: one pass over each page in Arrow batches, blocks end at
+their own closing tags); numbers, dates, links and image addresses are then plain columns. Links, and the parts of flat
+pages, are regular expressions over the page. Every name and pattern is in `Rules`, so other page layouts need other
+values, not other code.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import vocab as v
-from ..functions.text import col, let, strip
+from ..functions.text import BLANKS, col, let, strip
+from . import pagetree
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(pagetree)
 
 NUMBER = r"[0-9]*[.,]?[0-9]+"
 DATE = r"([0-9]{1,2}) (\w+) ([0-9]{4})"
@@ -20,35 +32,35 @@ DATE = r"([0-9]{1,2}) (\w+) ([0-9]{4})"
 
 @dataclass(frozen=True)
 class Rules:
-    """Patterns (group 1 is the wanted text) and marker words of one page layout.
+    """Patterns, names and marker words of one page layout.
 
     The defaults are fixed values: addresses, class names and words of the listing site.
     """
 
     detail_has: str = "/properti/"
     detail_not: str = "/perumahan-baru"
-    # start and end of the part that holds the listing; an empty rule means the whole page
-    container: str = r"""(?s)<div\s[^>]*class=["'][^"']*ui-container[^"']*["'][^>]*>(.*?)(?:<footer[\s>]|$)"""
-    link: str = r"""<a\s[^>]*?href=["']([^"']*)["']"""
-    price: str = r"<span(?:\s[^>]*)?>([^<]*Rp [^<]*)<"
-    paragraph: str = r"(?s)<p(?:\s[^>]*)?>(.*?)(?=</p>|<p[\s>])"
+    # nested pages: the class of the divisions that hold the listing, and the words and classes of their parts
+    container_class: str = "ui-container"
+    price_mark: str = "Rp "
     installment_word: str = "Cicilan"
-    address: str = r"(?s)<h1(?:\s[^>]*)?>.*?</h1>.*?<p(?:\s[^>]*)?>([^<]*)"
     modified_word: str = "Diperbarui"
-    # lists that follow a paragraph
-    tag_list: str = r"(?s)</p>\s*<ul(?:\s[^>]*)?>(.*?)</ul>"
-    tag: str = r"<li(?:\s[^>]*)?>([^<]+)<"
     description_word: str = "ripsi"
-    # from the paragraph that announces specifications to the next part of the page
-    spec_block: str = r"(?s)<p(?:\s[^>]*)?>[^<]*pesifikasi[^<]*</p>(.*?)(?:<div\s[^>]*id=|<h[1-6][\s>]|<p(?:\s[^>]*)?>[^<]*(?:ripsi|Cicilan)|$)"
-    spec_row: str = r"""(?s)<div\s[^>]*class=["'][^"']*mb-4[^"']*["'][^>]*>(.*?)</div>"""
-    spec_part: str = r"<p(?:\s[^>]*)?>([^<]*)</p>"
-    facility_block: str = r"""(?s)<div\s[^>]*id=["'][^"']*facility[^"']*["'][^>]*>(.*?)</div>"""
-    facility: str = r"<p(?:\s[^>]*)?>\s*<span(?:\s[^>]*)?>([^<]*)"
-    agent_block: str = r"""(?s)<div\s[^>]*class=["'][^"']*flex-grow[^"']*["'][^>]*>(.*?)</div>"""
-    agent_link: str = r"""(<a\s[^>]*title=["'][^"']*["'][^>]*>)"""
-    phone: str = r"""(<button\s[^>]*name=["']phone["'][^>]*>)"""
-    image: str = r"""(<img\s[^>]*srcset=["'][^"']*1x[^"']*["'][^>]*>)"""
+    spec_word: str = "pesifikasi"
+    spec_class: str = "mb-4"
+    facility_id: str = "facility"
+    # which division of the container holds the agent
+    agent_part: int = 2
+    agent_class: str = "flex-grow"
+    phone_button: str = "phone"
+    phone_has: str = "62"
+    image_set: str = "1x"
+    image_alt_not: str = "map"
+    # flat pages: patterns whose group 1 is the wanted text
+    link: str = r"""<a\s[^>]*?href=["']([^"']*)["']"""
+    paragraph: str = r"(?s)<p(?:\s[^>]*)?>(.*?)(?=</p>|<p[\s>])"
+    address: str = r"(?s)<h1(?:\s[^>]*)?>.*?</h1>.*?<p(?:\s[^>]*)?>([^<]*)"
+    item: str = r"<li(?:\s[^>]*)?>([^<]+)<"
+    # image addresses
     image_url: str = r"url=(.+) [0-9]x,"
     image_has: str = "/customer/"
 
@@ -109,14 +121,6 @@ def _all(html: Column | str, pattern: str) -> Column:
     return F.regexp_extract_all(col(html), F.lit(pattern), F.lit(1))
 
 
-def _attr(tag: Column, name: str) -> Column:
-    return _first(tag, rf"""\s{name}=["']([^"']*)["']""")
-
-
-def _untag(c: Column) -> Column:
-    return F.regexp_replace(c, "<[^>]*>", "")
-
-
 def site_of(url: Column | str) -> Column:
     return F.regexp_extract(col(url), r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
 
@@ -153,21 +157,6 @@ def _resolve(base: Column, href: Column) -> Column:
     )
 
 
-def container(html: Column | str, rules: Rules = SITE) -> Column:
-    """The part of the page that holds the listing, empty when the page has none."""
-    return F.regexp_extract(col(html), rules.container, 1) if rules.container else col(html)
-
-
-def paragraphs(html: Column | str, rules: Rules = SITE) -> Column:
-    """Contents of all paragraphs, tags inside kept."""
-    return _all(html, rules.paragraph)
-
-
-def _holding(parts: Column, word: str) -> Column:
-    """Text of the first paragraph with a word."""
-    return _untag(unescape(F.get(F.filter(parts, lambda p: p.contains(word)), F.lit(0))))
-
-
 # -- fields ------------------------------------------------------------------
 
 def is_detail(url: Column | str, rules: Rules = SITE) -> Column:
@@ -199,39 +188,21 @@ def parse_id_date(c: Column | str) -> Column:
     return F.when(F.try_element_at(months, part(2)).isNotNull(), iso.try_cast("date"))
 
 
-def extract_price(html: Column | str, rules: Rules = SITE) -> Column:
-    return price_in_millions(_first(html, rules.price))
-
-
-def extract_installment(parts: Column | str, rules: Rules = SITE) -> Column:
-    """Monthly payment from the page's paragraphs."""
-    return parse_price(_holding(col(parts), rules.installment_word))
+def flat_paragraphs(html: Column | str, rules: Rules = SITE) -> Column:
+    """Contents of all paragraphs of a flat page, tags inside kept."""
+    return _all(html, rules.paragraph)
 
 
-def extract_address(html: Column | str, rules: Rules = SITE) -> Column:
+def flat_address(html: Column | str, rules: Rules = SITE) -> Column:
     return _first(html, rules.address)
 
 
-def extract_modified(parts: Column | str, rules: Rules = SITE) -> Column:
-    return let(_holding(col(parts), rules.modified_word), parse_id_date)
-
-
-def extract_list(html: Column | str, rule: str) -> Column:
-    """All matches, trimmed."""
-    return F.transform(_all(html, rule), lambda e: strip(unescape(e)))
-
-
-def extract_tags(html: Column | str, rules: Rules = SITE) -> Column:
-    """Items of the lists that follow a paragraph."""
-    lists = F.array_join(_all(html, rules.tag_list), "") if rules.tag_list else col(html)
-    return extract_list(lists, rules.tag)
-
+def flat_items(html: Column | str, rules: Rules = SITE) -> Column:
+    """Texts of all list items, trimmed."""
+    return F.transform(_all(html, rules.item), lambda e: strip(unescape(e)))
 
-def extract_facilities(html: Column | str, rules: Rules = SITE) -> Column:
-    return extract_list(F.regexp_extract(col(html), rules.facility_block, 1), rules.facility)
 
-
-def extract_description(parts: Column | str, rules: Rules = SITE) -> Column:
+def flat_description(parts: Column | str, rules: Rules = SITE) -> Column:
     """First text of the paragraph after the one that announces it."""
     parts = col(parts)
     marked = F.array_position(F.transform(parts, lambda p: p.contains(rules.description_word)), F.lit(True))
@@ -239,46 +210,88 @@ def extract_description(parts: Column | str, rules: Rules = SITE) -> Column:
     return unescape(F.nullif(F.regexp_extract(after, "^([^<]*)", 1), F.lit("")))
 
 
-def pairs_to_map(rows: Column) -> Column:
-    """Map of the rows with exactly two parts; the last of equal keys wins."""
-    def last_of(two: Column) -> Column:
-        later = lambda r, i: F.exists(F.slice(two, i + 2, F.size(two)), lambda o: o[0] == r[0])
-        return F.map_from_entries(
-            F.transform(F.filter(two, lambda r, i: ~later(r, i)), lambda r: F.struct(r[0].alias("k"), r[1].alias("v")))
-        )
-
-    return let(F.filter(rows, lambda r: F.size(r) == 2), last_of)
-
-
-def extract_specs(html: Column | str, rules: Rules = SITE) -> Column:
-    rows = F.transform(
-        _all(F.regexp_extract(col(html), rules.spec_block, 1) if rules.spec_block else col(html), rules.spec_row), lambda b: F.transform(_all(b, rules.spec_part), unescape)
+# -- nested pages ------------------------------------------------------------
+
+FIELDS = (
+    "price_text string, installment_text string, address string, modified_text string, description string, tags array<string>,"
+    " specs map<string,string>, facilities array<string>, agent_name string, agent_href string, phone string, company_name string,"
+    " company_href string, image_sets array<string>"
+)
+
+
+def read_page(html: str | None, rules: Rules = SITE) -> tuple:
+    """The raw fields of one page, in the order of FIELDS."""
+    page = pagetree.Page(html or "")
+    boxes = [i for i in page.within([0], "div") if page.has(i, "class", rules.container_class)]
+    paragraphs = page.within(boxes, "p")
+    holding = lambda found, word: (i for i in found if word in page.text(i))
+    texts = lambda found: (t for i in found for t in page.own_texts(i))
+    unique = lambda found: sorted(set(found))
+
+    def price() -> str | None:
+        divisions = [d for d in page.within(boxes, "div") if (s := next(iter(page.within([d], "span")), None)) is not None and rules.price_mark in page.text(s)]
+        return next(texts(page.within(divisions, "span")), None)
+
+    def specs() -> dict[str, str]:
+        parts = unique(d for p in holding(paragraphs, rules.spec_word) for d in page.after(p, "div"))
+        rows = ([*texts(page.children(d, "p"))] for d in page.within(parts, "div") if page.has(d, "class", rules.spec_class))
+        return {r[0]: r[1] for r in rows if len(r) == 2}
+
+    def agents() -> list[int]:
+        sides = [d[rules.agent_part - 1] for b in boxes if len(d := [*page.children(b, "div")]) >= rules.agent_part]
+        blocks = (d for d in page.within(sides, "div") if page.has(d, "class", rules.agent_class))
+        return unique(a for d in blocks for a in page.children(d, "a") if page.attribute(a, "title") is not None)
+
+    installment = next(holding(paragraphs, rules.installment_word), None)
+    modified = next(holding(page.within([0], "p"), rules.modified_word), None)
+    inner = set(page.within(boxes, "div"))
+    titles = [h for h in page.within(boxes, "h1") if page.parent[h] in inner]
+    areas = unique(p for h in titles for p in [*page.after(h, "p")][:1])
+    described = unique(q for p in holding(paragraphs, rules.description_word) for q in page.after(p, "p"))
+    lists = unique(u for p in paragraphs for u in page.after(p, "ul"))
+    places = [d for d in page.within([0], "div") if page.has(d, "id", rules.facility_id)]
+    facilities = unique(s for p in page.within(places, "p") for s in page.children(p, "span"))
+    who, firm = [*agents(), None, None][:2]
+    phones = (t for b in page.within([0], "button") if page.attribute(b, "name") == rules.phone_button and rules.phone_has in (t := page.attribute(b, "title") or ""))
+    images = (i for i in page.within([0], "img") if page.has(i, "srcset", rules.image_set) and not page.has(i, "alt", rules.image_alt_not))
+    party = lambda a: (None, None) if a is None else ((page.attribute(a, "title") or "").strip(BLANKS), (page.attribute(a, "href") or "").strip(BLANKS))
+    return (
+        price(), None if installment is None else page.text(installment), next(texts(areas), None), None if modified is None else page.text(modified),
+        next(texts(described), None), [t.strip(BLANKS) for t in texts(i for u in lists for i in page.children(u, "li"))], specs(),
+        [t.strip(BLANKS) for t in texts(facilities)], *party(who), None if who is None else next(phones, None), *party(firm),
+        [page.attribute(i, "srcset") for i in images],
     )
-    return pairs_to_map(rows)
 
 
-def extract_agent(url: Column | str, html: Column | str, rules: Rules = SITE, page: Column | str | None = None) -> Column:
-    """Agent of the first titled link of the agent blocks, company of the second, phone from anywhere on the page; without links all fields are NULL."""
-    site = site_of(url)
+def page_fields(pages: DataFrame, rules: Rules = SITE) -> DataFrame:
+    """url and the raw fields of every page (url, html), read by the nesting of its elements."""
+    schema = T._parse_datatype_string(f"url string, {FIELDS}")
 
-    def party(tag: Column) -> list[Column]:
-        return [strip(_attr(tag, "title")).alias("name"), resolve(site, strip(_attr(tag, "href"))).alias("url")]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(schema)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                found = zip(*(read_page(h, rules) for h in part.column("html").to_pylist()))
+                columns = [pa.array([[*m.items()] for m in c] if pa.types.is_map(f.type) else c, f.type) for c, f in zip(found, [*arrow][1:])]
+                yield pa.RecordBatch.from_arrays([part.column("url").cast(arrow[0].type), *columns], schema=arrow)
 
-    def build(links: Column) -> Column:
-        who, firm = F.get(links, F.lit(0)), F.get(links, F.lit(1))
-        phones = F.filter(F.transform(_all(html if page is None else page, rules.phone), lambda b: _attr(b, "title")), lambda t: t.contains("62"))
-        return F.struct(
-            *party(who), F.when(who.isNotNull(), F.get(phones, F.lit(0))).alias("phone"),
-            F.when(firm.isNotNull(), F.struct(*party(firm))).alias("company"),
-        )
+    return pages.select("url", "html").mapInArrow(run, schema)
 
-    return let(_all(F.array_join(_all(html, rules.agent_block), ""), rules.agent_link), build)
+
+def agent(url: Column | str = "url") -> Column:
+    """Agent of the raw fields: the first titled link, its company the second; links are resolved against the site."""
+    site = site_of(url)
+    full = lambda c: F.when(F.col(c).isNotNull(), resolve(site, c))
+    company = F.struct(F.col("company_name").alias("name"), full("company_href").alias("url"))
+    return F.struct(
+        F.col("agent_name").alias("name"), full("agent_href").alias("url"), F.col("phone"),
+        F.when(F.col("company_name").isNotNull(), company).alias("company"))
 
 
-def extract_images(html: Column | str, rules: Rules = SITE) -> Column:
+def uploaded_images(sets: Column | str = "image_sets", rules: Rules = SITE) -> Column:
     """Uploaded images: the first source of each image set, without resizing parameters."""
-    tags = F.filter(_all(html, rules.image), lambda t: ~F.coalesce(_attr(t, "alt").contains("map"), F.lit(False)))
-    found = F.transform(tags, lambda t: unquote(F.regexp_extract(_attr(t, "srcset"), rules.image_url, 1)))
+    found = F.transform(col(sets), lambda t: unquote(F.regexp_extract(t, rules.image_url, 1)))
     return F.transform(F.filter(found, lambda u: u.contains(rules.image_has)), lambda u: F.substring_index(u, "&", 1))
 
 
@@ -304,15 +317,12 @@ def frontier(links: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def pages_to_listings(pages: DataFrame, rules: Rules = SITE, scraped_at: Column | None = None) -> DataFrame:
-    """Listing records of all detail pages; a page's container and its paragraphs are cut once."""
-    cut = pages.filter(is_detail("url", rules)).select("url", "html", container("html", rules).alias("_c"))
-    cut = cut.select("*", paragraphs("_c", rules).alias("_p"))
-    return cut.select(
-        url_id("url").alias("id"), extract_price("_c", rules).alias("price"),
-        extract_installment("_p", rules).alias("installment"), extract_address("_c", rules).alias("address"),
-        extract_description("_p", rules).alias("description"), extract_tags("_c", rules).alias("tags"),
-        extract_specs("_c", rules).alias("specs"), extract_facilities("html", rules).alias("facilities"),
-        extract_agent("url", "_c", rules, "html").alias("agent"), extract_images("html", rules).alias("images"), "url",
-        F.date_format(extract_modified(paragraphs("html", rules), rules), "yyyy-MM-dd'T'HH:mm:ss").alias("last_modified"),
-        F.date_format(F.current_timestamp() if scraped_at is None else scraped_at, "yyyy-MM-dd'T'HH:mm:ss").alias("scraped_at"),
+    """Listing records of all detail pages; every page is read once."""
+    raw = page_fields(pages.filter(is_detail("url", rules)), rules)
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    return raw.select(
+        url_id("url").alias("id"), price_in_millions("price_text").alias("price"), parse_price("installment_text").alias("installment"),
+        "address", "description", "tags", "specs", "facilities", agent().alias("agent"), uploaded_images(rules=rules).alias("images"), "url",
+        stamp(parse_id_date("modified_text")).alias("last_modified"),
+        stamp(F.current_timestamp() if scraped_at is None else scraped_at).alias("scraped_at"),
     )

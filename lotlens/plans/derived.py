@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import vocab as v
 
 K = "o_orderkey"
 
@@ -153,7 +154,6 @@ def _s(e: str) -> str:
     return f"CAST({e} AS STRING)"
 
 
-MONTHS = ["Januari", "Februari", "Maret", "April", "Mei", "Juni", "Juli", "Agustus", "September", "Oktober", "November", "Desember", "Foo"]
 PAGE_FIELDS: dict[str, str] = {
     "url": f"'https://www.example.com/properti/bogor/hos' || {_s(K)} || '/'",
     "price_text": (
@@ -162,7 +162,7 @@ PAGE_FIELDS: dict[str, str] = {
     ),
     "installment_text": f"CASE WHEN {K} % 3 = 0 THEN NULL ELSE 'Cicilan Rp ' || {_s(f'1 + {K} % 40')} || ',5 Jutaan' END",
     "address": f"CASE WHEN {K} % 11 = 0 THEN NULL ELSE 'Area ' || {_s('o_custkey % 25')} || ', Bogor' END",
-    "date_text": f"'Diperbarui ' || {_s(f'1 + {K} % 31')} || ' ' || " + pick(K, MONTHS) + f" || ' ' || {_s(f'2020 + {K} % 4')} || ' oleh Agen'",
+    "date_text": f"'Diperbarui ' || {_s(f'1 + {K} % 31')} || ' ' || " + pick(K, [*v.MONTH_NAMES, "Foo"]) + f" || ' ' || {_s(f'2020 + {K} % 4')} || ' oleh Agen'",
     "description": f"CASE WHEN {K} % 8 = 0 THEN NULL ELSE 'Rumah nomor ' || {_s('o_custkey')} || ' café – cepat & <b> baru' END",
     "tag_a": pick(K, ["KPR", "Bisa Nego", "Promo"]),
     "tag_b": pick(K, ["SHM", "Siap Huni"]),
@@ -187,23 +187,29 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.coalesce(F.concat(F.lit(before), F.col(name), F.lit(after)), F.lit(""))
 
     quoted = F.replace(F.replace("image", F.lit(" "), F.lit("%20")), F.lit("/"), F.lit("%2F"))
-    spec = lambda name, c: F.concat(F.lit(f'<div class="row mb-4"><p>{name}</p><p class="v">'), F.col(c), F.lit("</p></div>"))
+    spec = lambda name, c: F.concat(F.lit(f'<div class="row mb-4"><div class="icon"><img src="/i.svg"></div><p>{name}</p><p class="v">'), F.col(c), F.lit("</p></div>"))
+    # divisions inside every block, and promotions that look like a listing before, after and beside it
+    before = '<div class="promo"><span>Promo Rp 99 Juta</span><p>Cicilan Rp 9 Jutaan</p><div class="mb-4"><p>Promo</p><p>99</p></div></div>'
+    promo = (
+        '<div class="promo"><span>Rp 9 Juta</span><p>Cicilan Rp 9 Jutaan</p><ul><li>PROMO</li></ul><p>Deskripsi</p><p>Promo</p>'
+        '<p>Spesifikasi</p><div class="mb-4"><p>Promo</p><p>99</p></div><div class="flex-grow"><a title="Iklan" href="/iklan">i</a></div></div>')
     html = F.concat(
-        F.lit('<!DOCTYPE html>\n<html><body><nav><a href="/properti/bogor/hos1/">x</a><a title="Beranda" href="/">Home</a>'
-              '<a href="../../../properti/depok/hos2/?a=../b">y</a><p>Menu</p><ul><li>Home</li><li>KPR</li></ul></nav>\n'
-              '<div class="promo"><span>Promo Rp 99 Juta</span><p>Cicilan Rp 9 Jutaan</p><div class="mb-4"><p>Promo</p><p>99</p></div></div><div class="ui-container">\n<div><span>'),
-        F.col("price_text"), F.lit("</span></div>\n"), opt("installment_text", "<p class='c'>", "</p>"),
-        F.lit("<div><h1>Dijual\nRumah</h1>"), opt("address", "<p>", "</p>"), F.when(F.col("address").isNull(), F.lit("<p></p>")).otherwise(F.lit("")),
-        F.lit("<p>"), F.col("date_text"), F.lit("</p><ul><li> "), F.col("tag_a"), F.lit(" </li><li>"), F.col("tag_b"),
-        F.lit("</li></ul></div>\n"), opt("_text", "<div><p>Deskripsi</p><p class='d'>", "</p></div>\n"),
+        F.lit('<!DOCTYPE html>\n<html><head><script>if (1 < 2) { document.write("<div class=\'ui-container\'>") }</script></head><body>'
+              '<nav><a href="/properti/bogor/hos1/">x</a><a title="Beranda" href="/">Home</a>'
+              '<a href="../../../properti/depok/hos2/?a=../b">y</a><p>Menu</p><ul><li>Home</li><li>KPR</li></ul></nav>\n' + before +
+              '<!-- <div class="ui-container"> --><div class="ui-container">\n<div class="main"><div><div><span>'),
+        F.col("price_text"), F.lit("</span></div></div>\n"), opt("installment_text", "<div><p class='c'>", "</p></div>"),
+        F.lit("<div><h1>Dijual\nRumah</h1><div><br></div>"), opt("address", "<p>", "</p>"), F.when(F.col("address").isNull(), F.lit("<p></p>")).otherwise(F.lit("")),
+        F.lit("<p>"), F.col("date_text"), F.lit("</p><div><ul><li>no tag</ul></div><ul><li> "), F.col("tag_a"), F.lit(" <div>x</div></li><li>"), F.col("tag_b"),
+        F.lit("</ul></div>\n"), opt("_text", "<div><p>Deskripsi</p><div><p>no text</p></div><p class='d'>", "</p></div>\n"),
         F.lit("<div><p>Spesifikasi</p><div>"), spec("Luas Tanah", "land"), spec("Kamar Tidur", "beds"), spec("Kamar Tidur", "beds"),
-        F.lit('<div class="mb-4"><p>Hanya satu</p></div></div></div>\n<div id="property-facility"><p><span> '), F.col("facility"),
-        F.lit("</span></p><p><span>Wi-Fi &amp; TV</span></p></div>\n"),
-        opt("agent_name", '<div class="flex-grow"><a class="n" title="', ' " href="/agen/1">a</a></div>'),
-        opt("company_name", '<div class="flex-grow"><a title="', '" href="https://firm.example.com/x">b</a></div>'),
-        opt("phone", '<button name="phone" title="', '">Call</button>'),
+        F.lit('<div class="mb-4"><p>Hanya satu</p></div></div></div>\n<div id="property-facility"><div><p><span> '), F.col("facility"),
+        F.lit("</span></p></div><div><div><p><span>Wi-Fi &amp; TV</span></p></div></div></div></div>\n<div class='side'>"),
+        opt("agent_name", '<div><div class="flex-grow"><div><a title="inside">n</a></div><a class="n" title="', ' " href="/agen/1">a</a></div></div>'),
+        opt("company_name", '<div class="flex-grow"><div></div><a title="', '" href="https://firm.example.com/x">b</a></div>'),
+        opt("phone", '<button name="phone" title="0811">x</button><button name="phone" title="', '">Call</button>'),
         F.lit('<img alt="front" srcset="/_next/image?url='), quoted, F.lit('%26w%3D1&amp;w=640 1x, /_next/image?url='), quoted, F.lit('&amp;w=1080 2x">'),
-        F.lit('<img alt="map" srcset="/i?url=https%3A%2F%2Fm%2Fcustomer%2Fz 1x, y 2x"></div>'
+        F.lit('<img alt="map" srcset="/i?url=https%3A%2F%2Fm%2Fcustomer%2Fz 1x, y 2x"></div></div>' + promo +
               '<footer><p>Spesifikasi situs</p><div class="mb-4"><p>Kontak</p><p>Kami</p></div><ul><li>Tentang</li></ul>'
               '<div class="flex-grow"><a title="Situs" href="/s">s</a></div></footer></body></html>'),
     )

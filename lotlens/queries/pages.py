@@ -2,24 +2,24 @@
 
 from pyspark.sql import functions as F
 
+from ..functions import vocab as v
 from ..operators import extract
 from ..plans.derived import PAGE_CTE, listing_pages, page_fields
 from .registry import query, table
 
 # layout of the given pages
 GIVEN = extract.SITE.but(
-    detail_has="/en", detail_not=",", container="", tag_list="",
+    detail_has="/en", detail_not=",", description_word="<b>",
     address=r"(?s)<h1(?:\s[^>]*)?>.*?</h1>.*?<p(?:\s[^>]*)?>(?:<[a-oq-z][^>]*>)*([^<]*)",
-    description_word="<b>",
-    tag=r"<li(?:\s[^>]*)?>(?:<[a-km-z][^>]*>)*([^<]+)<",
+    item=r"<li(?:\s[^>]*)?>(?:<[a-km-z][^>]*>)*([^<]+)<",
 )
 PRICE = "CAST(replace(nullif(regexp_extract({0}, '[0-9]*[.,]?[0-9]+'), ''), ',', '.') AS DOUBLE)"
 PRICE_SQL = (
     f"CASE WHEN price_text LIKE '%Miliar%' THEN {PRICE.format('price_text')} * 1000 WHEN price_text LIKE '%Juta%' THEN {PRICE.format('price_text')} END"
 )
-DATE_SQL = """strftime(TRY_CAST(regexp_extract(date_text, '[0-9]{4}') || '-' || CAST(nullif(list_position(
-['Januari','Februari','Maret','April','Mei','Juni','Juli','Agustus','September','Oktober','November','Desember'],
-regexp_extract(date_text, '[0-9]{1,2} (\\w+) [0-9]{4}', 1)), 0) AS VARCHAR) || '-' || regexp_extract(date_text, '([0-9]{1,2}) ', 1) AS DATE), '%Y-%m-%d')"""
+DATE_SQL = f"""strftime(TRY_CAST(regexp_extract(date_text, '[0-9]{{4}}') || '-' || CAST(nullif(list_position(
+{v.MONTH_NAMES},
+regexp_extract(date_text, '[0-9]{{1,2}} (\\w+) [0-9]{{4}}', 1)), 0) AS VARCHAR) || '-' || regexp_extract(date_text, '([0-9]{{1,2}}) ', 1) AS DATE), '%Y-%m-%d')"""
 
 
 @query("h01_is_detail", "SELECT page_id FROM pages WHERE contains(url, '/en/') AND NOT contains(url, 'utm_source')")
@@ -63,12 +63,12 @@ def _(spark, d):
 
 @query("h05_extract_price", PAGE_CTE + f" SELECT url, {PRICE_SQL} AS price FROM page")
 def _(spark, d):
-    return listing_pages(spark, d).select("url", extract.extract_price(extract.container("html")).alias("price"))
+    return extract.page_fields(listing_pages(spark, d)).select("url", extract.price_in_millions("price_text").alias("price"))
 
 
 @query("h06_extract_installment", PAGE_CTE + f" SELECT url, {PRICE.format('installment_text')} AS installment FROM page")
 def _(spark, d):
-    return listing_pages(spark, d).select("url", extract.extract_installment(extract.paragraphs(extract.container("html"))).alias("installment"))
+    return extract.page_fields(listing_pages(spark, d)).select("url", extract.parse_price("installment_text").alias("installment"))
 
 
 UNESC = "replace(replace(replace(replace(replace(replace({0}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&')"
@@ -77,33 +77,52 @@ UNESC = "replace(replace(replace(replace(replace(replace({0}, '&lt;', '<'), '&gt
 @query("h07_extract_address", "SELECT page_id, " + UNESC.format(
     r"regexp_extract(html, '(?s)<h1(?:\s[^>]*)?>.*?</h1>.*?<p(?:\s[^>]*)?>(?:<[a-oq-z][^>]*>)*([^<]*)', 1)").join(["nullif(", ", '')"]) + " AS address FROM pages")
 def _(spark, d):
-    return table(spark, d, "pages").select("page_id", "html").select("page_id", extract.extract_address("html", GIVEN).alias("address"))
+    return table(spark, d, "pages").select("page_id", "html").select("page_id", extract.flat_address("html", GIVEN).alias("address"))
+
+
+@query("h07b_nested_address", PAGE_CTE + " SELECT url, address FROM page")
+def _(spark, d):
+    return extract.page_fields(listing_pages(spark, d)).select("url", "address")
 
 
 @query("h08_parse_date", PAGE_CTE + f" SELECT url, {DATE_SQL} AS modified FROM page")
 def _(spark, d):
-    return listing_pages(spark, d).select("url", F.date_format(extract.extract_modified(extract.paragraphs("html")), "yyyy-MM-dd").alias("modified"))
+    return extract.page_fields(listing_pages(spark, d)).select("url", F.date_format(extract.parse_id_date("modified_text"), "yyyy-MM-dd").alias("modified"))
 
 
 @query("h09_extract_list", r"""
 WITH i AS (SELECT page_id, regexp_extract_all(html, '<li(?:\s[^>]*)?>(?:<[a-km-z][^>]*>)*([^<]+)<', 1) AS t FROM pages)
 SELECT page_id, unnest(range(len(t))) AS pos, trim(unnest(t), chr(32) || chr(9) || chr(10) || chr(13)) AS item FROM i""")
 def _(spark, d):
-    items = table(spark, d, "pages").select("page_id", "html").select("page_id", F.posexplode(extract.extract_tags("html", GIVEN)).alias("pos", "item"))
+    items = table(spark, d, "pages").select("page_id", "html").select("page_id", F.posexplode(extract.flat_items("html", GIVEN)).alias("pos", "item"))
     return items.select("page_id", F.col("pos").cast("long").alias("pos"), "item")
 
 
+@query("h09b_nested_lists", PAGE_CTE + """
+SELECT url, 'tag' AS list, unnest([0, 1]) AS pos, unnest([tag_a, tag_b]) AS item FROM page
+UNION ALL SELECT url, 'facility', unnest([0, 1]), unnest([facility, 'Wi-Fi & TV']) FROM page""")
+def _(spark, d):
+    raw = extract.page_fields(listing_pages(spark, d))
+    both = F.explode(F.map_from_arrays(F.array(F.lit("tag"), F.lit("facility")), F.array("tags", "facilities"))).alias("list", "items")
+    return raw.select("url", both).select("url", "list", F.posexplode("items").alias("pos", "item"))
+
+
 @query("h10_extract_description", """
 WITH p AS (SELECT page_id, list_transform(regexp_extract_all(replace(html, '<p>', '</p><p>'), '(?s)<p>(.*?)</p>', 1), lambda x: x) AS parts FROM pages)
 SELECT page_id, """ + UNESC.format("nullif(regexp_extract(parts[list_position(list_transform(parts, lambda x: contains(x, '<b>')), true) + 1], '^([^<]*)', 1), '')")
 + """ AS description FROM p""")
 def _(spark, d):
-    return table(spark, d, "pages").select("page_id", "html").select("page_id", extract.extract_description(extract.paragraphs("html"), GIVEN).alias("description"))
+    return table(spark, d, "pages").select("page_id", "html").select("page_id", extract.flat_description(extract.flat_paragraphs("html"), GIVEN).alias("description"))
+
+
+@query("h10b_nested_description", PAGE_CTE + " SELECT url, description FROM page")
+def _(spark, d):
+    return extract.page_fields(listing_pages(spark, d)).select("url", "description")
 
 
 @query("h11_extract_specs", PAGE_CTE + " SELECT url, land, beds, 2 AS n FROM page")
 def _(spark, d):
-    s = listing_pages(spark, d).select("url", extract.extract_specs(extract.container("html")).alias("s"))
+    s = extract.page_fields(listing_pages(spark, d)).select("url", F.col("specs").alias("s"))
     return s.select("url", F.col("s")["Luas Tanah"].alias("land"), F.col("s")["Kamar Tidur"].alias("beds"), F.size("s").alias("n"))
 
 
@@ -111,7 +130,7 @@ def _(spark, d):
 SELECT url, agent_name, CASE WHEN agent_name IS NOT NULL THEN 'https://www.example.com/agen/1' END AS agent_url, phone, company_name,
 CASE WHEN company_name IS NOT NULL THEN 'https://firm.example.com/x' END AS company_url FROM page""")
 def _(spark, d):
-    a = listing_pages(spark, d).select("url", extract.extract_agent("url", extract.container("html"), page="html").alias("a"))
+    a = extract.page_fields(listing_pages(spark, d)).select("url", extract.agent().alias("a"))
     return a.select(
         "url", F.col("a.name").alias("agent_name"), F.col("a.url").alias("agent_url"), "a.phone",
         F.col("a.company.name").alias("company_name"), F.col("a.company.url").alias("company_url"))
@@ -119,7 +138,7 @@ def _(spark, d):
 
 @query("h13_extract_images", PAGE_CTE + " SELECT url, image, 1 AS n FROM page")
 def _(spark, d):
-    i = listing_pages(spark, d).select("url", extract.extract_images("html").alias("i"))
+    i = extract.page_fields(listing_pages(spark, d)).select("url", extract.uploaded_images().alias("i"))
     return i.select("url", F.get("i", F.lit(0)).alias("image"), F.size("i").alias("n"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lotlens.functions.tails import chi_square_tail, student_two_sided
 from lotlens.operators import aggregates as agg
+from lotlens.operators.pagetree import Page
 from lotlens.operators import extract, features, joins, pricing, quantiles, search, stats
 
 
@@ -89,14 +90,14 @@ def test_lookup_duplicates_multiply(spark):
 
 # -- pages -------------------------------------------------------------------
 
-PAGE = """<html><nav><p>m</p><ul><li>Home</li></ul><a title="Beranda" href="/">h</a></nav><div><span>Rp 99 Juta</span><div class="mb-4"><p>P</p><p>9</p></div></div><div class="ui-container"><div><span class="p">Rp 1,5 Miliar</span></div><p>Cicilan : <b>Rp 9,8</b> Jutaan</p>
+PAGE = """<html><nav><p>m</p><ul><li>Home</li></ul><a title="Beranda" href="/">h</a></nav><div><span>Rp 99 Juta</span><div class="mb-4"><p>P</p><p>9</p></div></div><div class="ui-container"><div><div><span class="p">Rp 1,5 Miliar</span></div><p>Cicilan : <b>Rp 9,8</b> Jutaan</p>
 <div><h1>Rumah</h1><p>Cibinong, Bogor</p><p>Diperbarui 7 Agustus 2023 oleh X</p></div><div><p>T</p><ul><li> KPR </li><li>SHM</li></ul></div>
 <div><p>Deskripsi</p><p>Bagus &amp; murah</p></div><div><p>Spesifikasi</p><div><div class="a mb-4 b"><p>K</p><p>1</p></div>
 <div class="mb-4"><p>K</p><p>2</p></div><div class="mb-4"><p>only</p></div></div></div>
-<div id="facility-x"><p><span> Masjid </span></p></div><div class="flex-grow"><a title="Budi " href="/agen/budi">B</a><a href="https://f.id/c" title="Firma">F</a></div>
+<div id="facility-x"><div>AC</div><p><span> Masjid </span></p><div><p><span>Pool<b>x</b></span></p></div></div></div><div><div class="flex-grow"><div>i</div><a title="Budi " href="/agen/budi">B</a><a href="https://f.id/c" title="Firma">F</a></div></div>
 <button name="phone" title="0812">x</button><button name="phone" title="62812">x</button>
 <img alt="a" srcset="/i?url=https%3A%2F%2Fc%2Fcustomer%2Fp+1.jpg%26w%3D1&amp;q=2 1x, /i?url=z 2x"/><img alt="map" srcset="/i?url=https%3A%2F%2Fc%2Fcustomer%2Fm 1x, z 2x"/>
-</div></html>"""
+</div><div class="promo"><div class="flex-grow"><a title="Iklan" href="/x">I</a></div><p>Promo</p><ul><li>PROMO</li></ul></div></html>"""
 
 
 def test_page(spark):
@@ -106,7 +107,7 @@ def test_page(spark):
     assert sorted(got) == ["hos1", "hos2"]
     p = got["hos1"]
     assert (p.price, p.installment, p.address, p.description) == (1500.0, 9.8, "Cibinong, Bogor", "Bagus & murah")
-    assert (p.tags, p.specs, p.facilities) == (["KPR", "SHM"], {"K": "2"}, ["Masjid"])
+    assert (p.tags, p.specs, p.facilities) == (["KPR", "SHM"], {"K": "2"}, ["Masjid", "Pool"])
     assert (p.agent.name, p.agent.url, p.agent.phone) == ("Budi", "https://www.site.id/agen/budi", "62812")
     assert (p.agent.company.name, p.agent.company.url) == ("Firma", "https://f.id/c")
     assert p.images == ["https://c/customer/p+1.jpg"] and p.last_modified == "2023-08-07T00:00:00"
@@ -114,9 +115,36 @@ def test_page(spark):
     assert (empty.price, empty.agent.name, empty.tags, empty.specs, empty.last_modified) == (None, None, [], {}, None)
 
 
+def shape(text):
+    page = Page(text)
+    name = lambda i: f"{page.tag[i]}({''.join(map(name, kids))})" if (kids := [j for j in range(i + 1, page.end[i]) if page.parent[j] == i and page.tag[j]]) else page.tag[i]
+    return [name(j) for j in range(1, page.end[0]) if page.parent[j] == 0 and page.tag[j]]
+
+
+@pytest.mark.parametrize("text,want", [
+    ("<div><div>a</div><p>b</p></div><p>", ["div(divp)", "p"]),
+    ("<p>a<p>b<div>c</div></p>", ["p", "p", "div"]),
+    ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>", ["ul(lili(ul(li))li)"]),
+    ("<p><b>a</p><i>b</i>", ["p(b)", "i"]),
+    ("<div></p></span><a>x</div></a><b/><br/><a href=/s/>t</a>", ["div(a)", "b", "br", "a"]),
+    ("<script>a<div></script><style></p></style><!-- <div> --><DIV>", ["script", "style", "div"]),
+    ("<table><tr><td>a<td>b<tr><th>c</table>1 < 2 <", ["table(tr(tdtd)tr(th))"]),
+    ("<div title='a>b' class=x>c</div><div", ["div"]), ("", []), ("</div></div>", []),
+])
+def test_nesting(text, want):
+    assert shape(text) == want
+
+
+def test_deep_page_is_read_once():
+    page = Page("<div>" * 20_000 + "x" + "</div>" * 20_000 + "<p a=1 A=2 b c='&lt;'>1 &lt;<!-- --> 2<br>3</p>")
+    p = page.within([0], "p")[0]
+    assert len(page.within([0, 1, 2], "div")) == 20_000 and page.text(1) == "x"
+    assert page.own_texts(p) == ["1 < 2", "3"] and [page.attribute(p, n) for n in "abcd"] == ["1", "", "<", None]
+
+
 def test_long_paragraph_does_not_overflow(spark):
     text = "kata " * 200_000
-    pages = spark.createDataFrame([("https://s/properti/x/h", f"<div class='ui-container'><h1>a</h1><p>b</p><p>Deskripsi</p><p>{text}</p></div>")], "url string, html string")
+    pages = spark.createDataFrame([("https://s/properti/x/h", f"<div class='ui-container'><div><h1>a</h1></div><p>b</p><p>Deskripsi</p><p>{text}</p></div>")], "url string, html string")
     assert extract.pages_to_listings(pages).first().description == text
 
 
