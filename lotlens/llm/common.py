@@ -73,7 +73,9 @@ def filter_rows(df: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray]) ->
     """The rows for which keep is true, all columns untouched."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(keep(batch), pa.bool_()))
+            for at in range(0, batch.num_rows, 1000):  # few texts at a time as Python strings
+                part = batch.slice(at, 1000)
+                yield part.filter(pa.array(keep(part), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 

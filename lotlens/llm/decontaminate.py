@@ -30,14 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import filter_rows, map_rows, text_rows
-from .words import shingles, word_hashes
+from .words import shingles, slices, word_hashes
 
 WORDS = 5
 CONTAINMENT = 0.8
 BLOCK_ITEMS = 20_000
 BLOCK_CHARS = 16_000_000
-#: Characters of documents hashed in one array.
-SLICE_CHARS = 4_000_000
 
 #: A word: ASCII letters and digits and all characters outside ASCII; A-Z in lower case.
 WORD = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
@@ -122,17 +120,6 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, str]]]:
         yield block
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
-    at, chars = 0, 0
-    for i, t in enumerate(texts):
-        if i > at and chars + len(t) > SLICE_CHARS:
-            yield at, texts[at:i]
-            at, chars = i, 0
-        chars += len(t)
-    if at < len(texts):
-        yield at, texts[at:]
-
-
 def contained(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """doc_id, item_id, containment of every document that holds an item."""
     spark = docs.sparkSession
@@ -143,7 +130,7 @@ def contained(docs: DataFrame, benchmark: DataFrame, containment: float = CONTAI
 
         def run(f: pd.DataFrame, index=index) -> pd.DataFrame:
             ids, rows = f["doc_id"].tolist(), []
-            for at, texts in _slices(f["text"].tolist()):
+            for at, texts in slices(f["text"].tolist()):
                 rows += [(ids[at + d], index.value.items[i], share) for d, i, share in index.value.search(texts)]
             return pd.DataFrame(rows, columns=["doc_id", "item_id", "containment"])
 
@@ -159,7 +146,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, containment: float = CONTA
 
         def clean(batch: pa.RecordBatch, index=index) -> np.ndarray:
             keep = np.ones(batch.num_rows, dtype=bool)
-            for start, texts in _slices([t or "" for t in batch.column(at).to_pylist()]):
+            for start, texts in slices([t or "" for t in batch.column(at).to_pylist()]):
                 keep[[start + d for d, _, _ in index.value.search(texts)]] = False
             return keep
 

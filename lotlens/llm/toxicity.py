@@ -118,7 +118,7 @@ class Grammar:
     def weight(self, word: str) -> float:
         w = self._seen.get(word)
         if w is None:
-            if len(self._seen) > 500_000:
+            if len(self._seen) > 100_000:
                 self._seen.clear()
             get = self.lexicon.get
             w = max([get("=" + word, 0.0), *[get(word[:k], 0.0) for k in STEM_LENGTHS if len(word) >= k]])

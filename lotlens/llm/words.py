@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -55,3 +57,19 @@ def shingles(words: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray,
         h = mixed(h * _BASE + words[k:k + m])
     same = owner[:m] == owner[n - 1:]
     return h[same], owner[:m][same]
+
+
+#: Characters of texts hashed in one array: an array takes some 40 bytes for each byte of text while it is made.
+SLICE_CHARS = 500_000
+
+
+def slices(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts of at most SLICE_CHARS characters, or one longer text, each with the number of its first text."""
+    at, chars = 0, 0
+    for i, t in enumerate(texts):
+        if i > at and chars + len(t) > SLICE_CHARS:
+            yield at, texts[at:i]
+            at, chars = i, 0
+        chars += len(t)
+    if at < len(texts):
+        yield at, texts[at:]
