@@ -178,19 +178,25 @@ def ann(
 # -- combined ----------------------------------------------------------------
 
 def hybrid_search(
-    docs: DataFrame, query: str, q: list[float], k: int = 3, images: DataFrame | None = None, per_image: bool = False
+    docs: DataFrame, query: str, q: list[float], k: int = 3, images: DataFrame | None = None, per_image: bool = False,
+    keywords: Callable[[str, int, DataFrame | None], DataFrame] | None = None,
 ) -> DataFrame:
-    """Distinct union of keyword and vector hits (id, parent_id, source, score) over documents with `embedding`.
+    """Distinct union of keyword and vector hits (id, parent_id, source, score) over documents, whose `embedding` may be NULL.
 
     With `images` only documents having an image take part, once, or once per
-    image when `per_image` is set.
+    image when `per_image` is set. `keywords` (query, k, ids that count or None for
+    all) gives (id, score) from a stored term table; without it the texts are read.
     """
     if images is not None:
         docs = with_any(docs, "id", images, "parent_id", keep_duplicates=per_image)
     hit = lambda df, source: df.select("id", "parent_id", F.lit(source).alias("source"), "score")
-    words = hit(bm25(docs.select("id", "parent_id", "content"), query, k), "bm25")
-    near = hit(knn(docs.select("id", "parent_id", "embedding"), q, k), "embedding")
-    return words.union(near).distinct()
+    named = docs.select("id", "parent_id")
+    if keywords is None:
+        words = bm25(docs.select("id", "parent_id", "content"), query, k)
+    else:
+        words = keywords(query, k, None if images is None else named).join(named, "id")
+    near = knn(docs.filter("embedding IS NOT NULL").select("id", "parent_id", "embedding"), q, k)
+    return hit(words, "bm25").union(hit(near, "embedding")).distinct()
 
 
 def image_search(images: DataFrame, q: list[float], k: int = 3) -> DataFrame:
@@ -206,16 +212,19 @@ def house_ids(hits: DataFrame, limit: int = 5) -> DataFrame:
     return plain.groupBy("id").agg(F.max("score").alias("s")).orderBy(F.desc("s"), "id").limit(limit).select("id")
 
 
-def search_documents(docs: DataFrame, query: str, q: list[float], images: DataFrame | None = None, min_length: int = 50) -> DataFrame:
+def search_documents(
+    docs: DataFrame, query: str, q: list[float], images: DataFrame | None = None, min_length: int = 50,
+    keywords: Callable[[str, int, DataFrame | None], DataFrame] | None = None,
+) -> DataFrame:
     """Keyword and vector search, then every document related to the hits (id, content)."""
-    ids = house_ids(hybrid_search(docs, query, q, images=images))
+    ids = house_ids(hybrid_search(docs, query, q, images=images, keywords=keywords))
     found = related(docs.select("id", "parent_id", "content"), ids)
     return found.filter(F.length("content") > min_length).select("id", "content")
 
 
 def house_images(images: DataFrame, house_id: str) -> DataFrame:
     if not house_id.startswith("hos"):
-        raise ValueError("House ID must start with hos")
+        raise ValueError(f"not the id of a house: {house_id!r}")
     return images.filter(F.col("parent_id") == house_id.replace(CHILD, "")).select("file_path")
 
 

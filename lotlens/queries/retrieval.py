@@ -1,11 +1,13 @@
 """Search queries."""
 
 import math
+import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import search
+from ..operators import search, terms, vectors
 from ..plans.derived import RAW_CTE, flat_listings
+from ..session import shared_folder
 from .registry import query, table
 
 # the searching user's text and vector
@@ -70,16 +72,57 @@ def _(spark, d):
     return out.select("doc_id", F.size("embedding").alias("dim"), F.round(search.norm("embedding"), 6).alias("norm"))
 
 
+_TERM_TABLES: dict[tuple[str, str], str] = {}
+
+
+def term_table(spark, d):
+    """Folder with the term table of the documents, built once per session and input."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _TERM_TABLES:
+        path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+        terms.build_terms(table(spark, d, "documents"), path, "doc_id", "text")
+        _TERM_TABLES[key] = path
+    return _TERM_TABLES[key]
+
+
+@query("v04a_term_table", r"""
+SELECT term, id, count(*) AS tf, len FROM (SELECT doc_id AS id, len(t) AS len, unnest(t) AS term FROM (
+SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS t FROM documents)) GROUP BY ALL""")
+def _(spark, d):
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    terms.build_terms(table(spark, d, "documents"), path, "doc_id", "text")
+    return spark.read.parquet(f"{path}/postings").select("term", "id", "tf", "len")
+
+
 @query("v04_bm25", f"WITH {bm25_sql('documents', 'doc_id', 'text')} SELECT k AS id, round(score, 6) AS score FROM bm ORDER BY bm.score DESC, k LIMIT 3")
 def _(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
-    return search.bm25(docs, WORDS).select("id", F.round("score", 6).alias("score"))
+    return terms.bm25_terms(spark, term_table(spark, d), WORDS).select("id", F.round("score", 6).alias("score"))
 
 
 @query("v04b_bm25_all_scores", f"WITH {bm25_sql('documents', 'doc_id', 'text')} SELECT k AS id, round(score, 6) AS score FROM bm WHERE bm.score > 0")
 def _(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
-    return search.bm25(docs, WORDS, k=None).select("id", F.round("score", 6).alias("score"))
+    return terms.bm25_terms(spark, term_table(spark, d), WORDS, k=None).select("id", F.round("score", 6).alias("score"))
+
+
+@query("v04c_bm25_without_table", f"WITH {bm25_sql('documents', 'doc_id', 'text')} SELECT k AS id, round(score, 6) AS score FROM bm ORDER BY bm.score DESC, k LIMIT 3")
+def _(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+    return search.bm25(docs, WORDS).select("id", F.round("score", 6).alias("score"))
+
+
+# every third document replaced by the text of another, every fifth taken out, after the table was built
+@query("v04d_updated_terms", r"""
+WITH now AS (SELECT doc_id AS id, CASE WHEN doc_id % 3 = 0 THEN left(text, 40) || ' the new text' ELSE text END AS text FROM documents WHERE doc_id % 5 <> 0)
+SELECT term, id, count(*) AS tf, len FROM (SELECT id, len(t) AS len, unnest(t) AS term FROM (
+SELECT id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS t FROM now)) GROUP BY ALL""")
+def _(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    terms.build_terms(docs, path, "doc_id", "text")
+    k = F.col("doc_id")
+    now = docs.withColumn("text", F.when(k % 3 == 0, F.concat(F.left("text", F.lit(40)), F.lit(" the new text"))).otherwise(F.col("text")))
+    terms.update_terms(now.filter(k % 5 != 0), path, docs.filter(k % 5 == 0).select("doc_id"), "doc_id", "text")
+    return spark.read.parquet(f"{path}/postings").select("term", "id", "tf", "len")
 
 
 @query("v05_knn", f"SELECT vec_id AS id, round({COS}, 6) AS score FROM embeddings ORDER BY {COS} DESC, vec_id LIMIT 3")
@@ -89,31 +132,37 @@ def _(spark, d):
 
 
 def indexed(spark, d):
-    """Documents with vectors; every odd one hangs below the even one before it."""
+    """All documents, those that have one with a vector; every odd one hangs below the even one before it."""
     docs = table(spark, d, "documents").select("doc_id", F.col("text").alias("content"))
     vecs = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding", "label")
     k = F.col("doc_id")
-    return docs.join(vecs, "doc_id").select(
+    return docs.join(vecs, "doc_id", "left").select(
         F.concat(F.lit("hos"), k).alias("id"), F.when(k % 2 == 1, F.concat(F.lit("hos"), k - 1)).alias("parent_id"),
         "content", "embedding", "label")
 
 
 INDEX = """doc AS (SELECT 'hos' || doc_id AS id, CASE WHEN doc_id % 2 = 1 THEN 'hos' || (doc_id - 1) END AS parent_id, text AS content, embedding, label
-FROM documents JOIN embeddings ON doc_id = vec_id)"""
+FROM documents LEFT JOIN embeddings ON doc_id = vec_id)"""
 HITS = f"""hit AS (SELECT * FROM (SELECT doc.id, doc.parent_id, 'bm25' AS source, score FROM bm JOIN doc ON k = doc.id WHERE score > 0 ORDER BY score DESC, k LIMIT 3)
-UNION SELECT * FROM (SELECT id, parent_id, 'embedding' AS source, {COS} AS score FROM doc_in ORDER BY score DESC, id LIMIT 3))"""
+UNION SELECT * FROM (SELECT id, parent_id, 'embedding' AS source, {COS} AS score FROM doc_in WHERE embedding IS NOT NULL ORDER BY score DESC, id LIMIT 3))"""
+
+
+def keywords(spark, d):
+    """Keyword search over the stored term table, under the ids of `indexed`."""
+    path = term_table(spark, d)
+    return lambda text, k, within: terms.bm25_terms(spark, path, text, k, within, F.concat(F.lit("hos"), "id"))
 
 
 @query("v06_hybrid_search", f"WITH {INDEX}, doc_in AS (FROM doc), {bm25_sql('doc_in', 'id', 'content')}, {HITS} SELECT id, parent_id, source, round(score, 6) AS score FROM hit")
 def _(spark, d):
-    return search.hybrid_search(indexed(spark, d), WORDS, Q).withColumn("score", F.round("score", 6))
+    return search.hybrid_search(indexed(spark, d), WORDS, Q, keywords=keywords(spark, d)).withColumn("score", F.round("score", 6))
 
 
 @query("v06b_hybrid_with_image", f"""WITH {INDEX}, doc_in AS (SELECT * FROM doc WHERE id IN (SELECT 'hos' || doc_id FROM labels WHERE quality = 1)),
 {bm25_sql('doc_in', 'id', 'content')}, {HITS} SELECT id, parent_id, source, round(score, 6) AS score FROM hit""")
 def _(spark, d):
     images = table(spark, d, "labels").filter("quality = 1").select(F.concat(F.lit("hos"), "doc_id").alias("parent_id"))
-    return search.hybrid_search(indexed(spark, d), WORDS, Q, images=images).withColumn("score", F.round("score", 6))
+    return search.hybrid_search(indexed(spark, d), WORDS, Q, images=images, keywords=keywords(spark, d)).withColumn("score", F.round("score", 6))
 
 
 @query("v07_image_search", f"""
@@ -129,7 +178,7 @@ ids AS (SELECT id FROM (SELECT replace(unnest([id, parent_id]), '-desc', '') AS
 rel AS (SELECT id FROM doc WHERE id IN (SELECT id FROM ids) UNION SELECT doc.id FROM doc JOIN rel ON rel.id = doc.parent_id)
 SELECT id, md5(content) AS digest FROM doc WHERE id IN (SELECT id FROM rel) AND length(content) > 50""")
 def _(spark, d):
-    return search.search_documents(indexed(spark, d), WORDS, Q).select("id", F.md5("content").alias("digest"))
+    return search.search_documents(indexed(spark, d), WORDS, Q, keywords=keywords(spark, d)).select("id", F.md5("content").alias("digest"))
 
 
 @query("v09_house_images", """
@@ -142,8 +191,54 @@ def _(spark, d):
     return search.house_images(images, "hos77-desc")
 
 
+_VECTOR_TABLES: dict[tuple[str, str], str] = {}
+
+
+def vector_table(spark, d):
+    """Folder with the vector partitions of the embeddings, built once per session and input."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _VECTOR_TABLES:
+        path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+        vectors.build_vectors(table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label"), path)
+        _VECTOR_TABLES[key] = path
+    return _VECTOR_TABLES[key]
+
+
 # seeded, so approximate hits are the same every time; here they are the exact ones
-@query("v10_ann", f"SELECT vec_id AS id, round({COS}, 6) AS score FROM embeddings ORDER BY {COS} DESC, vec_id LIMIT 3")
+EXACT = f"SELECT vec_id AS id, round({COS}, 6) AS score FROM embeddings ORDER BY {COS} DESC, vec_id LIMIT 3"
+
+
+@query("v10_ann", EXACT)
+def _(spark, d):
+    return vectors.nearest(spark, vector_table(spark, d), Q).select("id", F.round("score", 6).alias("score"))
+
+
+@query("v10a_vector_table", "SELECT vec_id AS id, label, round(list_sum(embedding::DOUBLE[]), 6) AS total, len(embedding) AS dim FROM embeddings")
+def _(spark, d):
+    rows = spark.read.parquet(f"{vector_table(spark, d)}/vectors")
+    total = F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda s, e: s + e)
+    return rows.select("id", "label", F.round(total, 6).alias("total"), F.size("embedding").cast("long").alias("dim"))
+
+
+@query("v10b_projections", EXACT)
 def _(spark, d):
     e = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
     return search.ann(e, Q).select("id", F.round("score", 6).alias("score"))
+
+
+# the index of all documents after a second run in which every fourth has a new text and every seventh is gone
+@query("v11_refreshed_index", r"""
+SELECT doc_id AS id, md5(text) AS digest, CAST(list_unique(t) AS BIGINT) AS terms, len(t) AS len FROM (SELECT doc_id, text,
+list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS t FROM (
+SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'baru: ' || coalesce(text, '') ELSE coalesce(text, '') END AS text FROM documents WHERE doc_id % 7 <> 0))""")
+def _(spark, d):
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("content"))
+    ready = lambda df: df.withColumn("to_embed", F.concat(F.lit(search.PREFIX), "content"))
+    vectors.refresh_index(ready(docs), path)
+    text = F.when(F.col("id") % 4 == 0, F.concat(F.lit("baru: "), "content")).otherwise(F.col("content"))
+    vectors.refresh_index(ready(docs.filter("id % 7 <> 0").withColumn("content", text)), path, whole=True)
+    found = spark.read.parquet(f"{path}/terms/postings").groupBy("id").agg(F.count(F.lit(1)).alias("terms"))
+    rows = spark.read.parquet(f"{path}/vectors/vectors").select("id", F.md5("content").alias("digest"))
+    size = spark.read.parquet(f"{path}/terms/documents").select("id", "len")
+    return rows.join(size, "id").join(found, "id", "left").select("id", "digest", F.coalesce("terms", F.lit(0)).alias("terms"), "len")
