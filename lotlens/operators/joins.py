@@ -30,10 +30,10 @@ def with_any(df: DataFrame, key: str, other: DataFrame, other_key: str, keep_dup
 
 
 def new_rows(df: DataFrame, target: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
-    """Rows an insert-if-absent would add: one per key, none already in the target."""
+    """Rows an insert-if-absent would add: one per key, none already in the target; a NULL key is a key like others."""
     have = target.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
     fresh = distinct_on(df, keys, order)
-    on = reduce(lambda a, b: a & b, [fresh[k] == have[f"_h_{k}"] for k in keys])
+    on = reduce(lambda a, b: a & b, [fresh[k].eqNullSafe(have[f"_h_{k}"]) for k in keys])
     return fresh.join(have, on, "left_anti")
 
 

@@ -401,6 +401,20 @@ def _(spark, d):
     return files.groupBy("parent_id").agg(F.count(F.lit(1)).cast("int").alias("files"), F.bool_and(named).alias("named"))
 
 
+# three batches, the second sent twice: customers in part, all under other names, a few more
+@query("s09b_insert_batches", """
+SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE 'Again ' || c_name END AS c_name FROM customer
+UNION ALL SELECT -n_nationkey - 1, n_name FROM nation""")
+def _(spark, d):
+    c = table(spark, d, "customer").select("c_custkey", "c_name")
+    more = table(spark, d, "nation").select((-F.col("n_nationkey") - 1).cast("bigint").alias("c_custkey"), F.col("n_name").alias("c_name"))
+    again = c.withColumn("c_name", F.concat(F.lit("Again "), "c_name"))
+    target = fresh_path(spark)
+    for number, batch in ((0, c.filter("c_custkey % 3 = 0")), (1, again), (1, again), (2, more.union(c))):
+        writers.insert_new(batch, target, ["c_custkey"], writer="customers", batch=number)
+    return writers.read_inserted(spark, target, c.schema)
+
+
 @query("s11_build_layer", RAW_CTE + " SELECT string_split(address, ', ')[2] AS city, count(*) AS n, count(price) AS priced FROM raw GROUP BY 1")
 def _(spark, d):
     writers.build_layer(spark, {"lotlens_stg_houses": plan.stg_houses(raw_listings(spark, d))})
@@ -421,5 +435,5 @@ def _(spark, d):
     for part in (bad.unionByName(e.filter("user_id % 10 = 1")).unionByName(e.filter("user_id % 5 = 1")), e):
         part.write.mode("append").json(feed)
         ingest_stream(spark, feed, target, f"{target}_state", schema, clean=clean)
-    got = spark.read.schema(schema).parquet(target)
+    got = writers.read_inserted(spark, target, spark.createDataFrame([], schema).schema)
     return got.select("id", "user_id", "event_type", F.round("value", 4).alias("value"))

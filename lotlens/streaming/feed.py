@@ -19,8 +19,9 @@ def ingest_stream(
     """Read all JSON-lines files that arrived, drop repeats of a key, append keys not yet in the target.
 
     `clean` comes first: a copy that it rejects never hides a good one. Repeats that arrive within `delay` of each other are dropped by streaming
-    state; later ones by the insert-if-absent rule, which also makes a replayed
-    batch harmless.  The watermark runs on arrival time, so a listing with an old
+    state; later ones by the insert-if-absent rule. Batches are numbered in the target's
+    ledger under the stream's own id, so a replayed batch adds nothing, also after an
+    append that stopped half-way.  The watermark runs on arrival time, so a listing with an old
     date is never taken for late data.
     """
     reader = spark.readStream.schema(schema)
@@ -30,8 +31,13 @@ def ingest_stream(
     if clean is not None:
         rows = clean(rows)
     fresh = rows.withColumn("_at", F.current_timestamp()).withWatermark("_at", delay).dropDuplicatesWithinWatermark([key]).drop("_at")
+
+    def land(batch: DataFrame, number: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        insert_new(batch, target, [key], writer=stream, batch=number)
+
     query = (
-        fresh.writeStream.foreachBatch(lambda batch, _: insert_new(batch, target, [key]))
+        fresh.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()

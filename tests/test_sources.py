@@ -85,12 +85,57 @@ def test_geojson_round_trip(spark, tmp_path, area_file):
     assert sorted(map(str, again.collect())) == sorted(map(str, areas.collect()))
 
 
+SMALL = "id int, s string"
+
+
+def inserted(spark, target, schema=SMALL):
+    df = writers.read_inserted(spark, target, spark.createDataFrame([], schema).schema)
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
 def test_insert_new_is_idempotent(spark, tmp_path):
     target = str(tmp_path / "t")
-    first = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id int, s string")
-    for batch in (first, first, spark.createDataFrame([(2, "z"), (3, "d")], "id int, s string")):
+    first = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "n")], SMALL)
+    for batch in (first, first, spark.createDataFrame([(2, "z"), (3, "d"), (None, "m")], SMALL), first.limit(0)):
         writers.insert_new(batch, target, ["id"])
-    assert sorted(tuple(r) for r in spark.read.parquet(target).collect()) == [(1, "a"), (2, "c"), (3, "d")]
+    assert inserted(spark, target) == [(1, "a"), (2, "c"), (3, "d"), (None, "n")]
+    assert writers.committed(spark, target) == {"direct": 3}
+    assert inserted(spark, str(tmp_path / "none")) == []
+
+
+def test_replay_after_half_an_append(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "t")
+    rows = [(i, f"r{i}") for i in range(50)]
+    writers.insert_new(spark.createDataFrame(rows[:20], SMALL), target, ["id"], writer="feed", batch=0)
+    batch = spark.createDataFrame([(i, "again" if i < 20 else s) for i, s in rows[10:]], SMALL)
+
+    def lost(*_):
+        raise OSError("the driver is lost before the ledger is written")
+
+    real = writers._commit
+    monkeypatch.setattr(writers, "_commit", lost)
+    with pytest.raises(OSError):
+        writers.insert_new(batch, target, ["id"], writer="feed", batch=1)
+    assert inserted(spark, target) == sorted(rows[:20], key=str)  # the rows are there, but not committed
+    half = [p for p in (tmp_path / "t").rglob("*.parquet") if "_batch=1" in str(p)]
+    assert half
+    half[0].unlink()  # and some of them are not even there
+    monkeypatch.setattr(writers, "_commit", real)
+    for _ in range(2):
+        writers.insert_new(batch, target, ["id"], writer="feed", batch=1)
+        assert inserted(spark, target) == sorted(rows, key=str)
+    writers.insert_new(spark.createDataFrame([(99, "old number")], SMALL), target, ["id"], writer="feed", batch=0)
+    writers.insert_new(spark.createDataFrame([(7, "x"), (77, "y")], SMALL), target, ["id"], writer="other", batch=0)
+    assert inserted(spark, target) == sorted([*rows, (77, "y")], key=str)
+    assert len(list((tmp_path / "t" / "_ledger").rglob("[0-9]*"))) == 2
+
+
+def test_insert_reads_the_slots_of_its_keys_only(spark, tmp_path):
+    target = str(tmp_path / "t")
+    writers.insert_new(spark.createDataFrame([(i, "a") for i in range(500)], SMALL), target, ["id"])
+    some = writers.read_inserted(spark, target, spark.createDataFrame([], SMALL).schema, [3, 5])
+    assert "_slo" in some._jdf.queryExecution().toString().split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert {p.split("_slot=")[1].split("/")[0] for p in (r[0] for r in some.select(F.input_file_name()).distinct().collect())} == {"3", "5"}
 
 
 def test_publish_skips_downstream():
@@ -115,9 +160,8 @@ def test_feed(spark, tmp_path):
     ingest_stream(spark, feed, target, ck)
     write(tmp_path / "feed" / "2.json", "\n".join(map(json.dumps, [again, LISTING | {"id": "hos3"}, LISTING | {"id": "old", "scraped_at": "2001-01-01T00:00:00"}])))
     ingest_stream(spark, feed, target, ck)
-    got = {r.id: r.price for r in spark.read.schema(readers.LISTING_SCHEMA).parquet(target).collect()}
-    assert got == {"hos1": 850.0, "hos2": 850.0, "hos3": 850.0, "old": 850.0}
-    assert spark.read.parquet(target).count() == 4
+    landed = writers.read_inserted(spark, target, spark.createDataFrame([], readers.LISTING_SCHEMA).schema)
+    assert sorted((r.id, r.price) for r in landed.collect()) == [("hos1", 850.0), ("hos2", 850.0), ("hos3", 850.0), ("old", 850.0)]
 
 
 def test_star_schema(spark, tmp_path, area_file):
