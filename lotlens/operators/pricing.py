@@ -131,6 +131,56 @@ def search(
     return out
 
 
+RUN = "rung int, trial int, params string, share double, " + ", ".join(f"val_{m} double" for m in METRICS)
+
+
+def halving(
+    df: DataFrame, key: str, trials: list[dict], table: str, rungs: int = 3, keep: int = 3, k: int = 5, target: str = "price",
+    holdout: DataFrame | None = None, parallelism: int = 4,
+) -> DataFrame:
+    """Successive halving: all settings on a share of the rows, the best of each rung on `keep` times as many, the last on all.
+
+    Early rungs validate on one fold, the last cross-validates. Shares follow from the key, so a rung's rows hold those
+    of the rung before. Every finished run is a row under `table`, in a folder of its own; a search that stopped goes on from there. Gives the run
+    table in order (rung descending, then error), with `place` and `winner`, and the winner's metrics on `holdout`.
+    """
+    spark = df.sparkSession
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/runs")
+    there = fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path)
+    stored = spark.read.schema(RUN).parquet(f"{table}/runs").drop("run").collect() if there else []  # a row per run
+    done = {(r["rung"], r["trial"]): r.asDict() for r in stored}
+    alive = list(range(len(trials)))
+    for rung in range(rungs):
+        parts = keep ** (rungs - 1 - rung)
+        rows = df if parts == 1 else df.filter(bucket_of(key, 5, parts) == 0)
+        fold = bucket_of(key, 21, k)
+
+        def run(trial: int) -> None:
+            params = trials[trial]
+            if parts == 1:
+                val = mean_metrics(cross_validate(rows, key, k, target=target, parallelism=1, **params)).first().asDict()
+            else:
+                model = fit_price_model(rows.filter(fold != 0), target, skip=(key,), **params)
+                val = evaluate(model, rows.filter(fold == 0), target)[0].first().asDict()
+            row = {"rung": rung, "trial": trial, "params": str(params), "share": 1 / parts} | {f"val_{m}": float(val[m]) for m in METRICS}
+            spark.createDataFrame([row], RUN).coalesce(1).write.mode("overwrite").parquet(f"{table}/runs/run={rung}-{trial}")
+            done[rung, trial] = row
+
+        with ThreadPool(parallelism) as pool:
+            pool.map(run, [t for t in alive if (rung, t) not in done])
+        alive = sorted(alive, key=lambda t: (done[rung, t]["val_mse"], t))[: max(1, len(alive) // keep)]
+    out = pd.DataFrame(sorted(done.values(), key=lambda r: (-r["rung"], r["val_mse"], r["trial"])))
+    out["place"], out["winner"] = range(1, len(out) + 1), [i == 0 for i in range(len(out))]
+    columns = f"{RUN}, place int, winner boolean"
+    if holdout is not None:
+        model = fit_price_model(df, target, skip=(key,), **trials[int(out["trial"][0])])
+        test = evaluate(model, holdout, target)[0].first().asDict()
+        for m in METRICS:
+            out[f"test_{m}"] = [float(test[m])] + [None] * (len(out) - 1)
+            columns += f", test_{m} double"
+    return spark.createDataFrame([tuple(None if x != x else x for x in r) for r in out.astype(object).itertuples(index=False)], columns)
+
+
 def importances(model: PipelineModel) -> DataFrame:
     """Feature importances, largest first."""
     names = model.stages[-2].getInputCols()

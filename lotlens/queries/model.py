@@ -51,6 +51,12 @@ def _(spark, d):
     return runs.join(actual)
 
 
+@query("m07b_halving")
+def _(spark, d):
+    train, test = features.split(stored(spark, d), "id")
+    return pricing.halving(train, "id", pricing.sample_params(20), fresh_path(spark), keep=4, holdout=test, parallelism=8)
+
+
 @query("m09_evaluate", PRICED + " SELECT count(*) AS n, round(sum(y), 3) AS actual, true AS consistent, true AS learned FROM priced WHERE test AND y IS NOT NULL")
 def _(spark, d):
     train, test = features.split(stored(spark, d), "id")

@@ -232,6 +232,32 @@ def test_model_learns(spark, model_table, tmp_path):
     assert spark.read.parquet(str(tmp_path / "runs")).count() == runs.count() == 1
 
 
+def test_halving_keeps_the_best_and_goes_on(spark, model_table, tmp_path, monkeypatch):
+    train, test = features.split(model_table, "id")
+    good, poor = {"maxIter": 6, "maxDepth": 4, "stepSize": 0.3}, {"maxIter": 1, "maxDepth": 1, "stepSize": 0.01}
+    trials = [poor, good, poor | {"stepSize": 0.02}, poor | {"stepSize": 0.03}]
+    ask = lambda: pricing.halving(train, "id", trials, str(tmp_path), rungs=2, keep=2, k=2, holdout=test)
+    real, calls = pricing.fit_price_model, []
+
+    def stops(*a, **b):
+        calls.append(1)
+        if len(calls) > 3:
+            raise OSError("stopped")
+        return real(*a, **b)
+
+    monkeypatch.setattr(pricing, "fit_price_model", stops)
+    with pytest.raises(OSError):
+        ask()
+    stored = spark.read.schema(pricing.RUN).parquet(f"{tmp_path}/runs").count()
+    monkeypatch.setattr(pricing, "fit_price_model", real)
+    runs = ask().collect()
+    assert stored == 3 and [r.place for r in runs] == list(range(1, 7)) and [r.rung for r in runs] == [1, 1, 0, 0, 0, 0]
+    assert runs[0].winner and runs[0].trial == 1 and runs[0].share == 1.0 and runs[2].share == 0.5 and runs[0].test_r2 > 0.8
+    assert [r.test_mse is None for r in runs] == [False] + [True] * 5 and runs[0].val_mse <= runs[1].val_mse
+    monkeypatch.setattr(pricing, "cross_validate", stops)
+    assert [r.trial for r in ask().collect()] == [r.trial for r in runs]
+
+
 def test_shadow_is_a_permutation(spark, model_table):
     out = pricing.shuffled_copies(model_table, ["luas_tanah", "noise"], "id", 3, bucket_rows=400).toPandas()
     for c in ("luas_tanah", "noise"):
