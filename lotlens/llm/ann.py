@@ -8,7 +8,7 @@ size; the shards' nearest are merged. All rows are indexed, none is sampled.
 Edges: vectors that are null, empty, zero or hold null or non-finite components take no part, neither do
 vectors of another length than the most frequent one (the smaller on ties); a null id takes no part as a query; repeated rows are
 candidates each for itself (a query leaves out one row of its own id); fewer candidates than k
-are all returned; an empty table gives an empty result; further columns are ignored.
+are all returned; distances are in double precision (infinite where a square overflows); an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -182,7 +182,7 @@ def build(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
 
     def shard(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values("order", kind="stable")
-        vectors = np.stack(f["v"].to_numpy()).astype(np.float32)
+        vectors = np.stack(f["v"].to_numpy()).astype(np.float64)
         graph = SmallWorld(vectors)
         ids = [np.asarray(x, dtype=np.int64) for x in f["ids"]]
         return pd.DataFrame([{
@@ -198,7 +198,7 @@ def build(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
 
 def search(vectors: DataFrame, queries: Column, k: int = 10, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest rows of each query row; vectors: vec_id, embedding."""
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("v")).filter(usable(F.col("v")))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")).filter(usable(F.col("v")))
     common = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     rows = rows.filter((F.size("v") == (common["n"] if common else 0)) & F.col("vec_id").isNotNull())
     index = build(rows, k, shard_rows)
@@ -212,13 +212,14 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, shard_rows: int = S
     def look(qs: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         for s in shard.itertuples():
-            v = np.frombuffer(s.vectors, dtype=np.float32).reshape(-1, s.width)
+            v = np.frombuffer(s.vectors, dtype=np.float64).reshape(-1, s.width)
             graph = SmallWorld.load(v, list(s.levels), s.entry, s.top)
             ids, ends = np.frombuffer(s.ids, dtype="<i8"), np.r_[0, np.frombuffer(s.ends, dtype="<i8")]
             for query_id, q, row in zip(qs["query_id"], qs["q"], qs["row"]):
                 q = np.asarray(q, dtype=np.float64)
                 found = np.array(graph.nearest(q, k + 1))
-                far = np.sqrt(((graph.v[found] - q) ** 2).sum(axis=1))
+                with np.errstate(over="ignore"):
+                    far = np.sqrt(((graph.v[found] - q) ** 2).sum(axis=1))
                 near: list[tuple[float, int]] = []
                 for d, i in sorted(zip(far.tolist(), found.tolist())):
                     if len(near) > k and d > near[k][0]:

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lotlens.llm import hardneg, linefreq, stripes
+from lotlens.llm import ann, hardneg, linefreq, stripes
 from lotlens.llm import queries as llm
 from tests.conftest import SF_DIR
 
@@ -237,3 +237,12 @@ def test_queries_have_the_columns_asked_for(spark, name):
     }[name]
     got = dict(llm.QUERIES[name](spark, SF_DIR).dtypes)
     assert want.items() <= got.items() and name in llm.ORACLE
+
+
+def test_neighbours_in_double_precision(spark):
+    rows = [(100, [100000001.0, 0.0]), (1, [100000002.0, 0.0]), (2, [100000003.0, 0.0]), (3, [1e300, 1.0]), (4, [0.1, 0.2])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in ann.search(df, F.col("vec_id") % 100 == 0).collect())
+    far = math.hypot(100000001.0 - 0.1, 0.2)
+    assert [r[:3] for r in got] == [(100, 1, 1), (100, 2, 2), (100, 3, 4), (100, 4, 3)]
+    assert [r[3] for r in got[:2]] == [1.0, 2.0] and got[2][3] == pytest.approx(far, rel=1e-15) and got[3][3] == math.inf
