@@ -54,7 +54,7 @@ def build_terms(docs: DataFrame, path: str, doc_id: str = "id", content: str = "
     """Write the term table of docs (one row per id) to a new folder."""
     postings, documents = _analysed(docs, doc_id, content, parts)
     store_parts(written(postings), f"{path}/postings", "part", ["term", "id"], "error")
-    store_parts(documents, f"{path}/documents", "slot", ["id"], "error")
+    store_parts(written(documents), f"{path}/documents", "slot", ["id"], "error")
     _describe(docs.sparkSession, path, parts)
 
 

@@ -89,9 +89,7 @@ def term_table(spark, d):
 SELECT term, id, count(*) AS tf, len FROM (SELECT doc_id AS id, len(t) AS len, unnest(t) AS term FROM (
 SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS t FROM documents)) GROUP BY ALL""")
 def _(spark, d):
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    terms.build_terms(table(spark, d, "documents"), path, "doc_id", "text")
-    return spark.read.parquet(f"{path}/postings").select("term", "id", "tf", "len")
+    return spark.read.parquet(f"{term_table(spark, d)}/postings").select("term", "id", "tf", "len")
 
 
 @query("v04_bm25", f"WITH {bm25_sql('documents', 'doc_id', 'text')} SELECT k AS id, round(score, 6) AS score FROM bm ORDER BY bm.score DESC, k LIMIT 3")
