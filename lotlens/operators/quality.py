@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+
 COLUMNS = ["check_name", "column_name", "value", "violations"]
 
 
@@ -39,3 +44,56 @@ def check_fk(df: DataFrame, column: str, parent: DataFrame, parent_column: str)
 def check_values(df: DataFrame, column: str, accepted: list) -> DataFrame:
     odd = df.filter(F.col(column).isNotNull() & ~F.col(column).isin(accepted))
     return _shape(odd.groupBy(column).agg(F.count(F.lit(1)).alias("violations")), "accepted_values", column, column)
+
+
+@dataclass(frozen=True)
+class Check:
+    """A declared check; kind is not_null, unique, accepted_values or relationships (then with a parent table and column)."""
+
+    table: str
+    column: str
+    kind: str
+    accepted: tuple = ()
+    parent: tuple[str, str] | None = None
+
+
+def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """All violations of the declared checks: (table_name, check_name, column_name, value, violations).
+
+    Each table is read once. A row gives one item for every check it fails and one for the value of every key column
+    (checked for uniqueness, or on either side of a relationship); items are counted by value, before and after one
+    shuffle, and the counts stored. Repeated keys and keys without parent are read off the counts, so parents
+    are not read again. Values are compared as text; NULL fails not_null only, also where the parent has a NULL.
+    """
+    keys = {(c.table, c.column) for c in checks if c.kind in ("unique", "relationships")} | {c.parent for c in checks if c.parent}
+    items = []
+    for name in sorted({c.table for c in checks} | {t for t, _ in keys}):
+        text = lambda c: F.col(c).cast("string")
+        item = lambda kind, column, value: F.struct(F.lit(kind).alias("check_name"), F.lit(column).alias("column_name"), value.alias("value"))
+        found = [F.when(F.col(c).isNotNull(), item("key", c, text(c))) for t, c in sorted(keys) if t == name]
+        for c in (c for c in checks if c.table == name):
+            if c.kind == "not_null":
+                found.append(F.when(F.col(c.column).isNull(), item(c.kind, c.column, F.lit(None).cast("string"))))
+            elif c.kind == "accepted_values":
+                found.append(F.when(~F.col(c.column).isin(list(c.accepted)), item(c.kind, c.column, text(c.column))))
+            elif c.kind not in ("unique", "relationships"):
+                raise ValueError(f"unknown check {c.kind}")
+        failed = tables[name].select(F.explode(F.array_compact(F.array(*found))).alias("i"))
+        items.append(failed.select(F.lit(name).alias("table_name"), "i.*"))
+    group = ["table_name", "check_name", "column_name", "value"]
+    counts = written(reduce(DataFrame.unionAll, items).groupBy(*group).agg(F.count(F.lit(1)).alias("violations")))
+    out = counts.filter("check_name <> 'key'")
+    key = counts.filter("check_name = 'key'")
+    at = lambda pairs: reduce(lambda a, b: a | b, [(F.col("table_name") == t) & (F.col("column_name") == c) for t, c in pairs])
+    unique = [(c.table, c.column) for c in checks if c.kind == "unique"]
+    if unique:
+        out = out.unionByName(key.filter(at(unique) & (F.col("violations") > 1)).withColumn("check_name", F.lit("unique")))
+    related = [c for c in checks if c.kind == "relationships"]
+    if related:
+        parent = F.coalesce(*[F.when(at([(c.table, c.column)]), F.lit("\t".join(c.parent))) for c in related])
+        children = key.filter(at([(c.table, c.column) for c in related])).withColumn("_of", parent)
+        parents = key.filter(at({c.parent for c in related})).select(
+            F.concat_ws("\t", "table_name", "column_name").alias("_of"), "value")
+        orphans = children.join(parents, ["_of", "value"], "left_anti").withColumn("check_name", F.lit("relationships"))
+        out = out.unionByName(orphans.select(*group, "violations"))
+    return out

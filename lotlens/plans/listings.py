@@ -20,15 +20,44 @@ from ..operators.joins import lookup
 from ..session import written
 
 
-def unique_listings(raw: DataFrame) -> DataFrame:
-    """One record per id, the latest change first (ties by the scalar fields, so lists need not be compared)."""
-    latest = F.desc_nulls_last(F.try_to_timestamp("last_modified"))
-    first = Window.partitionBy("id").orderBy(latest, "scraped_at", "url", "price", "installment", "address", "description")
-    return raw.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
+def unique_listings(stage: DataFrame) -> DataFrame:
+    """One staged record per id, the latest change first; ties by the scalar fields, then by a hash of the rest."""
+    ties = ["scraped_at", "url", "price", "installment", "subdistrict", "city", "description", "record_hash"]
+    first = Window.partitionBy("id").orderBy(F.desc_nulls_last("last_modified"), *ties)
+    return stage.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
 
 
 # -- staging -----------------------------------------------------------------
 
+def staged(raw: DataFrame) -> DataFrame:
+    """One row per record with every field cleaned once; all later tables of listings are projections of it."""
+    snake = F.transform_keys("specs", lambda k, _: F.replace(F.lower(k), F.lit(" "), F.lit("_")))
+    sub, city = x.split_address("address")
+    flat = raw.select(
+        "id", "price", "installment", "description", sub.alias("subdistrict"), city.alias("city"), "url",
+        x.to_timestamp("last_modified").alias("last_modified"), x.to_timestamp("scraped_at").alias("scraped_at"),
+        x.mask_name("agent.name").alias("agent_name"), x.mask_phone("agent.phone").alias("agent_phone"),
+        x.agent_hash("agent.name", "agent.phone").alias("agent_hash"), x.clean_company("agent.company.name").alias("company"),
+        F.col("agent.company.url").alias("company_url"), tags_of("tags").alias("tags"),
+        facilities_of("facilities").alias("facilities"), "images", F.xxhash64("tags", "facilities", "images", F.to_json("specs"), F.to_json("agent")).alias("record_hash"), snake.alias("_s"),
+    )
+    base = [c for c in flat.columns if c != "_s"]
+    return flat.select(*base, *[F.try_element_at("_s", F.lit(k)).alias(k) for k in spec_keys()])
+
+
+def staged_items(stage: DataFrame, column: str, name: str) -> DataFrame:
+    """The items of a list column, one per row."""
+    return stage.select(F.col("id").alias("reference_id"), F.explode(column).alias(name))
+
+
+def staged_specs(stage: DataFrame) -> DataFrame:
+    return stage.select(F.col("id").alias("reference_id"), *spec_keys())
+
+
+def staged_companies(stage: DataFrame) -> DataFrame:
+    return stage.select(F.col("id").alias("reference_id"), F.col("company").alias("name"), F.col("company_url").alias("url"))
+
+
 def stg_houses(raw: DataFrame) -> DataFrame:
     sub, city = x.split_address("address")
     return raw.select(
@@ -143,13 +172,21 @@ def amenities_in_areas(amenities: DataFrame, areas: DataFrame) -> DataFrame:
     return geo.spatial_join(amenities, areas, "center", "geom")
 
 
-def amenity_area_counts(amenities: DataFrame, areas: DataFrame, categories: list[str] = v.CATEGORY_NAMES) -> DataFrame:
+def placed_amenities(amenities: DataFrame, areas: DataFrame) -> DataFrame:
+    """Amenities with the names of the area around them: the spatial join both amenity tables are made of."""
+    return amenities_in_areas(amenities.select("amenity", "name", "category", "center"), areas.select(*AREA_NAMES, "geom")).drop("geom")
+
+
+def area_counts_of(placed: DataFrame, categories: list[str] = v.CATEGORY_NAMES) -> DataFrame:
     """Amenities per subdistrict name and category, packed in one struct."""
-    inside = amenities_in_areas(amenities.select("category", "center"), areas.select("subdistrict", "geom"))
-    wide = agg.pivot_counts(inside, "subdistrict", "category", categories)
+    wide = agg.pivot_counts(placed, "subdistrict", "category", categories)
     return wide.select("subdistrict", F.struct(*categories).alias("amenities"))
 
 
+def amenity_area_counts(amenities: DataFrame, areas: DataFrame, categories: list[str] = v.CATEGORY_NAMES) -> DataFrame:
+    return area_counts_of(placed_amenities(amenities, areas), categories)
+
+
 # -- marts -------------------------------------------------------------------
 
 AREA_NAMES = ["subdistrict", "district", "city", "province"]
@@ -161,21 +198,15 @@ SPEC_OUT = [
 ]
 
 
-def _record(raw: DataFrame, districts: DataFrame, extra: dict[str, Column]) -> DataFrame:
-    """House, specs and further expressions of each priced listing, from its one record.
+def _record(stage: DataFrame, districts: DataFrame, extra: dict[str, Column]) -> DataFrame:
+    """House, specs and further expressions of each priced listing, from its one staged record.
 
     Only the lookup of corrected subdistricts is a join.
     """
-    snake = F.transform_keys("specs", lambda k, _: F.replace(F.lower(k), F.lit(" "), F.lit("_")))
-    sub, city = x.split_address("address")
-    flat = raw.filter("price IS NOT NULL").select(
+    wide = stage.filter("price IS NOT NULL").select(
         F.col("id").alias("reference_id"), "price", "installment", F.coalesce("description", F.lit("")).alias("description"),
-        sub.alias("subdistrict"), city.alias("city_name"), "url", x.to_timestamp("last_modified").alias("last_modified"),
-        snake.alias("_s"), *[c.alias(n) for n, c in extra.items()],
+        "subdistrict", F.col("city").alias("city_name"), "url", "last_modified", *spec_keys(), *[c.alias(n) for n, c in extra.items()],
     )
-    keys = spec_keys()
-    base = [c for c in flat.columns if c != "_s"]
-    wide = flat.select(*base, *[F.try_element_at("_s", F.lit(k)).alias(k) for k in keys])
     areas = {k: x.num_suffix(k, chars) for k, chars in v.SPEC_AREA_KEYS.items()}
     parsed = wide.withColumns(
         areas | {k: x.try_int(k) for k in v.SPEC_INT_KEYS} | {"daya_listrik": x.parse_watt("daya_listrik")}
@@ -186,15 +217,13 @@ def _record(raw: DataFrame, districts: DataFrame, extra: dict[str, Column]) -> D
     return lookup(parsed, districts, "subdistrict", "source", "target", "subdistrict")
 
 
-def fact_houses(raw: DataFrame, districts: DataFrame, areas: DataFrame) -> DataFrame:
+def fact_houses(stage: DataFrame, districts: DataFrame, areas: DataFrame) -> DataFrame:
     """House facts with area, company and image keys.
 
     Area names are not unique and every image is a row, so a house appears once
     per matching area and distinct image; `wide_listings` is the one-row form.
     """
-    rec = _record(raw, districts, {
-        "company": x.clean_company("agent.company.name"), "image_urls": F.array_distinct("images"),
-    })
+    rec = _record(stage, districts, {"company": F.col("company"), "image_urls": F.array_distinct("images")})
     a = written(areas.select(*[F.col(c).alias(f"_a_{c}") for c in AREA_NAMES]))
     j = rec.join(a, rec["subdistrict"] == a["_a_subdistrict"], "left")
     j = j.select("*", F.explode_outer("image_urls").alias("image_url"))
@@ -205,7 +234,7 @@ def fact_houses(raw: DataFrame, districts: DataFrame, areas: DataFrame) -> DataF
     )
 
 
-def wide_listings(raw: DataFrame, districts: DataFrame, area_counts: DataFrame) -> DataFrame:
+def wide_listings(stage: DataFrame, districts: DataFrame, area_counts: DataFrame) -> DataFrame:
     """One row per listing with specs, lists and the amenity counts of its subdistrict.
 
     The two lookup tables are written first: with their true size known, Spark
@@ -213,8 +242,8 @@ def wide_listings(raw: DataFrame, districts: DataFrame, area_counts: DataFrame)
     """
     nonempty = lambda c: x.let(c, lambda a: F.when(F.size(a) > 0, a))
     one_per_source = written(agg.distinct_on(districts.select("source", "target"), ["source"]))
-    rec = _record(unique_listings(raw.filter("price IS NOT NULL")), one_per_source, {
-        "tags": nonempty(tags_of("tags")), "facilities": nonempty(facilities_of("facilities")),
+    rec = _record(unique_listings(stage.filter("price IS NOT NULL")), one_per_source, {
+        "tags": nonempty(F.col("tags")), "facilities": nonempty(F.col("facilities")),
         "image_urls": nonempty(F.col("images")),
     })
     area = written(agg.distinct_on(area_counts.filter("subdistrict IS NOT NULL"), ["subdistrict"]))
@@ -242,58 +271,68 @@ def area_geometry(areas: DataFrame) -> DataFrame:
     )
 
 
-def fact_amenities(amenities: DataFrame, areas: DataFrame) -> DataFrame:
-    j = amenities_in_areas(amenities.select("amenity", "name", "center"), areas.select(*AREA_NAMES, "geom"))
-    return j.select(
+def fact_amenities_of(placed: DataFrame) -> DataFrame:
+    return placed.select(
         x.surrogate_key("amenity").alias("amenity_sk"), x.surrogate_key(*AREA_NAMES).alias("area_sk"), "name",
         F.col("center.y").alias("latitude"), F.col("center.x").alias("longitude"),
     )
 
 
-def dimensions(raw: DataFrame, amenities: DataFrame | None = None) -> dict[str, DataFrame]:
+def fact_amenities(amenities: DataFrame, areas: DataFrame) -> DataFrame:
+    return fact_amenities_of(placed_amenities(amenities, areas))
+
+
+def dim_materials(specs: DataFrame, column: str, name: str) -> DataFrame:
+    return agg.build_dim(int_materials(specs, column, name), name, f"{name}_sk", {name: x.label(name)})
+
+
+def dim_items(items: DataFrame, key: str) -> DataFrame:
+    return agg.build_dim(items, key, f"{key}_sk", {f"{key}_name": x.label(key)})
+
+
+def dim_companies(stage: DataFrame) -> DataFrame:
+    return agg.build_dim(staged_companies(stage), "name", "agent_company_sk", {"company_name": F.coalesce("name", F.lit(v.INDEPENDENT_LABEL))})
+
+
+def dim_amenities(amenities: DataFrame) -> DataFrame:
+    return agg.build_dim(amenities, "amenity", "amenity_sk", {"category_name": x.label("category"), "amenity_name": x.label("amenity")})
+
+
+def dimensions(stage: DataFrame, amenities: DataFrame | None = None) -> dict[str, DataFrame]:
     """The label dimensions of the star schema, by table name."""
-    specs = stg_specs(raw)
-    one = lambda df, key, sk, name: agg.build_dim(df, key, sk, {name: x.label(key)})
+    specs = staged_specs(stage)
     dims = {
-        "marts_dim_facilities": one(stg_facilities(raw), "facility", "facility_sk", "facility_name"),
-        "marts_dim_tags": one(stg_tags(raw), "tag", "tag_sk", "tag_name"),
-        "marts_dim_floor_materials": one(
-            int_materials(specs, "material_lantai", "floor_material"), "floor_material", "floor_material_sk", "floor_material"),
-        "marts_dim_house_materials": one(
-            int_materials(specs, "material_bangunan", "house_material"), "house_material", "house_material_sk", "house_material"),
-        "marts_dim_agent_companies": agg.build_dim(
-            stg_agent_companies(raw), "name", "agent_company_sk",
-            {"company_name": F.coalesce("name", F.lit(v.INDEPENDENT_LABEL))}),
+        "marts_dim_facilities": dim_items(staged_items(stage, "facilities", "facility"), "facility"),
+        "marts_dim_tags": dim_items(staged_items(stage, "tags", "tag"), "tag"),
+        "marts_dim_floor_materials": dim_materials(specs, "material_lantai", "floor_material"),
+        "marts_dim_house_materials": dim_materials(specs, "material_bangunan", "house_material"),
+        "marts_dim_agent_companies": dim_companies(stage),
     }
-    if amenities is not None:
-        dims["marts_dim_amenities"] = agg.build_dim(
-            amenities, "amenity", "amenity_sk", {"category_name": x.label("category"), "amenity_name": x.label("amenity")})
-    return dims
+    return dims if amenities is None else dims | {"marts_dim_amenities": dim_amenities(amenities)}
+
+
+def bridge_of(items: DataFrame, key: str) -> DataFrame:
+    return agg.build_bridge(items, "reference_id", key, f"{key}_sk")
 
 
-def bridges(raw: DataFrame) -> dict[str, DataFrame]:
-    specs = stg_specs(raw)
+def bridges(stage: DataFrame) -> dict[str, DataFrame]:
+    specs = staged_specs(stage)
     return {
-        "marts_bridge_house_facilities": agg.build_bridge(stg_facilities(raw), "reference_id", "facility", "facility_sk"),
-        "marts_bridge_house_tags": agg.build_bridge(stg_tags(raw), "reference_id", "tag", "tag_sk"),
-        "marts_bridge_house_floor_materials": agg.build_bridge(
-            int_materials(specs, "material_lantai", "floor_material"), "reference_id", "floor_material", "floor_material_sk"),
-        "marts_bridge_house_house_materials": agg.build_bridge(
-            int_materials(specs, "material_bangunan", "house_material"), "reference_id", "house_material", "house_material_sk"),
+        "marts_bridge_house_facilities": bridge_of(staged_items(stage, "facilities", "facility"), "facility"),
+        "marts_bridge_house_tags": bridge_of(staged_items(stage, "tags", "tag"), "tag"),
+        "marts_bridge_house_floor_materials": bridge_of(int_materials(specs, "material_lantai", "floor_material"), "floor_material"),
+        "marts_bridge_house_house_materials": bridge_of(int_materials(specs, "material_bangunan", "house_material"), "house_material"),
     }
 
 
-def star_schema(
-    raw: DataFrame, districts: DataFrame, areas: DataFrame, amenities: DataFrame
-) -> dict[str, DataFrame]:
-    """Every mart by table name."""
-    named = int_amenities(amenities)
-    counts = amenity_area_counts(named, areas)
+def star_schema(raw: DataFrame, districts: DataFrame, areas: DataFrame, amenities: DataFrame) -> dict[str, DataFrame]:
+    """Every mart by table name, nothing stored; `layers.build` stores what several of them read."""
+    stage, named = staged(raw), int_amenities(amenities)
     return {
-        "marts_fact_houses": fact_houses(raw, districts, areas),
+        "marts_fact_houses": fact_houses(stage, districts, areas),
         "marts_fact_amenities": fact_amenities(named, areas),
         "marts_dim_area": dim_area(areas),
-        **dimensions(raw, named), **bridges(raw),
-        "marts_downstream_houses": wide_listings(raw, districts, counts),
+        **dimensions(stage, named), **bridges(stage),
+        "marts_downstream_houses": wide_listings(stage, districts, amenity_area_counts(named, areas)),
         "marts_downstream_area_geometry": area_geometry(areas),
     }

@@ -1,12 +1,14 @@
 """Star schema, wide table, geometry, sources, sinks and the feed."""
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from ..functions import sqlnames, text as x, vocab as v
 from ..operators import aggregates as agg
-from ..operators import geo
+from ..operators import geo, quality
+from ..plans import checks, layers
 from ..plans import listings as plan
 from ..plans.derived import RAW_CTE, raw_listings
 from ..session import shared_folder
@@ -55,14 +57,17 @@ PX, PY = "((c_custkey * 37) % 6300) / 100.0", "((c_custkey * 53) % 5900) / 100.0
 AMENITY = "CASE (c_custkey % 12) " + " ".join(f"WHEN {i} THEN '{a}'" for i, a in enumerate(AMENITIES)) + " END"
 
 
-def amenities(spark, d):
+def amenity_features(spark, d):
     """One amenity point per customer."""
     c = table(spark, d, "customer")
-    raw = c.select(
+    return c.select(
         F.col("c_custkey").alias("id"), F.lit("node").alias("element"), F.expr(AMENITY).alias("amenity"),
         F.col("c_name").alias("name"),
         geo.point(F.expr(PX.replace("100.0", "100.0D")), F.expr(PY.replace("100.0", "100.0D"))).alias("geom"))
-    return plan.int_amenities(raw)
+
+
+def amenities(spark, d):
+    return plan.int_amenities(amenity_features(spark, d))
 
 
 POINT_CTE = f"""pt AS (SELECT c_custkey AS id, c_name AS name, {AMENITY} AS amenity, CAST({PX} AS DOUBLE) AS px, CAST({PY} AS DOUBLE) AS py FROM customer),
@@ -135,7 +140,7 @@ SELECT house.id AS house_id, {_sk('area.subdistrict', 'area.district', 'area.cit
 FROM house JOIN spec ON spec.id = house.id LEFT JOIN img ON img.id = house.id LEFT JOIN area ON house.subdistrict = area.subdistrict
 LEFT JOIN company ON company.id = house.id""")
 def _(spark, d):
-    f = plan.fact_houses(raw_listings(spark, d), districts(spark, d), areas(spark, d))
+    f = plan.fact_houses(plan.staged(raw_listings(spark, d)), districts(spark, d), areas(spark, d))
     return _plain(f)
 
 
@@ -170,7 +175,7 @@ LEFT JOIN (SELECT id, string_agg(floor, '|' ORDER BY pos) AS floor_materials FRO
 LEFT JOIN counts ON house.subdistrict = counts.subdistrict""")
 def _(spark, d):
     counts = plan.amenity_area_counts(amenities(spark, d), areas(spark, d), v.CATEGORY_NAMES)
-    w = plan.wide_listings(raw_listings(spark, d), districts(spark, d), counts)
+    w = plan.wide_listings(plan.staged(raw_listings(spark, d)), districts(spark, d), counts)
     return _plain(w.select("*", *[F.col(f"amenities.{c}").alias(f"amenities_{c}") for c in v.CATEGORY_NAMES]).drop("amenities"))
 
 
@@ -181,7 +186,7 @@ SELECT dim, md5(k) AS sk, {TITLE.format("replace(k, '_', ' ')")} AS label FROM n
 UNION ALL SELECT DISTINCT 'marts_dim_agent_companies', {_sk('agency')}, coalesce(agency, 'Independen') FROM company""")
 def _(spark, d):
     out = None
-    for name, df in plan.dimensions(raw_listings(spark, d)).items():
+    for name, df in plan.dimensions(plan.staged(raw_listings(spark, d))).items():
         sk, label = df.columns
         one = df.select(F.lit(name).alias("dim"), F.col(sk).alias("sk"), F.col(label).alias("label"))
         out = one if out is None else out.unionByName(one)
@@ -195,7 +200,7 @@ UNION ALL SELECT 'marts_bridge_house_house_materials', id, md5(wall) FROM wall
 UNION ALL SELECT 'marts_bridge_house_floor_materials', id, md5(floor) FROM floor""")
 def _(spark, d):
     out = None
-    for name, df in plan.bridges(raw_listings(spark, d)).items():
+    for name, df in plan.bridges(plan.staged(raw_listings(spark, d))).items():
         one = df.select(F.lit(name).alias("bridge"), "house_id", F.col(df.columns[1]).alias("sk"))
         out = one if out is None else out.unionByName(one)
     return out
@@ -421,6 +426,83 @@ def _(spark, d):
     return spark.sql("SELECT city, count(*) AS n, count(price) AS priced FROM lotlens_stg_houses GROUP BY city")
 
 
+# -- layers built once, declared checks ---------------------------------------
+
+def layer_sources(spark, d):
+    """The four sources with the versions of the files they come from."""
+    of = lambda *names: layers.files_version(spark, *[f"{d}/{n}.parquet" for n in names])
+    return {
+        "listings": (raw_listings(spark, d), of("orders")), "districts": (districts(spark, d), of("nation")),
+        "areas": (areas(spark, d), of("nation", "region")), "amenities": (amenity_features(spark, d), of("customer")),
+    }
+
+
+LAYER_CTE = RAW_CTE + f""", {DISTRICT_CTE}, {AREA_CTE}, {POINT_CTE}, {SPEC_SQL}, {HOUSE_SQL.format('')}, {COMPANY_SQL},
+one_house AS (SELECT h.*, coalesce(f.target, sub) AS named FROM (SELECT *, string_split(address, ', ')[1] AS sub, string_split(address, ', ')[2] AS town
+  FROM raw WHERE price IS NOT NULL) h LEFT JOIN {FIRST_DISTRICT} f ON sub = f.source),
+{FACILITY_SQL}, {TAG_SQL}, {_materials('material_bangunan', 'wall')}, {_materials('material_lantai', 'floor')},
+img AS (SELECT DISTINCT id, image_url FROM (SELECT id, unnest(images) AS image_url FROM raw))"""
+MART_COUNTS = {
+    "bridge_house_facilities": "facility", "bridge_house_floor_materials": "floor", "bridge_house_house_materials": "wall",
+    "bridge_house_tags": "tag WHERE tag IS NOT NULL", "dim_agent_companies": "(SELECT DISTINCT agency FROM company)",
+    "dim_amenities": "(SELECT DISTINCT amenity FROM pt)", "dim_area": "(SELECT DISTINCT subdistrict, district, city, province FROM area)",
+    "dim_facilities": "(SELECT DISTINCT facility FROM facility)", "dim_floor_materials": "(SELECT DISTINCT floor FROM floor)",
+    "dim_house_materials": "(SELECT DISTINCT wall FROM wall)", "dim_tags": "(SELECT DISTINCT tag FROM tag WHERE tag IS NOT NULL)",
+    "fact_amenities": "placed",
+    "fact_houses": "house LEFT JOIN img ON img.id = house.id LEFT JOIN area ON house.subdistrict = area.subdistrict",
+}
+
+
+@query("s11b_build_marts", LAYER_CTE + " " + " UNION ALL ".join(
+    f"SELECT 'marts_{n}' AS name, count(*) AS n, true AS kept FROM {t}" for n, t in MART_COUNTS.items()))
+def _(spark, d):
+    """All marts built from staging stored once and published; a second build of the same sources makes nothing."""
+    target, db = fresh_path(spark), f"published_{uuid.uuid4().hex[:12]}"
+    sources = layer_sources(spark, d)
+    tables, _ = layers.build(spark, sources, target)
+    _, again = layers.build(spark, sources, target)
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{fresh_path(spark)}'")
+    writers.build_layer(spark, {n: t for n, t in tables.items() if n.startswith("marts")})
+    names = writers.publish(spark, db)
+    for n in tables:
+        spark.catalog.dropTempView(n)
+    counts = [spark.table(f"{db}.{n}").agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n"), F.lit(n not in again).alias("kept")) for n in names]
+    return reduce(lambda a, b: a.unionAll(b), counts)
+
+
+CHECKED = {
+    "stg_houses": "SELECT id, TRY_CAST(scraped_at AS TIMESTAMP) AS scraped_at FROM raw",
+    "stg_agents": "SELECT id AS reference_id, sha256(concat(agent_name, agent_phone)) AS agent_hash FROM raw",
+    "stg_agent_companies": "SELECT id AS reference_id FROM raw", "stg_specs": "SELECT id AS reference_id FROM raw",
+    "stg_facilities": "SELECT id AS reference_id, facility FROM facility",
+    "stg_tags": "SELECT id AS reference_id, tag FROM tag WHERE tag IS NOT NULL", "stg_images": "SELECT id AS reference_id, unnest(images) AS image_url FROM raw",
+    "stg_areas": "SELECT 1 AS center, 1 AS geom FROM area", "int_specs": "SELECT id AS reference_id, * EXCLUDE (id) FROM spec",
+    "int_floor_materials": "SELECT id AS reference_id, floor AS floor_material FROM floor",
+    "int_house_materials": "SELECT id AS reference_id, wall AS house_material FROM wall",
+    "marts_downstream_houses": """SELECT one_house.id, one_house.price, one_house.installment, one_house.named AS subdistrict, one_house.town AS city,
+  one_house.url, spec.* EXCLUDE (id) FROM one_house JOIN spec ON spec.id = one_house.id""",
+}
+
+
+def _check_sql(c) -> str:
+    head = f"SELECT '{c.table}' AS table_name, '{c.kind}' AS check_name, '{c.column}' AS column_name, "
+    text = f"{head}CAST({c.column} AS VARCHAR) AS value, count(*) AS violations FROM t_{c.table} WHERE {c.column} IS NOT NULL"
+    if c.kind == "not_null":
+        return f"{head}CAST(NULL AS VARCHAR) AS value, count(*) AS violations FROM t_{c.table} WHERE {c.column} IS NULL HAVING count(*) > 0"
+    if c.kind == "unique":
+        return f"{text} GROUP BY {c.column} HAVING count(*) > 1"
+    if c.kind == "relationships":
+        return f"{text} AND {c.column} NOT IN (SELECT {c.parent[1]} FROM t_{c.parent[0]} WHERE {c.parent[1]} IS NOT NULL) GROUP BY {c.column}"
+    return f"{text} AND {c.column} NOT IN ({', '.join(repr(a) for a in c.accepted)}) GROUP BY {c.column}"
+
+
+@query("q05_declared_checks", LAYER_CTE + ", " + ", ".join(f"t_{n} AS ({t})" for n, t in CHECKED.items()) + " " + " UNION ALL ".join(
+    _check_sql(c) for c in checks.CHECKS))
+def _(spark, d):
+    tables, _ = layers.build(spark, layer_sources(spark, d), fresh_path(spark), sorted({c.table for c in checks.CHECKS}))
+    return quality.run_checks(tables, checks.CHECKS)
+
+
 @query("r01_ingest_stream", """
 SELECT 'ev' || event_id AS id, user_id, event_type, round(value, 4) AS value FROM events""")
 def _(spark, d):

@@ -205,7 +205,7 @@ def model_rows(spark, d):
     raw = raw_listings(spark, d)
     none = spark.createDataFrame([], "source string, target string")
     counts = spark.createDataFrame([], "subdistrict string, amenities struct<other:bigint>")
-    return listings.wide_listings(raw, none, counts)
+    return listings.wide_listings(listings.staged(raw), none, counts)
 
 
 @query("m01_log_price", RAW_CTE + " SELECT id, round(ln(price), 6) AS log_price, round(exp(ln(price)), 4) AS price FROM raw WHERE price IS NOT NULL")
