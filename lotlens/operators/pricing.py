@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import sys
 from collections.abc import Callable
 from functools import reduce
@@ -17,6 +18,8 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import written
+from .aggregates import positions
 from .features import bucket_of, regression_metrics
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -192,25 +195,30 @@ def importances(model: PipelineModel) -> DataFrame:
 
 # -- shadow features ---------------------------------------------------------
 
-def shuffled_copies(df: DataFrame, columns: list[str], key: str, seed: int, bucket_rows: int = 20_000) -> DataFrame:
-    """Add shadow_<c>: each column permuted on its own among rows thrown together by a hash of the key.
+def placed_rows(df: DataFrame, key: str, seed: int) -> DataFrame:
+    """Rows with their position in an order of hashes of the key, stored: what all permutations of a search start from."""
+    mixed = df.withColumn("_mix", F.xxhash64(F.lit(seed), F.col(key).cast("string")))
+    return written(positions(mixed, [], ["_mix", key])).drop("_mix")
 
-    The hash has nothing to do with the values, so a permutation inside its
-    buckets breaks every tie to the target, and no bucket grows with the data.
+
+def permuted(placed: DataFrame, rows: int, columns: list[str], seed: int) -> DataFrame:
+    """Add shadow_<c> of each column: the values of the row that another order puts at a row's position.
+
+    The other order steps through the first by a stride without common factor with the number of rows, from a start of
+    its own, so it is a permutation of the whole table and costs one join on the position. The first order follows
+    hashes, so which row lends its values has nothing to do with any value; shadows of one row come from one row.
     """
-    buckets = max(1, math.ceil(df.count() / bucket_rows))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema]
-                       + [f"`shadow_{c}` {df.schema[c].dataType.simpleString()}" for c in columns])
+    rng = random.Random(seed)
+    stride = next(s for s in iter(lambda: rng.randrange(1, 1 << 20), None) if math.gcd(s, rows) == 1) if rows else 1
+    start = rng.randrange(rows) if rows else 0
+    lent = placed.select(
+        F.pmod((F.col("position") - 1) * stride + start, F.lit(max(rows, 1))).alias("_at"), *[F.col(c).alias(f"shadow_{c}") for c in columns])
+    return placed.join(lent, F.col("position") - 1 == F.col("_at")).drop("_at", "position")
 
-    def permute(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(key).reset_index(drop=True)
-        rng = np.random.default_rng([seed, int(pdf["_bucket"].iloc[0])])
-        out = pdf.drop(columns="_bucket")
-        for c in columns:
-            out[f"shadow_{c}"] = pdf[c].to_numpy()[rng.permutation(len(pdf))]
-        return out
 
-    return df.withColumn("_bucket", bucket_of(key, seed, buckets)).groupBy("_bucket").applyInPandas(permute, schema)
+def shuffled_copies(df: DataFrame, columns: list[str], key: str, seed: int) -> DataFrame:
+    placed = placed_rows(df, key, seed)
+    return permuted(placed, placed.count(), columns, seed)
 
 
 def binom_tails(hits: int, n: int) -> tuple[float, float]:
@@ -221,34 +229,44 @@ def binom_tails(hits: int, n: int) -> tuple[float, float]:
 
 def boruta(
     df: DataFrame, key: str, target: str = "price", trials: int = 50, alpha: float = 0.05, seed: int = 1,
-    on_trial: Callable[[int, dict[str, int]], None] | None = None, **params,
+    on_trial: Callable[[int, dict[str, int]], None] | None = None, parallelism: int = 4, **params,
 ) -> DataFrame:
     """Accept or reject features by how often they beat the best of their shuffled copies.
 
     Each trial trains once on features and shadows; counts are tested against a
     fair coin with Bonferroni correction and the loop ends once all are decided.
+    `parallelism` trials run at a time; they are counted in their order, and those behind the end are not.
     """
     cats, nums = columns_of(df, target, (key,))
     features = [*cats, *nums]
     hits = dict.fromkeys(features, 0)
     level = alpha / len(features)
     status: dict[str, str] = {}
-    for n in range(1, trials + 1):
-        wide = shuffled_copies(df, features, key, seed + n)
-        model = fit_price_model(wide, target, skip=(key,), **({"seed": seed + n} | params))
-        gain = {r["feature"]: r["importance"] for r in importances(model).collect()}
+    placed = placed_rows(df, key, seed)
+    rows = placed.count()
+
+    def winners(n: int) -> list[str]:
+        model = fit_price_model(permuted(placed, rows, features, seed + n), target, skip=(key,), **({"seed": seed + n} | params))
+        gain = dict(zip((c.removesuffix("_ix") for c in model.stages[-2].getInputCols()), model.stages[-1].featureImportances.toArray()))
         best = max(gain[f"shadow_{c}"] for c in features)
-        for c in features:
-            hits[c] += gain[c] > best
-        for c in features:
-            over, under = binom_tails(hits[c], n)
-            status[c] = "accept" if over <= level else "reject" if under <= level else "tentative"
-        if on_trial is not None:
-            on_trial(n, dict(hits))
-        if "tentative" not in status.values():
-            break
-    rows = [(c, hits[c], n, status[c]) for c in features]
-    return df.sparkSession.createDataFrame(rows, "feature string, hits int, trials int, status string")
+        return [c for c in features if gain[c] > best]
+
+    n = 0
+    with ThreadPool(parallelism) as pool:
+        while n < trials and (n == 0 or "tentative" in status.values()):
+            for won in pool.map(winners, range(n + 1, min(n + parallelism, trials) + 1), 1):
+                n += 1
+                for c in won:
+                    hits[c] += 1
+                for c in features:
+                    over, under = binom_tails(hits[c], n)
+                    status[c] = "accept" if over <= level else "reject" if under <= level else "tentative"
+                if on_trial is not None:
+                    on_trial(n, dict(hits))
+                if "tentative" not in status.values():
+                    break
+    found = [(c, hits[c], n, status[c]) for c in features]
+    return df.sparkSession.createDataFrame(found, "feature string, hits int, trials int, status string")
 
 
 # -- scoring -----------------------------------------------------------------

@@ -347,6 +347,18 @@ def _(spark, d):
     return got.select("id", "element", "amenity", F.col("geom.point.x").alias("px"))
 
 
+@query("s03b_feature_collections", f"SELECT c_custkey AS id, 'node' AS element, {AMENITY} AS amenity, CAST({PX} AS DOUBLE) AS px, CAST({PY} AS DOUBLE) AS py FROM customer")
+def _(spark, d):
+    """The same features as FeatureCollection documents of 500, split at their features when read."""
+    path = fresh_path(spark)
+    lines = writers.geojson_lines(amenities(spark, d).select("element", "id", "amenity", "name", "geom"))
+    some = lines.groupBy(F.pmod(F.xxhash64("value"), F.ceil(lines.agg(F.count(F.lit(1)) / 500).scalar())).alias("doc"))
+    doc = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("value"), ","), F.lit("]}"))
+    some.agg(doc.alias("value")).select("value").write.text(path)
+    got = readers.read_geojson(spark, path)
+    return got.select("id", "element", "amenity", F.col("geom.point.x").alias("px"), F.col("geom.point.y").alias("py"))
+
+
 @query("s04_read_areas", f"WITH {AREA_CTE}, {CENTER_CTE} SELECT subdistrict, district, province, round(x, 6) AS x FROM area JOIN center USING (k)")
 def _(spark, d):
     a = areas(spark, d).withColumnsRenamed({"subdistrict": "NAMOBJ", "district": "WADMKC", "city": "WADMKK", "province": "WADMPR"})

@@ -75,15 +75,34 @@ def _(spark, d):
         F.lit(rows.count() > 0).alias("rows_used"))
 
 
+_SHADOWS: dict[tuple[str, str], str] = {}
+
+
+def shadow_run(spark, d):
+    """One run of the shadow features with default settings, stored for the session's two queries."""
+    at = (spark.sparkContext.applicationId, d)
+    if at not in _SHADOWS:
+        path = fresh_path(spark)
+        rows = prepared(spark, d).withColumn("noise", F.conv(F.substring(F.md5("id"), 1, 6), 16, 10).cast("double"))
+        rows.write.parquet(f"{path}/rows")
+        pricing.boruta(spark.read.parquet(f"{path}/rows"), "id", parallelism=8).write.parquet(f"{path}/result")
+        _SHADOWS[at] = path
+    return spark.read.parquet(f"{_SHADOWS[at]}/result")
+
+
 @query("m11_boruta", "SELECT unnest(['luas_tanah', 'luas_bangunan', 'noise']) AS feature, unnest([true, true, false]) AS accepted FROM (SELECT count(*) FROM orders)")
 def _(spark, d):
-    rows = stored(spark, d).withColumn("noise", F.conv(F.substring(F.md5("id"), 1, 6), 16, 10).cast("double"))
-    path = fresh_path(spark)
-    rows.write.parquet(path)
-    got = pricing.boruta(spark.read.parquet(path), "id", trials=16, maxIter=3, maxDepth=4)
+    """The three features whose answer is known."""
+    got = shadow_run(spark, d)
     return got.filter(F.col("feature").isin("luas_tanah", "luas_bangunan", "noise")).select("feature", (F.col("status") == "accept").alias("accepted"))
 
 
+@query("m11b_boruta_all")
+def _(spark, d):
+    """Every feature with hits, trials and status."""
+    return shadow_run(spark, d)
+
+
 @query("m12_predict_prices", PRICED + """
 SELECT l_orderkey, l_linenumber, 'NATION_' || l_partkey % 30 AS subdistrict, 'NATION_' || l_partkey % 30 IN (SELECT coalesce(subdistrict, '') FROM priced) AS accepted FROM lineitem""")
 def _(spark, d):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,21 +47,64 @@ def geometry(kind: Column, coordinates: Column) -> Column:
     ).cast(geo.GEOMETRY)
 
 
+HEAD_BYTES = 65_536
+_OPENING = re.compile(r'"features"\s*:\s*\[\s*(\{\s*"type"\s*:\s*"Feature"\s*,)')
+
+
+def _openings(spark: SparkSession, path: str) -> dict[str | None, list[str]]:
+    """Files of a path by the text with which they open a feature, as their first kilobytes show; None if not by its type."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[str | None, list[str]] = {}
+    for match in fs.globStatus(at) or []:
+        for f in fs.listStatus(match.getPath()) if match.isDirectory() else [match]:
+            if f.getPath().getName()[0] in "._" or f.getLen() == 0:
+                continue
+            stream = fs.open(f.getPath())
+            try:
+                head = bytes(stream.readNBytes(HEAD_BYTES)).decode("utf-8", "replace")
+            finally:
+                stream.close()
+            opening = _OPENING.search(head)
+            found.setdefault(opening and opening[1], []).append(f.getPath().toString())
+    return found
+
+
+def _collections(spark: SparkSession, path: str, feature: str) -> DataFrame:
+    """Features of FeatureCollection documents as column f.
+
+    A writer opens all features of a document with the same text, `{"type":"Feature",` with its own blanks. Quotes inside
+    JSON strings are escaped, so this text stands nowhere else; files are split at it over tasks like lines, and
+    each piece holds one feature and the punctuation behind it. A feature opened in another way than the first of its file is an error, not a loss.
+    Documents whose features do not open with their type, compressed ones too, are parsed whole, one task each.
+    """
+    out = None
+    for opening, files in _openings(spark, path).items():
+        if opening is None:
+            one = spark.read.option("multiLine", True).schema(f"features array<{feature}>").json(files).select(F.explode("features").alias("f"))
+        else:
+            pieces = spark.read.option("lineSep", opening).text(files).filter(F.col("value").rlike(r'^\s*"'))
+            missed = F.col("value").rlike(r'"type"\s*:\s*"Feature"\s*[,}]')
+            whole = F.when(missed, F.raise_error(F.lit("features of one file open differently"))).otherwise(F.concat(F.lit(opening), "value"))
+            one = pieces.select(F.from_json(whole, feature).alias("f"))
+        out = one if out is None else out.unionAll(one)
+    return spark.createDataFrame([], f"f {feature}") if out is None else out
+
+
 def _features(spark: SparkSession, path: str, properties: str, lines: bool) -> DataFrame:
     feature = f"struct<id:string,properties:struct<{properties}>,geometry:struct<type:string,coordinates:string>>"
     if lines:
         one = spark.read.text(path).select(F.from_json("value", feature).alias("f")).filter("f.geometry IS NOT NULL")
     else:
-        whole = spark.read.option("multiLine", True).schema(f"features array<{feature}>").json(path)
-        one = whole.select(F.explode("features").alias("f"))
+        one = _collections(spark, path, feature)
     return one.select("f.properties.*", geometry(F.col("f.geometry.type"), F.col("f.geometry.coordinates")).alias("geom"))
 
 
 def read_geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Amenity features (element, id, amenity, name, geom).
 
-    `lines=True` reads one feature per line, which splits over tasks; a single
-    FeatureCollection document is one task by its format.
+    `lines=True` reads one feature per line; a FeatureCollection document is split
+    at the text that opens its features.
     """
     return _features(spark, path, "element:string,id:bigint,amenity:string,name:string", lines)
 

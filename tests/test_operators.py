@@ -259,15 +259,26 @@ def test_halving_keeps_the_best_and_goes_on(spark, model_table, tmp_path, monkey
 
 
 def test_shadow_is_a_permutation(spark, model_table):
-    out = pricing.shuffled_copies(model_table, ["luas_tanah", "noise"], "id", 3, bucket_rows=400).toPandas()
+    out = pricing.shuffled_copies(model_table, ["luas_tanah", "noise"], "id", 3).toPandas()
+    assert sorted(out["id"]) == sorted(r.id for r in model_table.select("id").collect())
     for c in ("luas_tanah", "noise"):
         assert sorted(out[c].fillna(-99)) == sorted(out[f"shadow_{c}"].fillna(-99))
     assert abs(out["luas_tanah"].corr(out["shadow_luas_tanah"])) < 0.15
+    plan = pricing.permuted(pricing.placed_rows(model_table, "id", 3), 1000, ["noise"], 4)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "InPandas" not in plan
+    for n in (0, 1, 2):
+        few = pricing.shuffled_copies(model_table.limit(n), ["noise"], "id", 5).collect()
+        assert sorted(str(r.noise) for r in few) == sorted(str(r.shadow_noise) for r in few) and len(few) == n
 
 
 def test_boruta_accepts_what_matters(spark, model_table):
     got = {r.feature: r for r in pricing.boruta(model_table, "id", trials=8, maxIter=2, maxDepth=4).collect()}
     assert got["luas_tanah"].hits == got["luas_tanah"].trials and got["noise"].hits <= 1
+    # an end before the last trial: the trials run beside the last counted one do not count
+    seen = []
+    ends = pricing.boruta(model_table.select("id", "price", "luas_tanah", "noise"), "id", alpha=0.9, trials=6, maxIter=2, maxDepth=3,
+                          parallelism=3, on_trial=lambda n, h: seen.append(n)).collect()
+    assert seen == list(range(1, ends[0].trials + 1)) and ends[0].trials < 6 and "tentative" not in {r.status for r in ends}
 
 
 def test_request_guards_and_rejects(spark, model_table):

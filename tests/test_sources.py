@@ -60,6 +60,36 @@ def test_geojson_and_areas(spark, tmp_path, area_file):
     assert sorted((r.id, r.subdistrict) for r in inside.collect()) == [(5, "Cibinong"), (5, "Two"), (6, "Two")]
 
 
+def test_collection_is_split_at_its_features(spark, tmp_path):
+    tricky = 'a "type":"Feature", {"type":"Feature","x":1} \\\\ ü\\n]}'
+    many = [feature({"element": "node", "id": i, "amenity": tricky if i % 7 == 0 else "cafe", "name": None if i % 5 else "é" * (i % 40)}, "Point", [i, -i])
+            for i in range(3000)]
+    many[5] = feature({"element": "way", "id": 5, "amenity": "zoo", "name": "n"}, "MultiPolygon", [[SQUARE], [SQUARE]])
+    typed = [{"type": "Feature"} | f for f in many]
+    doc = {"type": "FeatureCollection", "name": "x", "features": typed}
+    want = readers.read_geojson(spark, write(tmp_path / "lines.json", "\n".join(map(json.dumps, many))), lines=True)
+    rows = lambda df: sorted(map(str, df.collect()))
+    forms = {"tight": json.dumps(doc, separators=(",", ":")), "wide": json.dumps(doc, indent=2), "plain": json.dumps(doc)}
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        for name, text in forms.items():
+            got = readers.read_geojson(spark, write(tmp_path / f"{name}.json", text))
+            assert got.rdd.getNumPartitions() > 4 and rows(got) == rows(want)
+        # a document whose features open with their properties is read whole, beside split ones
+        (tmp_path / "mixed").mkdir()
+        write(tmp_path / "mixed" / "a.json", json.dumps({"features": [{"properties": f["properties"], "type": "Feature", "geometry": f["geometry"]} for f in many[:9]]}))
+        write(tmp_path / "mixed" / "b.json", json.dumps({"features": typed[9:]}))
+        write(tmp_path / "mixed" / "c.json", json.dumps({"features": []}))
+        assert rows(readers.read_geojson(spark, str(tmp_path / "mixed"))) == rows(want)
+        other = json.dumps(typed[1]).replace('"type": "Feature"', '"type" : "Feature"')
+        odd = readers.read_geojson(spark, write(tmp_path / "odd.json", f'{{"features": [{json.dumps(typed[0])}, {other}]}}'))
+        with pytest.raises(Exception, match="open differently"):
+            odd.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 def test_centroids(spark, area_file):
     got = {r.subdistrict: (round(r.center.x, 6), round(r.center.y, 6)) for r in listings.stg_areas(*readers.read_areas(spark, area_file)).collect()}
     # square 16 at (2,2) less hole 1 at (1.5,1.5); square 16 at (2,2) with square 4 at (11,11)
