@@ -112,37 +112,63 @@ def contains(geom: Column | str, p: Column | str) -> Column:
     return inside(edges_of(geom), p)
 
 
-def spatial_join(points: DataFrame, areas: DataFrame, at: str, geom: str) -> DataFrame:
-    """Left join of points to the areas containing them; a point in two areas appears twice.
+def _cell(value: Column, grid: Column, axis: str) -> Column:
+    lo, hi = grid[f"{axis}0"], grid[f"{axis}1"]
+    return F.coalesce(F.floor((value - lo) / F.nullif(hi - lo, F.lit(0.0)) * grid[f"n{axis}"]), F.lit(0))
 
-    A grid over the areas' extent has cells as large as the areas' root mean square
-    width and height: the areas together touch at most nine times as many cells as there
-    are areas, however unequal they are.  A point has one cell, an area one row per
-    cell of its box: the join is an equi join on the cell (broadcast when the
-    areas are small, split by skew handling when a cell is crowded) with box and
-    exact test as residual.
-    """
-    boxed = areas.withColumn("_box", bbox(F.col(f"{geom}.polygons")))
+
+def cell_grid(areas: DataFrame, geom: str) -> Column:
+    """Extent of the areas and its number of cells per axis: cells as large as the areas' root mean square width and height."""
+    boxed = areas.select(bbox(F.col(f"{geom}.polygons")).alias("_box"))
     size = lambda a, b: F.col(f"_box.{b}") - F.col(f"_box.{a}")
     steps = lambda a, b: F.coalesce(F.greatest(F.lit(1), F.ceil(
         (F.max(f"_box.{b}") - F.min(f"_box.{a}")) / F.nullif(F.sqrt(F.avg(size(a, b) * size(a, b))), F.lit(0.0)))), F.lit(1))
-    grid = boxed.select(F.struct(
+    return boxed.select(F.struct(
         F.min("_box.x0").alias("x0"), F.min("_box.y0").alias("y0"), F.max("_box.x1").alias("x1"), F.max("_box.y1").alias("y1"),
         steps("x0", "x1").alias("nx"), steps("y0", "y1").alias("ny"),
     )).scalar()
 
-    def cell(value: Column, axis: str) -> Column:
-        lo, hi = F.col(f"_g.{axis}0"), F.col(f"_g.{axis}1")
-        return F.coalesce(F.floor((value - lo) / F.nullif(hi - lo, F.lit(0.0)) * F.col(f"_g.n{axis}")), F.lit(0))
-
-    touched = lambda axis: F.explode(F.sequence(cell(F.col(f"_box.{axis}0"), axis), cell(F.col(f"_box.{axis}1"), axis)))
-    renamed = {c: f"_a_{c}" for c in areas.columns if c in points.columns}
-    a = boxed.withColumns({"_g": grid, "_edges": edges_of(geom)})
-    a = a.select("*", touched("x").alias("_cx")).select("*", touched("y").alias("_cy")).drop("_g").withColumnsRenamed(renamed)
-    x, y = F.col(f"{at}.x"), F.col(f"{at}.y")
-    p = points.withColumn("_g", grid).withColumns({
-        "_px": F.when(x.isNotNull(), cell(x, "x")), "_py": F.when(y.isNotNull(), cell(y, "y")),
+
+def area_cells(areas: DataFrame, geom: str) -> DataFrame:
+    """Each area once per cell it meets: `_cx`, `_cy`, and `_edges`, NULL where the cell lies wholly inside.
+
+    A cell that an edge may meet carries the edges of its row of cells: only those can decide a horizontal ray, so the
+    test over them gives what the test over all edges gives. In a cell that no edge meets all points lie alike; its centre
+    tells whether the cell is inside and goes without edges, or outside and is left out. Edges and points get their cell
+    from the same monotone function, so rounding cannot part a point from an edge beside it.
+    """
+    g, e = F.col("_g"), F.col(f"{geom}.polygons")
+    across = lambda axis, q: F.struct(
+        _cell(F.least(q["a"][axis], q["b"][axis]), g, axis).alias("lo"), _cell(F.greatest(q["a"][axis], q["b"][axis]), g, axis).alias("hi"))
+    rows = areas.withColumns({"_g": cell_grid(areas, geom), "_box": bbox(e)}).withColumn("_all", F.transform(
+        edges_of(geom), lambda q: F.struct(q["a"].alias("a"), q["b"].alias("b"), across("x", q).alias("x"), across("y", q).alias("y"))))
+    touched = lambda axis: F.sequence(_cell(F.col(f"_box.{axis}0"), g, axis), _cell(F.col(f"_box.{axis}1"), g, axis))
+    bands = rows.select("*", F.explode(touched("y")).alias("_cy")).withColumn(
+        "_band", F.filter("_all", lambda q: (q["y"]["lo"] <= F.col("_cy")) & (q["y"]["hi"] >= F.col("_cy")))).drop("_all")
+    middle = lambda axis, c: g[f"{axis}0"] + (c + 0.5) / g[f"n{axis}"] * (g[f"{axis}1"] - g[f"{axis}0"])
+    centre = lambda cx: F.struct(middle("x", cx).alias("x"), middle("y", F.col("_cy")).alias("y"))
+    seen = F.transform(touched("x"), lambda cx: F.struct(
+        cx.alias("_cx"), F.exists("_band", lambda q: (q["x"]["lo"] <= cx) & (q["x"]["hi"] >= cx)).alias("met"), inside("_band", centre(cx)).alias("whole")))
+    cells = bands.withColumn("_edge_pairs", F.transform("_band", lambda q: F.struct(q["a"].alias("a"), q["b"].alias("b"))))
+    cells = cells.withColumn("_c", F.explode(F.filter(seen, lambda c: c["met"] | c["whole"])))
+    return cells.select(*areas.columns, "_box", "_cy", "_c._cx", F.when(F.col("_c.met"), F.col("_edge_pairs")).alias("_edges"))
+
+
+def spatial_join(points: DataFrame, areas: DataFrame, at: str, geom: str) -> DataFrame:
+    """Left join of points to the areas containing them; a point in two areas appears twice.
+
+    Cells are as large as the areas' root mean square width and height: the areas together touch at most nine times as
+    many cells as there are areas, however unequal they are.  A point has one cell, an area one row per
+    cell it meets (`area_cells`): the join is an equi join on the cell (broadcast when the
+    areas are small, split by skew handling when a cell is crowded), and the exact test reads the edges of the cell's
+    row, or none in a cell inside the area. The geometry itself travels only where the caller keeps it.
+    """
+    a = area_cells(areas, geom).withColumnsRenamed({c: f"_a_{c}" for c in areas.columns if c in points.columns})
+    x, y, g = F.col(f"{at}.x"), F.col(f"{at}.y"), F.col("_g")
+    p = points.withColumn("_g", cell_grid(areas, geom)).withColumns({
+        "_px": F.when(x.isNotNull(), _cell(x, g, "x")), "_py": F.when(y.isNotNull(), _cell(y, g, "y")),
     }).drop("_g")
     in_box = (x >= F.col("_box.x0")) & (x <= F.col("_box.x1")) & (y >= F.col("_box.y0")) & (y <= F.col("_box.y1"))
-    on = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & in_box & inside("_edges", at)
+    exact = F.col("_edges").isNull() | inside("_edges", at)
+    on = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & in_box & exact
     return p.join(a, on, "left").drop("_px", "_py", "_cx", "_cy", "_box", "_edges")
