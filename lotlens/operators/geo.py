@@ -129,7 +129,7 @@ def cell_grid(areas: DataFrame, geom: str) -> Column:
     )).scalar()
 
 
-def area_cells(areas: DataFrame, geom: str) -> DataFrame:
+def area_cells(areas: DataFrame, geom: str, grid: Column | None = None) -> DataFrame:
     """Each area once per cell it meets: `_cx`, `_cy`, and `_edges`, NULL where the cell lies wholly inside.
 
     A cell that an edge may meet carries the edges of its row of cells: only those can decide a horizontal ray, so the
@@ -140,7 +140,7 @@ def area_cells(areas: DataFrame, geom: str) -> DataFrame:
     g, e = F.col("_g"), F.col(f"{geom}.polygons")
     across = lambda axis, q: F.struct(
         _cell(F.least(q["a"][axis], q["b"][axis]), g, axis).alias("lo"), _cell(F.greatest(q["a"][axis], q["b"][axis]), g, axis).alias("hi"))
-    rows = areas.withColumns({"_g": cell_grid(areas, geom), "_box": bbox(e)}).withColumn("_all", F.transform(
+    rows = areas.withColumns({"_g": cell_grid(areas, geom) if grid is None else grid, "_box": bbox(e)}).withColumn("_all", F.transform(
         edges_of(geom), lambda q: F.struct(q["a"].alias("a"), q["b"].alias("b"), across("x", q).alias("x"), across("y", q).alias("y"))))
     touched = lambda axis: F.sequence(_cell(F.col(f"_box.{axis}0"), g, axis), _cell(F.col(f"_box.{axis}1"), g, axis))
     bands = rows.select("*", F.explode(touched("y")).alias("_cy")).withColumn(
@@ -163,9 +163,10 @@ def spatial_join(points: DataFrame, areas: DataFrame, at: str, geom: str) -> Dat
     areas are small, split by skew handling when a cell is crowded), and the exact test reads the edges of the cell's
     row, or none in a cell inside the area. The geometry itself travels only where the caller keeps it.
     """
-    a = area_cells(areas, geom).withColumnsRenamed({c: f"_a_{c}" for c in areas.columns if c in points.columns})
+    grid = cell_grid(areas, geom)
+    a = area_cells(areas, geom, grid).withColumnsRenamed({c: f"_a_{c}" for c in areas.columns if c in points.columns})
     x, y, g = F.col(f"{at}.x"), F.col(f"{at}.y"), F.col("_g")
-    p = points.withColumn("_g", cell_grid(areas, geom)).withColumns({
+    p = points.withColumn("_g", grid).withColumns({
         "_px": F.when(x.isNotNull(), _cell(x, g, "x")), "_py": F.when(y.isNotNull(), _cell(y, g, "y")),
     }).drop("_g")
     in_box = (x >= F.col("_box.x0")) & (x <= F.col("_box.x1")) & (y >= F.col("_box.y0")) & (y <= F.col("_box.y1"))
