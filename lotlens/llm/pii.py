@@ -3,7 +3,8 @@
 Base spans follow fixed rules (email, ip, card, phone) and always stay. Further candidates (keys
 and passwords, numbers that miss a base rule, written-out addresses) are judged:
 labelers built on patterns, gazetteers, context, checksums and shape vote; expectation-maximisation over
-the counts of vote patterns of all documents estimates how reliable each labeler is for each kind;
+the counts of vote patterns of all documents estimates how reliable each labeler is, over base spans, which are known to be
+right, and candidates of all kinds together, and which share of each kind is right;
 a logistic span classifier is trained on the resulting probabilities over votes and surface
 features and decides which candidates are spans. Only counts per pattern leave the tasks.
 
@@ -38,6 +39,7 @@ MIN_RELIABLE = 1e-3
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DIGIT = re.compile(r"[0-9]")
+_RUN = re.compile(r"[0-9]+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")  # a match never starts inside a run of digits
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -144,7 +146,7 @@ LABELERS = ("pattern", "gazetteer", "context", "checksum", "shape")
 def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
     value = text[start:end]
     before = text[max(0, start - _CONTEXT):start]
-    digits = re.sub(r"[^0-9]", "", value[:64])
+    digits = re.sub(r"[^0-9]", "", value)
     if kind == "secret":
         named = _NAMED.search(text, max(0, start - 40), min(len(text), start + 8))
         pattern = 1 if re.fullmatch(r"[0-9a-f]{32,}|[0-9A-F]{32,}|AKIA[0-9A-Z]{16}|[A-Za-z0-9_-]{40,}", value) else 0
@@ -153,10 +155,12 @@ def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
         kinds = Counter(value)
         shape = 1 if len(kinds) >= 10 and bool(digits) and len(digits) < len(value) else -1
     elif kind in ("card", "number"):
-        groups = re.split(r"[^0-9]+", value)
-        pattern = 1 if kind == "card" or len(digits) in (9, 10, 11) and len(groups) > 2 or 13 <= len(digits) <= 19 else -1
-        gazetteer = 1 if digits.startswith(_CARD_HEADS) and len(digits) >= 13 else 0
-        checksum = (1 if luhn(digits) else -1) if 13 <= len(digits) <= 19 else 0
+        groups = _RUN.findall(value)
+        # a number of a card's length, or such numbers side by side
+        long = [digits] if 13 <= len(digits) <= 19 else [g for g in groups if 13 <= len(g) <= 19]
+        pattern = 1 if kind == "card" or len(digits) in (9, 10, 11) and len(groups) > 2 or long else -1
+        gazetteer = 1 if any(g.startswith(_CARD_HEADS) for g in long) else 0
+        checksum = (1 if any(map(luhn, long)) else -1) if long else 0
         shape = -1 if len(set(digits)) < 4 else 1 if len(digits) >= 9 else -1
     elif kind == "ip":
         parts = value.split(".")
@@ -183,7 +187,7 @@ def surface(text: str, start: int, end: int) -> tuple[int, ...]:
         return 0 if not c or c.isspace() else 1 if c.isalnum() else 2
 
     length = min(5, (end - start).bit_length() - 2)
-    separators = min(3, sum(c in " .()-" for c in value[:64]))
+    separators = min(3, sum(map(value.count, " .()-")))
     return (length, separators, edge(text[start - 1:start]), edge(text[end:end + 1]))
 
 
@@ -218,13 +222,17 @@ def _design(keys: list[str]) -> np.ndarray:
     return np.stack(cols, axis=1)
 
 
-def reliabilities(pattern: np.ndarray, count: np.ndarray, rounds: int = 50) -> np.ndarray:
-    """Expectation-maximisation over vote patterns (rows of -1, 0, 1) of one kind: P(true) of each pattern.
+def reliabilities(pattern: np.ndarray, count: np.ndarray, kind: np.ndarray | None = None, known: np.ndarray | None = None, rounds: int = 50) -> np.ndarray:
+    """Expectation-maximisation over vote patterns (rows of -1, 0, 1): P(true) of each pattern.
 
-    Each labeler has its own table P(vote | true), P(vote | false); patterns start from their majority.
+    Each labeler has one table P(vote | true), P(vote | false) for all kinds, each kind its own share of true spans
+    among those not `known` to be true. Patterns start from their votes, one against counting as two for.
     """
-    total = pattern.sum(axis=1)
-    p = np.clip(0.5 + 0.2 * total, 0.05, 0.95)
+    kind = np.zeros(len(pattern), dtype=int) if kind is None else np.unique(kind, return_inverse=True)[1]
+    known = np.zeros(len(pattern), dtype=bool) if known is None else known
+    p = np.where(known, 1.0, np.clip(0.5 + 0.2 * ((pattern > 0).sum(axis=1) - 2 * (pattern < 0).sum(axis=1)), 0.05, 0.95))
+    open_ = np.where(known, 0.0, count)
+    of_kind = np.bincount(kind, weights=open_)
     hot = np.stack([pattern == v for v in (-1, 0, 1)], axis=2).astype(float)
     for _ in range(rounds):
         logs = []
@@ -234,8 +242,9 @@ def reliabilities(pattern: np.ndarray, count: np.ndarray, rounds: int = 50) -> n
             prior = np.array([0.5, 1.0, 1.5]) if q is p else np.array([1.5, 1.0, 0.5])
             t = np.einsum("n,njv->jv", w, hot) + prior
             t /= t.sum(axis=1, keepdims=True)
-            logs.append(np.einsum("njv,jv->n", hot, np.log(t)) + np.log((w.sum() + 1) / (count.sum() + 2)))
-        new = sigmoid(logs[0] - logs[1])
+            share = (np.bincount(kind, weights=q * open_) + 1) / (of_kind + 2)
+            logs.append(np.einsum("njv,jv->n", hot, np.log(t)) + np.log(share)[kind])
+        new = np.where(known, 1.0, sigmoid(logs[0] - logs[1]))
         if np.abs(new - p).max() < MIN_RELIABLE:
             return new
         p = new
@@ -253,11 +262,9 @@ def fit(docs: DataFrame) -> SpanModel:
         return SpanModel(np.zeros(_design(["0,0,0,0,0,0,0,0,0,0"]).shape[1]))
     keys, n = [r["key"] for r in counts], np.array([float(r["n"]) for r in counts])
     k = np.array([list(map(int, x.split(","))) for x in keys])
-    target = np.zeros(len(keys))
-    for kind in np.unique(k[:, 0]):
-        own = k[:, 0] == kind
-        seen, back = np.unique(k[own, 1:1 + len(LABELERS)], axis=0, return_inverse=True)
-        target[own] = reliabilities(seen, np.bincount(back.ravel(), weights=n[own]))[back.ravel()]
+    seen, back = np.unique(k[:, :1 + len(LABELERS)], axis=0, return_inverse=True)  # kind and votes
+    back = back.ravel()
+    target = reliabilities(seen[:, 1:], np.bincount(back, weights=n), seen[:, 0], seen[:, 0] < len(BASE))[back]
     x, w = _design(keys), np.zeros(_design(keys[:1]).shape[1])
     scale = n / n.sum() * min(n.sum(), 1e6)
     for _ in range(50):

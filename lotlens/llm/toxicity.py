@@ -30,8 +30,6 @@ from .common import filter_rows, fold_of, labelled, map_rows, sigmoid, text_rows
 
 #: At most so many labelled rows are learned from, those of the smallest id hashes.
 FIT_ROWS = 20_000
-#: At most so many learned stems are kept, the heaviest.
-MAX_STEMS = 4000
 THRESHOLD = 0.3
 STEM_LENGTHS = (4, 5, 6, 7)
 SEED_WEIGHT = 3.0
@@ -192,7 +190,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Grammar:
         return PRIOR
     odds = F.log((F.col("toxic") + 0.5) / (n["toxic"] + 1.0)) - F.log((F.col("clean") + 0.5) / (n["clean"] + 1.0))
     heavy = counts.filter((F.col("stem") != "") & (F.col("toxic") >= max(5, n["toxic"] // 100))).withColumn("w", odds).filter("w >= 3")
-    learned = {r["stem"]: float(r["w"]) for r in heavy.orderBy(F.desc("w"), "stem").limit(MAX_STEMS).collect()}
+    # a stem is in a hundredth of the toxic texts of the bounded sample at least: there are at most a hundred times the stems of one text
+    learned = {r["stem"]: float(r["w"]) for r in heavy.orderBy("stem").collect()}
     lexicon = dict(PRIOR.lexicon)
     for k, w in learned.items():
         lexicon[k] = max(w, lexicon.get(k, 0.0))

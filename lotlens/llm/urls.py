@@ -55,7 +55,7 @@ class Level:
 
     def knows(self, key: Column) -> Column:
         """All bits of the key are set."""
-        table = F.array(*[F.lit(w).cast("long") for w in self.words])
+        table = F.split(F.lit(",".join(map(str, self.words))), ",").cast("array<long>")  # folded to one literal, however long
         out = F.lit(True)
         for at in positions(key, self.bits, self.hashes, self.seed):
             word = F.element_at(table, (F.shiftright(at, 6) + 1).cast("int"))
