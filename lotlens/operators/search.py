@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import sys
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -72,14 +73,18 @@ def group_mean_vectors(df: DataFrame, keys: list[str], vec: str) -> DataFrame:
 
 
 def hashed_vectors(texts: list[str], dim: int = 64) -> np.ndarray:
-    """Default embedding for tests: signed hashed word counts."""
+    """Default embedding for tests: signed hashed word counts; a word is hashed once per batch."""
     out = np.zeros((len(texts), dim))
+    places: dict[str, tuple[int, float]] = {}
     for i, t in enumerate(texts):
-        for w in re.findall(r"\w+", (t or "").lower()):
-            h = 0
-            for b in w.encode():
-                h = (h * 31 + b) % 1_000_003
-            out[i, h % dim] += 1.0 if (h // dim) % 2 == 0 else -1.0
+        for w, n in Counter(re.findall(r"\w+", (t or "").lower())).items():
+            if w not in places:
+                h = 0
+                for b in w.encode():
+                    h = (h * 31 + b) % 1_000_003
+                places[w] = h % dim, 1.0 if (h // dim) % 2 == 0 else -1.0
+            at, sign = places[w]
+            out[i, at] += sign * n
     return out
 
 

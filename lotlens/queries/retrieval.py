@@ -5,10 +5,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import search, terms, vectors
-from ..plans.derived import RAW_CTE, flat_listings
+from ..operators import render, search, terms, vectors
+from ..plans.derived import RAW_CTE
 from ..session import shared_folder
 from .registry import query, table
+from .scalar import document_rows, document_sql
 
 # the searching user's text and vector
 WORDS = "the reading of ionen"
@@ -34,27 +35,25 @@ def bm25_sql(src, key, content):
 COS = f"list_cosine_similarity(embedding::DOUBLE[], {Q_SQL})"
 
 
-@query("v01_build_documents", RAW_CTE + """
-SELECT id, NULL::VARCHAR AS parent_id, content, 'search_document: ' || content AS to_embed FROM (SELECT id, 'Kode rumah: ' || id AS content FROM raw)
-UNION ALL SELECT id || '-desc', id, description, 'search_document: ' || description FROM raw WHERE length(description) > 10""")
+@query("v01_build_documents", RAW_CTE + f""", house AS ({document_sql("full")})
+SELECT id, NULL::VARCHAR AS parent_id, document AS content, 'search_document: ' || document AS to_embed FROM house
+UNION ALL SELECT id || '-desc', id, description, 'search_document: ' || description FROM raw WHERE price IS NOT NULL AND length(description) > 10""")
 def _(spark, d):
-    rows = flat_listings(spark, d).select("id", F.concat(F.lit("Kode rumah: "), "id").alias("content"), "description")
-    return search.build_documents(rows)
+    return search.build_documents(document_rows(spark, d).select("id", render.render_document("full").alias("content"), "description"))
 
 
 @query("v02_pool_normalize", """
 WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS a, list_reverse(embedding::DOUBLE[]) AS b, label % 2 AS m FROM embeddings),
 p AS (SELECT vec_id, list_transform(range(1, len(a) + 1), lambda i: (a[i] + b[i] * m) / (1 + m)) AS v FROM e)
-SELECT vec_id, round(v[1], 6) AS pooled_first, round(v[1] / sqrt(list_sum(list_transform(v, lambda x: x * x))), 6) AS unit_first,
-round(v[7] / sqrt(list_sum(list_transform(v, lambda x: x * x))), 6) AS unit_seventh FROM p""")
+SELECT vec_id, unnest(range(len(v))) AS pos, round(unnest(v), 6) AS pooled,
+round(unnest(v) / greatest(sqrt(list_sum(list_transform(v, lambda x: x * x))), 1e-12::DOUBLE), 6) AS unit FROM p""")
 def _(spark, d):
     e = table(spark, d, "embeddings").select(
         "vec_id", F.array("embedding", F.reverse("embedding")).cast("array<array<double>>").alias("t"),
         F.array(F.lit(1.0), (F.col("label") % 2).cast("double")).alias("m"))
     p = e.select("vec_id", search.mean_pool("t", "m").alias("v")).withColumn("u", search.l2_normalize("v"))
-    return p.select(
-        "vec_id", F.round(F.get("v", F.lit(0)), 6).alias("pooled_first"), F.round(F.get("u", F.lit(0)), 6).alias("unit_first"),
-        F.round(F.get("u", F.lit(6)), 6).alias("unit_seventh"))
+    each = p.select("vec_id", F.posexplode(F.arrays_zip("v", "u")).alias("pos", "e"))
+    return each.select("vec_id", F.col("pos").cast("long").alias("pos"), F.round("e.v", 6).alias("pooled"), F.round("e.u", 6).alias("unit"))
 
 
 @query("v02b_group_mean", """
@@ -65,11 +64,18 @@ def _(spark, d):
     return out.select("label", F.col("pos").cast("long").alias("pos"), F.round("m", 6).alias("m"))
 
 
-@query("v03_embed", "SELECT doc_id, 64 AS dim, CASE WHEN regexp_matches(text, '[\\p{L}\\p{N}_]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS norm FROM documents")
+# every element of every vector that is not zero; a word's hash is a polynomial over its bytes
+@query("v03_embed", r"""
+WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS word FROM documents),
+b AS (SELECT word, hex(encode(word)) AS x FROM (SELECT DISTINCT word FROM w)),
+h AS (SELECT word, list_reduce(list_prepend(0::BIGINT, list_transform(range(1, length(x) // 2 + 1), lambda i: CAST('0x' || substr(x, 2 * i - 1, 2) AS BIGINT))),
+  lambda p, q: (p * 31 + q) % 1000003) AS h FROM b),
+c AS (SELECT doc_id, h % 64 AS pos, CAST(sum(CASE WHEN (h // 64) % 2 = 0 THEN 1 ELSE -1 END) AS DOUBLE) AS n FROM w JOIN h USING (word) GROUP BY ALL)
+SELECT doc_id, pos, round(n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)), 6) AS element FROM c QUALIFY n <> 0""")
 def _(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
-    out = search.embed(docs, "text")
-    return out.select("doc_id", F.size("embedding").alias("dim"), F.round(search.norm("embedding"), 6).alias("norm"))
+    each = search.embed(docs, "text").select("doc_id", F.posexplode("embedding").alias("pos", "e")).filter("e <> 0")
+    return each.select("doc_id", F.col("pos").cast("long").alias("pos"), F.round("e", 6).alias("element"))
 
 
 _TERM_TABLES: dict[tuple[str, str], str] = {}

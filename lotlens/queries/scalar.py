@@ -338,6 +338,21 @@ def _(spark, d):
     )
 
 
+# amounts from single rupiah to thousands of billions
+AMOUNT = "o_totalprice / 1000 * pow(10::DOUBLE, o_orderkey % 11)"
+UNITS = "".join(f"WHEN abs(c) >= {s}::DOUBLE THEN 'Rp ' || format('{{:,.0f}}', c / {s}::DOUBLE) || ' {u}' " for s, u in (("1e12", "T"), ("1e9", "M"), ("1e6", "jt"), ("1e3", "rb")))
+
+
+@query("p35b_price_texts", f"""
+SELECT o_orderkey, CASE {UNITS} ELSE 'Rp ' || format('{{:,.0f}}', round(c)) END AS price_short,
+       'Rp ' || translate(format('{{:,.2f}}', c), ',.', '.,') AS price_long
+FROM (SELECT o_orderkey, {AMOUNT} AS c FROM orders)""")
+def _(spark, d):
+    c = F.col("o_totalprice") / 1000 * F.pow(F.lit(10.0), F.col("o_orderkey") % 11)
+    return table(spark, d, "orders").select("o_orderkey", c.alias("c")).select(
+        "o_orderkey", x.price_short("c").alias("price_short"), x.price_long("c").alias("price_long"))
+
+
 @query("p36_first_digit", """
 SELECT o_orderkey, CAST(substr(CAST(CAST(trunc(o_totalprice * 1000000) AS HUGEINT) AS VARCHAR), 1, 1) AS INT) AS digit FROM orders""")
 def _(spark, d):
@@ -388,6 +403,14 @@ def _(spark, d):
     )
 
 
+@query("f01b_clean_facilities", RAW_CTE + f""", f AS (SELECT id, unnest(range(len(facilities))) AS pos, unnest(facilities) AS fac FROM raw)
+SELECT id, pos, {sqlnames.facility_case('fname')} AS facility FROM (SELECT *, upper({STRIP.format('fac')}) AS fname FROM f)""")
+def _(spark, d):
+    sqlnames.register(spark)
+    each = flat_listings(spark, d).selectExpr("id", "posexplode(facilities) AS (pos, fac)")
+    return each.selectExpr("id", "CAST(pos AS BIGINT) AS pos", "CLEAN_FACILITY(fac) AS facility")
+
+
 DOC_CTE = RAW_CTE + f""", doc AS (SELECT id, price * 1000000 AS price, installment * 1000000 AS installment,
   string_split(address, ', ')[1] AS subdistrict, string_split(address, ', ')[2] AS city, coalesce(description, '') AS description,
   TRY_CAST(rtrim(luas_tanah, ' m²') AS INT) AS luas_tanah, TRY_CAST(rtrim(luas_bangunan, ' m²') AS INT) AS luas_bangunan,
@@ -404,7 +427,7 @@ DOC_CTE = RAW_CTE + f""", doc AS (SELECT id, price * 1000000 AS price, installme
   facilities FROM raw WHERE price IS NOT NULL)"""
 
 
-def _document_sql(name: str) -> str:
+def document_sql(name: str) -> str:
     """The document as SQL: every piece with its fields in place."""
     money = lambda c: f"replace(format('{{:,.0f}}', {c}), ',', '.')"
     said = {c: f"CAST({c} AS VARCHAR)" for c in render.INTS} | {c: f"CAST({c} AS VARCHAR) || '.0'" for c in render.AREAS}
@@ -442,7 +465,7 @@ def document_rows(spark, d):
 
 
 def _document_query(name: str):
-    @query(f"p34_render_{name}", _document_sql(name))
+    @query(f"p34_render_{name}", document_sql(name))
     def _(spark, d):
         return document_rows(spark, d).select("id", render.render_document(name).alias("document"))
 
