@@ -27,6 +27,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 METRICS = ["mean", "std", "var", "r2", "mse", "mae", "mape", "smape"]
 TEXT = ("string",)
 MISSING = -1.0e9
+#: Rows that one task of a shadow-feature trial trains on, about.
+TASK_ROWS = 200_000
 
 # inputs of the scoring request and the features made of them
 REQUEST_COLUMNS = [
@@ -45,17 +47,21 @@ def columns_of(df: DataFrame, target: str = "price", skip: tuple[str, ...] = ())
     return cats, [f.name for f in names if f.name not in cats]
 
 
-def price_pipeline(df: DataFrame, target: str = "price", skip: tuple[str, ...] = (), **params) -> Pipeline:
-    """Indexed categories and numbers into gradient-boosted trees."""
+def feature_stages(df: DataFrame, target: str = "price", skip: tuple[str, ...] = ()) -> list:
+    """Indexed categories and numbers in one vector."""
     cats, nums = columns_of(df, target, skip)
-    # trees need a bin per category, plus one for unknown ones
-    most = max(df.agg(*[F.count_distinct(c) for c in cats]).first()) if cats else 0
-    params = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "seed": 22, "maxBins": max(256, most + 2)} | params
-    return Pipeline(stages=[
+    return [
         StringIndexer(inputCols=cats, outputCols=[f"{c}_ix" for c in cats], handleInvalid="keep", stringOrderType="alphabetAsc"),
         VectorAssembler(inputCols=[*[f"{c}_ix" for c in cats], *nums], outputCol="features", handleInvalid="keep"),
-        GBTRegressor(featuresCol="features", labelCol=target, **params),
-    ])
+    ]
+
+
+def regressor(stages: PipelineModel, target: str = "price", **params) -> GBTRegressor:
+    """Gradient-boosted trees over the vectors of fitted stages."""
+    # trees need a bin per category, plus one for unknown ones
+    most = max([len(labels) for labels in stages.stages[0].labelsArray], default=0)
+    params = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "seed": 22, "maxBins": max(256, most + 2)} | params
+    return GBTRegressor(featuresCol="features", labelCol=target, **params)
 
 
 def _numbers(df: DataFrame, target: str) -> DataFrame:
@@ -65,9 +71,16 @@ def _numbers(df: DataFrame, target: str) -> DataFrame:
     return df.withColumns({n: F.coalesce(F.nanvl(F.col(n).cast("double"), F.lit(MISSING)), F.lit(MISSING)) for n in names})
 
 
+def encoded(df: DataFrame, target: str = "price", skip: tuple[str, ...] = ()) -> tuple[DataFrame, PipelineModel]:
+    """The rows with their vector (`features`), and the stages that make it."""
+    rows = _numbers(df, target)
+    stages = Pipeline(stages=feature_stages(rows, target, skip)).fit(rows)
+    return stages.transform(rows), stages
+
+
 def fit_price_model(train: DataFrame, target: str = "price", skip: tuple[str, ...] = (), **params) -> PipelineModel:
-    rows = _numbers(train.filter(F.col(target).isNotNull()), target)
-    return price_pipeline(rows, target, skip, **params).fit(rows)
+    rows, stages = encoded(train.filter(F.col(target).isNotNull()), target, skip)
+    return PipelineModel([*stages.stages, regressor(stages, target, **params).fit(rows.select(target, "features"))])
 
 
 def predictions(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -236,20 +249,25 @@ def boruta(
     Each trial trains once on features and shadows; counts are tested against a
     fair coin with Bonferroni correction and the loop ends once all are decided.
     `parallelism` trials run at a time; they are counted in their order, and those behind the end are not.
+    A shadow column has the categories of its feature, so features are indexed and assembled once, and a trial joins the stored
+    vectors with themselves. It trains in tasks of TASK_ROWS rows: each task of a level sends histograms of all columns.
     """
     cats, nums = columns_of(df, target, (key,))
     features = [*cats, *nums]
     hits = dict.fromkeys(features, 0)
     level = alpha / len(features)
     status: dict[str, str] = {}
-    placed = placed_rows(df, key, seed)
+    ready, stages = encoded(df, target, (key,))
+    placed = placed_rows(ready.select(key, target, "features"), key, seed)
     rows = placed.count()
+    both = VectorAssembler(inputCols=["features", "shadow_features"], outputCol="_all")
 
     def winners(n: int) -> list[str]:
-        model = fit_price_model(permuted(placed, rows, features, seed + n), target, skip=(key,), **({"seed": seed + n} | params))
-        gain = dict(zip((c.removesuffix("_ix") for c in model.stages[-2].getInputCols()), model.stages[-1].featureImportances.toArray()))
-        best = max(gain[f"shadow_{c}"] for c in features)
-        return [c for c in features if gain[c] > best]
+        lent = permuted(placed, rows, ["features"], seed + n).filter(F.col(target).isNotNull())
+        train = both.transform(lent).select(target, F.col("_all").alias("features")).coalesce(max(1, math.ceil(rows / TASK_ROWS)))
+        gain = regressor(stages, target, **({"seed": seed + n} | params)).fit(train).featureImportances.toArray()
+        best = max(gain[len(features):])
+        return [c for c, g in zip(features, gain) if g > best]
 
     n = 0
     with ThreadPool(parallelism) as pool:

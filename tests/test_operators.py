@@ -281,6 +281,13 @@ def test_boruta_accepts_what_matters(spark, model_table):
     assert seen == list(range(1, ends[0].trials + 1)) and ends[0].trials < 6 and "tentative" not in {r.status for r in ends}
 
 
+def test_boruta_indexes_categories_once(spark, model_table, monkeypatch):
+    real, fits = pricing.StringIndexer.fit, []
+    monkeypatch.setattr(pricing.StringIndexer, "fit", lambda self, *a: fits.append(1) or real(self, *a))
+    got = pricing.boruta(model_table, "id", trials=3, maxIter=1, maxDepth=3, parallelism=3)
+    assert got.count() == 3 and len(fits) == 1
+
+
 def test_request_guards_and_rejects(spark, model_table):
     req = spark.createDataFrame(
         [(1, "area1", 100.0, 0.0, 1, 1, 0, 0, 0.0), (2, "nowhere", 100.0, 50.0, 1, 1, 1, 0, 0.0)],
