@@ -11,6 +11,7 @@ from lotlens.functions.tails import chi_square_tail, student_two_sided
 from lotlens.operators import aggregates as agg
 from lotlens.operators.pagetree import Page
 from lotlens.operators import extract, features, joins, pricing, quantiles, search, stats
+from lotlens.plans.derived import listing_pages
 
 
 # -- quantiles and positions under skew --------------------------------------
@@ -200,6 +201,32 @@ def test_chisq(spark):
     assert abs(student_two_sided(2.0, 1001) - student_two_sided(2.0, 1000)) < 1e-6
 
 
+# -- pages: the quick way of cutting ------------------------------------------
+
+def test_pages_cut_at_plain_tags_have_the_same_elements():
+    rng = random.Random(4)
+    bits = ["<!--", "-->", "<", ">", "<script>", "</script>", "<style a>", "</STYLE >", "<p", "/>", "'", '"', "<br/>", "<li>", "</ul>", "<!x>", "<?", "< ",
+            "</3>", '<a"b>', '<a b=">">', "<!-->", "<td>", "<!---->", "x<!-- a<b>c -->y", "<>", "<!", "<scripty>", "<P>", "text", " ", "<div>", "</div>", "<p>", "</p>"]
+    quick = 0
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 14)))
+        a, b, c = Page(text), Page(""), Page("")
+        b._clear()
+        b._whole(text)
+        c._clear()
+        quick += c._quick(text)
+        assert (a.tag, a.parent, a.end, a.value, a._of) == (b.tag, b.parent, b.end, b.value, b._of), text
+    assert quick > 100
+
+
+def test_single_fields_equal_those_of_the_whole_page(spark, sf_dir):
+    pages = listing_pages(spark, sf_dir).limit(40).cache()
+    whole = {r.url: r for r in extract.page_fields(pages).collect()}
+    for name in extract.FIELD_NAMES:
+        got = extract.page_fields(pages, only=[name])
+        assert got.columns == ["url", name] and all(r[name] == whole[r.url][name] for r in got.collect())
+
+
 # -- model -------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
