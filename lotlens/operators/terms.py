@@ -14,6 +14,8 @@ touch; everything else stays as it is.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ PARTS = 64
 
 def words(content: Column | str) -> Column:
     """Lower-cased words of a text in order."""
-    return F.filter(F.split(F.lower(F.coalesce(col(content), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(col(content), F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
 def part_of(term: Column | str, parts: int) -> Column:
@@ -35,11 +37,14 @@ def part_of(term: Column | str, parts: int) -> Column:
 
 
 def _analysed(docs: DataFrame, doc_id: str, content: str, parts: int) -> tuple[DataFrame, DataFrame]:
-    """Postings and documents of texts; a text's words are counted where it is read, so only its distinct words move."""
-    rows = docs.select(F.col(doc_id).alias("id"), F.md5(F.coalesce(F.col(content), F.lit(""))).alias("digest"), words(content).alias("w"))
+    """Postings and documents of texts. Texts are dealt by id first: however few files hold them, all tasks analyse some, and
+    the words of an id are counted where they are, so no posting moves before it is stored."""
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = docs.select(F.col(doc_id).alias("id"), F.col(content).alias("text")).repartition(tasks, "id")
+    rows = dealt.select("id", F.md5(F.coalesce("text", F.lit(""))).alias("digest"), words("text").alias("w"))
     tokens = rows.select("id", F.size("w").cast("long").alias("len"), F.explode("w").alias("term"))
     postings = tokens.groupBy("term", "id", "len").agg(F.count(F.lit(1)).alias("tf")).select(part_of("term", parts).alias("part"), "term", "id", "tf", "len")
-    found = F.array_sort(F.array_distinct(F.transform("w", lambda w: part_of(w, parts))))
+    found = F.sort_array(F.array_distinct(F.transform(F.array_distinct("w"), lambda w: part_of(w, parts))))
     documents = rows.select(part_of(F.col("id").cast("string"), parts).alias("slot"), "id", F.size("w").cast("long").alias("len"), "digest", found.alias("parts"))
     return postings, documents
 
@@ -50,10 +55,18 @@ def store_parts(df: DataFrame, path: str, by: str, order: list[str], mode: str)
     ordered.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
+def store_postings(df: DataFrame, path: str, parts: int, mode: str) -> None:
+    """Postings in one shuffle: each partition is dealt by id over as many tasks as keep all of them busy, none read twice for ranges."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-2 * tasks // parts))))
+    ordered = df.repartition(tasks, "part", share).sortWithinPartitions("part", "term", "id")
+    ordered.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+
+
 def build_terms(docs: DataFrame, path: str, doc_id: str = "id", content: str = "content", parts: int = PARTS) -> None:
     """Write the term table of docs (one row per id) to a new folder."""
     postings, documents = _analysed(docs, doc_id, content, parts)
-    store_parts(written(postings), f"{path}/postings", "part", ["term", "id"], "error")
+    store_postings(postings, f"{path}/postings", parts, "error")
     store_parts(written(documents), f"{path}/documents", "slot", ["id"], "error")
     _describe(docs.sparkSession, path, parts)
 
@@ -101,19 +114,19 @@ def update_terms(docs: DataFrame, path: str, gone: DataFrame | None = None, doc_
     spent = ids.select("id")
     columns = ["part", "term", "id", "tf", "len"]
     stay = spark.read.parquet(f"{path}/postings").filter(F.col("part").isin(touched)).select(*columns).join(spent, "id", "left_anti")
-    replace_parts(stay.select(*columns).union(postings.select(*columns)), f"{path}/postings", "part", touched, ["term", "id"])
+    replace_parts(stay.select(*columns).union(postings.select(*columns)), f"{path}/postings", "part", touched, lambda rows, to: store_postings(rows, to, parts, "overwrite"))
     columns = ["slot", "id", "len", "digest", "parts"]
     stay = held.select(*columns).join(spent, "id", "left_anti")
-    replace_parts(stay.select(*columns).union(documents.select(*columns)), f"{path}/documents", "slot", slots, ["id"])
+    replace_parts(stay.select(*columns).union(documents.select(*columns)), f"{path}/documents", "slot", slots, lambda rows, to: store_parts(rows, to, "slot", ["id"], "overwrite"))
     _describe(spark, path, parts)
     return len(touched)
 
 
-def replace_parts(df: DataFrame, path: str, by: str, values: list[int], order: list[str]) -> None:
+def replace_parts(df: DataFrame, path: str, by: str, values: list[int], store: Callable[[DataFrame, str], None]) -> None:
     """Overwrite the partitions named; one that is left without rows goes."""
     spark = df.sparkSession
     rows = written(df)
-    store_parts(rows, path, by, order, "overwrite")
+    store(rows, path)
     left = {r[by] for r in rows.select(by).distinct().collect()}
     for v in set(values) - left:
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={v}")

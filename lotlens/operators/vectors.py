@@ -102,9 +102,9 @@ def update_vectors(rows: DataFrame, path: str, gone: DataFrame | None = None, ve
     touched = [r["cell"] for r in old.select("cell").union(new.select("cell")).distinct().collect()]  # a number per cell
     spent = ids.select(F.col("id").alias(vec_id))
     stay = spark.read.parquet(f"{path}/vectors").filter(F.col("cell").isin(touched)).select(*new.columns).join(spent, vec_id, "left_anti")
-    replace_parts(stay.select(*new.columns).union(new), f"{path}/vectors", "cell", touched, [vec_id])
+    replace_parts(stay.select(*new.columns).union(new), f"{path}/vectors", "cell", touched, lambda rows, to: store_parts(rows, to, "cell", [vec_id], "overwrite"))
     placed = held.join(ids.select("id"), "id", "left_anti").select("slot", "id", "cell").union(_places(new, vec_id))
-    replace_parts(placed, f"{path}/ids", "slot", slots, ["id"])
+    replace_parts(placed, f"{path}/ids", "slot", slots, lambda rows, to: store_parts(rows, to, "slot", ["id"], "overwrite"))
     return len(touched)
 
 

@@ -135,3 +135,12 @@ def test_second_run_embeds_nothing(spark, docs, tmp_path):
     assert all(math.isclose(a, b, abs_tol=1e-12) for a, b in zip(rows["d8"], want))
     hits = vectors.nearest(spark, f"{path}/vectors", want.tolist(), 1).collect()
     assert hits[0]["id"] == "d8" and not seen
+
+
+def test_postings_of_one_file_are_counted_by_all_tasks(spark, tmp_path):
+    """Texts of one file are dealt by id, and that is the only shuffle before postings are stored."""
+    spark.range(40).selectExpr("id AS doc_id", "concat('red house ', id % 3) AS text").coalesce(1).write.parquet(str(tmp_path / "d"))
+    postings, _ = terms._analysed(spark.read.parquet(str(tmp_path / "d")), "doc_id", "text", 8)
+    plan = postings._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(id" in plan
+    assert postings.count() == 120
