@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import col
+from ..session import written
 from .aggregates import distinct_on
 from .joins import related, with_any
 
@@ -192,15 +193,19 @@ def hybrid_search(
     image when `per_image` is set. `keywords` (query, k, ids that count or None for
     all) gives (id, score) from a stored term table; without it the texts are read.
     """
-    if images is not None:
-        docs = with_any(docs, "id", images, "parent_id", keep_duplicates=per_image)
     hit = lambda df, source: df.select("id", "parent_id", F.lit(source).alias("source"), "score")
     named = docs.select("id", "parent_id")
+    # vectors become scores where they are, so that none moves to the join with the images
+    scored = docs.filter("embedding IS NOT NULL").select("id", "parent_id", cosine("embedding", q).alias("score"))
+    if images is not None:
+        having = lambda df: with_any(df, "id", images, "parent_id", keep_duplicates=per_image)
+        # the keyword statistics, postings and hits all read the ids that count
+        docs, scored, named = having(docs), having(scored), written(having(named))
     if keywords is None:
         words = bm25(docs.select("id", "parent_id", "content"), query, k)
     else:
         words = keywords(query, k, None if images is None else named).join(named, "id")
-    near = knn(docs.filter("embedding IS NOT NULL").select("id", "parent_id", "embedding"), q, k)
+    near = scored.orderBy(F.desc("score"), "id").limit(k)
     return hit(words, "bm25").union(hit(near, "embedding")).distinct()
 
 
