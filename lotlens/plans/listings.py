@@ -24,7 +24,11 @@ def unique_listings(stage: DataFrame) -> DataFrame:
     """One staged record per id, the latest change first; ties by the scalar fields, then by a hash of the rest."""
     ties = ["scraped_at", "url", "price", "installment", "subdistrict", "city", "description", "record_hash"]
     first = Window.partitionBy("id").orderBy(F.desc_nulls_last("last_modified"), *ties)
-    return stage.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
+    # only records whose id is repeated are compared; the others stay where they are
+    again = written(stage.groupBy("id").count().filter("count > 1").select(F.col("id").alias("_again")))
+    repeated = F.col("id").eqNullSafe(F.col("_again"))
+    several = stage.join(again, repeated, "left_semi").withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
+    return stage.join(again, repeated, "left_anti").unionByName(several)
 
 
 # -- staging -----------------------------------------------------------------

@@ -5,7 +5,7 @@ import shutil
 
 from lotlens.operators.quality import Check, run_checks
 from lotlens.plans import checks, layers
-from lotlens.plans.listings import amenity_area_counts, int_amenities, staged, star_schema, wide_listings
+from lotlens.plans.listings import amenity_area_counts, int_amenities, staged, star_schema, unique_listings, wide_listings
 from lotlens.queries.marts import layer_sources
 
 
@@ -94,3 +94,13 @@ def test_checks_name_columns_of_layers(spark, sf_dir, tmp_path):
     tables, _ = layers.build(spark, layer_sources(spark, sf_dir), str(tmp_path), sorted({c.table for c in checks.CHECKS}))
     for c in checks.CHECKS:
         assert c.column in tables[c.table].columns
+
+
+def test_only_repeated_ids_are_compared(spark):
+    """One record per id, a null id like others; the window sees the records of repeated ids alone."""
+    columns = "id string, last_modified string, scraped_at string, url string, price double, installment double, subdistrict string, city string, description string, record_hash long"
+    rows = [(k, m, "s", u, 1.0, 1.0, "a", "b", "c", 1) for k, m, u in (("x", "1", "u"), ("x", "2", "v"), ("x", "2", "w"), ("y", None, "z"), (None, "1", "p"), (None, "3", "q"))]
+    out = unique_listings(spark.createDataFrame(rows, columns))
+    assert sorted((str(r.id), r.url) for r in out.collect()) == [("None", "q"), ("x", "v"), ("y", "z")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftAnti") < plan.index("Window") and "LeftSemi" in plan
