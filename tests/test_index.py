@@ -144,3 +144,17 @@ def test_postings_of_one_file_are_counted_by_all_tasks(spark, tmp_path):
     plan = postings._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "hashpartitioning(id" in plan
     assert postings.count() == 120
+
+
+def test_keywords_get_ids_that_are_joined_once(spark):
+    """With images the ids that count are a stored table: what reads them does not join the documents again."""
+    docs = spark.createDataFrame([("a", None, "red house", [1.0, 0.0]), ("b", "a", "red", None), ("c", None, "red", [0.0, 1.0])], "id string, parent_id string, content string, embedding array<double>")
+    plans = []
+
+    def keywords(text, k, within):
+        plans.append(within._jdf.queryExecution().optimizedPlan().toString())
+        return within.select("id", F.lit(1.0).alias("score"))
+
+    got = search.hybrid_search(docs, "red", [1.0, 0.0], images=spark.createDataFrame([("a",), ("b",)], "parent_id string"), keywords=keywords)
+    assert sorted((r.id, r.source) for r in got.collect()) == [("a", "bm25"), ("a", "embedding"), ("b", "bm25")]
+    assert "Join" not in plans[0]
