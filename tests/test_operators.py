@@ -1,5 +1,6 @@
 import datetime
 import random
+import re
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from lotlens.functions.tails import chi_square_tail, student_two_sided
 from lotlens.operators import aggregates as agg
 from lotlens.operators.pagetree import Page
-from lotlens.operators import extract, features, joins, pricing, quantiles, search, stats
+from lotlens.operators import extract, features, joins, pagebatch, pricing, quantiles, search, stats
 from lotlens.plans.derived import listing_pages
 
 
@@ -219,6 +220,40 @@ def test_pages_cut_at_plain_tags_have_the_same_elements():
     assert quick > 100
 
 
+def _batch(pages):
+    coded = [p.encode() for p in pages]
+    return b"".join(coded), np.concatenate([[0], np.cumsum([len(c) for c in coded])]).astype(np.int64)
+
+
+def test_pages_read_many_at_a_time_give_what_each_gives_alone(spark, sf_dir):
+    """Pages as rendered, and with tags dropped, doubled, swapped and broken."""
+    whole = [r.html for r in listing_pages(spark, sf_dir).limit(60).collect()]
+    bits = ["<p>", "</p>", "<div>", "</div>", "<ul>", "<li>", "</ul>", "<b>", "</b>", "<!-- x <p> -->", "<br/>", "<table><tr><td>", "<td/>", "<tr>", "</table>",
+            "&am<b>p;</b>", "Cic<i>ilan</i> Rp 3", "R<b>p </b>7", "<my-tag a='1'>", "</my-tag>", '<a title="x>y">', "<a title='q\"q' href=1>",
+            '<script>x="<div>"</script>', "<style>p>a{}</style>", "x < y", "a > b", '<div class="ui-container">', "<dl><dt>a<dd>b<dt>c</dl>", "é", "<dïv>", "<?php x ?>",
+            "<script>", "<!-- open", "<DIV CLASS='mb-4'>", "<verylongnameofatagthatgoeson>", '">', "</>", "<scripty>", "<x" + "<div>" * 300]
+    rng = random.Random(8)
+
+    def broken(page):
+        parts = re.split("(<[^>]*>)", page)
+        for _ in range(rng.choice([1, 3, 20])):
+            k, j = rng.randrange(len(parts)), rng.randrange(len(parts))
+            parts[k:k + 1] = rng.choice([[rng.choice(bits), parts[k]], [], [parts[j]]])
+            parts = parts or [""]
+        return "".join(parts)
+
+    pages = whole + [broken(rng.choice(whole)) for _ in range(1500)] + ["", "x", "<p>", "<div>" * 400]
+    odd = pagebatch.Pages(*_batch(pages)).odd
+    assert not odd[:60].any() and 100 < (~odd).sum() and odd.sum() > 100
+    assert extract.read_pages(*_batch(pages)) == [extract.read_page(p) for p in pages]
+
+
+def test_plain_pages_take_no_python_step_per_tag(spark, sf_dir, monkeypatch):
+    data = _batch([r.html for r in listing_pages(spark, sf_dir).limit(200).collect()])
+    monkeypatch.setattr(extract.pagetree, "Page", None)  # the reader of single pages
+    assert all(r[0] for r in extract.read_pages(*data, wanted=["price_text"]))
+
+
 def test_single_fields_equal_those_of_the_whole_page(spark, sf_dir):
     pages = listing_pages(spark, sf_dir).limit(40).cache()
     whole = {r.url: r for r in extract.page_fields(pages).collect()}
