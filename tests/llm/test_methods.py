@@ -224,6 +224,21 @@ def test_tokens_equal_the_tokenizer(texts):
         assert np.frombuffer(words.encode(t), dtype="<u4").tolist() == whole.encode(t, add_special_tokens=False).ids, t
 
 
+def test_new_words_of_many_texts_are_encoded_together(texts, monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(packing.TOKENIZER)
+    whole, words, learned = Tokenizer.from_file(path), packing.WordTokens(path), []
+    monkeypatch.setattr(packing.WordTokens, "MEMORY", 50)  # words are forgotten before every call
+    learn = words._learn
+    words._learn = lambda new: (learned.append(len(new)), learn(new))
+    some = [*texts.values(), "", "it's they'LL 'sx' 12½", "naïve <|endoftext|>", "Σ x"]
+    for part in (some, some[::-1], some[:3]):
+        got = [np.frombuffer(x, dtype="<u4").tolist() for x in words.encode_all(part)]
+        assert got == [whole.encode(t, add_special_tokens=False).ids for t in part]
+    assert len(learned) == 3
+
+
 def test_packing_round_trip(docs, texts):
     from tokenizers import Tokenizer
 
