@@ -3,8 +3,10 @@
 import os
 import shutil
 
+from pyspark.sql import functions as F
+
 from lotlens.operators.quality import Check, run_checks
-from lotlens.plans import checks, layers
+from lotlens.plans import checks, derived, layers
 from lotlens.plans.listings import amenity_area_counts, int_amenities, staged, star_schema, unique_listings, wide_listings
 from lotlens.queries.marts import layer_sources
 
@@ -104,3 +106,11 @@ def test_only_repeated_ids_are_compared(spark):
     assert sorted((str(r.id), r.url) for r in out.collect()) == [("None", "q"), ("x", "v"), ("y", "z")]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("LeftAnti") < plan.index("Window") and "LeftSemi" in plan
+
+
+def test_specs_of_derived_listings_are_one_map_without_a_record_per_entry(spark, sf_dir):
+    flat = {f"hos{r.o_orderkey}": r.asDict() for r in derived.flat_listings(spark, sf_dir).limit(50).collect()}
+    raw = derived.raw_listings(spark, sf_dir)
+    for r in raw.filter(F.col("id").isin(list(flat))).select("id", "specs").collect():
+        assert r.specs == {n.replace("_", " ").title(): flat[r.id][n] for n in derived.SPEC_TEXTS if flat[r.id][n] is not None}
+    assert "map_from_entries" not in raw._jdf.queryExecution().optimizedPlan().toString()
