@@ -78,12 +78,35 @@ def encoded(df: DataFrame, target: str = "price", skip: tuple[str, ...] = ()) ->
     return stages.transform(rows), stages
 
 
-def fit_price_model(train: DataFrame, target: str = "price", skip: tuple[str, ...] = (), **params) -> PipelineModel:
-    rows, stages = encoded(train.filter(F.col(target).isNotNull()), target, skip)
+def search_rows(
+    df: DataFrame, key: str, k: int = 5, seed: int = 21, target: str = "price", shares: tuple[int, ...] = (1,)
+) -> tuple[DataFrame, PipelineModel]:
+    """Target, vector and fold of the rows that have a target, stored for all fits of a search, and the stages that made them.
+
+    Categories are indexed over all these rows; one that a fit does not meet is an empty bin to its trees. `shares` are divisors, the
+    last 1, each dividing the one before: `share` is the place of the first that holds the row and a folder, so a fit on a share
+    (`share` up to its place) reads no other rows.
+    """
+    ready, stages = encoded(df.filter(F.col(target).isNotNull()), target, (key,))
+    first = F.coalesce(*[F.when(bucket_of(key, 5, p) == 0, i) for i, p in enumerate(shares[:-1])], F.lit(len(shares) - 1))
+    rows = ready.select(target, "features", bucket_of(key, seed, k).cast("int").alias("fold"), first.alias("share"))
+    return written(rows, "share"), stages
+
+
+def fit_price_model(
+    train: DataFrame, target: str = "price", skip: tuple[str, ...] = (), stages: PipelineModel | None = None, **params
+) -> PipelineModel:
+    """Model of the rows; with `stages` these are rows of `search_rows`, encoded already."""
+    rows = train
+    if stages is None:
+        rows, stages = encoded(train.filter(F.col(target).isNotNull()), target, skip)
     return PipelineModel([*stages.stages, regressor(stages, target, **params).fit(rows.select(target, "features"))])
 
 
 def predictions(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """The rows with their prediction; those of `search_rows` need the trees only."""
+    if "features" in df.columns:
+        return model.stages[-1].transform(df)
     return model.transform(_numbers(df, model.stages[-1].getLabelCol()))
 
 
@@ -97,14 +120,17 @@ def evaluate(model: PipelineModel, test: DataFrame, target: str = "price") -> tu
 
 
 def cross_validate(
-    df: DataFrame, key: str, k: int = 5, seed: int = 21, target: str = "price", parallelism: int = 2, **params
+    df: DataFrame, key: str, k: int = 5, seed: int = 21, target: str = "price", parallelism: int = 2,
+    stages: PipelineModel | None = None, **params
 ) -> DataFrame:
-    """Metrics of each fold (column fold); a row's fold follows from its key."""
-    fold = bucket_of(key, seed, k)
+    """Metrics of each fold (column fold); a row's fold follows from its key. With `stages` df are rows of `search_rows`."""
+    rows = df
+    if stages is None:
+        rows, stages = search_rows(df, key, k, seed, target)
 
     def one(i: int) -> DataFrame:
-        model = fit_price_model(df.filter(fold != i), target, skip=(key,), **params)
-        return evaluate(model, df.filter(fold == i), target)[0].withColumn("fold", F.lit(i))
+        model = fit_price_model(rows.filter(F.col("fold") != i), target, stages=stages, **params)
+        return evaluate(model, rows.filter(F.col("fold") == i), target)[0].withColumn("fold", F.lit(i))
 
     with ThreadPool(parallelism) as pool:
         return reduce(DataFrame.unionByName, pool.map(one, range(k)))
@@ -129,18 +155,26 @@ def sample_params(n: int, seed: int = 22) -> list[dict]:
 
 def search(
     df: DataFrame, key: str, trials: list[dict], k: int = 5, target: str = "price", table: str | None = None,
-    holdout: DataFrame | None = None,
+    holdout: DataFrame | None = None, parallelism: int = 2,
 ) -> DataFrame:
-    """Settings with their mean validation metrics (and metrics on `holdout`), best first; appended to `table` when given."""
+    """Settings with their mean validation metrics (and metrics on `holdout`), best first; appended to `table` when given.
+
+    Rows are encoded once for all fits; `parallelism` settings run at a time, their folds one after another.
+    """
     spark = df.sparkSession
-    rows = []
-    for i, params in enumerate(trials):
-        val = mean_metrics(cross_validate(df, key, k, target=target, **params)).first().asDict()
+    ready, stages = search_rows(df, key, k, target=target)
+
+    def run(i: int) -> dict:
+        params = trials[i]
+        val = mean_metrics(cross_validate(ready, key, k, target=target, parallelism=1, stages=stages, **params)).first().asDict()
         row = {"trial": i, "params": str(params)} | {f"val_{m}": val[m] for m in METRICS}
         if holdout is not None:
-            model = fit_price_model(df, target, skip=(key,), **params)
+            model = fit_price_model(ready, target, stages=stages, **params)
             row |= {f"test_{m}": x for m, x in evaluate(model, holdout, target)[0].first().asDict().items()}
-        rows.append(row)
+        return row
+
+    with ThreadPool(parallelism) as pool:
+        rows = pool.map(run, range(len(trials)), 1)
     out = spark.createDataFrame(pd.DataFrame(rows)).orderBy("val_mse", "trial")
     if table is not None:
         out.write.mode("append").parquet(table)
@@ -157,7 +191,7 @@ def halving(
     """Successive halving: all settings on a share of the rows, the best of each rung on `keep` times as many, the last on all.
 
     Early rungs validate on one fold, the last cross-validates. Shares follow from the key, so a rung's rows hold those
-    of the rung before. Every finished run is a row under `table`, in a folder of its own; a search that stopped goes on from there. Gives the run
+    of the rung before. Rows are encoded once, and a rung reads its own only. Every finished run is a row under `table`, in a folder of its own; a search that stopped goes on from there. Gives the run
     table in order (rung descending, then error), with `place` and `winner`, and the winner's metrics on `holdout`.
     """
     spark = df.sparkSession
@@ -166,18 +200,18 @@ def halving(
     stored = spark.read.schema(RUN).parquet(f"{table}/runs").drop("run").collect() if there else []  # a row per run
     done = {(r["rung"], r["trial"]): r.asDict() for r in stored}
     alive = list(range(len(trials)))
-    for rung in range(rungs):
-        parts = keep ** (rungs - 1 - rung)
-        rows = df if parts == 1 else df.filter(bucket_of(key, 5, parts) == 0)
-        fold = bucket_of(key, 21, k)
+    shares = tuple(keep ** (rungs - 1 - rung) for rung in range(rungs))
+    ready, stages = search_rows(df, key, k, target=target, shares=shares)
+    for rung, parts in enumerate(shares):
+        rows = ready.filter(F.col("share") <= rung)
 
         def run(trial: int) -> None:
             params = trials[trial]
             if parts == 1:
-                val = mean_metrics(cross_validate(rows, key, k, target=target, parallelism=1, **params)).first().asDict()
+                val = mean_metrics(cross_validate(rows, key, k, target=target, parallelism=1, stages=stages, **params)).first().asDict()
             else:
-                model = fit_price_model(rows.filter(fold != 0), target, skip=(key,), **params)
-                val = evaluate(model, rows.filter(fold == 0), target)[0].first().asDict()
+                model = fit_price_model(rows.filter("fold <> 0"), target, stages=stages, **params)
+                val = evaluate(model, rows.filter("fold = 0"), target)[0].first().asDict()
             row = {"rung": rung, "trial": trial, "params": str(params), "share": 1 / parts} | {f"val_{m}": float(val[m]) for m in METRICS}
             spark.createDataFrame([row], RUN).coalesce(1).write.mode("overwrite").parquet(f"{table}/runs/run={rung}-{trial}")
             done[rung, trial] = row
@@ -189,7 +223,7 @@ def halving(
     out["place"], out["winner"] = range(1, len(out) + 1), [i == 0 for i in range(len(out))]
     columns = f"{RUN}, place int, winner boolean"
     if holdout is not None:
-        model = fit_price_model(df, target, skip=(key,), **trials[int(out["trial"][0])])
+        model = fit_price_model(ready, target, stages=stages, **trials[int(out["trial"][0])])
         test = evaluate(model, holdout, target)[0].first().asDict()
         for m in METRICS:
             out[f"test_{m}"] = [float(test[m])] + [None] * (len(out) - 1)

@@ -59,15 +59,15 @@ def shared_folder(spark: SparkSession) -> str:
 _TABLES: list[str] = []
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Write an intermediate result to the shared folder and read it back.
+def written(df: DataFrame, *by: str) -> DataFrame:
+    """Write an intermediate result to the shared folder, in folders of the columns `by`, and read it back.
 
     Cuts the lineage durably (a lost executor replays nothing) and gives
     Catalyst the true size, so a join with the result is broadcast only when it
     really is below spark.sql.autoBroadcastJoinThreshold.
     """
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     _TABLES.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

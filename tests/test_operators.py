@@ -320,6 +320,32 @@ def test_halving_keeps_the_best_and_goes_on(spark, model_table, tmp_path, monkey
     assert [r.trial for r in ask().collect()] == [r.trial for r in runs]
 
 
+def test_a_search_encodes_its_rows_once(spark, model_table, tmp_path, monkeypatch):
+    train, test = features.split(model_table.withColumn("price", F.when(F.col("id") != "hos7", F.col("price"))), "id")
+    real, fits = pricing.StringIndexer.fit, []
+    monkeypatch.setattr(pricing.StringIndexer, "fit", lambda self, *a: fits.append(1) or real(self, *a))
+    params = {"maxIter": 2, "maxDepth": 3}
+    found = pricing.search(train, "id", [params, params | {"maxDepth": 4}], k=2, holdout=test).collect()
+    assert len(fits) == 1 and {r.trial for r in found} == {0, 1}
+    pricing.halving(train, "id", [params] * 4, str(tmp_path), rungs=2, keep=2, k=2, holdout=test)
+    assert len(fits) == 2
+    # folds and shares follow from the keys, and a share reads its own folders only
+    rows, stages = pricing.search_rows(train, "id", 3, shares=(4, 2, 1))
+    known = train.filter("price IS NOT NULL")
+    assert rows.count() == known.count() < train.count()
+    for fold in range(3):
+        assert rows.filter(f"fold = {fold}").count() == known.filter(features.bucket_of("id", 21, 3) == fold).count() > 0
+    for place, parts in enumerate((4, 2, 1)):
+        part = rows.filter(F.col("share") <= place)
+        assert part.count() == known.filter(features.bucket_of("id", 5, parts) == 0).count() > 0
+        assert "PartitionFilters: [isnotnull(share" in str(part._jdf.queryExecution().executedPlan())
+    # a fold's error is that of a model of the other folds, encoded by itself
+    alone = pricing.fit_price_model(known.filter(features.bucket_of("id", 21, 3) != 0), skip=("id",), maxIter=3, maxDepth=3, maxBins=1200)
+    want = pricing.evaluate(alone, known.filter(features.bucket_of("id", 21, 3) == 0))[0].first()
+    got = pricing.cross_validate(train, "id", 3, maxIter=3, maxDepth=3, maxBins=1200).filter("fold = 0").first()
+    assert all(abs(got[m] - want[m]) < 1e-9 for m in pricing.METRICS)
+
+
 def test_shadow_is_a_permutation(spark, model_table):
     out = pricing.shuffled_copies(model_table, ["luas_tanah", "noise"], "id", 3).toPandas()
     assert sorted(out["id"]) == sorted(r.id for r in model_table.select("id").collect())
