@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
-
 COLUMNS = ["check_name", "column_name", "value", "violations"]
 
 
@@ -62,38 +60,41 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
 
     Each table is read once. A row gives one item for every check it fails and one for the value of every key column
     (checked for uniqueness, or on either side of a relationship); items are counted by value, before and after one
-    shuffle, and the counts stored. Repeated keys and keys without parent are read off the counts, so parents
-    are not read again. Values are compared as text; NULL fails not_null only, also where the parent has a NULL.
+    shuffle. The keys of all tables meet there: a value has one row with its count in each key column, off which repeated keys
+    and keys without parent are read, so nothing is stored or joined. Values are compared as text; NULL fails not_null
+    only, also where the parent has a NULL.
     """
     keys = {(c.table, c.column) for c in checks if c.kind in ("unique", "relationships")} | {c.parent for c in checks if c.parent}
+    place = {k: i for i, k in enumerate(sorted(keys))}
+    text = lambda c: F.col(c).cast("string")
+    # an item names its check, a key its column by number: short to shuffle
+    item = lambda check, key, value: F.struct(F.lit(check).alias("check"), F.lit(key).alias("key"), value.alias("value"))
     items = []
     for name in sorted({c.table for c in checks} | {t for t, _ in keys}):
-        text = lambda c: F.col(c).cast("string")
-        item = lambda kind, column, value: F.struct(F.lit(kind).alias("check_name"), F.lit(column).alias("column_name"), value.alias("value"))
-        found = [F.when(F.col(c).isNotNull(), item("key", c, text(c))) for t, c in sorted(keys) if t == name]
-        for c in (c for c in checks if c.table == name):
+        found = [F.when(F.col(c).isNotNull(), item(-1, place[t, c], text(c))) for t, c in sorted(keys) if t == name]
+        for i, c in enumerate(checks):
+            if c.table != name:
+                continue
             if c.kind == "not_null":
-                found.append(F.when(F.col(c.column).isNull(), item(c.kind, c.column, F.lit(None).cast("string"))))
+                found.append(F.when(F.col(c.column).isNull(), item(i, -1, F.lit(None).cast("string"))))
             elif c.kind == "accepted_values":
-                found.append(F.when(~F.col(c.column).isin(list(c.accepted)), item(c.kind, c.column, text(c.column))))
+                found.append(F.when(~F.col(c.column).isin(list(c.accepted)), item(i, -1, text(c.column))))
             elif c.kind not in ("unique", "relationships"):
                 raise ValueError(f"unknown check {c.kind}")
-        failed = tables[name].select(F.explode(F.array_compact(F.array(*found))).alias("i"))
-        items.append(failed.select(F.lit(name).alias("table_name"), "i.*"))
-    group = ["table_name", "check_name", "column_name", "value"]
-    counts = written(reduce(DataFrame.unionAll, items).groupBy(*group).agg(F.count(F.lit(1)).alias("violations")))
-    out = counts.filter("check_name <> 'key'")
-    key = counts.filter("check_name = 'key'")
-    at = lambda pairs: reduce(lambda a, b: a | b, [(F.col("table_name") == t) & (F.col("column_name") == c) for t, c in pairs])
-    unique = [(c.table, c.column) for c in checks if c.kind == "unique"]
-    if unique:
-        out = out.unionByName(key.filter(at(unique) & (F.col("violations") > 1)).withColumn("check_name", F.lit("unique")))
-    related = [c for c in checks if c.kind == "relationships"]
-    if related:
-        parent = F.coalesce(*[F.when(at([(c.table, c.column)]), F.lit("\t".join(c.parent))) for c in related])
-        children = key.filter(at([(c.table, c.column) for c in related])).withColumn("_of", parent)
-        parents = key.filter(at({c.parent for c in related})).select(
-            F.concat_ws("\t", "table_name", "column_name").alias("_of"), "value")
-        orphans = children.join(parents, ["_of", "value"], "left_anti").withColumn("check_name", F.lit("relationships"))
-        out = out.unionByName(orphans.select(*group, "violations"))
-    return out
+        items.append(tables[name].select(F.explode(F.array(*found)).alias("i")).filter("i IS NOT NULL").select("i.*"))
+    counts = reduce(DataFrame.unionAll, items).groupBy("check", "value").agg(
+        F.count(F.lit(1)).alias("items"), *[F.count(F.when(F.col("key") == i, 1)).alias(f"key_{i}") for i in place.values()])
+    count_of = lambda table, column: F.col(f"key_{place[table, column]}")
+    broken = []
+    for i, c in enumerate(checks):
+        if c.kind == "unique":
+            broken.append((c, (F.col("check") == -1) & (count_of(c.table, c.column) > 1), count_of(c.table, c.column)))
+        elif c.kind == "relationships":
+            orphan = (F.col("check") == -1) & (count_of(c.table, c.column) > 0) & (count_of(*c.parent) == 0)
+            broken.append((c, orphan, count_of(c.table, c.column)))
+        else:
+            broken.append((c, F.col("check") == i, F.col("items")))
+    row = lambda c, n: F.struct(
+        F.lit(c.table).alias("table_name"), F.lit(c.kind).alias("check_name"), F.lit(c.column).alias("column_name"), "value", n.alias("violations"))
+    failed = counts.filter(reduce(lambda a, b: a | b, [F.col("check") >= 0, *[b for c, b, _ in broken if c.kind in ("unique", "relationships")]]))
+    return failed.select(F.explode(F.array(*[F.when(b, row(c, n)) for c, b, n in broken])).alias("r")).filter("r IS NOT NULL").select("r.*")

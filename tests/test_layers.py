@@ -92,6 +92,20 @@ def test_declared_checks_by_hand(spark):
     assert none.count() == 0
 
 
+def test_keys_of_all_tables_are_counted_in_one_shuffle(spark):
+    """Repeated keys and keys without parent come off one grouping by value: no join, no table written on the way."""
+    from lotlens import session
+    child, other = spark.range(6).selectExpr("id % 4 AS ref"), spark.range(3).selectExpr("CAST(id AS INT) AS ref")
+    parent = spark.createDataFrame([("0",), ("1",), ("1",), ("7",)], "id string")
+    declared = [Check("parent", "id", "unique"), *[Check(t, "ref", "relationships", parent=("parent", "id")) for t in ("child", "other")]]
+    before = len(session._TABLES)
+    got = run_checks({"child": child, "other": other, "parent": parent}, declared)
+    assert sorted(map(tuple, got.collect())) == [
+        ("child", "relationships", "ref", "2", 1), ("child", "relationships", "ref", "3", 1), ("other", "relationships", "ref", "2", 1), ("parent", "unique", "id", "1", 2)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert len(session._TABLES) == before and "Join" not in plan and plan.count("Aggregate") == 1
+
+
 def test_checks_name_columns_of_layers(spark, sf_dir, tmp_path):
     tables, _ = layers.build(spark, layer_sources(spark, sf_dir), str(tmp_path), sorted({c.table for c in checks.CHECKS}))
     for c in checks.CHECKS:
