@@ -92,15 +92,15 @@ def hashed_vectors(texts: list[str], dim: int = 64) -> np.ndarray:
 def embed(
     df: DataFrame, text: str, fn: Callable[[list[str]], np.ndarray] = hashed_vectors, out: str = "embedding"
 ) -> DataFrame:
-    """Add unit vectors of `text` from a batch model `fn`, in Arrow batches."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            m = np.asarray(fn(pdf[text].tolist()), dtype="float64")
-            m = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
-            yield pdf.assign(**{out: list(m)})
-
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.DoubleType()))])
-    return df.mapInPandas(run, schema)
+    """Add unit vectors of `text` from a batch model `fn`, in Arrow batches that hold the texts only."""
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def vector(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            m = np.asarray(fn(texts.tolist()), dtype="float64").reshape(len(texts), -1)
+            yield pd.Series(list(m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)), dtype=object)
+
+    # else a filter on the vector would be moved below it and run the model a second time
+    return df.withColumn(out, vector.asNondeterministic()(F.col(text)))
 
 
 # -- keyword -----------------------------------------------------------------

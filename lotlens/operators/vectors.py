@@ -60,14 +60,13 @@ def fit_cells(vecs: DataFrame, cells: int, vec: str = "embedding", vec_id: str =
 
 
 def assigned(vecs: DataFrame, centres: np.ndarray, vec: str = "embedding") -> DataFrame:
-    """The rows that have a vector, each with its nearest cell."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in batches:
-            if len(f):
-                yield f.assign(cell=(unit(np.stack(f[vec].to_numpy())) @ centres.T).argmax(axis=1).astype("int32"))
+    """The rows that have a vector, each with its nearest cell. Only the vectors go to Python, other columns stay where they are."""
+    @F.pandas_udf(T.IntegerType())
+    def cell(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for v in batches:
+            yield pd.Series((unit(np.stack(v.to_numpy())) @ centres.T).argmax(axis=1).astype("int32") if len(v) else [], dtype="int32")
 
-    fine = vecs.filter(F.col(vec).isNotNull())
-    return fine.mapInPandas(run, T.StructType([*fine.schema.fields, T.StructField("cell", T.IntegerType())]))
+    return vecs.filter(F.col(vec).isNotNull()).withColumn("cell", cell(F.col(vec)))
 
 
 def build_vectors(vecs: DataFrame, path: str, cells: int = 32, vec: str = "embedding", vec_id: str = "id", recall: float = RECALL) -> None:

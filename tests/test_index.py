@@ -158,3 +158,17 @@ def test_keywords_get_ids_that_are_joined_once(spark):
     got = search.hybrid_search(docs, "red", [1.0, 0.0], images=spark.createDataFrame([("a",), ("b",)], "parent_id string"), keywords=keywords)
     assert sorted((r.id, r.source) for r in got.collect()) == [("a", "bm25"), ("a", "embedding"), ("b", "bm25")]
     assert "Join" not in plans[0]
+
+
+def test_only_texts_and_vectors_go_to_python(spark):
+    """Other columns do not pass through the workers, and a filter on the vector does not run the model again."""
+    docs = spark.createDataFrame([(1, "rumah baru", "a"), (2, None, "b"), (3, "taman", None)], "id long, to_embed string, other string")
+    made = search.embed(docs, "to_embed")
+    want = search.hashed_vectors(["rumah baru", None, "taman"])
+    want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-12)
+    got = made.orderBy("id").collect()
+    assert np.allclose([r.embedding for r in got], want) and [r.other for r in got] == ["a", "b", None]
+    placed = vectors.assigned(made, vectors.unit(np.eye(64)[:5]))
+    assert [r.cell for r in placed.orderBy("id").collect()] == list((vectors.unit(want) @ np.eye(64)[:5].T).argmax(axis=1))
+    plan = placed.filter("size(embedding) > 0")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan and plan.count("ArrowEvalPython [") == 2
