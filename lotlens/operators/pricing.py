@@ -14,11 +14,11 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import written
+from . import boosting
 from .aggregates import positions
 from .features import bucket_of, regression_metrics
 
@@ -56,12 +56,12 @@ def feature_stages(df: DataFrame, target: str = "price", skip: tuple[str, ...] =
     ]
 
 
-def regressor(stages: PipelineModel, target: str = "price", **params) -> GBTRegressor:
+def regressor(stages: PipelineModel, target: str = "price", **params) -> boosting.BinnedGBTRegressor:
     """Gradient-boosted trees over the vectors of fitted stages."""
     # trees need a bin per category, plus one for unknown ones
     most = max([len(labels) for labels in stages.stages[0].labelsArray], default=0)
     params = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "seed": 22, "maxBins": max(256, most + 2)} | params
-    return GBTRegressor(featuresCol="features", labelCol=target, **params)
+    return boosting.BinnedGBTRegressor(featuresCol="features", labelCol=target, **params)
 
 
 def _numbers(df: DataFrame, target: str) -> DataFrame:
@@ -283,8 +283,8 @@ def boruta(
     Each trial trains once on features and shadows; counts are tested against a
     fair coin with Bonferroni correction and the loop ends once all are decided.
     `parallelism` trials run at a time; they are counted in their order, and those behind the end are not.
-    A shadow column has the categories of its feature, so features are indexed and assembled once, and a trial joins the stored
-    vectors with themselves. It trains in tasks of TASK_ROWS rows: each task of a level sends histograms of all columns.
+    A shadow column has the values of its feature, so features are indexed, assembled and put in bins once, and a trial joins the
+    stored bins with themselves.
     """
     cats, nums = columns_of(df, target, (key,))
     features = [*cats, *nums]
@@ -294,12 +294,21 @@ def boruta(
     ready, stages = encoded(df, target, (key,))
     placed = placed_rows(ready.select(key, target, "features"), key, seed)
     rows = placed.count()
+    trainer = lambda n: regressor(stages, target, **({"seed": seed + n} | params))
+    counted = trainer(0).settings() is not None and rows > 0
+    if counted:
+        kinds = trainer(0).bins(placed, rows)
+        placed = written(boosting.with_bins(placed.drop(key), "features", kinds))
     both = VectorAssembler(inputCols=["features", "shadow_features"], outputCol="_all")
 
     def winners(n: int) -> list[str]:
-        lent = permuted(placed, rows, ["features"], seed + n).filter(F.col(target).isNotNull())
-        train = both.transform(lent).select(target, F.col("_all").alias("features")).coalesce(max(1, math.ceil(rows / TASK_ROWS)))
-        gain = regressor(stages, target, **({"seed": seed + n} | params)).fit(train).featureImportances.toArray()
+        lent = permuted(placed, rows, ["bins" if counted else "features"], seed + n).filter(F.col(target).isNotNull())
+        if counted:
+            trees = boosting.grown(lent, target, ["bins", "shadow_bins"], kinds.twice(), trainer(n).settings(), rows)
+            gain = boosting.importances(trees, 2 * len(features))
+        else:  # settings that Spark's own training takes
+            train = both.transform(lent).select(target, F.col("_all").alias("features")).coalesce(max(1, math.ceil(rows / TASK_ROWS)))
+            gain = trainer(n).fit(train).featureImportances.toArray()
         best = max(gain[len(features):])
         return [c for c, g in zip(features, gain) if g > best]
 
