@@ -7,14 +7,14 @@ class, so scoring, saving and loading are Spark's. Only the variance of a node i
 
 A row is a byte per feature (two beyond 256 bins) in blocks of BLOCK_ROWS. A level counts the rows and adds up the residuals of each
 bin of the smaller child of every split; its sibling is the parent less it. Up to LOCAL_ROWS rows are trained in one task, so that many fits run side
-by side; more stay in their partitions, a level is one job, its sums meet by feature, and the driver sees the best split of each node and feature.
+by side; more stay in their partitions, a level is one job, and the sums of its counted nodes come to the driver.
 """
 
 from __future__ import annotations
 
 import pickle
 import sys
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -30,6 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK_ROWS = 1 << 16
 #: Most rows that one task trains on alone.
 LOCAL_ROWS = 1_000_000
+#: Sums that are added up in one place at most, about.
+SUM_BYTES = 64 << 20
 #: Gains are equal if they differ by rounding only; the first feature and bin count, whatever the order of the rows.
 TIE = 1 - 1e-10
 
@@ -258,12 +260,25 @@ def sampled(settings: Settings, tree: int, block: object, rows: int) -> np.ndarr
     return np.random.default_rng([settings.seed & 0x7FFFFFFF, tree, *block]).random(rows) < settings.rate
 
 
-def _slot(level: Level, node: np.ndarray, mask: np.ndarray | None) -> np.ndarray:
-    slot = level.slots()[node]
-    return slot if mask is None else np.where(mask, slot, -1)
+def _slots(slot: np.ndarray, node: np.ndarray, mask: np.ndarray | None) -> np.ndarray:
+    return slot[node] if mask is None else np.where(mask, slot[node], -1)
 
 
-# -- rows in one task --------------------------------------------------------
+# -- trees -------------------------------------------------------------------
+
+def grow_tree(tree: Tree, scale: float, kinds: Bins, settings: Settings, measure: Callable[[np.ndarray, int, int], list[np.ndarray]]) -> None:
+    """Grow a tree level by level. `measure` (slot of each node or -1, slots, depth) gives the sums (slot, bin, 2) of each feature."""
+    level = Level(tree, settings, scale)
+    parents = None
+    for depth in range(settings.depth):
+        small = measure(level.slots(), len(level.counted), depth)
+        every = [siblings(s, None if parents is None else parents[f], level.take) for f, s in enumerate(small)]
+        if not depth:
+            tree.count[0], tree.sum[0] = every[0][0].sum(axis=0) * (1, scale)
+        parents = every
+        if not level.grow([best_splits(s, kinds.cuts[f] is None, settings.least) for f, s in enumerate(every)], depth + 1 == settings.depth):
+            return
+
 
 def grow_here(bins: np.ndarray, y: np.ndarray, kinds: Bins, settings: Settings) -> list[Tree]:
     """Trees of the rows of one task."""
@@ -274,33 +289,29 @@ def grow_here(bins: np.ndarray, y: np.ndarray, kinds: Bins, settings: Settings)
     trees = []
     for t in range(settings.trees):
         tree = Tree(settings.depth, width)
-        level = Level(tree, settings, 2.0 if t else 1.0)
         mask = [sampled(settings, t, (0, i), len(r)) for i, r in enumerate(residual)]
         node = [np.zeros(len(r), dtype=np.int64) for r in residual]
-        parents, grows = None, True
-        own = [r if m is None else r[m] for r, m in zip(residual, mask)]
-        tree.count[0], tree.sum[0] = sum(map(len, own)), sum(float(r.sum()) for r in own) * level.scale
-        for depth in range(settings.depth):
-            if grows:
-                small = sum(level_sums(b, r, _slot(level, n, m), len(level.counted), width) for b, r, n, m in zip(blocks, residual, node, mask))
-                every = [siblings(small[f, :, : kinds.sizes[f]], None if parents is None else parents[f], level.take) for f in range(len(bins))]
-                grows = level.grow([best_splits(s, kinds.cuts[f] is None, settings.least) for f, s in enumerate(every)], depth + 1 == settings.depth)
-                parents = every
-                node = [tree.moved(b, n) for b, n in zip(blocks, node)]
+
+        def measure(slot: np.ndarray, slots: int, depth: int) -> list[np.ndarray]:
+            if depth:
+                node[:] = [tree.moved(b, n) for b, n in zip(blocks, node)]
+            total = sum(level_sums(b, r, _slots(slot, n, m), slots, width) for b, r, n, m in zip(blocks, residual, node, mask))
+            return [total[f, :, :size] for f, size in enumerate(kinds.sizes)]
+
+        grow_tree(tree, 2.0 if t else 1.0, kinds, settings, measure)
         weight = (settings.step if t else 1.0) * tree.value()
-        for r, n in zip(residual, node):
-            r -= weight[n]
+        for b, r, n in zip(blocks, residual, node):
+            r -= weight[tree.moved(b, n)] if tree.feature[0] >= 0 else weight[0]
         trees.append(tree)
     return trees
 
 
-# -- rows in many tasks ------------------------------------------------------
-
 def grow_apart(blocks: RDD, kinds: Bins, settings: Settings) -> list[Tree]:
-    """The same of blocks (number, bins, target) that stay in their partitions."""
+    """The same of blocks (number, bins, target) that stay in their partitions. The sums of a level come to the driver: a pair of numbers for
+    each bin of each feature and counted node, from every task up to SUM_BYTES, else added up before by groups of features."""
     width, features = max(kinds.sizes), len(kinds.sizes)
     keep = StorageLevel.MEMORY_AND_DISK
-    held, before, trees = blocks.persist(keep), None, []
+    held, before, trees, tasks = blocks.persist(keep), None, [], blocks.getNumPartitions()
 
     def placed(tree: Tree, bins: np.ndarray, depth: int) -> np.ndarray:
         node = np.zeros(bins.shape[1], dtype=np.int64)
@@ -310,53 +321,41 @@ def grow_apart(blocks: RDD, kinds: Bins, settings: Settings) -> list[Tree]:
 
     for t in range(settings.trees):
         tree = Tree(settings.depth, width)
-        level = Level(tree, settings, 2.0 if t else 1.0)
-        parents, stored = None, []
-        for depth in range(settings.depth):
-            def measure(part: int, own: Iterator, level: Level = level, depth: int = depth, t: int = t) -> Iterator[tuple[int, tuple]]:
+
+        def measure(slot: np.ndarray, slots: int, depth: int) -> list[np.ndarray]:
+            nonlocal before
+            groups = min(features, 1 + 16 * tasks * slots * sum(kinds.sizes) // SUM_BYTES)
+
+            def count(part: int, own: Iterator) -> Iterator[tuple[int, tuple]]:
                 total = 0
                 for number, bins, residual in own:
                     mask = sampled(settings, t, number, len(residual))
-                    total = total + level_sums(bins, residual, _slot(level, placed(level.tree, bins, depth), mask), len(level.counted), width)
+                    total = total + level_sums(bins, residual, _slots(slot, placed(tree, bins, depth), mask), slots, width)
                 if not np.isscalar(total):
-                    for f in range(features):
-                        yield f, (part, np.ascontiguousarray(total[f, :, : kinds.sizes[f]]))
-
-            def meet(item: tuple[int, Iterable], take: list = level.take) -> tuple[int, tuple]:
-                f, parts = item
-                order = sorted(parts, key=lambda x: x[0])  # sums in the same order in every run
-                above = order.pop(0)[1] if order[0][0] < 0 else None
-                return f, (-1, siblings(sum(s for _, s in order), above, take))
-
-            sums = held.mapPartitionsWithIndex(measure)
-            if parents is not None:
-                sums = sums.union(parents)
-            sums = sums.groupByKey(features).map(meet, preservesPartitioning=True).persist(keep)
-            stored.append(sums)
-
-            def best(item: tuple[int, tuple]) -> tuple[int, tuple, tuple]:
-                f, (_, every) = item
-                return f, best_splits(every, kinds.cuts[f] is None, settings.least), tuple(every[0].sum(axis=0))
-
-            found = sorted(sums.map(best).collect(), key=lambda x: x[0])
-            if not depth:
-                if before is not None:
-                    before.unpersist()
-                tree.count[0], tree.sum[0] = found[0][2][0], found[0][2][1] * level.scale
-            parents = sums
-            if not level.grow([x for _, x, _ in found], depth + 1 == settings.depth):
-                break
-        for s in stored:
-            s.unpersist()
+                    for g in range(groups):
+                        yield g, (part, [total[f, :, : kinds.sizes[f]].copy() for f in range(g, features, groups)])
+
+            def meet(item: tuple[int, Iterable]) -> tuple[int, list[np.ndarray]]:
+                parts = sorted(item[1], key=lambda x: x[0])  # sums in the same order in every run
+                return item[0], [sum(x) for x in zip(*[own for _, own in parts])]
+
+            sums = held.mapPartitionsWithIndex(count)
+            found = dict([meet((0, [own for _, own in sums.collect()]))] if groups == 1 else sums.groupByKey(groups).map(meet).collect())
+            if before is not None:
+                before.unpersist()
+                before = None
+            return [found[f % groups][f // groups] for f in range(features)]
+
+        grow_tree(tree, 2.0 if t else 1.0, kinds, settings, measure)
         trees.append(tree)
-        weight = (settings.step if t else 1.0) * tree.value()
+        if t + 1 < settings.trees:
+            weight = (settings.step if t else 1.0) * tree.value()
 
-        def less(block: tuple, tree: Tree = tree, weight: np.ndarray = weight) -> tuple:
-            number, bins, residual = block
-            return number, bins, residual - weight[placed(tree, bins, settings.depth)]
+            def less(block: tuple, tree: Tree = tree, weight: np.ndarray = weight) -> tuple:
+                number, bins, residual = block
+                return number, bins, residual - weight[placed(tree, bins, settings.depth)]
 
-        before, held = held, held.map(less).persist(keep)
-    before.unpersist()
+            before, held = held, held.map(less).persist(keep)
     held.unpersist()
     return trees
 
@@ -465,31 +464,41 @@ class BinnedGBTRegressor(GBTRegressor):
 
 def _model(df: DataFrame, trees: list[Tree], kinds: Bins, settings: Settings):
     """Spark's model of the trees, in the JVM."""
-    spark = df.sparkSession
-    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    jvm, gateway = df.sparkSession._jvm, df.sparkSession.sparkContext._gateway
     ml, n = jvm.org.apache.spark.ml, len(kinds.sizes)
+    # classes are looked up once: every name on the way to one is a call
+    leaf, inner, number, category = ml.tree.LeafNode, ml.tree.InternalNode, ml.tree.ContinuousSplit, ml.tree.CategoricalSplit
+    tree_model, variance = ml.regression.DecisionTreeRegressionModel, jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator
+    part, wrap = jvm.java.util.Arrays.copyOfRange, jvm.java.nio.ByteBuffer.wrap
+    none = float("nan")
 
     def doubles(values: Iterable[float]):
         data = np.asarray(values, dtype=">f8")
         out = gateway.new_array(jvm.double, len(data))
-        jvm.java.nio.ByteBuffer.wrap(bytearray(data.tobytes())).asDoubleBuffer().get(out)
+        wrap(bytearray(data.tobytes())).asDoubleBuffer().get(out)
         return out
 
-    def node(t: Tree, value: np.ndarray, i: int):
-        stats = jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator(doubles([t.count[i], t.sum[i], np.nan]), int(t.count[i]))
-        if t.feature[i] < 0:
-            return ml.tree.LeafNode(float(value[i]), float("nan"), stats)
-        f = int(t.feature[i])
-        left = np.flatnonzero(t.left[i, : kinds.sizes[f]])
-        split = (
-            ml.tree.CategoricalSplit(f, doubles(left), kinds.sizes[f]) if kinds.cuts[f] is None
-            else ml.tree.ContinuousSplit(f, float(kinds.cuts[f][left[-1]]))
-        )
-        return ml.tree.InternalNode(float(value[i]), float("nan"), float(t.gain[i]), node(t, value, 2 * i + 1), node(t, value, 2 * i + 2), split, stats)
-
-    made = gateway.new_array(ml.regression.DecisionTreeRegressionModel, len(trees))
+    def root(t: Tree):
+        value, counts = t.value(), t.count.astype(int)
+        stats = doubles(np.stack([t.count, t.sum, np.full(len(t.count), none)], axis=1).ravel())
+        sets = [np.flatnonzero(t.left[i]) if t.feature[i] >= 0 and kinds.cuts[t.feature[i]] is None else np.zeros(0, int) for i in range(len(t.left))]
+        ends = np.r_[0, np.cumsum([len(x) for x in sets])].tolist()
+        held = doubles(np.concatenate(sets))
+
+        def node(i: int):
+            own, f = variance(part(stats, 3 * i, 3 * i + 3), int(counts[i])), int(t.feature[i])
+            if f < 0:
+                return leaf(float(value[i]), none, own)
+            if kinds.cuts[f] is None:
+                split = category(f, part(held, ends[i], ends[i + 1]), kinds.sizes[f])
+            else:
+                split = number(f, float(kinds.cuts[f][np.flatnonzero(t.left[i, : kinds.sizes[f]])[-1]]))
+            return inner(float(value[i]), none, float(t.gain[i]), node(2 * i + 1), node(2 * i + 2), split, own)
+
+        return node(0)
+
+    made = gateway.new_array(tree_model, len(trees))
     for i, t in enumerate(trees):
-        uid = f"dtr_{i}"
-        made[i] = ml.regression.DecisionTreeRegressionModel(uid, node(t, t.value(), 0), n)
+        made[i] = tree_model(f"dtr_{i}", root(t), n)
     weights = doubles([1.0] + [settings.step] * (len(trees) - 1))
     return ml.regression.GBTRegressionModel(f"GBTRegressionModel_{settings.seed}", made, weights, n)
