@@ -20,11 +20,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import col
-from ..session import written
+from ..session import scratch, written
 from .search import B, K1, query_terms
 
 #: Partitions of a new table. Terms and documents are dealt over as many.
 PARTS = 64
+#: An update rewrites the partitions it touches in so many steps.
+SHARES = 4
 
 
 def words(content: Column | str) -> Column:
@@ -67,7 +69,8 @@ def build_terms(docs: DataFrame, path: str, doc_id: str = "id", content: str = "
     """Write the term table of docs (one row per id) to a new folder."""
     postings, documents = _analysed(docs, doc_id, content, parts)
     store_postings(postings, f"{path}/postings", parts, "error")
-    store_parts(written(documents), f"{path}/documents", "slot", ["id"], "error")
+    with scratch() as held:
+        store_parts(held(documents), f"{path}/documents", "slot", ["id"], "error")
     _describe(docs.sparkSession, path, parts)
 
 
@@ -97,37 +100,43 @@ def stale(docs: DataFrame, path: str, doc_id: str = "id", content: str = "conten
 def update_terms(docs: DataFrame, path: str, gone: DataFrame | None = None, doc_id: str = "id", content: str = "content") -> int:
     """Bring new and changed texts in and take the ids of `gone` out; gives the number of postings partitions rewritten.
 
-    Both are written aside first, so a failed update is run again with the same rows: partitions already rewritten
-    come out the same.
+    New postings are written aside first and deleted at the end; a failed update is run again with the same rows: partitions
+    already rewritten come out the same.
     """
     spark = docs.sparkSession
     parts = described(spark, path)[2]
-    new = written(stale(docs, path, doc_id, content).select(F.col(doc_id).alias("id"), F.col(content).alias("content")))
-    ids = new.select("id") if gone is None else new.select("id").union(gone.select(F.col(doc_id).alias("id"))).distinct()
-    ids = written(ids.withColumn("slot", part_of(F.col("id").cast("string"), parts)))
-    postings, documents = (written(x) for x in _analysed(new, "id", "content", parts))
-    slots = [r["slot"] for r in ids.select("slot").distinct().collect()]  # at most `parts` numbers, as below
-    held = spark.read.parquet(f"{path}/documents").filter(F.col("slot").isin(slots))
-    old = held.join(ids.select("id"), "id", "left_semi")
-    touched = old.select(F.explode("parts").alias("p")).union(documents.select(F.explode("parts").alias("p"))).distinct()
-    touched = [r["p"] for r in touched.collect()]
-    spent = ids.select("id")
-    columns = ["part", "term", "id", "tf", "len"]
-    stay = spark.read.parquet(f"{path}/postings").filter(F.col("part").isin(touched)).select(*columns).join(spent, "id", "left_anti")
-    replace_parts(stay.select(*columns).union(postings.select(*columns)), f"{path}/postings", "part", touched, lambda rows, to: store_postings(rows, to, parts, "overwrite"))
-    columns = ["slot", "id", "len", "digest", "parts"]
-    stay = held.select(*columns).join(spent, "id", "left_anti")
-    replace_parts(stay.select(*columns).union(documents.select(*columns)), f"{path}/documents", "slot", slots, lambda rows, to: store_parts(rows, to, "slot", ["id"], "overwrite"))
+    with scratch() as keep:
+        new = keep(stale(docs, path, doc_id, content).select(F.col(doc_id).alias("id"), F.col(content).alias("content")))
+        ids = new.select("id") if gone is None else new.select("id").union(gone.select(F.col(doc_id).alias("id"))).distinct()
+        ids = keep(ids.withColumn("slot", part_of(F.col("id").cast("string"), parts)))
+        postings, documents = (keep(x) for x in _analysed(new, "id", "content", parts))
+        slots = [r["slot"] for r in ids.select("slot").distinct().collect()]  # at most `parts` numbers, as below
+        held = spark.read.parquet(f"{path}/documents").filter(F.col("slot").isin(slots))
+        old = held.join(ids.select("id"), "id", "left_semi")
+        touched = old.select(F.explode("parts").alias("p")).union(documents.select(F.explode("parts").alias("p"))).distinct()
+        touched = [r["p"] for r in touched.collect()]
+        spent = ids.select("id")
+        columns = ["part", "term", "id", "tf", "len"]
+        stay = spark.read.parquet(f"{path}/postings").filter(F.col("part").isin(touched)).select(*columns).join(spent, "id", "left_anti")
+        replace_parts(stay.select(*columns).union(postings.select(*columns)), f"{path}/postings", "part", touched, lambda rows, to: store_postings(rows, to, parts, "overwrite"))
+        columns = ["slot", "id", "len", "digest", "parts"]
+        stay = held.select(*columns).join(spent, "id", "left_anti")
+        replace_parts(stay.select(*columns).union(documents.select(*columns)), f"{path}/documents", "slot", slots, lambda rows, to: store_parts(rows, to, "slot", ["id"], "overwrite"))
     _describe(spark, path, parts)
     return len(touched)
 
 
 def replace_parts(df: DataFrame, path: str, by: str, values: list[int], store: Callable[[DataFrame, str], None]) -> None:
-    """Overwrite the partitions named; one that is left without rows goes."""
+    """Overwrite the partitions named; one that is left without rows goes.
+
+    df may read these partitions: new files replace the old ones of a partition when all are written. A share of the partitions
+    is rewritten at a time, so that old and new files and the shuffle between them lie side by side for a share only.
+    """
     spark = df.sparkSession
-    rows = written(df)
-    store(rows, path)
-    left = {r[by] for r in rows.select(by).distinct().collect()}
+    left = {r[by] for r in df.select(by).distinct().collect()}
+    kept, share = sorted(left & set(values)), max(1, -(-len(values) // SHARES))
+    for at in range(0, len(kept), share):
+        store(df.filter(F.col(by).isin(kept[at:at + share])), path)
     for v in set(values) - left:
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={v}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

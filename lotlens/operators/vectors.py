@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import written
+from ..session import scratch
 from .search import embed, hashed_vectors, knn
 from .terms import PARTS, build_terms, part_of, replace_parts, stale, store_parts, update_terms
 
@@ -40,7 +40,11 @@ def unit(m: np.ndarray) -> np.ndarray:
 def fit_cells(vecs: DataFrame, cells: int, vec: str = "embedding", vec_id: str = "id", recall: float = RECALL, seed: int = 7) -> tuple[np.ndarray, int]:
     """Centres of a bounded sample, and how many nearest cells hold `recall` of a sample row's AT nearest."""
     fine = vecs.filter(F.col(vec).isNotNull())
-    sample = written(fine.orderBy(F.xxhash64(vec_id), vec_id).limit(FIT_ROWS).select(F.col(vec).cast("array<double>").alias("v")))
+    with scratch() as held:
+        return _cells_of(held(fine.orderBy(F.xxhash64(vec_id), vec_id).limit(FIT_ROWS).select(F.col(vec).cast("array<double>").alias("v"))), cells, recall, seed)
+
+
+def _cells_of(sample: DataFrame, cells: int, recall: float, seed: int) -> tuple[np.ndarray, int]:
     rows = unit(np.array([r["v"] for r in sample.collect()]))  # FIT_ROWS vectors
     if not len(rows):
         return np.zeros((1, 0)), 1
@@ -70,14 +74,14 @@ def assigned(vecs: DataFrame, centres: np.ndarray, vec: str = "embedding") -> Da
 
 
 def build_vectors(vecs: DataFrame, path: str, cells: int = 32, vec: str = "embedding", vec_id: str = "id", recall: float = RECALL) -> None:
-    """Write the vector partitions of vecs (one row per id, further columns kept) to a new folder."""
+    """Write the vector partitions of vecs (one row per id, further columns kept) to a new folder. Stored rows are best: they are read
+    more than once, and not copied."""
     spark = vecs.sparkSession
     centres, probes = fit_cells(vecs, cells, vec, vec_id, recall)
     table = [(i, c.tolist(), probes) for i, c in enumerate(centres)]
     spark.createDataFrame(table, "cell int, centre array<double>, probes int").coalesce(1).write.parquet(f"{path}/cells")
-    rows = written(assigned(vecs, centres, vec))
-    store_parts(rows, f"{path}/vectors", "cell", [vec_id], "error")
-    store_parts(_places(rows, vec_id), f"{path}/ids", "slot", ["id"], "error")
+    store_parts(assigned(vecs, centres, vec), f"{path}/vectors", "cell", [vec_id], "error")
+    store_parts(_places(spark.read.parquet(f"{path}/vectors"), vec_id), f"{path}/ids", "slot", ["id"], "error")
 
 
 def _places(rows: DataFrame, vec_id: str) -> DataFrame:
@@ -90,20 +94,23 @@ def centres_of(spark: SparkSession, path: str) -> tuple[np.ndarray, int]:
 
 
 def update_vectors(rows: DataFrame, path: str, gone: DataFrame | None = None, vec: str = "embedding", vec_id: str = "id") -> int:
-    """Put rows in place of those of the same ids and take the ids of `gone` out; gives the number of cells rewritten."""
+    """Put rows in place of those of the same ids and take the ids of `gone` out; gives the number of cells rewritten. Rows are read
+    more than once and not copied; only their ids and cells are written aside."""
     spark = rows.sparkSession
-    new = written(assigned(rows, centres_of(spark, path)[0], vec))
-    ids = rows.select(F.col(vec_id).alias("id"))
-    ids = written((ids if gone is None else ids.union(gone.select(vec_id))).distinct().withColumn("slot", part_of(F.col("id").cast("string"), PARTS)))
-    slots = [r["slot"] for r in ids.select("slot").distinct().collect()]  # PARTS at most
-    held = spark.read.parquet(f"{path}/ids").filter(F.col("slot").isin(slots)).select("slot", "id", "cell")
-    old = held.join(ids.select("id"), "id", "left_semi")
-    touched = [r["cell"] for r in old.select("cell").union(new.select("cell")).distinct().collect()]  # a number per cell
-    spent = ids.select(F.col("id").alias(vec_id))
-    stay = spark.read.parquet(f"{path}/vectors").filter(F.col("cell").isin(touched)).select(*new.columns).join(spent, vec_id, "left_anti")
-    replace_parts(stay.select(*new.columns).union(new), f"{path}/vectors", "cell", touched, lambda rows, to: store_parts(rows, to, "cell", [vec_id], "overwrite"))
-    placed = held.join(ids.select("id"), "id", "left_anti").select("slot", "id", "cell").union(_places(new, vec_id))
-    replace_parts(placed, f"{path}/ids", "slot", slots, lambda rows, to: store_parts(rows, to, "slot", ["id"], "overwrite"))
+    with scratch() as keep:
+        new = assigned(rows, centres_of(spark, path)[0], vec)
+        cells = keep(new.select(vec_id, "cell"))
+        ids = rows.select(F.col(vec_id).alias("id"))
+        ids = keep((ids if gone is None else ids.union(gone.select(vec_id))).distinct().withColumn("slot", part_of(F.col("id").cast("string"), PARTS)))
+        slots = [r["slot"] for r in ids.select("slot").distinct().collect()]  # PARTS at most
+        held = spark.read.parquet(f"{path}/ids").filter(F.col("slot").isin(slots)).select("slot", "id", "cell")
+        old = held.join(ids.select("id"), "id", "left_semi")
+        touched = [r["cell"] for r in old.select("cell").union(cells.select("cell")).distinct().collect()]  # a number per cell
+        spent = ids.select(F.col("id").alias(vec_id))
+        stay = spark.read.parquet(f"{path}/vectors").filter(F.col("cell").isin(touched)).select(*new.columns).join(spent, vec_id, "left_anti")
+        replace_parts(stay.select(*new.columns).union(new), f"{path}/vectors", "cell", touched, lambda rows, to: store_parts(rows, to, "cell", [vec_id], "overwrite"))
+        placed = held.join(ids.select("id"), "id", "left_anti").select("slot", "id", "cell").union(_places(cells, vec_id))
+        replace_parts(placed, f"{path}/ids", "slot", slots, lambda rows, to: store_parts(rows, to, "slot", ["id"], "overwrite"))
     return len(touched)
 
 
@@ -134,15 +141,19 @@ def refresh_index(
     spark = docs.sparkSession
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/terms/stats/_SUCCESS")
     if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        rows = written(embed(docs, to_embed, fn))
-        build_vectors(rows, f"{path}/vectors", cells, vec_id=doc_id)
+        with scratch() as held:
+            rows = held(embed(docs, to_embed, fn))
+            build_vectors(rows, f"{path}/vectors", cells, vec_id=doc_id)
+            number = rows.count()
         build_terms(docs, f"{path}/terms", doc_id, content)
-        return rows.count()
-    changed = written(stale(docs, f"{path}/terms", doc_id, content))
-    held = spark.read.parquet(f"{path}/terms/documents").select(F.col("id").alias(doc_id))
-    gone = written(held.join(docs.select(doc_id), doc_id, "left_anti")) if whole else None
-    number = changed.count()
-    if number or whole and not gone.isEmpty():
-        update_vectors(written(embed(changed, to_embed, fn)), f"{path}/vectors", gone, vec_id=doc_id)
-        update_terms(changed, f"{path}/terms", gone, doc_id, content)
+        return number
+    with scratch() as held:
+        changed = held(stale(docs, f"{path}/terms", doc_id, content))
+        known = spark.read.parquet(f"{path}/terms/documents").select(F.col("id").alias(doc_id))
+        gone = held(known.join(docs.select(doc_id), doc_id, "left_anti")) if whole else None
+        number = changed.count()
+        if number or whole and not gone.isEmpty():
+            with scratch() as apart:
+                update_vectors(apart(embed(changed, to_embed, fn)), f"{path}/vectors", gone, vec_id=doc_id)
+            update_terms(changed, f"{path}/terms", gone, doc_id, content)
     return number

@@ -6,6 +6,8 @@ import atexit
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,6 +74,25 @@ def written(df: DataFrame, *by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch() -> Iterator[Callable[..., DataFrame]]:
+    """A `written` whose tables are deleted at the end of the block; what reads them must be stored by then."""
+    made: list[tuple[SparkSession, str]] = []
+
+    def keep(df: DataFrame, *by: str) -> DataFrame:
+        path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+        made.append((df.sparkSession, path))
+        df.write.partitionBy(*by).parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    try:
+        yield keep
+    finally:
+        for spark, name in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_written(spark: SparkSession) -> int:
     """Delete the intermediate tables made so far, once the results that read them are stored; gives their number."""
     n = 0

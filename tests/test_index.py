@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lotlens import session
 from lotlens.operators import search, terms, vectors
 
 
@@ -172,3 +173,26 @@ def test_only_texts_and_vectors_go_to_python(spark):
     assert [r.cell for r in placed.orderBy("id").collect()] == list((vectors.unit(want) @ np.eye(64)[:5].T).argmax(axis=1))
     plan = placed.filter("size(embedding) > 0")._jdf.queryExecution().executedPlan().toString()
     assert "MapInPandas" not in plan and plan.count("ArrowEvalPython [") == 2
+
+
+def test_the_index_job_leaves_no_copies(spark, docs, tmp_path, monkeypatch):
+    ready = docs.withColumn("to_embed", F.coalesce("content", F.lit("")))
+    base = tmp_path / "shared"
+    base.mkdir()
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(base))
+    seen, real = [], terms.store_parts
+
+    def watched(df, path, *rest):
+        real(df, path, *rest)
+        # copies of content that lie beside the index while a part of it is stored
+        seen.append(sum("content" in spark.read.parquet(str(p)).columns for p in base.iterdir() if list(p.rglob("*.parquet"))))
+
+    monkeypatch.setattr(terms, "store_parts", watched)
+    monkeypatch.setattr(vectors, "store_parts", watched)
+    assert vectors.refresh_index(ready, str(tmp_path / "i"), cells=4) == 202
+    changed = ready.withColumn("content", F.when(F.col("id") == "d5", "baru").otherwise(F.col("content"))).filter("id <> 'd6'")
+    assert vectors.refresh_index(changed, str(tmp_path / "i"), cells=4, whole=True) == 1
+    left = [spark.read.parquet(str(p)).columns for p in base.iterdir()]
+    assert all(c == ["n", "words", "parts"] for c in left) and max(seen) <= 2
+    rows = {r["id"]: r["content"] for r in spark.read.parquet(str(tmp_path / "i/vectors/vectors")).collect()}
+    assert len(rows) == 201 and rows["d5"] == "baru" and rows["none"] is None
